@@ -81,7 +81,7 @@ def with_row_id(df: DataFrame, prefix: str = "_rid") -> DataFrame:
 
 def flag_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                row_id: Sequence[str], flag: str = "is_first",
-               scope: Column | None = None) -> DataFrame:
+               scope: Column | None = None, last: bool = False) -> DataFrame:
     """``flag`` = row is first of its key group by ``order`` (row_number() == 1).
 
     Instead of a window partitioned by key — which sends a hot key (a third of
@@ -91,13 +91,14 @@ def flag_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
     unique row id, which spreads evenly over the shuffle partitions.
     ``row_id`` columns also break exact ties, so exactly one row per group
     is first. NULL keys form one group, as in a window. With ``scope`` only
-    rows matching it compete (rows outside it are never first).
+    rows matching it compete (rows outside it are never first). ``last=True``
+    flags the last row instead (row_number() over descending order == 1).
     """
     order_cols = [c.alias(f"__o{i}") for i, c in enumerate(_cols(order))]
     rid_cols = [F.col(r).alias(r) for r in row_id]
     candidates = df if scope is None else df.filter(scope)
     firsts = (candidates.groupBy(*keys)
-              .agg(F.min(F.struct(*order_cols, *rid_cols)).alias("__m"))
+              .agg((F.max if last else F.min)(F.struct(*order_cols, *rid_cols)).alias("__m"))
               .select(*[F.col(f"__m.{r}").alias(r) for r in row_id])
               .withColumn(flag, F.lit(True)))
     return (df.join(firsts, on=list(row_id), how="left")

@@ -1 +1,126 @@
-"""placeholder"""
+"""CDC queries on the ``events`` table read as a change log.
+
+Role mapping: key = user_id, lsn = ts, seq = event_id; signup → INSERT,
+error → DELETE, every other event → UPDATE; image = (event_type, value).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import cdc
+from ..operators.rules import with_row_id
+from .common import t
+from .registry import attach, query
+
+# The change range and the operation mapping of the log.
+LO, HI = "2024-01-10 00:00:00", "2024-01-12 00:00:00"
+KEYS, IMAGE = ["user_id"], ["event_type", "value"]
+
+
+def change_log(spark, sf, row_id: bool = False):
+    e = t(spark, sf, "events")
+    if row_id:
+        e = with_row_id(e)
+    op = (F.when(F.col("event_type") == "signup", F.lit("INSERT"))
+          .when(F.col("event_type") == "error", F.lit("DELETE")).otherwise(F.lit("UPDATE")))
+    extra = ["_rid_file", "_rid_row"] if row_id else []
+    return e.select(F.col("ts").alias("lsn"), F.col("event_id").alias("seq"), op.alias("operation"),
+                    "user_id", "event_type", "value", *extra)
+
+
+@query("cdc_all")
+def cdc_all(spark, sf):
+    return cdc.all_changes(change_log(spark, sf), LO, HI)
+
+
+@query("cdc_all_update_old")
+def cdc_all_update_old(spark, sf):
+    return cdc.all_changes_update_old(change_log(spark, sf), KEYS, IMAGE, LO, HI)
+
+
+@query("cdc_net")
+def cdc_net(spark, sf):
+    return cdc.net_changes(change_log(spark, sf), KEYS, IMAGE, LO, HI)
+
+
+@query("cdc_apply")
+def cdc_apply(spark, sf):
+    log = change_log(spark, sf)
+    before = cdc.replay(log, KEYS, IMAGE, LO)                      # state at LO
+    after = cdc.apply_changes(before, cdc.in_range(log, LO, HI), KEYS, IMAGE)
+    return after.select("user_id", "event_type", "value", F.col("lsn").alias("changed_at"))
+
+
+@query("cdc_op_counts")
+def cdc_op_counts(spark, sf):
+    log = change_log(spark, sf)
+    return (log.groupBy(F.col("lsn").cast("date").alias("change_date"), "operation")
+            .agg(F.count(F.lit(1)).alias("changes")))
+
+
+@query("cdc_commit_time")
+def cdc_commit_time(spark, sf):
+    log = change_log(spark, sf).withColumn("txn", F.date_trunc("minute", F.col("lsn")))
+    txn_map = log.groupBy("txn").agg(F.max("lsn").alias("commit_time"))
+    changes = cdc.in_range(log, LO, HI)
+    return (cdc.map_commit_time(changes, txn_map, "txn")
+            .select("seq", "lsn", "operation", "user_id", "commit_time"))
+
+
+@query("watermark_gap")
+def watermark_gap(spark, sf):
+    return cdc.watermark_gap(change_log(spark, sf, row_id=True), KEYS, LO, HI, ["_rid_file", "_rid_row"])
+
+
+LOG_SQL = """
+log AS (
+  SELECT ts AS lsn, event_id AS seq,
+         CASE WHEN event_type = 'signup' THEN 'INSERT' WHEN event_type = 'error' THEN 'DELETE' ELSE 'UPDATE' END
+           AS operation,
+         user_id, event_type, value
+  FROM events)"""
+RANGE = "lsn >= TIMESTAMP '2024-01-10 00:00:00' AND lsn < TIMESTAMP '2024-01-12 00:00:00'"
+
+attach({
+    "cdc_all": f"WITH {LOG_SQL} SELECT * FROM log WHERE {RANGE}",
+    "cdc_all_update_old": f"""WITH {LOG_SQL},
+prev AS (
+  SELECT *, LAG(event_type) OVER w AS prev_event_type, LAG(value) OVER w AS prev_value
+  FROM log WHERE lsn < TIMESTAMP '2024-01-12 00:00:00'
+  WINDOW w AS (PARTITION BY user_id ORDER BY lsn, seq))
+SELECT lsn, seq, user_id, CASE WHEN operation = 'UPDATE' THEN 'UPDATE (after)' ELSE operation END AS operation,
+       event_type, value
+FROM prev WHERE {RANGE}
+UNION ALL
+SELECT lsn, seq, user_id, 'UPDATE (before)', prev_event_type, prev_value
+FROM prev WHERE {RANGE} AND operation = 'UPDATE'""",
+    "cdc_net": f"""WITH {LOG_SQL},
+r AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY lsn, seq) AS rn_first,
+            ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY lsn DESC, seq DESC) AS rn_last
+  FROM log WHERE {RANGE}),
+f AS (SELECT user_id, operation AS first_op FROM r WHERE rn_first = 1),
+l AS (SELECT user_id, operation AS last_op, event_type, value, lsn FROM r WHERE rn_last = 1)
+SELECT CASE WHEN first_op = 'INSERT' THEN 'INSERT' WHEN last_op = 'DELETE' THEN 'DELETE' ELSE 'UPDATE' END
+         AS net_operation,
+       l.user_id, l.event_type, l.value, l.lsn AS last_lsn
+FROM f JOIN l ON f.user_id = l.user_id
+WHERE NOT (first_op = 'INSERT' AND last_op = 'DELETE')""",
+    "cdc_apply": f"""WITH {LOG_SQL},
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY lsn DESC, seq DESC) AS rn
+      FROM log WHERE lsn < TIMESTAMP '2024-01-12 00:00:00')
+SELECT user_id, event_type, value, lsn AS changed_at FROM r WHERE rn = 1 AND operation <> 'DELETE'""",
+    "cdc_op_counts": f"""WITH {LOG_SQL}
+SELECT CAST(lsn AS DATE) AS change_date, operation, COUNT(*) AS changes FROM log GROUP BY 1, 2""",
+    "cdc_commit_time": f"""WITH {LOG_SQL},
+txn AS (SELECT date_trunc('minute', lsn) AS txn, MAX(lsn) AS commit_time FROM log GROUP BY 1)
+SELECT l.seq, l.lsn, l.operation, l.user_id, x.commit_time
+FROM log l LEFT JOIN txn x ON x.txn = date_trunc('minute', l.lsn) WHERE {RANGE}""",
+    "watermark_gap": f"""WITH {LOG_SQL},
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY lsn DESC, seq DESC) AS rn
+      FROM log WHERE {RANGE})
+SELECT CASE WHEN operation = 'DELETE' THEN 'missed_delete' WHEN rn > 1 THEN 'missed_intermediate'
+            ELSE 'captured' END AS gap_kind, COUNT(*) AS changes
+FROM r GROUP BY 1""",
+})

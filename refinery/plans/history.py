@@ -1 +1,59 @@
-"""placeholder"""
+"""History queries: SCD2 versions of each user's latest event type, as-of read and as-of join."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import history
+from .common import t
+from .registry import attach, query
+
+# The as-of instant.
+AS_OF = "2024-01-15 00:00:00"
+
+
+def user_history(spark, sf):
+    e = t(spark, sf, "events")
+    return history.scd2(e, ["user_id"], ["ts", "event_id"], ["event_type"])
+
+
+@query("scd2_history")
+def scd2_history(spark, sf):
+    return user_history(spark, sf)
+
+
+@query("as_of")
+def as_of(spark, sf):
+    return history.as_of(user_history(spark, sf), AS_OF)
+
+
+@query("as_of_join")
+def as_of_join(spark, sf):
+    purchases = (t(spark, sf, "events").filter(F.col("event_type") == "purchase")
+                 .select("event_id", "user_id", "ts", "value"))
+    return history.as_of_join(purchases, user_history(spark, sf), ["user_id"], "ts", ["event_type"])
+
+
+HIST_SQL = """
+s AS (
+  SELECT user_id, ts, event_id, event_type,
+         LAG(event_type) OVER w AS prev_type, LAG(ts) OVER w AS prev_ts
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+v AS (SELECT user_id, event_type, ts, event_id FROM s
+      WHERE prev_ts IS NULL OR prev_type IS DISTINCT FROM event_type),
+hist AS (
+  SELECT user_id, event_type, ts AS valid_from,
+         COALESCE(LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id),
+                  TIMESTAMP '9999-12-31 00:00:00') AS valid_to
+  FROM v)"""
+
+attach({
+    "scd2_history": f"WITH {HIST_SQL} SELECT * FROM hist",
+    "as_of": f"""WITH {HIST_SQL} SELECT * FROM hist
+WHERE valid_from <= TIMESTAMP '2024-01-15 00:00:00' AND TIMESTAMP '2024-01-15 00:00:00' < valid_to""",
+    "as_of_join": f"""WITH {HIST_SQL}
+SELECT e.event_id, e.user_id, e.ts, e.value, h.event_type AS version_event_type,
+       h.valid_from AS version_valid_from, h.valid_to AS version_valid_to
+FROM events e JOIN hist h ON h.user_id = e.user_id AND h.valid_from < e.ts AND e.ts <= h.valid_to
+WHERE e.event_type = 'purchase'""",
+})
