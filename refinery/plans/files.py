@@ -1 +1,108 @@
-"""placeholder"""
+"""File-based operators: landing + manifest, latest batch, guarded append, clustered layout,
+curate job. Each run writes under a fresh folder in the cluster checkpoint folder."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from ..functions.text import Field, standardize
+from ..operators import quality
+from ..operators.layout import write_clustered
+from ..session import scratch_dir
+from ..sources import landing, raw
+from . import dq
+from .common import t
+from .registry import attach, query
+
+# Batch ids used by the landing demos.
+RUN_1, RUN_2 = "20240101T000000Z", "20240102T000000Z"
+LANDED = [("tpch", "customer"), ("tpch", "orders"), ("tpch", "lineitem")]
+
+
+@query("manifest_reconcile")
+def manifest_reconcile(spark, sf):
+    root = scratch_dir(spark, "raw")
+    mpath = landing.land_all(spark, {(s, n): t(spark, sf, n) for s, n in LANDED}, root, RUN_1)
+    manifest = raw.read_manifest(spark, mpath)
+    landed = landing.landed_counts(spark, root, LANDED)
+    rec = landing.reconcile_manifest(manifest, landed)
+    return rec.select(F.col("table").alias("table_name"), "manifest_rows", "landed_rows", "status")
+
+
+ORDER_TEXT_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
+ORDER_TYPES = [Field("o_orderkey", "bigint"), Field("o_custkey", "bigint"), Field("o_orderstatus"),
+               Field("o_totalprice", "decimal(12,2)"), Field("o_orderdate", "date")]
+
+
+@query("latest_batch")
+def latest_batch(spark, sf):
+    root = scratch_dir(spark, "raw")
+    o = t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                      F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"),
+                                      F.col("o_orderdate").cast("date").alias("o_orderdate"))
+    landing.land(o.filter(F.col("o_orderstatus") == "F"), root, "erp", "orders", RUN_1)
+    landing.land(o.filter(F.col("o_orderstatus") != "F"), root, "erp", "orders", RUN_2)
+    latest = raw.read_latest(spark, os.path.join(root, "erp", "orders"), ORDER_TEXT_COLS)
+    return standardize(latest, ORDER_TYPES, keep=["batch"])
+
+
+@query("idempotent_append")
+def idempotent_append(spark, sf):
+    target = scratch_dir(spark, "curated")
+    cust = t(spark, sf, "customer")
+    landing.append_new(cust, target, ["c_custkey"])
+    landing.append_new(cust, target, ["c_custkey"])       # second run adds nothing
+    return spark.read.parquet(target)
+
+
+@query("clustered_lookup")
+def clustered_lookup(spark, sf):
+    path = scratch_dir(spark, "clustered")
+    write_clustered(t(spark, sf, "lineitem"), path, ["l_shipdate"])
+    li = spark.read.parquet(path)
+    return li.filter((F.col("l_shipdate") >= F.lit("1995-01-01").cast("timestamp_ntz"))
+                     & (F.col("l_shipdate") < F.lit("1995-04-01").cast("timestamp_ntz")))
+
+
+@query("curate_job")
+def curate_job(spark, sf):
+    """Classify once → one observed write (accepted / rejected partitions) → reconcile
+    the observed counts → curated and quarantine are reads of what was written."""
+    root = scratch_dir(spark, "lake")
+    cls, obs = quality.observe_counts(dq.classified(spark, sf))
+    status = F.when(F.col("rejection_reason").isNull(), F.lit("accepted")).otherwise(F.lit("rejected"))
+    landing.write_curated(cls.select(*dq.LINE_COLS, "rejection_reason", status.alias("dq_status")),
+                          os.path.join(root, "classified"), partition_by=["dq_status"])
+    summary = quality.reconcile(obs.get)
+    written = spark.read.parquet(os.path.join(root, "classified"))
+    counts = written.agg(F.count_if(F.col("dq_status") == "accepted").alias("accepted"),
+                         F.count_if(F.col("dq_status") == "rejected").alias("rejected"))
+    return counts.select((F.col("accepted") + F.col("rejected")).alias("extracted"), "accepted", "rejected",
+                         F.round(F.try_divide(F.col("accepted").cast("double"),
+                                              (F.col("accepted") + F.col("rejected")).cast("double")), 4)
+                         .alias("pass_rate"),
+                         F.lit(summary["extracted"]).cast("bigint").alias("observed_extracted"))
+
+
+attach({
+    "manifest_reconcile": """
+SELECT 'customer' AS table_name, COUNT(*) AS manifest_rows, COUNT(*) AS landed_rows, 'match' AS status FROM customer
+UNION ALL SELECT 'orders', COUNT(*), COUNT(*), 'match' FROM orders
+UNION ALL SELECT 'lineitem', COUNT(*), COUNT(*), 'match' FROM lineitem""",
+    "latest_batch": """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice,
+       CAST(o_orderdate AS DATE) AS o_orderdate, '20240102T000000Z' AS batch
+FROM orders WHERE o_orderstatus <> 'F'""",
+    "idempotent_append": "SELECT * FROM customer",
+    "clustered_lookup": """
+SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '1995-01-01' AND l_shipdate < TIMESTAMP '1995-04-01'""",
+    "curate_job": dq.DQ_CTE + """
+SELECT COUNT(*) AS extracted,
+       COUNT(*) FILTER (WHERE rejection_reason IS NULL) AS accepted,
+       COUNT(*) FILTER (WHERE rejection_reason IS NOT NULL) AS rejected,
+       ROUND(CAST(COUNT(*) FILTER (WHERE rejection_reason IS NULL) AS DOUBLE) / COUNT(*), 4) AS pass_rate,
+       COUNT(*) AS observed_extracted
+FROM classified""",
+})

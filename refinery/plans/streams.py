@@ -1 +1,90 @@
-"""placeholder"""
+"""Streaming operators over ``events`` delivered as two file drops."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators.rules import Rule, any_null, classify, flag_exists, flag_first
+from ..session import scratch_dir
+from ..streaming.incremental import foreach_batch_classify, land_incremental
+from .common import t
+from .registry import attach, query
+
+# The split instant between the two drops, allowed event types, value ceiling.
+SPLIT = "2024-01-15 00:00:00"
+EVENT_TYPES = ["click", "view", "purchase", "signup"]
+MAX_VALUE = 400
+
+
+def _drops(spark, sf):
+    e = t(spark, sf, "events")
+    cut = F.lit(SPLIT).cast("timestamp_ntz")
+    return e, e.filter(F.col("ts") < cut), e.filter(F.col("ts") >= cut)
+
+
+@query("incremental_land")
+def incremental_land(spark, sf):
+    root = scratch_dir(spark, "stream")
+    events, first, second = _drops(spark, sf)
+    src, sink, ckpt = f"{root}/src", f"{root}/sink", f"{root}/_checkpoint"
+    first.write.mode("append").parquet(src)
+    land_incremental(spark, src, events.schema, sink, ckpt)
+    second.write.mode("append").parquet(src)
+    land_incremental(spark, src, events.schema, sink, ckpt)     # reads only the new drop
+    land_incremental(spark, src, events.schema, sink, ckpt)     # nothing new: adds nothing
+    return spark.read.parquet(sink).select("event_id", "ts", "user_id", "event_type", "value")
+
+
+def event_rules_classifier(spark, sf):
+    valid_users = t(spark, sf, "customer").filter(F.col("c_acctbal") >= 0)
+
+    def run(batch: DataFrame, seen: DataFrame | None) -> DataFrame:
+        df = flag_exists(batch, valid_users, [("user_id", "c_custkey")], "_user_ok")
+        df = flag_first(df, ["user_id", "event_type"], ["ts", "event_id"], ["event_id"], flag="_first")
+        if seen is not None:
+            df = flag_exists(df, seen, ["user_id", "event_type"], "_seen")
+        else:
+            df = df.withColumn("_seen", F.lit(False))
+        return classify(df, [
+            Rule("MISSING_REQUIRED_FIELD", any_null("props", "value")),
+            Rule("INVALID_USER", ~F.col("_user_ok")),
+            Rule("INVALID_EVENT_TYPE", ~F.col("event_type").isin(*EVENT_TYPES)),
+            Rule("VALUE_OUT_OF_RANGE", F.col("value") > MAX_VALUE),
+            Rule("DUPLICATE_EVENT", F.col("_seen") | ~F.col("_first")),
+        ]).drop("_user_ok", "_first", "_seen")
+    return run
+
+
+@query("stream_dq")
+def stream_dq(spark, sf):
+    root = scratch_dir(spark, "stream_dq")
+    events, first, second = _drops(spark, sf)
+    src, sink, ckpt = f"{root}/src", f"{root}/sink", f"{root}/_checkpoint"
+    run = event_rules_classifier(spark, sf)
+    first.write.mode("append").parquet(src)
+    foreach_batch_classify(spark, src, events.schema, sink, ckpt, run, ["user_id", "event_type"])
+    second.write.mode("append").parquet(src)
+    foreach_batch_classify(spark, src, events.schema, sink, ckpt, run, ["user_id", "event_type"])
+    out = spark.read.parquet(sink)
+    return (out.groupBy(F.coalesce(F.col("rejection_reason"), F.lit("ACCEPTED")).alias("outcome"))
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+attach({
+    "incremental_land": "SELECT event_id, ts, user_id, event_type, value FROM events",
+    "stream_dq": """
+WITH c AS (
+  SELECT e.*,
+         EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = e.user_id AND c.c_acctbal >= 0) AS user_ok,
+         ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn
+  FROM events e)
+SELECT COALESCE(CASE
+    WHEN props IS NULL OR value IS NULL THEN 'MISSING_REQUIRED_FIELD'
+    WHEN NOT user_ok THEN 'INVALID_USER'
+    WHEN event_type NOT IN ('click', 'view', 'purchase', 'signup') THEN 'INVALID_EVENT_TYPE'
+    WHEN value > 400 THEN 'VALUE_OUT_OF_RANGE'
+    WHEN rn > 1 THEN 'DUPLICATE_EVENT' END, 'ACCEPTED') AS outcome,
+  COUNT(*) AS n_rows
+FROM c GROUP BY 1""",
+})
