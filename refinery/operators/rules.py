@@ -8,6 +8,7 @@ holds); the duplicate rule is computed skew-safely (see ``flag_first``).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from typing import Iterable, Sequence
 
@@ -57,13 +58,17 @@ def flag_exists(df: DataFrame, parent: DataFrame, on: Sequence[tuple[str, str]]
     ``on`` holds ``(child_col, parent_col)`` pairs or shared names.
     """
     pairs = [(p, p) if isinstance(p, str) else p for p in on]
-    pnames = [pc for _, pc in pairs]
-    right = parent.select(*[F.col(pc).alias(f"__p{i}") for i, pc in enumerate(pnames)])
+    tag = uuid.uuid4().hex[:8]
+    # Unique names on both sides: an outer reference whose name also exists in
+    # the parent's lineage would otherwise resolve to the parent's column.
+    outer_names = [f"__c{i}_{tag}" for i in range(len(pairs))]
+    child = df.select("*", *[F.col(cc).alias(n) for (cc, _), n in zip(pairs, outer_names)])
+    right = parent.select(*[F.col(pc).alias(f"__p{i}_{tag}") for i, (_, pc) in enumerate(pairs)])
     cond = None
-    for i, (cc, _) in enumerate(pairs):
-        term = F.col(f"__p{i}") == F.col(cc).outer()
+    for i, n in enumerate(outer_names):
+        term = F.col(f"__p{i}_{tag}") == F.col(n).outer()
         cond = term if cond is None else cond & term
-    return df.withColumn(flag, right.where(cond).exists())
+    return child.withColumn(flag, right.where(cond).exists()).drop(*outer_names)
 
 
 def with_row_id(df: DataFrame, prefix: str = "_rid") -> DataFrame:
