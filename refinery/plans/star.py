@@ -25,7 +25,9 @@ def dim_customer_df(spark, sf):
                                 ["c_nationkey", "c_mktsegment"], "customer_key")
 
 
-def fact_sales_df(spark, sf):
+def fact_sales_df(spark, sf, dims=None):
+    """Fact rows with surrogate keys; ``dims`` = (part, customer, nation) when already built."""
+    d_part, d_cust, d_nation = dims or (dim_part_df(spark, sf), dim_customer_df(spark, sf), dim_nation_df(spark, sf))
     li = t(spark, sf, "lineitem")
     o = t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     base = (li.join(o, li["l_orderkey"] == o["o_orderkey"]).drop("o_orderkey")
@@ -33,9 +35,9 @@ def fact_sales_df(spark, sf):
             .withColumn("is_open", F.col("l_linestatus") == "O")
             .withColumn("amount", F.col("l_extendedprice").cast("decimal(18,2)")))
     fact = star.lookup_keys(base, [
-        (dim_part_df(spark, sf), [("l_partkey", "p_partkey")], ["part_key"]),
-        (dim_customer_df(spark, sf), [("o_custkey", "c_custkey")], ["customer_key", "c_nationkey"]),
-        (dim_nation_df(spark, sf), [("c_nationkey", "n_nationkey")], ["nation_key"]),
+        (d_part, [("l_partkey", "p_partkey")], ["part_key"]),
+        (d_cust, [("o_custkey", "c_custkey")], ["customer_key", "c_nationkey"]),
+        (d_nation, [("c_nationkey", "n_nationkey")], ["nation_key"]),
     ])
     return fact.select("l_orderkey", "l_linenumber", "part_key", "customer_key", "nation_key",
                        "l_quantity", "amount", "line_count", "is_open")
@@ -74,7 +76,9 @@ def fact_unmatched(spark, sf):
 
 @query("kpi_by_brand")
 def kpi_by_brand(spark, sf):
-    f = fact_sales_df(spark, sf).join(dim_part_df(spark, sf).select("part_key", "p_brand"), "part_key")
+    d_part = dim_part_df(spark, sf)
+    f = (fact_sales_df(spark, sf, (d_part, dim_customer_df(spark, sf), dim_nation_df(spark, sf)))
+         .join(d_part.select("part_key", "p_brand"), "part_key"))
     return measures(f, ["p_brand"], "line_count", "is_open", "amount", 2)
 
 
@@ -82,14 +86,15 @@ def kpi_by_brand(spark, sf):
 def stage_counts(spark, sf):
     cls = dq.classified(spark, sf)
     acc, rej = quality.split(cls)
+    dims = (dim_part_df(spark, sf), dim_customer_df(spark, sf), dim_nation_df(spark, sf))
     return quality.stage_counts({
         "raw_lineitem": t(spark, sf, "lineitem"),
         "dq_accepted": acc,
         "dq_rejected": rej,
-        "dim_nation": dim_nation_df(spark, sf),
-        "dim_part": dim_part_df(spark, sf),
-        "dim_customer": dim_customer_df(spark, sf),
-        "fact_sales": fact_sales_df(spark, sf),
+        "dim_nation": dims[2],
+        "dim_part": dims[0],
+        "dim_customer": dims[1],
+        "fact_sales": fact_sales_df(spark, sf, dims),
     })
 
 
