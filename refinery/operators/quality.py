@@ -78,6 +78,45 @@ def stage_counts(stages: Mapping[str, DataFrame], name_col: str = "table_name",
     return out
 
 
+# ------------------------------------------------------------ fault injection
+
+@dataclass(frozen=True)
+class Fault:
+    """A labelled fault: rows matching ``where`` get ``overrides`` (or, with
+    ``duplicate``, an appended copy), and ``label`` is the reason a correct
+    classifier must give them."""
+    label: str
+    where: Column
+    overrides: Mapping[str, Column] = field(default_factory=dict)
+    duplicate: bool = False
+
+
+def inject_faults(df: DataFrame, faults: Sequence[Fault], label_col: str = "expected_reason",
+                  copy_col: str = "_copy") -> DataFrame:
+    """Corrupt rows of ``df`` by the first matching fault; every row is kept.
+
+    Override faults change the listed columns and carry the label; duplicate
+    faults keep the original (unlabelled) and append a labelled copy with
+    ``copy_col = 1``. Selection is by deterministic predicates, so the same
+    input always yields the same labelled set.
+    """
+    lab = None
+    for f in faults:
+        lab = F.when(f.where, F.lit(f.label)) if lab is None else lab.when(f.where, F.lit(f.label))
+    out = df.withColumn("__fault", lab)
+    for f in faults:
+        for col, expr in f.overrides.items():
+            out = out.withColumn(col, F.when(F.col("__fault") == f.label, expr).otherwise(F.col(col)))
+    dup_labels = [f.label for f in faults if f.duplicate]
+    # Copies come from exploding a 1- or 2-element array: one pass over the
+    # input, no union (and no second scan of it).
+    is_dup = F.col("__fault").isin(*dup_labels) if dup_labels else F.lit(False)
+    copies = F.when(is_dup, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    out = out.withColumn(copy_col, F.explode(copies))
+    label = F.when(is_dup & (F.col(copy_col) == 0), F.lit(None).cast("string")).otherwise(F.col("__fault"))
+    return out.withColumn(label_col, label).drop("__fault")
+
+
 # ---------------------------------------------------------------- constraints
 
 @dataclass(frozen=True)

@@ -30,12 +30,16 @@ LINE_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity
              "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate", "o_orderdate", "premium"]
 
 
-def dq_input(spark: SparkSession, sf: str) -> DataFrame:
-    """lineitem ⋈ orders with the standardized measures and both existence flags."""
+def lines(spark: SparkSession, sf: str) -> DataFrame:
+    """lineitem ⋈ orders (the incoming rows) with the deterministic row id."""
     li = t(spark, sf, "lineitem", row_id=True)
     orders = t(spark, sf, "orders").select(F.col("o_orderkey"), F.col("o_orderdate"))
-    df = (li.join(orders, li["l_orderkey"] == orders["o_orderkey"], "inner").drop("o_orderkey")
-          .withColumn("qty", F.nullif(F.col("l_quantity"), F.lit(1.0)))
+    return li.join(orders, li["l_orderkey"] == orders["o_orderkey"], "inner").drop("o_orderkey")
+
+
+def prepare(df: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    """Standardized measures and both existence flags for line-shaped rows."""
+    df = (df.withColumn("qty", F.nullif(F.col("l_quantity"), F.lit(1.0)))
           .withColumn("premium", (F.col("l_extendedprice").cast("decimal(12,2)")
                                   - F.lit(50) * F.col("l_quantity").cast("decimal(12,2)")).cast("decimal(18,2)")))
     suppliers = t(spark, sf, "supplier").filter(F.col("s_acctbal") >= 0)
@@ -44,6 +48,10 @@ def dq_input(spark: SparkSession, sf: str) -> DataFrame:
     return flag_exists(df, parts, [("l_partkey", "p_partkey")], "_part_ok")
 
 
+def dq_input(spark: SparkSession, sf: str) -> DataFrame:
+    return prepare(lines(spark, sf), spark, sf)
+
+
 def row_rules() -> list[Rule]:
     return [
         Rule("MISSING_REQUIRED_FIELD", any_null("qty")),
@@ -56,17 +64,21 @@ def row_rules() -> list[Rule]:
     ]
 
 
-def classified(spark: SparkSession, sf: str, dedupe_scope: str = "all") -> DataFrame:
-    """All rows with ``rejection_reason`` (NULL = accepted); dedupe over all rows
+def classify_lines(df: DataFrame, dedupe_scope: str = "all", row_id=ROW_ID) -> DataFrame:
+    """Apply the seven ordered rules to prepared rows; dedupe over all rows
     (as the reference job) or only over rows passing the other rules."""
-    df = dq_input(spark, sf)
     rules = row_rules()
     scope = None if dedupe_scope == "all" else reason(rules).isNull()
-    df = flag_first(df, KEY, DUP_ORDER, ROW_ID, flag="_first", scope=scope)
+    df = flag_first(df, KEY, DUP_ORDER, list(row_id), flag="_first", scope=scope)
     rules.append(Rule("DUPLICATE_LINEITEM", ~F.col("_first")))
     return classify(df, rules)
 
 
+def classified(spark: SparkSession, sf: str, dedupe_scope: str = "all") -> DataFrame:
+    """All incoming rows with ``rejection_reason`` (NULL = accepted)."""
+    return classify_lines(dq_input(spark, sf), dedupe_scope)
+
+
 @query("dq_rejections_by_reason", oracle=None)
 def dq_rejections_by_reason(spark, sf):
     return quality.by_reason(classified(spark, sf))
@@ -107,6 +119,36 @@ def curated_enriched(spark, sf):
                     "p_brand", "p_type", "s_name", "n_name", "is_open"))
 
 
+# Which fault each selector value injects (selector = (7·orderkey + linenumber) mod 50).
+FAULT_SLOTS = {0: "MISSING_REQUIRED_FIELD", 1: "INVALID_SUPPLIER_ID", 2: "INVALID_PART_ID",
+               3: "NEGATIVE_PREMIUM", 4: "INVALID_STATUS", 5: "INVALID_DATE_RANGE", 6: "DUPLICATE_LINEITEM"}
+
+
+@query("fault_injection")
+def fault_injection(spark, sf):
+    """Labelled faults injected into the accepted rows, reclassified: confusion counts."""
+    acc, _ = quality.split(classified(spark, sf))
+    base = acc.select(*[c for c in lines(spark, sf).columns])
+    slot = F.pmod(F.col("l_orderkey") * 7 + F.col("l_linenumber"), F.lit(50))
+    lab = {v: k for k, v in FAULT_SLOTS.items()}
+    faults = [
+        quality.Fault("MISSING_REQUIRED_FIELD", slot == lab["MISSING_REQUIRED_FIELD"], {"l_quantity": F.lit(1.0)}),
+        quality.Fault("INVALID_SUPPLIER_ID", slot == lab["INVALID_SUPPLIER_ID"], {"l_suppkey": F.lit(-1).cast("bigint")}),
+        quality.Fault("INVALID_PART_ID", slot == lab["INVALID_PART_ID"], {"l_partkey": F.lit(-1).cast("bigint")}),
+        quality.Fault("NEGATIVE_PREMIUM", slot == lab["NEGATIVE_PREMIUM"], {"l_extendedprice": F.lit(0.0)}),
+        quality.Fault("INVALID_STATUS", slot == lab["INVALID_STATUS"],
+                      {"l_returnflag": F.lit("R"), "l_linestatus": F.lit("F"), "l_tax": F.lit(0.08)}),
+        quality.Fault("INVALID_DATE_RANGE", slot == lab["INVALID_DATE_RANGE"],
+                      {"l_shipdate": F.col("o_orderdate") - F.expr("INTERVAL 4 YEARS")}),
+        quality.Fault("DUPLICATE_LINEITEM", slot == lab["DUPLICATE_LINEITEM"], duplicate=True),
+    ]
+    injected = quality.inject_faults(base, faults, label_col="expected_reason", copy_col="_copy")
+    cls = classify_lines(prepare(injected, spark, sf), row_id=[*ROW_ID, "_copy"])
+    return (cls.groupBy(F.coalesce(F.col("expected_reason"), F.lit("NONE")).alias("expected_reason"),
+                        F.coalesce(F.col("rejection_reason"), F.lit("ACCEPTED")).alias("outcome"))
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
 # ------------------------------------------------------------------ oracles
 DQ_CTE = """
 WITH dq_in AS (
@@ -170,6 +212,52 @@ FROM (VALUES ('MISSING_REQUIRED_FIELD'), ('INVALID_SUPPLIER_ID'), ('INVALID_PART
              ('INVALID_STATUS'), ('INVALID_DATE_RANGE'), ('DUPLICATE_LINEITEM')) r(rejection_reason)
 LEFT JOIN classified c ON c.rejection_reason = r.rejection_reason
 GROUP BY r.rejection_reason""",
+    "fault_injection": DQ_CTE.rstrip().rstrip(")") + """),
+acc AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+               l_returnflag, l_linestatus, l_shipdate, o_orderdate, (l_orderkey * 7 + l_linenumber) % 50 AS slot
+        FROM classified WHERE rejection_reason IS NULL),
+inj AS (
+  SELECT l_orderkey,
+         CASE WHEN slot = 2 THEN -1 ELSE l_partkey END AS l_partkey,
+         CASE WHEN slot = 1 THEN -1 ELSE l_suppkey END AS l_suppkey,
+         l_linenumber,
+         CASE WHEN slot = 0 THEN 1.0 ELSE l_quantity END AS l_quantity,
+         CASE WHEN slot = 3 THEN 0.0 ELSE l_extendedprice END AS l_extendedprice,
+         l_discount,
+         CASE WHEN slot = 4 THEN 0.08 ELSE l_tax END AS l_tax,
+         CASE WHEN slot = 4 THEN 'R' ELSE l_returnflag END AS l_returnflag,
+         CASE WHEN slot = 4 THEN 'F' ELSE l_linestatus END AS l_linestatus,
+         CASE WHEN slot = 5 THEN o_orderdate - INTERVAL 4 YEAR ELSE l_shipdate END AS l_shipdate,
+         o_orderdate,
+         CASE slot WHEN 0 THEN 'MISSING_REQUIRED_FIELD' WHEN 1 THEN 'INVALID_SUPPLIER_ID' WHEN 2 THEN 'INVALID_PART_ID'
+                   WHEN 3 THEN 'NEGATIVE_PREMIUM' WHEN 4 THEN 'INVALID_STATUS' WHEN 5 THEN 'INVALID_DATE_RANGE' END
+           AS expected_reason,
+         0 AS copy_no
+  FROM acc
+  UNION ALL
+  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+         l_returnflag, l_linestatus, l_shipdate, o_orderdate, 'DUPLICATE_LINEITEM', 1
+  FROM acc WHERE slot = 6),
+chk AS (
+  SELECT i.*, NULLIF(l_quantity, 1) AS qty,
+         CAST(CAST(l_extendedprice AS DECIMAL(12,2)) - 50 * CAST(l_quantity AS DECIMAL(12,2)) AS DECIMAL(18,2)) AS premium,
+         EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = i.l_suppkey AND s.s_acctbal >= 0) AS supplier_ok,
+         EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = i.l_partkey AND p.p_size >= 3) AS part_ok,
+         ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
+                            ORDER BY l_shipdate, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount,
+                                     l_tax, l_returnflag, l_linestatus, copy_no) AS rn
+  FROM inj i)
+SELECT COALESCE(expected_reason, 'NONE') AS expected_reason,
+       COALESCE(CASE
+         WHEN qty IS NULL THEN 'MISSING_REQUIRED_FIELD'
+         WHEN NOT supplier_ok THEN 'INVALID_SUPPLIER_ID'
+         WHEN NOT part_ok THEN 'INVALID_PART_ID'
+         WHEN premium < 0 THEN 'NEGATIVE_PREMIUM'
+         WHEN l_returnflag NOT IN ('A', 'N') AND l_linestatus = 'F' AND l_tax > 0.06 THEN 'INVALID_STATUS'
+         WHEN l_shipdate < o_orderdate - INTERVAL 3 YEAR THEN 'INVALID_DATE_RANGE'
+         WHEN rn > 1 THEN 'DUPLICATE_LINEITEM' END, 'ACCEPTED') AS outcome,
+       COUNT(*) AS n_rows
+FROM chk GROUP BY 1, 2""",
     "curated_enriched": DQ_CTE + """
 SELECT c.l_orderkey, c.l_linenumber, c.l_partkey, c.l_suppkey, c.premium, p.p_brand, p.p_type,
        s.s_name, n.n_name, c.l_linestatus = 'O' AS is_open
