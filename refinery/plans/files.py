@@ -7,6 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from .. import jobs
 from ..functions.text import Field, standardize
 from ..operators import quality
 from ..operators.layout import write_clustered
@@ -68,22 +69,34 @@ def clustered_lookup(spark, sf):
 
 @query("curate_job")
 def curate_job(spark, sf):
-    """Classify once → one observed write (accepted / rejected partitions) → reconcile
-    the observed counts → curated and quarantine are reads of what was written."""
+    """Classify → one observed write (accepted / rejected partitions) → reconcile →
+    DQ tables from what was written; returns the written dq_summary."""
     root = scratch_dir(spark, "lake")
-    cls, obs = quality.observe_counts(dq.classified(spark, sf))
-    status = F.when(F.col("rejection_reason").isNull(), F.lit("accepted")).otherwise(F.lit("rejected"))
-    landing.write_curated(cls.select(*dq.LINE_COLS, "rejection_reason", status.alias("dq_status")),
-                          os.path.join(root, "classified"), partition_by=["dq_status"])
-    summary = quality.reconcile(obs.get)
-    written = spark.read.parquet(os.path.join(root, "classified"))
-    counts = written.agg(F.count_if(F.col("dq_status") == "accepted").alias("accepted"),
-                         F.count_if(F.col("dq_status") == "rejected").alias("rejected"))
-    return counts.select((F.col("accepted") + F.col("rejected")).alias("extracted"), "accepted", "rejected",
-                         F.round(F.try_divide(F.col("accepted").cast("double"),
-                                              (F.col("accepted") + F.col("rejected")).cast("double")), 4)
-                         .alias("pass_rate"),
-                         F.lit(summary["extracted"]).cast("bigint").alias("observed_extracted"))
+    counts = jobs.curate(dq.classified(spark, sf), root, columns=dq.LINE_COLS)
+    return (spark.read.parquet(os.path.join(root, "dq_summary"))
+            .withColumn("observed_extracted", F.lit(counts["extracted"]).cast("bigint")))
+
+
+@query("star_load")
+def star_load(spark, sf):
+    """Dimensions and fact written to the warehouse folder; stage counts read back."""
+    root = scratch_dir(spark, "warehouse")
+    from .star import fact_base
+    return jobs.load_star(fact_base(spark, sf), [
+        jobs.Dimension("dim_part", t(spark, sf, "part"), ["p_partkey"], ["p_brand", "p_type", "p_size"],
+                       "part_key", [("l_partkey", "p_partkey")]),
+        jobs.Dimension("dim_customer", t(spark, sf, "customer"), ["c_custkey"], ["c_nationkey", "c_mktsegment"],
+                       "customer_key", [("o_custkey", "c_custkey")], bring=["c_nationkey"]),
+        jobs.Dimension("dim_nation", t(spark, sf, "nation").join(t(spark, sf, "region"),
+                                                                  F.col("n_regionkey") == F.col("r_regionkey"), "left"),
+                       ["n_nationkey"], ["n_name", "r_name"], "nation_key", [("c_nationkey", "n_nationkey")]),
+    ], root, "fact_sales", fact_cols=["l_orderkey", "l_linenumber", "part_key", "customer_key", "nation_key",
+                                      "l_quantity", "amount", "line_count", "is_open"])
+
+
+def _star_dims():
+    from .star import _DIMS
+    return _DIMS
 
 
 attach({
@@ -105,4 +118,9 @@ SELECT COUNT(*) AS extracted,
        ROUND(CAST(COUNT(*) FILTER (WHERE rejection_reason IS NULL) AS DOUBLE) / COUNT(*), 4) AS pass_rate,
        COUNT(*) AS observed_extracted
 FROM classified""",
+    "star_load": "WITH " + _star_dims() + """
+SELECT 'dim_part' AS table_name, COUNT(*) AS row_count FROM dim_part
+UNION ALL SELECT 'dim_customer', COUNT(*) FROM dim_customer
+UNION ALL SELECT 'dim_nation', COUNT(*) FROM dim_nation
+UNION ALL SELECT 'fact_sales', COUNT(*) FROM fact_sales""",
 })

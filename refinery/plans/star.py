@@ -25,15 +25,20 @@ def dim_customer_df(spark, sf):
                                 ["c_nationkey", "c_mktsegment"], "customer_key")
 
 
-def fact_sales_df(spark, sf, dims=None):
-    """Fact rows with surrogate keys; ``dims`` = (part, customer, nation) when already built."""
-    d_part, d_cust, d_nation = dims or (dim_part_df(spark, sf), dim_customer_df(spark, sf), dim_nation_df(spark, sf))
+def fact_base(spark, sf):
+    """Fact rows at the line grain with natural keys and measures."""
     li = t(spark, sf, "lineitem")
     o = t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    base = (li.join(o, li["l_orderkey"] == o["o_orderkey"]).drop("o_orderkey")
+    return (li.join(o, li["l_orderkey"] == o["o_orderkey"]).drop("o_orderkey")
             .withColumn("line_count", F.lit(1))
             .withColumn("is_open", F.col("l_linestatus") == "O")
             .withColumn("amount", F.col("l_extendedprice").cast("decimal(18,2)")))
+
+
+def fact_sales_df(spark, sf, dims=None):
+    """Fact rows with surrogate keys; ``dims`` = (part, customer, nation) when already built."""
+    d_part, d_cust, d_nation = dims or (dim_part_df(spark, sf), dim_customer_df(spark, sf), dim_nation_df(spark, sf))
+    base = fact_base(spark, sf)
     fact = star.lookup_keys(base, [
         (d_part, [("l_partkey", "p_partkey")], ["part_key"]),
         (d_cust, [("o_custkey", "c_custkey")], ["customer_key", "c_nationkey"]),
