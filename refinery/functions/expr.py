@@ -49,3 +49,9 @@ def batch_id(ts: Column | str) -> Column:
 def money_text(c: Column | str) -> Column:
     """Decimal money rendered with two decimals."""
     return _c(c).cast("decimal(18,2)").cast("string")
+
+
+def hex_text(c: Column | str, prefix: str = "0x") -> Column:
+    """Binary (e.g. a log sequence number) as fixed-width hex text; the text
+    sorts in the same order as the bytes."""
+    return F.concat(F.lit(prefix), F.hex(_c(c)))

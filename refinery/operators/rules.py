@@ -2,8 +2,9 @@
 
 Rules are plain Catalyst predicates (``True`` means the row fails). A NULL
 predicate falls through to the next rule, exactly as a CASE WHEN chain does.
-Referential checks become ExistenceJoins (no fan-out whatever the parent
-holds); the duplicate rule is computed skew-safely (see ``flag_first``).
+Referential checks are left joins to distinct parent keys (no fan-out
+whatever the parent holds); the duplicate rule is computed skew-safely
+(see ``flag_first``).
 """
 
 from __future__ import annotations
@@ -52,23 +53,26 @@ def flag_exists(df: DataFrame, parent: DataFrame, on: Sequence[tuple[str, str]]
                 flag: str) -> DataFrame:
     """Add boolean ``flag``: does a parent row with the same key exist?
 
-    Planned as an ExistenceJoin: each child row is probed once, duplicate
-    parent keys cannot multiply rows, and Spark broadcasts the parent only
-    when its measured size is under the broadcast threshold.
-    ``on`` holds ``(child_col, parent_col)`` pairs or shared names.
+    A left join to the parent's *distinct* keys: duplicate parent keys cannot
+    multiply child rows, a small parent is broadcast (size-checked by Spark's
+    threshold, measured again by AQE at run time), and a large one is
+    sort-merge joined where AQE can split a hot child key across tasks (it
+    cannot split an ExistenceJoin, the plan an EXISTS subquery gets).
+    ``on`` holds ``(child_col, parent_col)`` pairs or shared names; NULL child
+    keys never match.
     """
     pairs = [(p, p) if isinstance(p, str) else p for p in on]
     tag = uuid.uuid4().hex[:8]
-    # Unique names on both sides: an outer reference whose name also exists in
-    # the parent's lineage would otherwise resolve to the parent's column.
-    outer_names = [f"__c{i}_{tag}" for i in range(len(pairs))]
-    child = df.select("*", *[F.col(cc).alias(n) for (cc, _), n in zip(pairs, outer_names)])
-    right = parent.select(*[F.col(pc).alias(f"__p{i}_{tag}") for i, (_, pc) in enumerate(pairs)])
+    pnames = [f"__p{i}_{tag}" for i in range(len(pairs))]
+    right = (parent.select(*[F.col(pc).alias(n) for (_, pc), n in zip(pairs, pnames)])
+             .distinct().withColumn(f"__hit_{tag}", F.lit(True)))
     cond = None
-    for i, n in enumerate(outer_names):
-        term = F.col(f"__p{i}_{tag}") == F.col(n).outer()
+    for (cc, _), n in zip(pairs, pnames):
+        term = df[cc] == right[n]
         cond = term if cond is None else cond & term
-    return child.withColumn(flag, right.where(cond).exists()).drop(*outer_names)
+    return (df.join(right, cond, "left")
+            .withColumn(flag, F.coalesce(F.col(f"__hit_{tag}"), F.lit(False)))
+            .drop(*pnames, f"__hit_{tag}"))
 
 
 def with_row_id(df: DataFrame, prefix: str = "_rid") -> DataFrame:

@@ -95,3 +95,16 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Manifest JSON → one row per landed file (run_ts, source, table, key, row_count)."""
     m = spark.read.schema(MANIFEST_SCHEMA).json(path)
     return m.select("run_ts", F.explode("files").alias("f")).select("run_ts", "f.*")
+
+
+def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Bulk typed CSV load with a header (COPY … CSV): a value that does not
+    fit its declared type fails the load instead of becoming NULL."""
+    return (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
+            .option("enforceSchema", False).csv(path))
+
+
+def read_positional(spark: SparkSession, path: str, names: Sequence[str], fmt: str = "parquet") -> DataFrame:
+    """Load columns by position and rename them (COPY … FORMAT PARQUET into a
+    table whose column names differ, e.g. ``count`` → ``rejected_count``)."""
+    return spark.read.format(fmt).load(path).toDF(*names)
