@@ -7,7 +7,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sequence import carry
+from .sequence import carry, chunk_by_range
 
 OPEN_END = "9999-12-31 00:00:00"
 
@@ -21,15 +21,19 @@ def scd2(log: DataFrame, keys: Sequence[str], order: Sequence[str], tracked: Seq
     version's start, or ``open_end``. ``order[0]`` is the time column.
     """
     time_col = order[0]
-    prev = carry(log, keys, order, [*tracked, time_col], prefix="__p_")
+    # One range-partitioned materialization serves both passes (lag, then
+    # "next change") because both run over the same rows.
+    ch = chunk_by_range(log.select(*keys, *tracked, *order), keys, order)
+    prev = carry(ch, keys, order, [*tracked, time_col], prefix="__p_")
     changed = F.col(f"__p_{time_col}").isNull()
     for c in tracked:
         changed = changed | ~F.col(c).eqNullSafe(F.col(f"__p_{c}"))
-    versions = prev.filter(changed).select(*keys, *tracked, *order)
-    nxt = carry(versions, keys, order, [time_col], forward=False, prefix="__n_")
+    flagged = prev.withColumn("__changed", changed)
+    nxt = carry(flagged, keys, order, [time_col], present=F.col("__changed"), forward=False, prefix="__n_")
     ttype = log.schema[time_col].dataType
-    return nxt.select(*keys, *tracked, F.col(time_col).alias(valid_from),
-                      F.coalesce(F.col(f"__n_{time_col}"), F.lit(open_end).cast(ttype)).alias(valid_to))
+    return (nxt.filter(F.col("__changed"))
+            .select(*keys, *tracked, F.col(time_col).alias(valid_from),
+                    F.coalesce(F.col(f"__n_{time_col}"), F.lit(open_end).cast(ttype)).alias(valid_to)))
 
 
 def as_of(history: DataFrame, t, valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:

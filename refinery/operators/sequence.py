@@ -44,10 +44,11 @@ def carry(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequ
     a sparse ``present`` is an as-of lookup (last known value).
     """
     pres = F.lit(True) if present is None else present
-    base = (df.withColumn("__present", F.coalesce(pres, F.lit(False)))
-            .withColumn("__val", F.when(F.col("__present"),
-                                        F.struct(*[F.col(v).alias(v) for v in values]))))
-    ch = chunk_by_range(base, keys, order, n_chunks)
+    # Input that already went through ``chunk_by_range`` (has ``__chunk``) is
+    # reused as is: several passes over the same rows share one materialization.
+    ch = df if "__chunk" in df.columns else chunk_by_range(df, keys, order, n_chunks)
+    ch = (ch.withColumn("__present", F.coalesce(pres, F.lit(False)))
+          .withColumn("__val", F.when(F.col("__present"), F.struct(*[F.col(v).alias(v) for v in values]))))
 
     ords = [F.col(o) if forward else F.col(o).desc() for o in order]
     end = 0 if include_current else -1
@@ -69,5 +70,5 @@ def carry(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequ
         cond = cond & inner[k].eqNullSafe(bridge[f"__b_{k}"])
     joined = inner.join(bridge, cond, "left")
     res = F.coalesce(F.col("__in"), F.col("__from"))
-    return (joined.select(*[F.col(c) for c in df.columns],
-                          *[res[v].alias(prefix + v) for v in values]))
+    keep = list(df.columns)          # keeps __chunk only when the caller chunked
+    return joined.select(*[F.col(c) for c in keep], *[res[v].alias(prefix + v) for v in values])
