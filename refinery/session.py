@@ -9,6 +9,29 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings for a large cluster (~100 TB inputs). Chunked operators (carry,
+# assign_keys) use ``spark.sql.shuffle.partitions`` chunks: size it so a chunk
+# is a few hundred MB of the operator's input.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.files.maxPartitionBytes": str(512 << 20),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Apply :data:`CLUSTER_CONF` (plus overrides) to a running session."""
+    for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
+        spark.conf.set(k, v)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Local session used by tests and the bench; a cluster passes its own."""
     builder = (
