@@ -31,13 +31,19 @@ def read_raw(spark: SparkSession, path: str, columns: Sequence[str] | None = Non
     return df
 
 
-def batches(spark: SparkSession, path: str) -> list[str]:
-    """Batch ids present under ``path`` (from the file listing, not the data)."""
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Data files under ``path`` on any Hadoop filesystem (local, HDFS, object
+    stores), from the file index only — no file content is read. Names
+    starting with ``_`` or ``.`` (commit markers, checksums) are skipped by Spark."""
     try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).inputFiles()
-    except Exception:  # noqa: BLE001 - no files yet
+        return list(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).inputFiles())
+    except Exception:  # noqa: BLE001 - path does not exist (yet)
         return []
-    return sorted({m.group(1) for f in files for m in [BATCH_RE.search(f)] if m})
+
+
+def batches(spark: SparkSession, path: str) -> list[str]:
+    """Batch ids present under ``path`` (from the file listing, not the data)."""
+    return sorted({m.group(1) for f in list_files(spark, path) for m in [BATCH_RE.search(f)] if m})
 
 
 def read_latest(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -70,14 +76,15 @@ def read_source(spark: SparkSession, fmt: str, table: str | None = None, path: s
 def register_zone(spark: SparkSession, root: str, fmt: str = "parquet") -> list[str]:
     """Register each dataset directory under ``root`` as a temp view named after it
     (the catalog crawler of the reference, with schema from the file footers)."""
-    names = []
-    for entry in sorted(os.listdir(root.replace("file:", ""))):
-        full = os.path.join(root, entry)
-        if entry.startswith(("_", ".")) or not os.path.isdir(full.replace("file:", "")):
-            continue
-        spark.read.format(fmt).option("mergeSchema", True).load(full).createOrReplaceTempView(entry)
-        names.append(entry)
-    return names
+    base = root.rstrip("/")
+    names = set()
+    for f in list_files(spark, base):
+        rel = f.split(base.split(":", 1)[-1].rstrip("/") + "/", 1)[-1]
+        if "/" in rel and not rel.startswith(("_", ".")):
+            names.add(rel.split("/", 1)[0])
+    for name in sorted(names):
+        spark.read.format(fmt).option("mergeSchema", True).load(f"{base}/{name}").createOrReplaceTempView(name)
+    return sorted(names)
 
 
 MANIFEST_SCHEMA = T.StructType([

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.raw import list_files
+
 
 def land_incremental(spark: SparkSession, src: str, schema: T.StructType, sink: str, checkpoint: str,
                      fmt: str = "parquet", transform: Callable[[DataFrame], DataFrame] | None = None) -> None:
@@ -38,8 +40,7 @@ def foreach_batch_classify(spark: SparkSession, src: str, schema: T.StructType,
     """
     def process(batch: DataFrame, batch_id: int) -> None:
         seen = None
-        if os.path.isdir(sink.replace("file:", "")) and any(
-                d.startswith("batch_id=") for d in os.listdir(sink.replace("file:", ""))):
+        if list_files(spark, sink):
             prior = spark.read.parquet(sink).filter(F.col("batch_id") < batch_id)
             seen = prior.select(*seen_cols)
         out = classify(batch, seen).withColumn("batch_id", F.lit(batch_id))
