@@ -71,3 +71,14 @@ def standardize(df: DataFrame, fields: list[Field], keep: list[str] = (),
         srcs = sorted({f.source or f.name for f in fields})
         cols.append(F.struct(*[F.col(s).cast("string").alias(s) for s in srcs]).alias("raw"))
     return df.select(*cols)
+
+
+def unparseable(fields: list[Field], raw_col: str = "raw") -> Column:
+    """True when some field had non-blank raw text but standardized to NULL
+    (malformed value silently dropped by the cast). Needs ``keep_raw=True``;
+    use it as an optional ``UNPARSEABLE_VALUE`` rule."""
+    out = F.lit(False)
+    for f in fields:
+        src = f.source or f.name
+        out = out | (blank_to_null(F.col(f"{raw_col}.{src}")).isNotNull() & F.col(f.name).isNull())
+    return out

@@ -83,3 +83,20 @@ def lookup_keys(fact: DataFrame, lookups: Sequence[tuple[DataFrame, Sequence[tup
 def unmatched(fact: DataFrame, dim: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Fact rows an inner lookup would drop (anti join)."""
     return quality.fk_orphans(fact, [f for f, _ in pairs], dim, [d for _, d in pairs])
+
+
+def extend_key_map(natural: DataFrame, natural_key: Sequence[str], key_col: str,
+                   key_map: DataFrame | None = None) -> DataFrame:
+    """Surrogate keys that stay stable across full refreshes.
+
+    ``key_map`` (natural key → surrogate key) is carried between loads: known
+    natural keys keep their key, new ones get keys after the current maximum
+    (in natural-key order). Returns the extended map.
+    """
+    new = natural.select(*natural_key).distinct()
+    if key_map is None:
+        return assign_keys(new, natural_key, key_col).select(*natural_key, key_col)
+    fresh = new.join(key_map.select(*natural_key), list(natural_key), "left_anti")
+    offset = key_map.agg(F.coalesce(F.max(key_col), F.lit(0)).cast("bigint")).scalar()
+    keyed = assign_keys(fresh, natural_key, key_col).withColumn(key_col, F.col(key_col) + offset)
+    return key_map.select(*natural_key, key_col).unionByName(keyed.select(*natural_key, key_col))

@@ -121,3 +121,20 @@ def test_bucketize_and_eomonth(spark):
 def test_duplicate_lookup_key_detected(spark):
     plans = spark.createDataFrame([("P1",), ("P1",), ("P2",)], "plan_id string")
     assert [r.plan_id for r in quality.duplicate_keys(plans, ["plan_id"]).collect()] == ["P1"]
+
+
+def test_unparseable_value_rule(spark):
+    from refinery.functions.text import unparseable
+    spec = [Field("n", "bigint"), Field("d", "date")]
+    df = standardize(spark.createDataFrame([("12", "2026-01-01"), ("abc", ""), ("7", "11/01/2026")],
+                                           "n string, d string"), spec, keep_raw=True)
+    got = [r.rejection_reason for r in classify(df, [Rule("UNPARSEABLE_VALUE", unparseable(spec))]).collect()]
+    assert got == [None, "UNPARSEABLE_VALUE", "UNPARSEABLE_VALUE"]
+
+
+def test_stable_surrogate_keys_across_loads(spark):
+    from refinery.operators.star import extend_key_map
+    first = extend_key_map(spark.createDataFrame([("b",), ("a",)], "nk string"), ["nk"], "sk")
+    assert sorted(map(tuple, first.collect())) == [("a", 1), ("b", 2)]
+    second = extend_key_map(spark.createDataFrame([("c",), ("a",), ("aa",)], "nk string"), ["nk"], "sk", first)
+    assert sorted(map(tuple, second.collect())) == [("a", 1), ("aa", 3), ("b", 2), ("c", 4)]
