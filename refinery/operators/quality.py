@@ -174,7 +174,8 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], count_col: str = "n") ->
 
 def fk_orphans(df: DataFrame, cols: Sequence[str], parent: DataFrame, parent_cols: Sequence[str]) -> DataFrame:
     """Child rows whose non-NULL key has no parent (anti join; NULL keys pass)."""
-    right = parent.select(*[F.col(p).alias(f"__p{i}") for i, p in enumerate(parent_cols)])
+    # Distinct keys first: a hot parent key collapses map-side before the shuffle.
+    right = parent.select(*[F.col(p).alias(f"__p{i}") for i, p in enumerate(parent_cols)]).distinct()
     cond = None
     for i, c in enumerate(cols):
         term = df[c] == right[f"__p{i}"]

@@ -29,7 +29,7 @@ def q1_top_orders(spark, sf):
 @query("q2_no_activity")
 def q2_no_activity(spark, sf):
     c = t(spark, sf, "customer")
-    e = t(spark, sf, "events").select(F.col("user_id"))
+    e = t(spark, sf, "events").select(F.col("user_id")).distinct()    # pre-aggregate: hot users collapse map-side
     idle = c.join(e, c["c_custkey"] == e["user_id"], "left_anti")
     return idle.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("customers_without_events"))
 

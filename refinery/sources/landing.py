@@ -65,7 +65,7 @@ def append_new(df: DataFrame, target: str, keys: Sequence[str], fmt: str = "parq
     Appending the same data twice leaves one copy."""
     spark = df.sparkSession
     try:
-        existing = spark.read.format(fmt).load(target).select(*keys)
+        existing = spark.read.format(fmt).load(target).select(*keys).distinct()
         new = df.join(existing, list(keys), "left_anti")
     except Exception:  # noqa: BLE001 - first load: target does not exist yet
         new = df
