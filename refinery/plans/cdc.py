@@ -18,15 +18,19 @@ LO, HI = "2024-01-10 00:00:00", "2024-01-12 00:00:00"
 KEYS, IMAGE = ["user_id"], ["event_type", "value"]
 
 
+def to_change_log(events, extra=()):
+    """events → change log ``(lsn, seq, operation, user_id, event_type, value)``."""
+    op = (F.when(F.col("event_type") == "signup", F.lit("INSERT"))
+          .when(F.col("event_type") == "error", F.lit("DELETE")).otherwise(F.lit("UPDATE")))
+    return events.select(F.col("ts").alias("lsn"), F.col("event_id").alias("seq"), op.alias("operation"),
+                         "user_id", "event_type", "value", *extra)
+
+
 def change_log(spark, sf, row_id: bool = False):
     e = t(spark, sf, "events")
     if row_id:
-        e = with_row_id(e)
-    op = (F.when(F.col("event_type") == "signup", F.lit("INSERT"))
-          .when(F.col("event_type") == "error", F.lit("DELETE")).otherwise(F.lit("UPDATE")))
-    extra = ["_rid_file", "_rid_row"] if row_id else []
-    return e.select(F.col("ts").alias("lsn"), F.col("event_id").alias("seq"), op.alias("operation"),
-                    "user_id", "event_type", "value", *extra)
+        return to_change_log(with_row_id(e), ["_rid_file", "_rid_row"])
+    return to_change_log(e)
 
 
 @query("cdc_all")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.rules import Rule, any_null, classify, flag_exists, flag_first
 from ..session import scratch_dir
-from ..streaming.incremental import foreach_batch_classify, land_incremental
+from ..streaming.incremental import foreach_batch_apply, foreach_batch_classify, land_incremental, latest_state
 from .common import t
 from .registry import attach, query
 
@@ -71,7 +71,25 @@ def stream_dq(spark, sf):
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+@query("stream_cdc_apply")
+def stream_cdc_apply(spark, sf):
+    """The change log arrives as two drops; each micro-batch is applied to the state table."""
+    from .cdc import IMAGE, KEYS, to_change_log as to_log
+    root = scratch_dir(spark, "stream_cdc")
+    events, first, second = _drops(spark, sf)
+    src, state, ckpt = f"{root}/src", f"{root}/state", f"{root}/_checkpoint"
+
+    first.write.mode("append").parquet(src)
+    foreach_batch_apply(spark, src, events.schema, state, ckpt, KEYS, IMAGE, to_log)
+    second.write.mode("append").parquet(src)
+    foreach_batch_apply(spark, src, events.schema, state, ckpt, KEYS, IMAGE, to_log)
+    return latest_state(spark, state).select("user_id", "event_type", "value", F.col("lsn").alias("changed_at"))
+
+
 attach({
+    "stream_cdc_apply": """
+WITH r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+SELECT user_id, event_type, value, ts AS changed_at FROM r WHERE rn = 1 AND event_type <> 'error'""",
     "incremental_land": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "stream_dq": """
 WITH c AS (
