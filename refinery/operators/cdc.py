@@ -123,6 +123,12 @@ def incremental(log: DataFrame, high_water_mark, lsn: str = "lsn") -> DataFrame:
     return log.filter(F.col(lsn) > F.lit(high_water_mark).cast(log.schema[lsn].dataType))
 
 
+def incremental_by_timestamp(df: DataFrame, col: str, last_run) -> DataFrame:
+    """The timestamp-watermark extract (``updated_at > last_run``); see
+    :func:`watermark_gap` for what it cannot see (deletes, intermediate states)."""
+    return incremental(df, last_run, col)
+
+
 def watermark_gap(log: DataFrame, keys: Sequence[str], lo, hi, row_id: Sequence[str],
                   lsn: str = "lsn", seq: str = "seq", op: str = "operation") -> DataFrame:
     """What an ``updated_at > last_run`` extract misses compared with CDC.

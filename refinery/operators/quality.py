@@ -37,7 +37,8 @@ def by_reason(classified: DataFrame, reason_col: str = "rejection_reason",
         return counts
     spark = classified.sparkSession
     names = spark.createDataFrame([(r,) for r in reasons], f"{reason_col} string")
-    return (names.join(counts, reason_col, "left")
+    # full outer: a reason missing from the list is still reported, never dropped
+    return (names.join(counts, reason_col, "full_outer")
             .select(reason_col, F.coalesce(F.col(count_col), F.lit(0).cast("bigint")).alias(count_col)))
 
 

@@ -138,3 +138,9 @@ def test_stable_surrogate_keys_across_loads(spark):
     assert sorted(map(tuple, first.collect())) == [("a", 1), ("b", 2)]
     second = extend_key_map(spark.createDataFrame([("c",), ("a",), ("aa",)], "nk string"), ["nk"], "sk", first)
     assert sorted(map(tuple, second.collect())) == [("a", 1), ("aa", 3), ("b", 2), ("c", 4)]
+
+
+def test_by_reason_keeps_unlisted_reasons(spark):
+    df = spark.createDataFrame([("A",), ("B",), (None,)], "rejection_reason string")
+    got = {r.rejection_reason: r.rejected_count for r in quality.by_reason(df, reasons=["A", "C"]).collect()}
+    assert got == {"A": 1, "B": 1, "C": 0}
