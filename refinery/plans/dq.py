@@ -30,11 +30,17 @@ LINE_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity
              "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate", "o_orderdate", "premium"]
 
 
-def lines(spark: SparkSession, sf: str) -> DataFrame:
-    """lineitem ⋈ orders (the incoming rows) with the deterministic row id."""
-    li = t(spark, sf, "lineitem", row_id=True)
+def with_order_date(li: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    """Attach o_orderdate by a left lookup: a line without an order is kept (and
+    rejected as missing a required field) instead of silently vanishing before
+    the counts are reconciled. Order keys are unique, so rows stay 1:1."""
     orders = t(spark, sf, "orders").select(F.col("o_orderkey"), F.col("o_orderdate"))
-    return li.join(orders, li["l_orderkey"] == orders["o_orderkey"], "inner").drop("o_orderkey")
+    return li.join(orders, li["l_orderkey"] == orders["o_orderkey"], "left").drop("o_orderkey")
+
+
+def lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The incoming rows: every lineitem row (with its row id) and its order date."""
+    return with_order_date(t(spark, sf, "lineitem", row_id=True), spark, sf)
 
 
 def prepare(df: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
@@ -54,7 +60,7 @@ def dq_input(spark: SparkSession, sf: str) -> DataFrame:
 
 def row_rules() -> list[Rule]:
     return [
-        Rule("MISSING_REQUIRED_FIELD", any_null("qty")),
+        Rule("MISSING_REQUIRED_FIELD", any_null("qty", "o_orderdate")),
         Rule("INVALID_SUPPLIER_ID", ~F.col("_supplier_ok")),
         Rule("INVALID_PART_ID", ~F.col("_part_ok")),
         Rule("NEGATIVE_PREMIUM", F.col("premium") < 0),
@@ -76,7 +82,14 @@ def classify_lines(df: DataFrame, dedupe_scope: str = "all", row_id=ROW_ID) -> D
 
 def classified(spark: SparkSession, sf: str, dedupe_scope: str = "all") -> DataFrame:
     """All incoming rows with ``rejection_reason`` (NULL = accepted)."""
-    return classify_lines(dq_input(spark, sf), dedupe_scope)
+    if dedupe_scope != "all":
+        return classify_lines(dq_input(spark, sf), dedupe_scope)
+    # The rank over all rows needs only lineitem columns, so it is computed on
+    # the scan itself (its aggregate branch reads lineitem alone); the 1:1
+    # lookup and the existence flags follow.
+    li = flag_first(t(spark, sf, "lineitem", row_id=True), KEY, DUP_ORDER, ROW_ID, flag="_first")
+    rules = row_rules() + [Rule("DUPLICATE_LINEITEM", ~F.col("_first"))]
+    return classify(prepare(with_order_date(li, spark, sf), spark, sf), rules)
 
 
 @query("dq_rejections_by_reason", oracle=None)
@@ -157,10 +170,10 @@ WITH dq_in AS (
          CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) - 50 * CAST(l.l_quantity AS DECIMAL(12,2)) AS DECIMAL(18,2)) AS premium,
          EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = l.l_suppkey AND s.s_acctbal >= 0) AS supplier_ok,
          EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey AND p.p_size >= 3) AS part_ok
-  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+  FROM lineitem l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey
 ), pre AS (
   SELECT *, CASE
-      WHEN qty IS NULL THEN 'MISSING_REQUIRED_FIELD'
+      WHEN qty IS NULL OR o_orderdate IS NULL THEN 'MISSING_REQUIRED_FIELD'
       WHEN NOT supplier_ok THEN 'INVALID_SUPPLIER_ID'
       WHEN NOT part_ok THEN 'INVALID_PART_ID'
       WHEN premium < 0 THEN 'NEGATIVE_PREMIUM'
@@ -249,7 +262,7 @@ chk AS (
   FROM inj i)
 SELECT COALESCE(expected_reason, 'NONE') AS expected_reason,
        COALESCE(CASE
-         WHEN qty IS NULL THEN 'MISSING_REQUIRED_FIELD'
+         WHEN qty IS NULL OR o_orderdate IS NULL THEN 'MISSING_REQUIRED_FIELD'
          WHEN NOT supplier_ok THEN 'INVALID_SUPPLIER_ID'
          WHEN NOT part_ok THEN 'INVALID_PART_ID'
          WHEN premium < 0 THEN 'NEGATIVE_PREMIUM'

@@ -85,3 +85,19 @@ def test_golden_scenario(spark):
                   "DUPLICATE_ENROLLMENT": 10}
     # reconcile raises on a mismatch and passes here
     assert quality.reconcile(s.asDict())["pass_rate"] == 0.9764
+
+
+def test_orphan_line_is_rejected_not_dropped(spark):
+    """A line whose order does not exist stays in the counts (MISSING_REQUIRED_FIELD)."""
+    from refinery.plans import dq
+    from .conftest import SF_SMALL
+    sf = scratch_dir(spark, "sf_orphan")
+    for name in ("orders", "supplier", "part"):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").write.parquet(f"{sf}/{name}.parquet")
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    orphan = li.limit(1).withColumn("l_orderkey", F.lit(-5).cast("bigint")).withColumn("l_quantity", F.lit(7.0))
+    li.unionByName(orphan).write.parquet(f"{sf}/lineitem.parquet")
+    cls = dq.classified(spark, sf)
+    s = quality.summary(cls).collect()[0]
+    assert s.extracted == li.count() + 1
+    assert [r.rejection_reason for r in cls.filter("l_orderkey = -5").collect()] == ["MISSING_REQUIRED_FIELD"]
