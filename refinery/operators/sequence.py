@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 def chunk_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    n_chunks: int | None = None) -> DataFrame:
     """Range-partition on (keys, order), number the partitions, materialize."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     n = n_chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (df.repartitionByRange(n, *[F.col(c) for c in (*keys, *order)])
             .withColumn("__chunk", F.spark_partition_id())

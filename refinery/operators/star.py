@@ -20,7 +20,9 @@ def assign_keys(df: DataFrame, order: Sequence[str], key_col: str, start: int =
     partition's row count gives its offset (a table with one row per
     partition, broadcast), and a window per partition numbers the rows inside it.
     """
+    from ..session import ensure_checkpoint_dir
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order)
               .withColumn("__pid", F.spark_partition_id())
