@@ -22,6 +22,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def chunk_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -49,28 +50,46 @@ def carry(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequ
     # Input that already went through ``chunk_by_range`` (has ``__chunk``) is
     # reused as is: several passes over the same rows share one materialization.
     ch = df if "__chunk" in df.columns else chunk_by_range(df, keys, order, n_chunks)
+    # NULL-safe key columns (value-or-zero, is-null) used both to partition the
+    # window and as plain equi-join keys, so the join back reuses the window's
+    # partitioning instead of shuffling the rows a second time.
+    nk = []
+    for k in keys:
+        ch = (ch.withColumn(f"__k_{k}", F.coalesce(F.col(k), _zero(df.schema[k].dataType)))
+              .withColumn(f"__kn_{k}", F.col(k).isNull()))
+        nk += [f"__k_{k}", f"__kn_{k}"]
     ch = (ch.withColumn("__present", F.coalesce(pres, F.lit(False)))
           .withColumn("__val", F.when(F.col("__present"), F.struct(*[F.col(v).alias(v) for v in values]))))
 
     ords = [F.col(o) if forward else F.col(o).desc() for o in order]
     end = 0 if include_current else -1
-    w_in = (Window.partitionBy("__chunk", *keys).orderBy(*ords)
+    w_in = (Window.partitionBy("__chunk", *nk).orderBy(*ords)
             .rowsBetween(Window.unboundedPreceding, end))
     inner = ch.withColumn("__in", F.last("__val", ignorenulls=True).over(w_in))
 
     pick = F.max if forward else F.min
     tagged = F.when(F.col("__present"), F.struct(F.struct(*[F.col(o) for o in order]).alias("o"),
                                                  F.col("__val").alias("v")))
-    per_chunk = ch.groupBy("__chunk", *keys).agg(pick(tagged).alias("__m"))
-    w_x = (Window.partitionBy(*keys).orderBy(F.col("__chunk") if forward else F.col("__chunk").desc())
+    per_chunk = ch.groupBy("__chunk", *nk).agg(pick(tagged).alias("__m"))
+    w_x = (Window.partitionBy(*nk).orderBy(F.col("__chunk") if forward else F.col("__chunk").desc())
            .rowsBetween(Window.unboundedPreceding, -1))
-    bridge = per_chunk.select(F.col("__chunk").alias("__bchunk"),
-                              *[F.col(k).alias(f"__b_{k}") for k in keys],
-                              F.last(F.col("__m.v"), ignorenulls=True).over(w_x).alias("__from"))
-    cond = inner["__chunk"] == bridge["__bchunk"]
-    for k in keys:
-        cond = cond & inner[k].eqNullSafe(bridge[f"__b_{k}"])
-    joined = inner.join(bridge, cond, "left")
+    bridge = per_chunk.select("__chunk", *nk, F.last(F.col("__m.v"), ignorenulls=True).over(w_x).alias("__from"))
+    joined = inner.join(bridge, ["__chunk", *nk], "left")
     res = F.coalesce(F.col("__in"), F.col("__from"))
     keep = list(df.columns)          # keeps __chunk only when the caller chunked
     return joined.select(*[F.col(c) for c in keep], *[res[v].alias(prefix + v) for v in values])
+
+
+def _zero(dt: T.DataType) -> Column:
+    """A non-NULL stand-in of the key's type (paired with an is-null flag)."""
+    if isinstance(dt, (T.NumericType,)):
+        return F.lit(0).cast(dt)
+    if isinstance(dt, T.StringType):
+        return F.lit("")
+    if isinstance(dt, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01").cast(dt)
+    if isinstance(dt, T.BinaryType):
+        return F.lit(bytearray())
+    raise TypeError(f"unsupported key type for carry: {dt.simpleString()}")
