@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.expr import bucketize, end_of_month
-from ..functions.text import Field, standardize
+from ..functions.text import Field, standardize, unparseable
+from ..operators.rules import Rule, classify
 from ..operators import quality
 from ..operators.measures import prioritized_union, top_n, what_if
 from ..operators.rules import with_row_id
@@ -119,6 +120,15 @@ def standardize_text(spark, sf):
     return standardize(orders_as_text(spark, sf), ORDER_SPEC)
 
 
+@query("standardize_unparseable")
+def standardize_unparseable(spark, sf):
+    """Rows whose non-blank raw text failed to parse, flagged by the optional rule."""
+    std = standardize(orders_as_text(spark, sf), ORDER_SPEC, keep_raw=True)
+    cls = classify(std, [Rule("UNPARSEABLE_VALUE", unparseable(ORDER_SPEC))])
+    return (cls.groupBy(F.coalesce(F.col("rejection_reason"), F.lit("ACCEPTED")).alias("outcome"))
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
 def constraint_checks(spark, sf):
     orders, li, cust, part = (t(spark, sf, n) for n in ("orders", "lineitem", "customer", "part"))
     good_cust = cust.filter(F.col("c_acctbal") >= 0)
@@ -232,6 +242,23 @@ SELECT TRY_CAST(NULLIF(TRIM(orderkey_txt), '') AS BIGINT) AS o_orderkey,
        TRY_CAST(NULLIF(TRIM(date_txt), '') AS DATE) AS o_orderdate,
        upper(NULLIF(TRIM(priority_txt), '')) AS o_orderpriority
 FROM raw""",
+    "standardize_unparseable": """
+WITH raw AS (
+  SELECT '  ' || CAST(o_orderkey AS VARCHAR) || ' ' AS orderkey_txt,
+         CASE WHEN o_orderstatus = 'P' THEN '' ELSE CAST(o_custkey AS VARCHAR) END AS custkey_txt,
+         CASE WHEN o_orderpriority = '5-LOW' THEN 'n/a'
+              ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) END AS price_txt,
+         CASE WHEN o_orderstatus = 'O' THEN strftime(o_orderdate, '%m/%d/%Y')
+              ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date_txt,
+         ' ' || lower(o_orderpriority) AS priority_txt
+  FROM orders),
+bad AS (
+  SELECT (NULLIF(TRIM(orderkey_txt), '') IS NOT NULL AND TRY_CAST(NULLIF(TRIM(orderkey_txt), '') AS BIGINT) IS NULL)
+      OR (NULLIF(TRIM(custkey_txt), '') IS NOT NULL AND TRY_CAST(NULLIF(TRIM(custkey_txt), '') AS BIGINT) IS NULL)
+      OR (NULLIF(TRIM(price_txt), '') IS NOT NULL AND TRY_CAST(NULLIF(TRIM(price_txt), '') AS DECIMAL(12,2)) IS NULL)
+      OR (NULLIF(TRIM(date_txt), '') IS NOT NULL AND TRY_CAST(NULLIF(TRIM(date_txt), '') AS DATE) IS NULL) AS b
+  FROM raw)
+SELECT CASE WHEN b THEN 'UNPARSEABLE_VALUE' ELSE 'ACCEPTED' END AS outcome, COUNT(*) AS n_rows FROM bad GROUP BY 1""",
     "constraint_report": """
 WITH good_cust AS (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)
 SELECT 'orders' AS table_name, 'orders_pk' AS "constraint", 'pk' AS kind,

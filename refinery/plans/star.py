@@ -87,6 +87,15 @@ def kpi_by_brand(spark, sf):
     return measures(f, ["p_brand"], "line_count", "is_open", "amount", 2)
 
 
+@query("stable_keys")
+def stable_keys(spark, sf):
+    """Surrogate keys carried across two loads: customers of the first load keep
+    their keys, customers first seen in the second load get the next ones."""
+    cust = t(spark, sf, "customer")
+    first = star.extend_key_map(cust.filter(F.col("c_mktsegment") < "HOUSEHOLD"), ["c_custkey"], "customer_key")
+    return star.extend_key_map(cust, ["c_custkey"], "customer_key", first)
+
+
 @query("stage_counts")
 def stage_counts(spark, sf):
     cls = dq.classified(spark, sf)
@@ -138,6 +147,16 @@ WHERE l.l_partkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_par
 UNION ALL
 SELECT 'dim_supplier', COUNT(*) FROM lineitem l
 WHERE l.l_suppkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = l.l_suppkey AND s.s_acctbal >= 0)""",
+    "stable_keys": """
+WITH first AS (
+  SELECT c_custkey, CAST(ROW_NUMBER() OVER (ORDER BY c_custkey) AS BIGINT) AS customer_key
+  FROM (SELECT DISTINCT c_custkey FROM customer WHERE c_mktsegment < 'HOUSEHOLD')),
+fresh AS (
+  SELECT c_custkey FROM (SELECT DISTINCT c_custkey FROM customer) c
+  WHERE NOT EXISTS (SELECT 1 FROM first f WHERE f.c_custkey = c.c_custkey))
+SELECT c_custkey, customer_key FROM first
+UNION ALL
+SELECT c_custkey, (SELECT COUNT(*) FROM first) + CAST(ROW_NUMBER() OVER (ORDER BY c_custkey) AS BIGINT) FROM fresh""",
     "kpi_by_brand": "WITH " + _DIMS + """
 SELECT p.p_brand, CAST(SUM(f.line_count) AS BIGINT) AS total, COUNT(*) FILTER (WHERE f.is_open) AS active,
        ROUND(CAST(SUM(f.amount) AS DOUBLE) / COUNT(f.amount), 2) AS avg_value
