@@ -90,7 +90,7 @@ def reference_tables(spark: SparkSession, seed: int = 42) -> ReferenceData:
                .withColumn("base_rate", F.element_at(base, F.col("metal_level"))))
     plans = plans_x.select("plan_id", "issuer_id", "plan_name", "metal_level",
                            F.lit(COVERAGE_YEAR).cast("short").alias("coverage_year"),
-                           F.lit(True).alias("active_flag"), "state_code")
+                           F.lit(True).alias("active_flag"))
     ages = F.array(*[F.struct(F.lit(b).alias("age_band"), F.lit(Decimal(f)).alias("age_factor"))
                      for b, f in AGE_FACTOR.items()])
     rates_x = plans_x.select("idx", "n", "plan_id", "base_rate", "issuer_factor",
@@ -165,7 +165,8 @@ def source_tables(spark: SparkSession, ref: ReferenceData, members: int = 2000,
         raise ValueError(f"cannot reach {enrollments} enrollments from {n_eligible} eligible members")
     ranked = assign_keys(eligible.withColumn("__h", F.xxhash64(F.col("member_id"), F.lit(seed), F.lit("switch"))),
                          ["__h", "member_id"], "__switch_rank")
-    state_plans = (ref.plans.groupBy("state_code")
+    state_plans = (ref.plans.withColumn("state_code", F.substring("plan_id", 6, 2))   # state from the plan id
+                   .groupBy("state_code")
                    .agg(F.array_sort(F.collect_list("plan_id")).alias("state_plans")))   # two plans per state
     m = ranked.join(state_plans, "state_code").withColumn("switcher", F.col("__switch_rank") <= switch_count)
     pick = _u(F.col("member_id"), seed, "plan", 2) + 1
