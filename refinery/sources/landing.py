@@ -33,7 +33,7 @@ def write_manifest(spark: SparkSession, root: str, run_ts: str, entries: Sequenc
     path = os.path.join(root, "_manifests", f"run={run_ts}")
     doc = spark.createDataFrame([(run_ts, [tuple(e[k] for k in ("source", "table", "key", "row_count"))
                                           for e in entries])], MANIFEST_SCHEMA)
-    doc.coalesce(1).write.mode("overwrite").json(path)
+    doc.coalesce(1).write.mode("overwrite").json(path)      # one row: the manifest is a single document
     return path
 
 
