@@ -88,12 +88,12 @@ def test_reference_pipeline_end_to_end(spark):
     raw_root, lake = scratch_dir(spark, "raw"), scratch_dir(spark, "lake")
     plan_ids = sorted(r.plan_id for r in ref.plans.collect())
     tables = {
-        ("sqlserver", "applications"): src.applications, ("sqlserver", "members"): src.members,
-        ("sqlserver", "eligibility"): src.eligibility,
-        ("sqlserver", "enrollments"): _as_text(enrollments, FEED_COLS),
-        ("sqlserver", "enrollments_cdc"): changes.drop("seq"),
-        ("postgres", "issuers"): ref.issuers, ("postgres", "plans"): ref.plans,
-        ("postgres", "plan_rates"): ref.rates, ("postgres", "service_areas"): ref.service_areas,
+        ("operational", "applications"): src.applications, ("operational", "members"): src.members,
+        ("operational", "eligibility"): src.eligibility,
+        ("operational", "enrollments"): _as_text(enrollments, FEED_COLS),
+        ("operational", "enrollments_cdc"): changes.drop("seq"),
+        ("planref", "issuers"): ref.issuers, ("planref", "plans"): ref.plans,
+        ("planref", "plan_rates"): ref.rates, ("planref", "service_areas"): ref.service_areas,
         ("external", "enrollment_feed"): _feed(spark, plan_ids),
     }
     rec = jobs.land(spark, tables, raw_root, "20261102T060000Z").collect()

@@ -55,10 +55,10 @@ def _fixture(spark):
 def test_golden_scenario(spark):
     members, plans, sor, feed = _fixture(spark)
     root = scratch_dir(spark, "golden")
-    landing.land(sor, root, "sqlserver", "enrollments", "20261101T000000Z")
+    landing.land(sor, root, "operational", "enrollments", "20261101T000000Z")
     landing.land(feed, root, "external", "enrollment_feed", "20261101T000000Z")
-    incoming = (standardize(raw.read_latest(spark, os.path.join(root, "sqlserver", "enrollments"), ENR_COLS),
-                            SPEC, keep=["source_file"], literals={"source_system": "sqlserver"})
+    incoming = (standardize(raw.read_latest(spark, os.path.join(root, "operational", "enrollments"), ENR_COLS),
+                            SPEC, keep=["source_file"], literals={"source_system": "operational"})
                 .unionByName(standardize(raw.read_latest(spark, os.path.join(root, "external", "enrollment_feed"),
                                                          ENR_COLS),
                                          SPEC, keep=["source_file"], literals={"source_system": "external_feed"})))

@@ -72,7 +72,7 @@ def test_invalid_first_copy_scope(spark):
 def test_explicit_source_priority(spark):
     a = spark.createDataFrame([(1, "feed")], "k int, v string").withColumn("rid", F.lit(0))
     b = spark.createDataFrame([(1, "sor")], "k int, v string").withColumn("rid", F.lit(0))
-    out = prioritized_union({"external_feed": a, "sqlserver": b}, ["k"], ["sqlserver", "external_feed"], ["rid"])
+    out = prioritized_union({"external_feed": a, "operational": b}, ["k"], ["operational", "external_feed"], ["rid"])
     assert [r.v for r in out.collect()] == ["sor"]
 
 
