@@ -36,16 +36,23 @@ def foreach_batch_classify(spark: SparkSession, src: str, schema: T.StructType,
     """Run a batch classifier over each new micro-batch and write its result to
     ``sink/batch_id=<n>`` (overwrite: a replayed batch replaces itself).
 
-    ``classify(batch, seen)`` gets the ``seen_cols`` of rows written by earlier
+    ``classify(batch, seen)`` gets the ``seen_cols`` keys of all earlier
     batches (a static side, e.g. for duplicate detection across batches).
+    Those keys live in a compact table next to the sink
+    (``<sink>_keys/batch_id=<n>``, only keys new in that batch), so each batch
+    reads a table that grows with distinct keys, not with rows.
     """
+    keys_root = sink.rstrip("/") + "_keys"
+
     def process(batch: DataFrame, batch_id: int) -> None:
         seen = None
-        if list_files(spark, sink):
-            prior = spark.read.parquet(sink).filter(F.col("batch_id") < batch_id)
-            seen = prior.select(*seen_cols)
+        if list_files(spark, keys_root):
+            seen = spark.read.parquet(keys_root).filter(F.col("batch_id") < batch_id).select(*seen_cols)
         out = classify(batch, seen).withColumn("batch_id", F.lit(batch_id))
         out.write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
+        written = spark.read.parquet(os.path.join(sink, f"batch_id={batch_id}")).select(*seen_cols).distinct()
+        new_keys = written if seen is None else written.join(seen.distinct(), list(seen_cols), "left_anti")
+        new_keys.write.mode("overwrite").parquet(os.path.join(keys_root, f"batch_id={batch_id}"))
 
     q = (spark.readStream.schema(schema).format(fmt).load(src).writeStream
          .foreachBatch(process).option("checkpointLocation", checkpoint)
