@@ -80,10 +80,11 @@ def stream_cdc_apply(spark, sf):
     src, state, ckpt = f"{root}/src", f"{root}/state", f"{root}/_checkpoint"
 
     first.write.mode("append").parquet(src)
-    foreach_batch_apply(spark, src, events.schema, state, ckpt, KEYS, IMAGE, to_log)
+    foreach_batch_apply(spark, src, events.schema, state, ckpt, KEYS, IMAGE, to_log, compact_every=1)
     second.write.mode("append").parquet(src)
-    foreach_batch_apply(spark, src, events.schema, state, ckpt, KEYS, IMAGE, to_log)
-    return latest_state(spark, state).select("user_id", "event_type", "value", F.col("lsn").alias("changed_at"))
+    foreach_batch_apply(spark, src, events.schema, state, ckpt, KEYS, IMAGE, to_log, compact_every=1)
+    return (latest_state(spark, state, KEYS, IMAGE)
+            .select("user_id", "event_type", "value", F.col("lsn").alias("changed_at")))
 
 
 attach({

@@ -60,31 +60,34 @@ def foreach_batch_classify(spark: SparkSession, src: str, schema: T.StructType,
     q.awaitTermination()
 
 
+def _batch_ids(spark: SparkSession, root: str, part: str) -> list[int]:
+    return sorted({int(m.group(1)) for f in list_files(spark, root) for m in [re.search(rf"/{part}=(\d+)/", f)] if m})
+
+
 def foreach_batch_apply(spark: SparkSession, src: str, schema: T.StructType, state_root: str, checkpoint: str,
                         keys: Sequence[str], image: Sequence[str],
                         to_log: Callable[[DataFrame], DataFrame] | None = None,
-                        lsn: str = "lsn", seq: str = "seq", op: str = "operation", fmt: str = "parquet") -> None:
-    """Apply each micro-batch of a change log to the current state table.
-
-    State versions live in ``state_root/v=<batch_id>``: a batch reads the
-    newest version before it, applies its changes (last operation per key)
-    and writes its own version with overwrite, so a replayed batch rewrites
-    the same version and earlier versions stay readable (time travel).
+                        lsn: str = "lsn", seq: str = "seq", op: str = "operation", fmt: str = "parquet",
+                        compact_every: int = 10) -> None:
+    """Apply a change-log stream to a keyed state table, merge-on-read.
+
+    Each micro-batch writes only its own changes to
+    ``state_root/changes/batch_id=<n>`` (O(batch), overwrite: a replayed batch
+    rewrites itself, and applying the same changes twice gives the same
+    state). Every ``compact_every`` batches a snapshot
+    ``state_root/snapshot/upto=<n>`` folds the changes into the state. Readers
+    use :func:`latest_state`: newest snapshot + later changes, last operation
+    per key. State as of any batch stays readable while its changes are kept.
     """
-    from ..operators.cdc import apply_changes
-
-    state_cols = [*keys, *image, lsn]
+    cols = [*keys, *image, lsn, seq, op]
 
     def process(batch: DataFrame, batch_id: int) -> None:
         changes = to_log(batch) if to_log is not None else batch
-        versions = sorted({int(m.group(1)) for f in list_files(spark, state_root)
-                           for m in [re.search(r"/v=(\d+)/", f)] if m and int(m.group(1)) < batch_id})
-        if versions:
-            base = spark.read.parquet(os.path.join(state_root, f"v={versions[-1]}"))
-        else:
-            base = spark.createDataFrame([], changes.select(*state_cols).schema)
-        apply_changes(base.select(*state_cols), changes, keys, image, lsn, seq, op) \
-            .write.mode("overwrite").parquet(os.path.join(state_root, f"v={batch_id}"))
+        changes.select(*cols).write.mode("overwrite").parquet(
+            os.path.join(state_root, "changes", f"batch_id={batch_id}"))
+        if (batch_id + 1) % compact_every == 0:
+            latest_state(spark, state_root, keys, image, lsn, seq, op, upto=batch_id) \
+                .write.mode("overwrite").parquet(os.path.join(state_root, "snapshot", f"upto={batch_id}"))
 
     q = (spark.readStream.schema(schema).format(fmt).load(src).writeStream
          .foreachBatch(process).option("checkpointLocation", checkpoint)
@@ -92,8 +95,25 @@ def foreach_batch_apply(spark: SparkSession, src: str, schema: T.StructType, sta
     q.awaitTermination()
 
 
-def latest_state(spark: SparkSession, state_root: str) -> DataFrame:
-    """The newest state version written by :func:`foreach_batch_apply`."""
-    versions = sorted({int(m.group(1)) for f in list_files(spark, state_root)
-                       for m in [re.search(r"/v=(\d+)/", f)] if m})
-    return spark.read.parquet(os.path.join(state_root, f"v={versions[-1]}"))
+def latest_state(spark: SparkSession, state_root: str, keys: Sequence[str], image: Sequence[str],
+                 lsn: str = "lsn", seq: str = "seq", op: str = "operation", upto: int | None = None) -> DataFrame:
+    """State after batch ``upto`` (default: all batches) written by :func:`foreach_batch_apply`:
+    one row per live key with its image and the lsn of its last change."""
+    from ..operators.cdc import apply_changes, replay
+
+    snaps = [v for v in _batch_ids(spark, os.path.join(state_root, "snapshot"), "upto") if upto is None or v <= upto]
+    changes_root = os.path.join(state_root, "changes")
+    deltas = None
+    if list_files(spark, changes_root):
+        deltas = spark.read.parquet(changes_root)
+        if snaps:
+            deltas = deltas.filter(F.col("batch_id") > snaps[-1])          # partition pruning
+        if upto is not None:
+            deltas = deltas.filter(F.col("batch_id") <= upto)
+        deltas = deltas.drop("batch_id")
+    if not snaps:
+        if deltas is None:
+            raise FileNotFoundError(f"no state under {state_root}")
+        return replay(deltas, keys, image, None, lsn, seq, op)
+    base = spark.read.parquet(os.path.join(state_root, "snapshot", f"upto={snaps[-1]}"))
+    return base if deltas is None else apply_changes(base, deltas, keys, image, lsn, seq, op)
