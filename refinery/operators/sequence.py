@@ -44,7 +44,8 @@ def carry(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequ
     ``order`` among rows where ``present`` holds (all rows by default).
 
     ``present`` = all rows, ``include_current=False`` is ``lag``/``lead``;
-    a sparse ``present`` is an as-of lookup (last known value).
+    a sparse ``present`` is an as-of lookup (last known value). ``order``
+    columns must be non-NULL and should be a total order within a key.
     """
     pres = F.lit(True) if present is None else present
     # Input that already went through ``chunk_by_range`` (has ``__chunk``) is
