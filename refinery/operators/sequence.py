@@ -26,19 +26,29 @@ from pyspark.sql import types as T
 
 
 def chunk_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                   n_chunks: int | None = None) -> DataFrame:
-    """Range-partition on (keys, order), number the partitions, materialize."""
+                   n_chunks: int | None = None, persist_input: bool = False) -> DataFrame:
+    """Range-partition on (keys, order), number the partitions, materialize.
+
+    The range sample and the checkpoint write each compute ``df``; with
+    ``persist_input`` an expensive input is computed once (cached for the two
+    jobs, released as soon as the checkpoint is written).
+    """
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     n = n_chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (df.repartitionByRange(n, *[F.col(c) for c in (*keys, *order)])
-            .withColumn("__chunk", F.spark_partition_id())
-            .checkpoint(eager=True))
+    src = df.persist() if persist_input else df
+    try:
+        return (src.repartitionByRange(n, *[F.col(c) for c in (*keys, *order)])
+                .withColumn("__chunk", F.spark_partition_id())
+                .checkpoint(eager=True))
+    finally:
+        if persist_input:
+            src.unpersist()
 
 
 def carry(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str],
           present: Column | None = None, forward: bool = True, include_current: bool = False,
-          prefix: str = "prev_", n_chunks: int | None = None) -> DataFrame:
+          prefix: str = "prev_", n_chunks: int | None = None, persist_input: bool = False) -> DataFrame:
     """Add ``prefix + v`` for each ``v`` in ``values``: the values of the nearest
     row of the same key before (``forward``) or after (backward) this one in
     ``order`` among rows where ``present`` holds (all rows by default).
@@ -50,7 +60,7 @@ def carry(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequ
     pres = F.lit(True) if present is None else present
     # Input that already went through ``chunk_by_range`` (has ``__chunk``) is
     # reused as is: several passes over the same rows share one materialization.
-    ch = df if "__chunk" in df.columns else chunk_by_range(df, keys, order, n_chunks)
+    ch = df if "__chunk" in df.columns else chunk_by_range(df, keys, order, n_chunks, persist_input)
     # NULL-safe key columns (value-or-zero, is-null) used both to partition the
     # window and as plain equi-join keys, so the join back reuses the window's
     # partitioning instead of shuffling the rows a second time.

@@ -11,7 +11,7 @@ from . import quality
 
 
 def assign_keys(df: DataFrame, order: Sequence[str], key_col: str, start: int = 1,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, persist_input: bool = False) -> DataFrame:
     """Dense surrogate keys ``start, start+1, …`` following ``order`` (IDENTITY).
 
     No single-partition window: rows are range-partitioned on ``order`` and
@@ -24,9 +24,14 @@ def assign_keys(df: DataFrame, order: Sequence[str], key_col: str, start: int =
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order)
-              .withColumn("__pid", F.spark_partition_id())
-              .checkpoint(eager=True))
+    src = df.persist() if persist_input else df        # the range sample and the write both read it
+    try:
+        ranged = (src.repartitionByRange(n, *order)
+                  .withColumn("__pid", F.spark_partition_id())
+                  .checkpoint(eager=True))
+    finally:
+        if persist_input:
+            src.unpersist()
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         "__pid",
@@ -48,7 +53,7 @@ def build_dimension(df: DataFrame, natural_key: Sequence[str], attrs: Sequence[s
     """
     cols = list(natural_key) + [a for a in attrs if a not in natural_key]
     distinct = df.select(*cols).distinct()
-    keyed = assign_keys(distinct, cols, key_col)
+    keyed = assign_keys(distinct, cols, key_col, persist_input=True)
     return keyed.select(key_col, *cols)
 
 
