@@ -26,6 +26,14 @@ CLUSTER_CONF = {
 }
 
 
+# Settings that only take effect when the application starts (pass them to the
+# session builder / spark-submit): remove checkpoint files once nothing
+# references them, so chunked operators do not leave full copies behind.
+STARTUP_CONF = {
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
 def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> None:
     """Apply :data:`CLUSTER_CONF` (plus overrides) to a running session."""
     for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
@@ -46,6 +54,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
     )
+    for k, v in STARTUP_CONF.items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
