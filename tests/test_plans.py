@@ -29,3 +29,26 @@ def test_anti_join(spark):
 def test_pushdown_reaches_scan(spark):
     p = _plan(spark, "q4_tiers")
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)]" in p
+
+
+def _final(spark, name):
+    df = plans.QUERIES[name](spark, SF_SMALL)
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_duplicate_rank_has_no_window(spark):
+    p = _final(spark, "dq_summary")
+    assert "Window" not in p            # the rank is an aggregate + row-id join, not a per-key window
+
+
+def test_sequences_never_gather_into_one_task(spark):
+    for name in ("scd2_history", "as_of_join", "cdc_all_update_old"):
+        p = _final(spark, name)
+        assert "SinglePartition" not in p, name
+        assert "Window" in p and "__chunk" in p, name   # windows run inside (chunk, key) groups
+
+
+def test_anti_join_side_is_pre_aggregated(spark):
+    p = _final(spark, "q2_no_activity")
+    assert "HashAggregate(keys=[user_id" in p
