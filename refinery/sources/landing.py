@@ -74,9 +74,15 @@ def append_new(df: DataFrame, target: str, keys: Sequence[str], fmt: str = "parq
     return int(obs.get["rows"])
 
 
-def write_quarantine(rejected: DataFrame, path: str, reason_col: str = "rejection_reason") -> None:
-    """Rejected rows (with reason and provenance) partitioned by reason."""
-    rejected.write.mode("overwrite").partitionBy(reason_col).parquet(path)
+def write_quarantine(rejected: DataFrame, path: str, reason_col: str = "rejection_reason",
+                     fmt: str = "parquet") -> None:
+    """Rejected rows with their reason and provenance. Parquet is partitioned
+    by reason; ``fmt="csv"`` writes a text zone with a header (reason kept as
+    a column)."""
+    if fmt == "csv":
+        rejected.write.mode("overwrite").option("header", True).csv(path)
+    else:
+        rejected.write.mode("overwrite").partitionBy(reason_col).parquet(path)
 
 
 def write_curated(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -110,7 +110,9 @@ def test_reference_pipeline_end_to_end(spark):
     assert by_reason == {"MISSING_REQUIRED_FIELD": 15, "INVALID_MEMBER_ID": 10, "INVALID_PLAN_ID": 10,
                          "NEGATIVE_PREMIUM": 10, "INVALID_STATUS": 10, "INVALID_DATE_RANGE": 10,
                          "DUPLICATE_ENROLLMENT": 10}
-    rejected = spark.read.parquet(os.path.join(lake, "classified")).filter("dq_status = 'rejected'")
+    rejected = spark.read.option("header", True).csv(os.path.join(lake, "rejected", "enrollment"))
+    assert rejected.count() == 75
+    assert {"rejection_reason", "source_system", "source_file", "ingestion_timestamp"} <= set(rejected.columns)
     assert rejected.filter(F.col("source_file").isNull() | F.col("rejection_reason").isNull()).count() == 0
 
     # star schema: dims first, then the fact through them
