@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from . import jobs
 from .functions.text import Field, standardize
-from .operators.rules import Rule, any_null, classify, flag_exists, flag_first
+from .operators.rules import Rule, any_null, classify, flag_exists, flag_first, with_row_id
 from .sources import landing, raw
 
 # Enrollment columns, allowed statuses, required fields, rule names in order.
@@ -46,11 +46,11 @@ def read_sources(spark: SparkSession, raw_root: str, sources: Mapping[str, str])
     """Newest batch of each enrollment source, standardized and tagged with its system."""
     out = None
     for system, rel in sources.items():
-        df = standardize(raw.read_latest(spark, os.path.join(raw_root, rel), ENR_COLS), ENR_SPEC,
-                         keep=["source_file"], literals={"source_system": system})
+        scan = with_row_id(raw.read_latest(spark, os.path.join(raw_root, rel), ENR_COLS))
+        df = standardize(scan, ENR_SPEC, keep=["source_file", "_rid_file", "_rid_row"],
+                         literals={"source_system": system})
         out = df if out is None else out.unionByName(df)
-    # Row id taken at the scan: a file split always yields its rows in the same order.
-    return out.withColumn("_rid", F.monotonically_increasing_id())
+    return out
 
 
 def classify_enrollments(incoming: DataFrame, members: DataFrame, plans: DataFrame,
@@ -69,7 +69,7 @@ def classify_enrollments(incoming: DataFrame, members: DataFrame, plans: DataFra
     ]
     from .operators.rules import reason
     scope = None if dedupe_scope == "all" else reason(rules).isNull()
-    df = flag_first(df, ["enrollment_id"], list(priority), ["_rid"], flag="_first", scope=scope)
+    df = flag_first(df, ["enrollment_id"], list(priority), ["_rid_file", "_rid_row"], flag="_first", scope=scope)
     return classify(df, rules + [Rule("DUPLICATE_ENROLLMENT", ~F.col("_first"))])
 
 

@@ -80,12 +80,18 @@ def with_row_id(df: DataFrame, prefix: str = "_rid") -> DataFrame:
 
     Unlike ``monotonically_increasing_id`` it does not depend on how the scan
     is split, so a recomputed task after an executor loss gets the same ids.
+    Formats without a row index (CSV, JSON) fall back to the file path plus
+    ``monotonically_increasing_id``, which is stable as long as the file
+    splits are (the same files and split size).
     """
-    return df.select(
-        "*",
-        F.xxhash64(F.col("_metadata.file_path")).alias(f"{prefix}_file"),
-        F.col("_metadata.row_index").alias(f"{prefix}_row"),
-    )
+    try:
+        out = df.select("*", F.xxhash64(F.col("_metadata.file_path")).alias(f"{prefix}_file"),
+                        F.col("_metadata.row_index").alias(f"{prefix}_row"))
+        out.schema                                   # analysis fails here when there is no row index
+        return out
+    except Exception:  # noqa: BLE001 - AnalysisException: no row_index for this source
+        return df.select("*", F.xxhash64(F.col("_metadata.file_path")).alias(f"{prefix}_file"),
+                         F.monotonically_increasing_id().alias(f"{prefix}_row"))
 
 
 def flag_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],

@@ -64,3 +64,14 @@ def test_register_zone(spark):
     spark.range(4).write.parquet(os.path.join(root, "fact_b"))
     assert raw.register_zone(spark, root) == ["dim_a", "fact_b"]
     assert spark.sql("SELECT COUNT(*) AS n FROM fact_b").collect()[0].n == 4
+
+
+def test_row_id_for_parquet_and_csv(spark):
+    from refinery.operators.rules import with_row_id
+    root = scratch_dir(spark, "rid")
+    spark.range(50).select(F.col("id").cast("string").alias("a")).repartition(3).write.option("header", True) \
+        .csv(f"{root}/csv")
+    spark.range(50).repartition(3).write.parquet(f"{root}/pq")
+    for df in (spark.read.option("header", True).csv(f"{root}/csv"), spark.read.parquet(f"{root}/pq")):
+        ids = with_row_id(df).select("_rid_file", "_rid_row").collect()
+        assert len(set(map(tuple, ids))) == 50
