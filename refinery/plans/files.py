@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from .. import jobs
 from ..functions.text import Field, standardize
-from ..operators import quality
 from ..operators.layout import write_clustered
 from ..session import scratch_dir
 from ..sources import landing, raw
