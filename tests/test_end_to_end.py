@@ -9,7 +9,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from refinery import enrollment, jobs
+from refinery import enrollment, jobs, reports
 from refinery.operators import cdc, synth
 from refinery.session import scratch_dir
 from refinery.sources import landing, raw
@@ -133,21 +133,31 @@ def test_reference_pipeline_end_to_end(spark):
     assert {r.table_name: r.row_count for r in stages.collect()} == \
         {"dim_issuer": 4, "dim_plan": 8, "dim_member": 2000, "fact_enrollment": 3101}
 
-    # the analysis SQL, run as Spark SQL over the warehouse and the DQ tables
-    for name in ("dim_issuer", "dim_plan", "dim_member", "fact_enrollment"):
-        spark.read.parquet(os.path.join(wh, name)).createOrReplaceTempView(name)
-    spark.read.parquet(os.path.join(lake, "dq_summary")).createOrReplaceTempView("dq_summary")
-    recon = {r.table_name: r.row_count for r in spark.sql("""
-        SELECT 'dim_issuer' AS table_name, COUNT(*) AS row_count FROM dim_issuer
-        UNION ALL SELECT 'dim_plan', COUNT(*) FROM dim_plan
-        UNION ALL SELECT 'dim_member', COUNT(*) FROM dim_member
-        UNION ALL SELECT 'fact_enrollment', COUNT(*) FROM fact_enrollment
-        UNION ALL SELECT 'accepted', accepted FROM dq_summary""").collect()}
+    # the reports, run as Spark SQL over the operational tables, the warehouse and the DQ tables
+    tables = {name: spark.read.parquet(os.path.join(wh, name))
+              for name in ("dim_issuer", "dim_plan", "dim_member", "fact_enrollment")}
+    tables.update(dq_summary=spark.read.parquet(os.path.join(lake, "dq_summary")),
+                  dq_rejections_by_reason=spark.read.parquet(os.path.join(lake, "dq_rejections_by_reason")),
+                  enrollments=enrollments, members=src.members, eligibility=src.eligibility)
+    reports.register(spark, tables)
+    recon = {r.table_name: r.row_count for r in reports.report(spark, "warehouse_reconciliation").collect()}
     assert recon["fact_enrollment"] == recon["accepted"] == 3101
-    metal = spark.sql("""
-        SELECT p.metal_level, SUM(f.enrollment_count) AS enrollments,
-               ROUND(AVG(f.monthly_premium), 2) AS avg_monthly_premium
-        FROM fact_enrollment f JOIN dim_plan p ON p.plan_key = f.plan_key
-        GROUP BY p.metal_level ORDER BY enrollments DESC""").collect()
+    metal = reports.report(spark, "metal_level_kpi").collect()
     assert sum(r.enrollments for r in metal) == 3101 and {r.metal_level for r in metal} <= set(synth.BASE_RATE)
-    assert spark.sql("SELECT pass_rate FROM dq_summary").collect()[0].pass_rate == 0.9764
+    assert reports.report(spark, "dq_summary").collect()[0].pass_rate == 0.9764
+    assert [r.rejected_count for r in reports.report(spark, "dq_rejections_by_reason").collect()][0] == 15
+
+    top = reports.report(spark, "top_active_premiums").collect()
+    assert len(top) == 10 and all(a.monthly_premium >= b.monthly_premium for a, b in zip(top, top[1:]))
+    n_enrolled = enrollments.select("member_id").distinct().count()
+    idle = reports.report(spark, "members_without_enrollment").collect()
+    assert sum(r.members_without_enrollment for r in idle) == 2000 - n_enrolled
+    per_member = {r.enrollment_count: r.members for r in reports.report(spark, "enrollments_per_member").collect()}
+    assert sum(k * v for k, v in per_member.items()) == 3001 and sum(per_member.values()) == n_enrolled
+    tiers = reports.report(spark, "premium_tiers").collect()
+    assert sum(r.enrollments for r in tiers) == enrollments.filter("status = 'ACTIVE'").count()
+    states = reports.report(spark, "premium_by_state", min_active=300).collect()
+    assert all(r.active_enrollments >= 300 for r in states) and states
+    what_if = {r.stage: r for r in reports.report(spark, "termination_what_if").collect()}
+    assert what_if["what_if"].status == "TERMINATED" and what_if["before"].status == "ACTIVE"
+    assert what_if["what_if"].termination_date.day >= 28             # a month end
