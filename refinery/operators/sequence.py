@@ -35,10 +35,13 @@ def chunk_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
-    n = n_chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     src = df.persist() if persist_input else df
+    cols = [F.col(c) for c in (*keys, *order)]
+    # Without an explicit count AQE coalesces adjacent ranges to the advisory
+    # partition size, so chunks follow the data volume (still contiguous ranges).
+    ranged = src.repartitionByRange(n_chunks, *cols) if n_chunks else src.repartitionByRange(*cols)
     try:
-        return (src.repartitionByRange(n, *[F.col(c) for c in (*keys, *order)])
+        return (ranged
                 .withColumn("__chunk", F.spark_partition_id())
                 .checkpoint(eager=True))
     finally:

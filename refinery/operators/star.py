@@ -23,10 +23,11 @@ def assign_keys(df: DataFrame, order: Sequence[str], key_col: str, start: int =
     from ..session import ensure_checkpoint_dir
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     src = df.persist() if persist_input else df        # the range sample and the write both read it
     try:
-        ranged = (src.repartitionByRange(n, *order)
+        # no explicit count: AQE coalesces adjacent ranges to the advisory size
+        ranged = ((src.repartitionByRange(num_partitions, *order) if num_partitions
+                   else src.repartitionByRange(*order))
                   .withColumn("__pid", F.spark_partition_id())
                   .checkpoint(eager=True))
     finally:

@@ -10,8 +10,7 @@ from pyspark.sql import SparkSession
 
 
 # Settings for a large cluster (~100 TB inputs). Chunked operators (carry,
-# assign_keys) use ``spark.sql.shuffle.partitions`` chunks: size it so a chunk
-# is a few hundred MB of the operator's input.
+# assign_keys) let AQE size their range chunks to the advisory partition size.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
