@@ -13,8 +13,10 @@ def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str], num_fil
     group covers a narrow key range; filters on those columns then skip files
     and row groups by their min/max statistics. Optionally bucket the output
     (``saveAsTable``) so joins on ``bucket_by`` need no shuffle."""
-    n = num_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = df.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
+    # Without ``num_files`` AQE coalesces adjacent ranges to the advisory size,
+    # so files come out sized by volume rather than one per shuffle partition.
+    ranged = df.repartitionByRange(num_files, *cluster_by) if num_files else df.repartitionByRange(*cluster_by)
+    laid = ranged.sortWithinPartitions(*cluster_by)
     if bucket_by and buckets and table:
         (laid.write.mode("overwrite").format("parquet").option("path", path)
          .bucketBy(buckets, *bucket_by).sortBy(*cluster_by).saveAsTable(table))
