@@ -40,7 +40,7 @@ class Field:
         if t == "string":
             typed = text
         elif t == "date":
-            typed = F.try_to_date(text, F.lit(self.date_format)) if self.date_format else F.try_to_date(text)
+            typed = F.try_to_date(text, self.date_format) if self.date_format else F.try_to_date(text)
         elif t in ("timestamp", "timestamp_ntz"):
             typed = (F.try_to_timestamp(text, F.lit(self.date_format)) if self.date_format
                      else F.try_to_timestamp(text))

@@ -75,3 +75,15 @@ def test_row_id_for_parquet_and_csv(spark):
     for df in (spark.read.option("header", True).csv(f"{root}/csv"), spark.read.parquet(f"{root}/pq")):
         ids = with_row_id(df).select("_rid_file", "_rid_row").collect()
         assert len(set(map(tuple, ids))) == 50
+
+
+def test_standardize_with_formats(spark):
+    import datetime as dt
+    df = spark.createDataFrame([("11/01/2026", "2026-11-01 10:00:00", "01/11/2026 10:00", "bad")],
+                               "a string, b string, c string, d string")
+    out = standardize(df, [Field("a", "date", date_format="MM/dd/yyyy"), Field("b", "timestamp_ntz"),
+                           Field("c", "timestamp_ntz", date_format="dd/MM/yyyy HH:mm"),
+                           Field("d", "date", date_format="MM/dd/yyyy")]).collect()[0]
+    assert out.a == dt.date(2026, 11, 1)
+    assert out.b == out.c == dt.datetime(2026, 11, 1, 10, 0)
+    assert out.d is None
