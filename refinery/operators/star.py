@@ -11,7 +11,8 @@ from . import quality
 
 
 def assign_keys(df: DataFrame, order: Sequence[str], key_col: str, start: int = 1,
-                num_partitions: int | None = None, persist_input: bool = False) -> DataFrame:
+                num_partitions: int | None = None, persist_input: bool = False,
+                small_rows: int = 1_000_000) -> DataFrame:
     """Dense surrogate keys ``start, start+1, …`` following ``order`` (IDENTITY).
 
     No single-partition window: rows are range-partitioned on ``order`` and
@@ -19,11 +20,21 @@ def assign_keys(df: DataFrame, order: Sequence[str], key_col: str, start: int =
     the partition assignment is fixed even if tasks are retried); each
     partition's row count gives its offset (a table with one row per
     partition, broadcast), and a window per partition numbers the rows inside it.
+
+    With ``persist_input`` the cached input is first counted up to
+    ``small_rows + 1``; a proven-small input (a typical dimension) is numbered
+    by one ordered window instead — a single task, but bounded by the proof,
+    as a broadcast would be.
     """
     from ..session import ensure_checkpoint_dir
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     src = df.persist() if persist_input else df        # the range sample and the write both read it
+    if persist_input and small_rows and src.limit(small_rows + 1).count() <= small_rows:
+        keyed = src.withColumn(key_col, (F.row_number().over(Window.orderBy(*order)) + F.lit(start - 1))
+                               .cast("bigint")).checkpoint(eager=True)
+        src.unpersist()
+        return keyed
     try:
         # no explicit count: AQE coalesces adjacent ranges to the advisory size
         ranged = ((src.repartitionByRange(num_partitions, *order) if num_partitions
@@ -46,7 +57,8 @@ def assign_keys(df: DataFrame, order: Sequence[str], key_col: str, start: int =
             .drop("__pid", "__rn", "__off"))
 
 
-def build_dimension(df: DataFrame, natural_key: Sequence[str], attrs: Sequence[str], key_col: str) -> DataFrame:
+def build_dimension(df: DataFrame, natural_key: Sequence[str], attrs: Sequence[str], key_col: str,
+                    small_rows: int = 1_000_000) -> DataFrame:
     """SELECT DISTINCT natural key + attributes, then a dense key in natural-key order.
 
     Conflicting attributes for one natural key give two rows (as DISTINCT
@@ -54,7 +66,7 @@ def build_dimension(df: DataFrame, natural_key: Sequence[str], attrs: Sequence[s
     """
     cols = list(natural_key) + [a for a in attrs if a not in natural_key]
     distinct = df.select(*cols).distinct()
-    keyed = assign_keys(distinct, cols, key_col, persist_input=True)
+    keyed = assign_keys(distinct, cols, key_col, persist_input=True, small_rows=small_rows)
     return keyed.select(key_col, *cols)
 
 

@@ -57,3 +57,11 @@ def test_assign_keys_dense_in_order(spark):
     df = spark.range(0, 5000, 3).select((F.col("id") * 7 % 5000).alias("nk"))
     keyed = assign_keys(df, ["nk"], "sk", num_partitions=7).toPandas().sort_values("nk")
     assert list(keyed["sk"]) == list(range(1, len(keyed) + 1))
+
+
+def test_dimension_small_and_chunked_paths_agree(spark):
+    from refinery.operators.star import build_dimension
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    small = build_dimension(part, ["p_partkey"], ["p_brand"], "part_key")
+    chunked = build_dimension(part, ["p_partkey"], ["p_brand"], "part_key", small_rows=0)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, chunked.collect()))
