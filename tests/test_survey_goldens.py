@@ -48,3 +48,12 @@ def test_analysis_goldens(spark):
         {"1. Under 100k": 990, "2. 100k-299k": 1971, "3. 300k+": 1972}
     assert len(_rows(spark, "q5_histogram")) == 22
     assert sum(r.customers_without_events for r in _rows(spark, "q2_no_activity")) == 1350
+
+
+def test_injected_faults_are_classified_as_labelled(spark):
+    rows = _rows(spark, "fault_injection")
+    assert rows and all(r.outcome == ("ACCEPTED" if r.expected_reason == "NONE" else r.expected_reason)
+                        for r in rows)
+    assert {r.expected_reason for r in rows} >= {"MISSING_REQUIRED_FIELD", "INVALID_SUPPLIER_ID", "INVALID_PART_ID",
+                                                  "NEGATIVE_PREMIUM", "INVALID_STATUS", "INVALID_DATE_RANGE",
+                                                  "DUPLICATE_LINEITEM"}
