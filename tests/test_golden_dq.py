@@ -101,3 +101,16 @@ def test_orphan_line_is_rejected_not_dropped(spark):
     s = quality.summary(cls).collect()[0]
     assert s.extracted == li.count() + 1
     assert [r.rejection_reason for r in cls.filter("l_orderkey = -5").collect()] == ["MISSING_REQUIRED_FIELD"]
+
+
+def test_accepted_union_rejected_is_the_input(spark):
+    """Every incoming row lands in exactly one zone; each rejected row carries one reason."""
+    from refinery.plans import dq
+    from .conftest import SF_SMALL
+    cls = dq.classified(spark, SF_SMALL)
+    acc, rej = quality.split(cls)
+    ids = ["_rid_file", "_rid_row"]
+    both = acc.select(*ids).unionByName(rej.select(*ids))
+    src = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    assert both.count() == src.count() == both.distinct().count()
+    assert rej.filter(F.col("rejection_reason").isNull()).count() == 0
