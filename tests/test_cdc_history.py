@@ -90,3 +90,16 @@ def test_scd2_periods_gap_free(spark):
         g = list(g)
         assert all(a.valid_to == b.valid_from for a, b in zip(g, g[1:]))
         assert all(a.event_type != b.event_type for a, b in zip(g, g[1:]))
+
+
+def test_net_apply_equals_last_op_apply_on_consistent_log(spark):
+    log = _demo(spark)
+    keys, image = ["enrollment_id"], ["status", "premium"]
+    base = spark.createDataFrame([(900005, "ACTIVE", 380.0, dt.datetime(2026, 1, 1)),
+                                  (900006, "ACTIVE", 410.0, dt.datetime(2026, 1, 1))],
+                                 "enrollment_id long, status string, premium double, lsn timestamp_ntz")
+    by_last_op = cdc.apply_changes(base, log, keys, image)
+    net = cdc.net_changes(log, keys, image, None, None)
+    upserts = net.filter("net_operation != 'DELETE'").select(*keys, *image, F.col("last_lsn").alias("lsn"))
+    by_net = base.join(net.select(*keys), keys, "left_anti").unionByName(upserts)
+    assert sorted(map(tuple, by_last_op.collect())) == sorted(map(tuple, by_net.select(*by_last_op.columns).collect()))
