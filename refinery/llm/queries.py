@@ -5,9 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import load
+from . import langid, toxicity
+from .common import held_out
+from .exactdedup import exact_dedup, normalised
+from .mixing import mixing_rates
 from .packing import pack
+from .simhash import simhash_components
 from .tokenfiles import encode_to_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +25,14 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    profiles = langid.learn(docs.filter(~held_out(F.col("doc_id"))))
+    said = langid.identify(docs.select("doc_id", "text"), profiles)
+    return said.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_to_files(load(spark, sf_dir, "documents"))
@@ -27,3 +41,42 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(load(spark, sf_dir, "documents"))
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    learning = ~held_out(F.col("doc_id"))
+    model = toxicity.learn(docs.filter(learning), load(spark, sf_dir, "labels").filter(learning))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_rates(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.sha2(normalised(F.col("text")).cast("binary"), 256).alias("text_sha256"))
+    return exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+ORACLES["op9_exact_dedup"] = """
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n_chars,
+         sha256(translate(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) AS h
+  FROM documents),
+g AS (
+  SELECT h, count(*) AS n, arg_min(doc_id, (-n_chars, doc_id)) AS keep_id
+  FROM d GROUP BY h)
+SELECT d.doc_id, g.keep_id, g.n AS group_size, d.doc_id = g.keep_id AS kept, d.h AS text_sha256
+FROM d JOIN g USING (h)
+"""
+
+
+@query
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(load(spark, sf_dir, "documents"))
