@@ -1,7 +1,7 @@
 """Hashed text features in numpy, and a bounded dense view of the telling ones.
 
 Tokens are runs of letters and digits, or runs of punctuation; features are the
-token and its first four and five bytes. All tokens of a buffer are hashed at
+token and its first five to eight bytes. All tokens of a buffer are hashed at
 once: a token's polynomial hash is a difference of running sums.
 """
 
@@ -12,9 +12,9 @@ from functools import lru_cache
 
 import numpy as np
 
-BUCKETS = 1 << 18
+SIEVE = 1 << 20
 BUFFER = 1 << 20
-STEMS = (4, 5)
+STEMS = (5, 6, 7, 8)
 _P = 0x9E3779B97F4A7C15                    # odd, so it has an inverse modulo 2^64
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -82,66 +82,76 @@ def tokens(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield owner[long], ((sums[at + k] - sums[at]) * back[at] + np.uint64(k)) * _MIX * _MIX
 
 
-def _bucket(hashes: np.ndarray) -> np.ndarray:
-    return (hashes ^ (hashes >> np.uint64(31))) * _MIX >> np.uint64(64 - BUCKETS.bit_length() + 1)
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    """A feature's 32 bits."""
+    return ((hashes ^ (hashes >> np.uint64(31))) * _MIX >> np.uint64(32)).astype(np.uint32)
 
 
-def bucket_sets(texts: list[str | None]) -> list[np.ndarray]:
-    """The distinct buckets of each whole text."""
-    n = len(texts)
+def feature_sets(texts: list[str | None]) -> list[np.ndarray]:
+    """The distinct features of each whole text, ascending."""
     seen = [np.empty(0, np.uint64)]
     for owner, hashes in tokens(texts):
-        seen.append(np.unique(owner.astype(np.uint64) * np.uint64(BUCKETS) + _bucket(hashes)))
+        seen.append(np.unique(owner.astype(np.uint64) << np.uint64(32) | _mixed(hashes)))
     pairs = np.unique(np.concatenate(seen))
-    owner = (pairs // np.uint64(BUCKETS)).astype(np.int64)
-    return np.split((pairs % np.uint64(BUCKETS)).astype(np.int32), np.searchsorted(owner, np.arange(1, n)))
-
-
-def linear_scores(texts: list[str | None], column: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sum of the weight rows of each text's chosen buckets, and its number of tokens.
-
-    ``column[bucket]`` is a row of ``weights`` or -1. A bucket counts once a text.
-    """
-    n, width = len(texts), len(weights) + 1
-    seen, counted = [np.empty(0, np.int64)], np.zeros(n, np.int64)
-    for i, (owner, hashes) in enumerate(tokens(texts)):
-        if i % (1 + len(STEMS)) == 0:
-            counted += np.bincount(owner, minlength=n)
-        chosen = column[_bucket(hashes).astype(np.int64)]
-        mine = chosen >= 0
-        seen.append(np.unique(owner[mine] * width + chosen[mine]))
-    pairs = np.unique(np.concatenate(seen))
-    owner, row = pairs // width, pairs % width
-    out = np.zeros((n, weights.shape[1]))
-    np.add.at(out, owner, weights[row])
-    return out, counted
+    owner = (pairs >> np.uint64(32)).astype(np.int64)
+    return np.split(pairs.astype(np.uint32), np.searchsorted(owner, np.arange(1, len(texts))))
+
+
+def find(features: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(positions in ``features``, row of ``chosen``) of those that are chosen; ``chosen`` ascends."""
+    at = np.searchsorted(chosen, features)
+    hit = np.flatnonzero(at < len(chosen))
+    hit = hit[chosen[at[hit]] == features[hit]]
+    return hit, at[hit]
+
+
+class Linear:
+    """Sums of weight rows over the chosen features of whole texts."""
+
+    def __init__(self, chosen: np.ndarray, weights: np.ndarray):
+        self.chosen, self.weights = chosen, weights
+        self.sieve = np.zeros(SIEVE, bool)
+        self.sieve[chosen % SIEVE] = True
+
+    def scores(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(sums, number of tokens); a feature counts once a text."""
+        n, width = len(texts), len(self.weights) + 1
+        seen, counted = [np.empty(0, np.int64)], np.zeros(n, np.int64)
+        for i, (owner, hashes) in enumerate(tokens(texts)):
+            if i % (1 + len(STEMS)) == 0:
+                counted += np.bincount(owner, minlength=n)
+            features = _mixed(hashes)
+            maybe = np.flatnonzero(self.sieve[features % SIEVE])
+            hit, row = find(features[maybe], self.chosen)
+            seen.append(np.unique(owner[maybe[hit]] * width + row))
+        pairs = np.unique(np.concatenate(seen))
+        out = np.zeros((n, self.weights.shape[1]))
+        np.add.at(out, pairs // width, self.weights[pairs % width])
+        return out, counted
 
 
 def telling(sets: list[np.ndarray], is_class: np.ndarray, most: int, least_rows: int = 3) -> np.ndarray:
-    """Buckets whose presence tells the class from the rest best (G statistic), at most ``most``."""
-    flat = np.concatenate([np.empty(0, np.int32), *sets])
+    """Features that the class has more often than the rest, best first by G statistic, at most ``most``."""
     inside = np.repeat(is_class, [len(s) for s in sets]).astype(bool)
-    a, b = (np.bincount(flat[m], minlength=BUCKETS).astype(float) for m in (inside, ~inside))
+    names, place, total = np.unique(np.concatenate([np.empty(0, np.uint32), *sets]), return_inverse=True, return_counts=True)
+    a = np.bincount(place[inside], minlength=len(names)).astype(float)
+    names, a, total = names[total >= least_rows], a[total >= least_rows], total[total >= least_rows]
+    b = total - a
     na, nb = max(1, int(is_class.sum())), max(1, int((~is_class.astype(bool)).sum()))
 
     def part(x, n):
         return np.where(x > 0, x * np.log(np.maximum(x, 1e-9) / n), 0)
 
-    share = (a + b) / (na + nb)
-    g = (part(a, na) + part(b, nb) + part(na - a, na) + part(nb - b, nb)
-         - np.where(a + b > 0, (a + b) * np.log(np.maximum(share, 1e-12)), 0)
-         - np.where(share < 1, (na + nb - a - b) * np.log(np.maximum(1 - share, 1e-12)), 0))
-    g[a + b < least_rows] = 0
+    g = 2 * (part(a, na) + part(b, nb) + part(na - a, na) + part(nb - b, nb) - part(total, na + nb) - part(na + nb - total, na + nb))
+    g[a / na <= b / nb] = 0
     best = np.argsort(-g, kind="stable")[:most]
-    return np.sort(best[g[best] > 3.84])        # the 95 % point of one degree of freedom
+    # above what the best of so many features reaches by chance
+    return np.sort(names[best[g[best] > 2 * np.log(max(2, len(names)))]])
 
 
-def dense(sets: list[np.ndarray], chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(rows x chosen presence matrix, bucket -> column or -1)."""
-    column = np.full(BUCKETS, -1, np.int64)
-    column[chosen] = np.arange(len(chosen))
+def dense(sets: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
+    """Rows x chosen presence matrix."""
     x = np.zeros((len(sets), len(chosen)), np.float32)
     for i, s in enumerate(sets):
-        c = column[s]
-        x[i, c[c >= 0]] = 1
-    return x, column
+        x[i, find(s, chosen)[1]] = 1
+    return x

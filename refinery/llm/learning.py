@@ -4,39 +4,66 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .features import bucket_sets
+from .features import feature_sets
 
 
-def sample(rows: DataFrame, bounds: dict[int, int], key: str = "doc_id", label: str = "label") -> tuple[list[np.ndarray], np.ndarray]:
-    """Feature sets and labels of at most ``bounds[label]`` rows of each label.
+def sample(rows: DataFrame, picks: dict[int, tuple[Column, int]], key: str = "doc_id") -> tuple[list[np.ndarray], np.ndarray]:
+    """Feature sets of bounded samples of ``rows`` (key, text and what the conditions read), and their pick.
 
-    The rows with the least hash of the key are taken, so the sample does not
-    depend on partitioning; rows without a key or of a repeated key beyond the
-    first are left out. Only hashed features leave the tasks.
+    ``picks[p]`` is (condition, most rows). The rows with the least hash of the
+    key are taken, so a sample does not depend on partitioning; rows without a
+    key or of a repeated key beyond the first are left out, and so are near
+    copies within a pick. Only hashed features leave the tasks.
     """
-    spark = rows.sparkSession
-    keys = rows.select(key, label).filter(F.col(key).isNotNull()).dropDuplicates([key])
-    chosen = [keys.filter(F.col(label) == value).orderBy(F.xxhash64(key), key).limit(n).toPandas()
-              for value, n in bounds.items()]
-    ids = [i for part in chosen for i in part[key].tolist()]
+    keys = rows.drop("text").filter(F.col(key).isNotNull()).dropDuplicates([key])
+    chosen = {p: keys.filter(c).select(key).orderBy(F.xxhash64(key), key).limit(n).toPandas()[key].tolist()
+              for p, (c, n) in picks.items()}
+    ids = sorted({i for part in chosen.values() for i in part})
     if not ids:
         return [], np.empty(0, np.int64)
-    picked = spark.createDataFrame([(i,) for i in ids], f"`{key}` {rows.schema[key].dataType.simpleString()}")
+    kind = rows.schema[key].dataType.simpleString()
+    picked = rows.sparkSession.createDataFrame([(i,) for i in ids], f"`{key}` {kind}")
 
     def run(batches):
         for batch in batches:
-            sets = bucket_sets(batch.column(2).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([s.tobytes() for s in sets], pa.binary())],
-                                             names=["id", "label", "sets"])
-
-    got = (rows.join(F.broadcast(picked), key)             # at most the bounds' sum of ids
-           .select(F.col(key).alias("id"), F.col(label).cast("int").alias("label"), "text")
-           .mapInArrow(run, f"id {rows.schema[key].dataType.simpleString()}, label int, sets binary")
-           .dropDuplicates(["id"]).orderBy("id").toArrow())
-    return [np.frombuffer(b, np.int32) for b in got["sets"].to_pylist()], got["label"].to_numpy().astype(np.int64)
+            sets = feature_sets(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "sets"])
+
+    got = (rows.join(F.broadcast(picked), key)             # at most the picks' sum of ids
+           .select(F.col(key).alias("id"), "text").mapInArrow(run, f"id {kind}, sets binary")
+           .dropDuplicates(["id"]).toArrow())
+    of = {i: np.frombuffer(b, np.uint32) for i, b in zip(got["id"].to_pylist(), got["sets"].to_pylist())}
+    sets, pick = [], []
+    for p, part in chosen.items():
+        mine = [of[i] for i in part]
+        mine = [s for s, k in zip(mine, distinct_rows(mine)) if k]
+        sets += mine
+        pick += [p] * len(mine)
+    return sets, np.array(pick, np.int64)
+
+
+def distinct_rows(sets: list[np.ndarray], alike: float = 0.5, bands: int = 4, width: int = 3) -> np.ndarray:
+    """False for rows whose features mostly equal an earlier row's: copies would pass their words off as telling.
+
+    Candidates share ``width`` minimum hashes in one of the ``bands``; their Jaccard similarity decides.
+    """
+    odd = np.random.default_rng(11).integers(1, 1 << 62, bands * width, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    seen: dict[tuple, int] = {}
+    keep = np.ones(len(sets), bool)
+    for i, s in enumerate(sets):
+        if not len(s):
+            continue
+        least = ((s.astype(np.uint64) + np.uint64(1))[:, None] * odd >> np.uint64(20)).min(axis=0).reshape(bands, width)
+        for b, signature in enumerate(least):
+            j = seen.setdefault((b, *signature.tolist()), i)
+            both = len(np.intersect1d(s, sets[j], assume_unique=True)) if j != i else 0
+            if both >= alike * (len(s) + len(sets[j]) - both) and j != i:
+                keep[i] = False
+                break
+    return keep
 
 
 class Adam:

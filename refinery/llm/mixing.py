@@ -33,30 +33,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
-from .features import BUCKETS, dense, linear_scores, telling
+from .features import Linear, dense, telling
 from .learning import Adam, sample, softmax
 
 DOMAINS = ("good", "poor", "toxic")
 TARGETS = {"good": 0.90, "poor": 0.07, "toxic": 0.03}
 SAMPLE = 2500
 FEATURES = 1024
-RIDGE = 0.01
+RIDGE = 0.001
 STEPS = 60
-TOLERANCE = 1e-3
+TOLERANCE = 1e-2
 
 
 @dataclass(frozen=True)
 class Posterior:
     """Domain posteriors of texts; ``prior`` where nothing was learned."""
-    column: np.ndarray
-    weights: np.ndarray
+    linear: Linear
     bias: np.ndarray
     prior: np.ndarray
 
     def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(posteriors, tokens)."""
-        z, tokens = linear_scores(texts, self.column, self.weights)
-        if not len(self.weights):
+        z, tokens = self.linear.scores(texts)
+        if not len(self.linear.chosen):
             return np.tile(self.prior, (len(texts), 1)), tokens
         return softmax(z + self.bias), tokens
 
@@ -64,13 +63,13 @@ class Posterior:
 def fit(sets: list[np.ndarray], label: np.ndarray, prior: np.ndarray, epochs: int = 200) -> Posterior:
     """Softmax regression on presence features; rows weigh as much as their domain's share."""
     seen = np.unique(label)
-    none = Posterior(np.full(BUCKETS, -1, np.int64), np.zeros((0, len(prior))), np.zeros(len(prior)), prior)
+    none = Posterior(Linear(np.empty(0, np.uint32), np.zeros((0, len(prior)))), np.zeros(len(prior)), prior)
     if len(seen) < 2:
         return none
     chosen = np.unique(np.concatenate([telling(sets, label == k, FEATURES // len(seen)) for k in seen]))
     if not len(chosen):
         return none
-    x, column = dense(sets, chosen)
+    x = dense(sets, chosen)
     goal = np.eye(len(prior))[label]
     weigh = prior[label] / np.bincount(label, minlength=len(prior))[label]
     weigh = (weigh / weigh.sum())[:, None]
@@ -80,7 +79,7 @@ def fit(sets: list[np.ndarray], label: np.ndarray, prior: np.ndarray, epochs: in
         off = weigh * (softmax(x @ w + b) - goal)
         w = w - by_w.step(x.T @ off + 1e-5 * w)
         b = b - by_b.step(off.sum(axis=0))
-    return Posterior(column, w, b, prior)
+    return Posterior(Linear(chosen, w), b, prior)
 
 
 def learn(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, size: int = SAMPLE) -> Posterior:
@@ -95,7 +94,7 @@ def learn(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
     if not prior.sum():
         goal = np.array([targets[d] for d in DOMAINS])
         return fit([], np.empty(0, np.int64), goal / goal.sum())
-    sets, label = sample(rows, {k: size for k in counts})
+    sets, label = sample(rows, {k: (F.col("label") == k, size) for k in sorted(counts)})
     return fit(sets, label, prior / prior.sum())
 
 

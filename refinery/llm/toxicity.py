@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Confirmed toxic documents are the positives; every other learning row, labelled
-or not, is unlabelled text. A linear model over the presence of hashed features
+Confirmed toxic documents are the positives; all learning rows together, their
+labels set aside, are the unlabelled text, which the class prior describes. A linear model over the presence of hashed features
 minimises the class-prior-corrected risk
 
     prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))
@@ -29,34 +29,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .features import BUCKETS, dense, linear_scores, telling
+from .features import Linear, dense, telling
 from .learning import Adam, sample, sigmoid
 
-POSITIVES = 3000
-UNLABELLED = 6000
+POSITIVES = 2000
+UNLABELLED = 4000
 FEATURES = 1024
 CUT = 0.7
+JUDGED = 100
 
 
 @dataclass(frozen=True)
 class Classifier:
-    column: np.ndarray
-    weights: np.ndarray
+    linear: Linear
     bias: float
     cut: float
     scale: float
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        if not len(self.weights):
+        if not len(self.linear.chosen):
             return np.zeros(len(texts))
-        z = linear_scores(texts, self.column, self.weights[:, None])[0][:, 0] + self.bias
-        return self.place(z)
+        return self.place(self.linear.scores(texts)[0][:, 0] + self.bias)
 
     def place(self, z: np.ndarray) -> np.ndarray:
         return sigmoid((z - self.cut) * self.scale + np.log(CUT / (1 - CUT)))
 
 
-NONE = Classifier(np.full(BUCKETS, -1, np.int64), np.empty(0), 0.0, 0.0, 1.0)
+NONE = Classifier(Linear(np.empty(0, np.uint32), np.empty((0, 1))), 0.0, 0.0, 1.0)
 
 
 def nnpu_gradient(xp: np.ndarray, xu: np.ndarray, w: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
@@ -79,23 +78,25 @@ def best_cut(zp: np.ndarray, zu: np.ndarray, prior: float) -> float:
     hit = 1 - np.searchsorted(np.sort(zp), cuts) / len(zp)
     flagged = 1 - np.searchsorted(np.sort(zu), cuts) / len(zu)
     error = prior * (1 - hit) + np.abs(flagged - prior * hit)
-    low = np.flatnonzero(error <= error.min() + 1e-12)
-    return float(cuts[low[len(low) // 2]])
+    low = np.flatnonzero(error <= error.min() + 1 / len(zu))     # of equally good cuts, the one in the widest gap
+    return float(cuts[low[np.argmax(marks[low + 1] - marks[low])]])
 
 
 def fit(sets: list[np.ndarray], positive: np.ndarray, prior: float, epochs: int = 300, seed: int = 7) -> Classifier:
-    """Train on feature sets; ``positive`` marks the confirmed ones. Every fourth row chooses the cut."""
+    """Train on feature sets; ``positive`` marks the confirmed ones. Every fourth row chooses the cut,
+    or all rows where the positives are too few to keep some back."""
     if not positive.any() or positive.all():
         return NONE
     nth = np.empty(len(positive), np.int64)
     for side in (True, False):
         nth[positive == side] = np.arange((positive == side).sum())
-    kept_back = (nth % 4 == 3) & (np.array([positive[positive == p].sum() if p else (~positive).sum() for p in positive]) >= 8)
-    chosen = telling([s for s, k in zip(sets, kept_back) if not k], positive[~kept_back], FEATURES)
+    kept_back = (nth % 4 == 3) & (positive.sum() >= JUDGED)
+    known = {s.tobytes() for s, p in zip(sets, positive) if p}
+    apart = ~kept_back & np.array([p or s.tobytes() not in known for s, p in zip(sets, positive)])
+    chosen = telling([s for s, k in zip(sets, apart) if k], positive[apart], FEATURES)
     if not len(chosen):
         return NONE
-    x, column = dense(sets, chosen)
-    x = np.column_stack([x, np.ones(len(x), np.float32)])
+    x = np.column_stack([dense(sets, chosen), np.ones(len(sets), np.float32)])
     xp, xu = x[positive & ~kept_back], x[~positive & ~kept_back]
     w, adam, rng = np.zeros(x.shape[1]), Adam(x.shape[1], 0.05), np.random.default_rng(seed)
     w[-1] = np.log(prior / (1 - prior))
@@ -108,20 +109,20 @@ def fit(sets: list[np.ndarray], positive: np.ndarray, prior: float, epochs: int
     zp, zu = z[positive & judged], z[~positive & judged]
     cut = best_cut(zp, zu, prior)
     spread = max(1e-6, float(np.median(np.abs(zp - cut))))
-    return Classifier(column, w[:-1], float(w[-1]), cut, 3 / spread)
+    return Classifier(Linear(chosen, w[:-1, None]), float(w[-1]), cut, 3 / spread)
 
 
 def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Classifier:
     """Fit on the learning rows of ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
     marked = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rows = (docs.select("doc_id", "text").join(marked, "doc_id", "left")
-            .withColumn("label", (F.coalesce("toxic", F.lit(0)) == 1).cast("int")))
+            .select("doc_id", "text", "toxic"))
     ids = docs.select("doc_id").filter("doc_id is not null").distinct()
     known = marked.join(ids, "doc_id", "left_semi").agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
     if not known:
         return NONE
-    sets, label = sample(rows, {1: positives, 0: unlabelled})
-    return fit(sets, label == 1, min(known, 0.5))
+    sets, pick = sample(rows, {1: (F.col("toxic") == 1, positives), 0: (F.lit(True), unlabelled)})
+    return fit(sets, pick == 1, min(known, 0.5))
 
 
 def score(docs: DataFrame, model: Classifier, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
