@@ -11,8 +11,10 @@ from ..sources.tables import load
 from . import langid, toxicity
 from .common import held_out
 from .exactdedup import exact_dedup, normalised
+from .iblt import fingerprints
 from .mixing import mixing_rates
 from .packing import pack
+from .sharding import shard
 from .simhash import simhash_components
 from .tokenfiles import encode_to_files
 
@@ -33,6 +35,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return said.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op2_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(load(spark, sf_dir, "documents"))
+
+
 @query
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_to_files(load(spark, sf_dir, "documents"))
@@ -43,6 +50,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(load(spark, sf_dir, "documents"))
 
 
+@query
+def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(load(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot")
+
+
 @query
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
