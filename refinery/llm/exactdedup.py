@@ -45,11 +45,11 @@ def _bit(column_length: Column, column_prefix: Column) -> Column:
 def _bitmap(pairs: DataFrame) -> bytes:
     """The bits of all pairs: at most BITMAP / 32768 rows of 4096 bytes reach the driver."""
     bit = _bit(F.col("__length"), F.col("__prefix"))
-    parts = (pairs.select(bit.alias("b"))
+    parts = (pairs.select((bit + 1).alias("b"))       # the bitmap functions count values from 1
              .groupBy(F.call_function("bitmap_bucket_number", F.col("b")).alias("bucket"))
              .agg(F.call_function("bitmap_construct_agg", F.call_function("bitmap_bit_position", F.col("b"))).alias("bits")))
     out = bytearray(BITMAP // 8)
-    for row in parts.collect():          # buckets count from 1; bucket 0 holds value 0 only
+    for row in parts.collect():
         start = (row["bucket"] - 1) * 4096
         out[start:start + 4096] = row["bits"]
     return bytes(out)
