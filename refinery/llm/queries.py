@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import langid, toxicity
+from . import langid, pii, toxicity
 from .common import held_out
 from .exactdedup import exact_dedup, normalised
 from .iblt import fingerprints
@@ -70,6 +70,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_rates(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+@query
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.learn(docs))
+
+
 @query
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select(
