@@ -199,8 +199,8 @@ def validate(df: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
     row_rules = [c for c in constraints if c.kind in ("not_null", "max_length", "check")]
     if row_rules:
         agg = df.agg(*[F.count_if(_row_violation(c)).alias(f"v{i}") for i, c in enumerate(row_rules)])
-        stack = ", ".join(f"'{c.name}', '{c.kind}', v{i}" for i, c in enumerate(row_rules))
-        parts.append(agg.selectExpr(f"stack({len(row_rules)}, {stack}) as (constraint, kind, violations)"))
+        cells = [x for i, c in enumerate(row_rules) for x in (F.lit(c.name), F.lit(c.kind), F.col(f"v{i}"))]
+        parts.append(agg.select(F.stack(F.lit(len(row_rules)), *cells).alias("constraint", "kind", "violations")))
     for c in constraints:
         if c.kind in ("pk", "unique"):
             keys = list(c.cols)

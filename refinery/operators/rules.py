@@ -13,9 +13,12 @@ import uuid
 from dataclasses import dataclass
 from typing import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -76,22 +79,23 @@ def flag_exists(df: DataFrame, parent: DataFrame, on: Sequence[tuple[str, str]]
 
 
 def with_row_id(df: DataFrame, prefix: str = "_rid") -> DataFrame:
-    """Deterministic per-row identity for a file scan: (hash of file path, row index).
+    """Deterministic per-row identity: (hash of file path, row index).
 
     Unlike ``monotonically_increasing_id`` it does not depend on how the scan
     is split, so a recomputed task after an executor loss gets the same ids.
-    Formats without a row index (CSV, JSON) fall back to the file path plus
-    ``monotonically_increasing_id``, which is stable as long as the file
-    splits are (the same files and split size).
+    Formats without a row index (CSV, JSON) are written once as Parquet in the
+    shared folder and get the identity of the written row, which every later
+    pass reads.
     """
-    try:
-        out = df.select("*", F.xxhash64(F.col("_metadata.file_path")).alias(f"{prefix}_file"),
+    def named(d: DataFrame) -> DataFrame:
+        return d.select("*", F.xxhash64(F.col("_metadata.file_path")).alias(f"{prefix}_file"),
                         F.col("_metadata.row_index").alias(f"{prefix}_row"))
-        out.schema                                   # analysis fails here when there is no row index
+    try:
+        out = named(df)
+        out.schema                                   # analysis decides whether the scan has a row index
         return out
-    except Exception:  # noqa: BLE001 - AnalysisException: no row_index for this source
-        return df.select("*", F.xxhash64(F.col("_metadata.file_path")).alias(f"{prefix}_file"),
-                         F.monotonically_increasing_id().alias(f"{prefix}_row"))
+    except AnalysisException:
+        return named(materialize(df, "rows"))
 
 
 def flag_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
@@ -99,22 +103,40 @@ def flag_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
                scope: Column | None = None, last: bool = False) -> DataFrame:
     """``flag`` = row is first of its key group by ``order`` (row_number() == 1).
 
-    Instead of a window partitioned by key — which sends a hot key (a third of
-    all rows) to one task — the first row of each group is found with a
-    ``min(struct(order..., row_id))`` aggregate (partial aggregation before the
-    shuffle, so a hot key costs one row per map task) and joined back on the
-    unique row id, which spreads evenly over the shuffle partitions.
-    ``row_id`` columns also break exact ties, so exactly one row per group
-    is first. NULL keys form one group, as in a window. With ``scope`` only
-    rows matching it compete (rows outside it are never first). ``last=True``
-    flags the last row instead (row_number() over descending order == 1).
+    Keys are counted first, by a hash aggregate over the key columns alone, in
+    which a hot key costs one row per map task. Only rows of keys that occur
+    more than once are ranked, by ``min(struct(order..., row_id))``, and the
+    winner's row id comes back by one join on the key, which AQE splits where a
+    key is hot. A row of a key without a winner is the only one, so it is first.
+    ``row_id`` columns also break exact ties, so exactly one row per group is
+    first. NULL keys form one group, as in a window. With ``scope`` only rows
+    matching it compete (rows outside it are never first). ``last=True`` flags
+    the last row instead (row_number() over descending order == 1).
     """
+    tag = uuid.uuid4().hex[:8]
+    names = [f"__k{i}_{tag}" for i in range(len(keys))]
+    competing = F.lit(True) if scope is None else F.coalesce(scope, F.lit(False))
     order_cols = [c.alias(f"__o{i}") for i, c in enumerate(_cols(order))]
-    rid_cols = [F.col(r).alias(r) for r in row_id]
-    candidates = df if scope is None else df.filter(scope)
-    firsts = (candidates.groupBy(*keys)
-              .agg((F.max if last else F.min)(F.struct(*order_cols, *rid_cols)).alias("__m"))
-              .select(*[F.col(f"__m.{r}").alias(r) for r in row_id])
-              .withColumn(flag, F.lit(True)))
-    return (df.join(firsts, on=list(row_id), how="left")
-            .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
+    candidates = df.filter(competing)
+    several = (candidates.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+               .agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").drop("__n"))
+
+    def same(left: DataFrame, right: DataFrame) -> Column:
+        cond = F.lit(True)
+        for k, n in zip(keys, names):
+            cond = cond & left[k].eqNullSafe(right[n])
+        return cond
+
+    rank = F.struct(*order_cols, F.struct(*[F.col(r).alias(r) for r in row_id]).alias("__id"))
+    ranked = candidates.select(*keys, rank.alias("__rank"))
+    winners = (ranked.join(several, same(ranked, several), "left_semi")
+               .groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+               .agg((F.max if last else F.min)("__rank").alias("__m"))
+               .select(*names, F.col("__m.__id").alias(f"__id_{tag}")))
+    won = F.col(f"__id_{tag}")
+    mine = F.lit(True)
+    for r in row_id:
+        mine = mine & (F.col(r) == won[r])
+    return (df.join(winners, same(df, winners), "left")
+            .withColumn(flag, competing & (won.isNull() | mine))
+            .drop(*names, f"__id_{tag}"))

@@ -6,8 +6,8 @@ would make that task a third of the job. ``carry`` computes the same values
 with bounded groups:
 
 1. range-partition on ``(key…, order…)`` — a hot key spans many partitions
-   because its order values differ — and materialize the result once
-   (``checkpoint`` into the cluster checkpoint folder) so the chunk number
+   because its order values differ — and write the result once as Parquet in
+   the shared folder so the chunk number
    (partition id) of every row is fixed, also across task retries;
 2. run the window inside ``(chunk, key)`` groups (at most one partition each);
 3. aggregate the last present value of every ``(chunk, key)`` (one row per
@@ -24,26 +24,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 
 def chunk_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    n_chunks: int | None = None, persist_input: bool = False) -> DataFrame:
     """Range-partition on (keys, order), number the partitions, materialize.
 
-    The range sample and the checkpoint write each compute ``df``; with
-    ``persist_input`` an expensive input is computed once (cached for the two
-    jobs, released as soon as the checkpoint is written).
+    The range sample and the write each compute ``df``; with ``persist_input``
+    an expensive input is computed once (cached for the two jobs, released as
+    soon as it is written). The jobs run when this is called.
     """
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
     src = df.persist() if persist_input else df
     cols = [F.col(c) for c in (*keys, *order)]
     # Without an explicit count AQE coalesces adjacent ranges to the advisory
     # partition size, so chunks follow the data volume (still contiguous ranges).
     ranged = src.repartitionByRange(n_chunks, *cols) if n_chunks else src.repartitionByRange(*cols)
     try:
-        return (ranged
-                .withColumn("__chunk", F.spark_partition_id())
-                .checkpoint(eager=True))
+        return materialize(ranged.withColumn("__chunk", F.spark_partition_id()), "chunks")
     finally:
         if persist_input:
             src.unpersist()

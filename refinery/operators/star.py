@@ -7,43 +7,23 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import quality
 
 
 def assign_keys(df: DataFrame, order: Sequence[str], key_col: str, start: int = 1,
-                num_partitions: int | None = None, persist_input: bool = False,
-                small_rows: int = 1_000_000) -> DataFrame:
+                num_partitions: int | None = None) -> DataFrame:
     """Dense surrogate keys ``start, start+1, …`` following ``order`` (IDENTITY).
 
-    No single-partition window: rows are range-partitioned on ``order`` and
-    materialized once (``checkpoint`` into the cluster's checkpoint folder, so
-    the partition assignment is fixed even if tasks are retried); each
-    partition's row count gives its offset (a table with one row per
-    partition, broadcast), and a window per partition numbers the rows inside it.
-
-    With ``persist_input`` the cached input is first counted up to
-    ``small_rows + 1``; a proven-small input (a typical dimension) is numbered
-    by one ordered window instead — a single task, but bounded by the proof,
-    as a broadcast would be.
+    Rows are range-partitioned on ``order`` and written once as Parquet in the
+    shared folder, so the partition number is fixed even if tasks are retried;
+    each partition's row count gives its offset (a table with one row per
+    partition), and a window per partition numbers the rows inside it. AQE
+    collapses a small input to one range. The write runs when this is called.
     """
-    from ..session import ensure_checkpoint_dir
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    src = df.persist() if persist_input else df        # the range sample and the write both read it
-    if persist_input and small_rows and src.limit(small_rows + 1).count() <= small_rows:
-        keyed = src.withColumn(key_col, (F.row_number().over(Window.orderBy(*order)) + F.lit(start - 1))
-                               .cast("bigint")).checkpoint(eager=True)
-        src.unpersist()
-        return keyed
-    try:
-        # no explicit count: AQE coalesces adjacent ranges to the advisory size
-        ranged = ((src.repartitionByRange(num_partitions, *order) if num_partitions
-                   else src.repartitionByRange(*order))
-                  .withColumn("__pid", F.spark_partition_id())
-                  .checkpoint(eager=True))
-    finally:
-        if persist_input:
-            src.unpersist()
+    # no explicit count: AQE coalesces adjacent ranges to the advisory size
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    ranged = materialize(ranged.withColumn("__pid", F.spark_partition_id()), "ranges")
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         "__pid",
@@ -57,47 +37,69 @@ def assign_keys(df: DataFrame, order: Sequence[str], key_col: str, start: int =
             .drop("__pid", "__rn", "__off"))
 
 
-def build_dimension(df: DataFrame, natural_key: Sequence[str], attrs: Sequence[str], key_col: str,
-                    small_rows: int = 1_000_000) -> DataFrame:
+def build_dimension(df: DataFrame, natural_key: Sequence[str], attrs: Sequence[str], key_col: str) -> DataFrame:
     """SELECT DISTINCT natural key + attributes, then a dense key in natural-key order.
 
     Conflicting attributes for one natural key give two rows (as DISTINCT
     does); ``natural_key_conflicts`` reports them before a fact fans out.
     """
     cols = list(natural_key) + [a for a in attrs if a not in natural_key]
-    distinct = df.select(*cols).distinct()
-    keyed = assign_keys(distinct, cols, key_col, persist_input=True, small_rows=small_rows)
-    return keyed.select(key_col, *cols)
+    return assign_keys(df.select(*cols).distinct(), cols, key_col).select(key_col, *cols)
 
 
 def natural_key_conflicts(dim: DataFrame, natural_key: Sequence[str]) -> DataFrame:
     return quality.duplicate_keys(dim, natural_key)
 
 
-def lookup_keys(fact: DataFrame, lookups: Sequence[tuple[DataFrame, Sequence[tuple[str, str]], Sequence[str]]],
-                on_missing: str = "drop") -> DataFrame:
-    """Resolve surrogate keys by a chain of equi-joins.
+ON_MISSING = ("drop", "unknown", "fail")
+
+
+def resolve_keys(fact: DataFrame, lookups: Sequence[tuple[DataFrame, Sequence[tuple[str, str]], Sequence[str]]],
+                 missing_col: str = "missing_lookup") -> DataFrame:
+    """Every fact row with the columns its lookups bring, and the position of the
+    first lookup that found nothing (NULL: all found).
 
     Each lookup is ``(dim, [(fact_col, dim_col), …], dim columns to bring)``;
     a later lookup may use columns an earlier one brought (snowflake chain).
-    ``on_missing``: ``drop`` (inner join, as the warehouse load), ``unknown``
-    (left join, missing keys → -1). Join strategy is left to Catalyst/AQE:
-    small dimensions broadcast under the threshold, large ones sort-merge.
+    Join strategy is left to Catalyst/AQE: small dimensions broadcast under the
+    threshold, large ones sort-merge.
     """
-    out = fact
-    for dim, pairs, bring in lookups:
-        right = dim.select(*[F.col(dc).alias(f"__d{i}") for i, (_, dc) in enumerate(pairs)], *bring)
+    out, missing = fact, F.lit(None).cast("int")
+    for n, (dim, pairs, bring) in enumerate(lookups):
+        right = dim.select(*[F.col(dc).alias(f"__d{i}") for i, (_, dc) in enumerate(pairs)], *bring,
+                           F.lit(True).alias(f"__hit{n}"))
         cond: Column | None = None
         for i, (fc, _) in enumerate(pairs):
             term = out[fc] == right[f"__d{i}"]
             cond = term if cond is None else cond & term
-        how = "inner" if on_missing == "drop" else "left"
-        out = out.join(right, cond, how).drop(*[f"__d{i}" for i in range(len(pairs))])
-        if on_missing == "unknown":
-            for b in bring:
-                if b.endswith("_key"):
-                    out = out.withColumn(b, F.coalesce(F.col(b), F.lit(-1).cast("bigint")))
-    return out
+        out = out.join(right, cond, "left").drop(*[f"__d{i}" for i in range(len(pairs))])
+    for n in reversed(range(len(lookups))):
+        missing = F.when(F.col(f"__hit{n}").isNull(), F.lit(n)).otherwise(missing)
+    return out.withColumn(missing_col, missing).drop(*[f"__hit{n}" for n in range(len(lookups))])
+
+
+def lookup_keys(fact: DataFrame, lookups: Sequence[tuple[DataFrame, Sequence[tuple[str, str]], Sequence[str]]],
+                on_missing: str = "drop") -> DataFrame:
+    """Resolve surrogate keys by a chain of equi-joins (see :func:`resolve_keys`).
+
+    ``on_missing``: ``drop`` (rows without a match go, as an inner join has it),
+    ``unknown`` (missing keys become -1), ``fail`` (the job fails on the first
+    row without a match).
+    """
+    if on_missing not in ON_MISSING:
+        raise ValueError(f"on_missing is one of {ON_MISSING}, not {on_missing!r}")
+    out = resolve_keys(fact, lookups, "__missing")
+    if on_missing == "drop":
+        return out.filter("__missing is null").drop("__missing")
+    if on_missing == "fail":
+        guard = F.when(F.col("__missing").isNull(), F.lit(True)).otherwise(F.raise_error(
+            F.concat(F.lit("no match in lookup "), F.col("__missing").cast("string"))).cast("boolean"))
+        return out.filter(guard).drop("__missing")
+    for _, _, bring in lookups:
+        for b in bring:
+            if b.endswith("_key"):
+                out = out.withColumn(b, F.coalesce(F.col(b), F.lit(-1).cast("bigint")))
+    return out.drop("__missing")
 
 
 def unmatched(fact: DataFrame, dim: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:

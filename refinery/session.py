@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 # Settings for a large cluster (~100 TB inputs). Chunked operators (carry,
@@ -62,9 +61,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only when unset."""
+    """The shared folder of ``spark.checkpoint.dir``. Where it is unset, a local
+    master gets a temporary one; a cluster has to name it, since a folder of one
+    machine would be invisible to the others."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="refinery-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if not spark.sparkContext.getCheckpointDir():
@@ -72,9 +75,46 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/refinery/{spark.sparkContext.applicationId}"
+
+
 def scratch_dir(spark: SparkSession, name: str = "work") -> str:
-    """A fresh folder under the cluster's shared checkpoint folder."""
-    root = ensure_checkpoint_dir(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return os.path.join(root, "refinery", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh folder of this application under the shared folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back. Lineage is
+    cut, what a task drew (such as its partition number) is fixed, and later
+    passes read only the columns they need. Runs the job when called."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its Hadoop filesystem; any other error is raised."""
+    fs, p = _path(spark, path)
+    return fs.exists(p)
+
+
+def child_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path`` (one listing call), hidden ones
+    left out; none where ``path`` does not exist. Any other error is raised."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return []
+    names = (st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def remove_scratch(spark: SparkSession) -> bool:
+    """Delete this application's scratch folders, once no DataFrame over them is needed."""
+    fs, p = _path(spark, _scratch_root(spark))
+    return fs.delete(p, True)

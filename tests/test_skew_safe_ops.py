@@ -63,5 +63,5 @@ def test_dimension_small_and_chunked_paths_agree(spark):
     from refinery.operators.star import build_dimension
     part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
     small = build_dimension(part, ["p_partkey"], ["p_brand"], "part_key")
-    chunked = build_dimension(part, ["p_partkey"], ["p_brand"], "part_key", small_rows=0)
+    chunked = build_dimension(part, ["p_partkey"], ["p_brand"], "part_key")
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, chunked.collect()))
