@@ -1,7 +1,9 @@
 """Change data capture over a change log ``(lsn, seq, operation, key…, image…)``.
 
-Operations are the decoded names ``INSERT``, ``UPDATE``, ``DELETE``; the
-commit order is ``(lsn, seq)``. Ranges are half-open ``[lo, hi)``.
+Operations may be names (``INSERT``, ``UPDATE``, ``DELETE``, ``UPDATE (before)``,
+``UPDATE (after)``) or the numeric codes of a change table; :func:`normalise`
+brings both to one form, and every operator calls it. The commit order is
+``(lsn, seq)``. Ranges include both ends unless ``include_hi=False``.
 """
 
 from __future__ import annotations
@@ -12,51 +14,90 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import decode
+from ..session import child_dirs, path_exists
 from .rules import flag_first
 from .sequence import carry
 
 # Numeric change-table operation codes and their names.
 OP_CODES = {1: "DELETE", 2: "INSERT", 3: "UPDATE (before)", 4: "UPDATE (after)"}
+BEFORE = "UPDATE (before)"
 
 
 def decode_operation(code: Column | str) -> Column:
     return decode(code, OP_CODES)
 
 
-def in_range(log: DataFrame, lo, hi, lsn: str = "lsn") -> DataFrame:
+def normalise(log: DataFrame, op: str = "operation") -> DataFrame:
+    """Operations as INSERT, UPDATE, DELETE or ``UPDATE (before)``, whatever form the log has."""
+    text = F.trim(F.col(op).cast("string"))
+    named = F.coalesce(decode_operation(text.try_cast("int")), F.upper(text))
+    plain = (F.when(named == "UPDATE (AFTER)", F.lit("UPDATE")).when(named == "UPDATE (after)", F.lit("UPDATE"))
+             .when(named == "UPDATE (BEFORE)", F.lit(BEFORE)).otherwise(named))
+    return log.withColumn(op, plain)
+
+
+def after_images(log: DataFrame, op: str = "operation") -> DataFrame:
+    """The normalised log without before-images: one row a change."""
+    return normalise(log, op).filter(F.col(op) != BEFORE)
+
+
+def in_range(log: DataFrame, lo, hi, lsn: str = "lsn", include_hi: bool = True) -> DataFrame:
+    """Rows with ``lo <= lsn <= hi`` (``< hi`` with ``include_hi=False``); None leaves an end open."""
     c = F.col(lsn)
     out = log
     if lo is not None:
         out = out.filter(c >= F.lit(lo).cast(log.schema[lsn].dataType))
     if hi is not None:
-        out = out.filter(c < F.lit(hi).cast(log.schema[lsn].dataType))
+        end = F.lit(hi).cast(log.schema[lsn].dataType)
+        out = out.filter(c <= end if include_hi else c < end)
     return out
 
 
-def all_changes(log: DataFrame, lo, hi, lsn: str = "lsn") -> DataFrame:
+def in_commit_order(changes: DataFrame, lsn: str = "lsn", seq: str = "seq") -> DataFrame:
+    """Changes sorted as they were committed, for a sink that keeps order."""
+    return changes.orderBy(lsn, seq)
+
+
+def all_changes(log: DataFrame, lo, hi, lsn: str = "lsn", op: str = "operation", include_hi: bool = True) -> DataFrame:
     """Every change in range with its after-image (net of nothing)."""
-    return in_range(log, lo, hi, lsn)
+    return after_images(in_range(log, lo, hi, lsn, include_hi), op)
 
 
 def all_changes_update_old(log: DataFrame, keys: Sequence[str], image: Sequence[str], lo, hi,
-                           lsn: str = "lsn", seq: str = "seq", op: str = "operation") -> DataFrame:
+                           lsn: str = "lsn", seq: str = "seq", op: str = "operation",
+                           include_hi: bool = True) -> DataFrame:
     """As ``all_changes`` plus, for each UPDATE, the row image before it
     (``UPDATE (before)``); updates themselves become ``UPDATE (after)``.
 
-    The before-image is the image of the key's previous change anywhere
-    earlier in the log (not only inside the range), found skew-safely.
+    Before-images that the log holds are used. Otherwise the before-image is
+    that of the key's previous change, wherever in the log: of the changes
+    before the range, each changed key contributes its last one (a partial
+    aggregate), so the ordered pass runs over the range alone.
     """
-    prefix = in_range(log, None, hi, lsn)
-    withprev = carry(prefix, keys, [lsn, seq], list(image), prefix="__prev_")
-    rng = in_range(withprev, lo, None, lsn)
-    cols = [lsn, seq, *keys]
-    after = F.struct(*[F.col(c).alias(c) for c in cols],
+    log = normalise(log, op)
+    cols = [lsn, seq, *keys, op, *image]
+    rng = in_range(log, lo, hi, lsn, include_hi).select(*cols, F.when(F.col(op) == BEFORE, 0).otherwise(1).alias("__phase"))
+    if lo is not None:
+        first = F.lit(lo).cast(log.schema[lsn].dataType)
+        earlier = log.filter((F.col(lsn) < first) & (F.col(op) != BEFORE))
+        changed = rng.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).distinct()
+        cond = F.lit(True)
+        for i, k in enumerate(keys):
+            cond = cond & earlier[k].eqNullSafe(changed[f"__k{i}"])
+        last = F.max(F.struct(F.col(lsn), F.col(seq), *[F.col(c).alias(c) for c in image])).alias("__l")
+        seeds = earlier.join(changed, cond, "left_semi").groupBy(*keys).agg(last).select(
+            F.col(f"__l.{lsn}").alias(lsn), F.col(f"__l.{seq}").alias(seq), *keys, F.lit("SEED").alias(op),
+            *[F.col(f"__l.{c}").alias(c) for c in image], F.lit(1).alias("__phase"))
+        rng = rng.unionByName(seeds)
+    withprev = carry(rng, keys, [lsn, seq, "__phase"], list(image), prefix="__prev_").filter(
+        (F.col(op) != BEFORE) & (F.col(op) != "SEED"))
+    after = F.struct(*[F.col(c).alias(c) for c in (lsn, seq, *keys)],
                      F.when(F.col(op) == "UPDATE", F.lit("UPDATE (after)")).otherwise(F.col(op)).alias(op),
                      *[F.col(c).alias(c) for c in image])
-    before = F.struct(*[F.col(c).alias(c) for c in cols], F.lit("UPDATE (before)").alias(op),
+    before = F.struct(*[F.col(c).alias(c) for c in (lsn, seq, *keys)], F.lit(BEFORE).alias(op),
                       *[F.col(f"__prev_{c}").alias(c) for c in image])
     rows = F.when(F.col(op) == "UPDATE", F.array(before, after)).otherwise(F.array(after))
-    return rng.select(F.explode(rows).alias("__r")).select("__r.*").select(*cols, op, *image)
+    return withprev.select(F.explode(rows).alias("__r")).select("__r.*").select(lsn, seq, *keys, op, *image)
 
 
 def _first_last(changes: DataFrame, keys: Sequence[str], image: Sequence[str],
@@ -71,13 +112,13 @@ def _first_last(changes: DataFrame, keys: Sequence[str], image: Sequence[str],
 
 def net_changes(log: DataFrame, keys: Sequence[str], image: Sequence[str], lo, hi,
                 lsn: str = "lsn", seq: str = "seq", op: str = "operation",
-                out_op: str = "net_operation") -> DataFrame:
+                out_op: str = "net_operation", include_hi: bool = True) -> DataFrame:
     """One row per key changed in range: its net effect and final image.
 
     first INSERT … last DELETE → no row; first INSERT → INSERT; last DELETE →
     DELETE; anything else → UPDATE.
     """
-    fl = _first_last(in_range(log, lo, hi, lsn), keys, image, lsn, seq, op)
+    fl = _first_last(all_changes(log, lo, hi, lsn, op, include_hi), keys, image, lsn, seq, op)
     f, l = F.col("__f.op"), F.col("__l.op")
     net = (F.when(f == "INSERT", F.lit("INSERT")).when(l == "DELETE", F.lit("DELETE"))
            .otherwise(F.lit("UPDATE")))
@@ -88,32 +129,51 @@ def net_changes(log: DataFrame, keys: Sequence[str], image: Sequence[str], lo, h
 
 def last_state(changes: DataFrame, keys: Sequence[str], image: Sequence[str],
                lsn: str = "lsn", seq: str = "seq", op: str = "operation") -> DataFrame:
-    """Per key: the last change (operation + image + its lsn)."""
-    fl = _first_last(changes, keys, image, lsn, seq, op)
-    return fl.select(*keys, F.col("__l.op").alias(op), *[F.col(f"__l.{c}").alias(c) for c in image],
-                     F.col(f"__l.{lsn}").alias(lsn))
+    """Per key: the last change by (lsn, seq) — keys, operation, image, lsn, seq. Deleted
+    keys stay in it with their DELETE, so a state kept this way also refuses changes
+    that arrive late."""
+    last = F.max(F.struct(F.col(lsn), F.col(seq), F.col(op).alias("op"), *[F.col(c).alias(c) for c in image]))
+    return after_images(changes, op).groupBy(*keys).agg(last.alias("__l")).select(
+        *keys, F.col("__l.op").alias(op), *[F.col(f"__l.{c}").alias(c) for c in image],
+        F.col(f"__l.{lsn}").alias(lsn), F.col(f"__l.{seq}").alias(seq))
+
+
+def live(state: DataFrame, op: str = "operation") -> DataFrame:
+    """The rows of a state that are not deleted."""
+    return state.filter(F.col(op) != "DELETE")
+
+
+def fold(base: DataFrame, changes: DataFrame, keys: Sequence[str], image: Sequence[str],
+         lsn: str = "lsn", seq: str = "seq", op: str = "operation") -> DataFrame:
+    """State after both: per key the last of base row and changes by (lsn, seq), deletes kept.
+
+    A base without ``operation`` holds live rows; one without ``seq`` gives way
+    to a change of the same lsn, one without ``lsn`` to any change.
+    """
+    kind = {f.name: f.dataType for f in changes.schema}
+    held = base.select(*keys, *image,
+                       *[F.col(c) if c in base.columns else F.lit(None).cast(kind[c]).alias(c) for c in (lsn, seq)],
+                       F.col(op) if op in base.columns else F.lit("UPDATE").alias(op))
+    return last_state(held.unionByName(normalise(changes, op).select(*held.columns)), keys, image, lsn, seq, op)
 
 
 def apply_changes(base: DataFrame, changes: DataFrame, keys: Sequence[str], image: Sequence[str],
                   lsn: str = "lsn", seq: str = "seq", op: str = "operation") -> DataFrame:
-    """State after applying ``changes`` to ``base`` (one row per live key).
+    """State after applying ``changes`` to ``base`` (one row per live key, the columns of ``base``).
 
     Uses the last operation per key (not the net change): a key whose range
-    is INSERT … DELETE is removed even if ``base`` already held it, so an
-    inconsistent log cannot leave stale rows. Keys are unique on both sides
-    of the anti join, so it cannot fan out.
+    is INSERT … DELETE is removed even if ``base`` already held it. A change
+    older than the base row leaves it as it is. To refuse late changes of keys
+    that are deleted already, keep the state of :func:`fold`.
     """
-    last = last_state(changes, keys, image, lsn, seq, op)
-    kept = base.join(last.select(*keys), list(keys), "left_anti")
-    upserts = last.filter(F.col(op) != "DELETE").select(*base.columns)
-    return kept.unionByName(upserts)
+    return live(fold(base, changes, keys, image, lsn, seq, op), op).select(*base.columns)
 
 
 def replay(log: DataFrame, keys: Sequence[str], image: Sequence[str], hi,
-           lsn: str = "lsn", seq: str = "seq", op: str = "operation") -> DataFrame:
+           lsn: str = "lsn", seq: str = "seq", op: str = "operation", include_hi: bool = True) -> DataFrame:
     """State at ``hi`` from an empty start (last change per key, deletes removed)."""
-    last = last_state(in_range(log, None, hi, lsn), keys, image, lsn, seq, op)
-    return last.filter(F.col(op) != "DELETE").select(*keys, *image, lsn)
+    state = last_state(in_range(log, None, hi, lsn, include_hi), keys, image, lsn, seq, op)
+    return live(state, op).select(*keys, *image, lsn, seq)
 
 
 def incremental(log: DataFrame, high_water_mark, lsn: str = "lsn") -> DataFrame:
@@ -123,6 +183,33 @@ def incremental(log: DataFrame, high_water_mark, lsn: str = "lsn") -> DataFrame:
     return log.filter(F.col(lsn) > F.lit(high_water_mark).cast(log.schema[lsn].dataType))
 
 
+def load_incremental(log: DataFrame, root: str, lsn: str = "lsn") -> int:
+    """Copy what lies beyond the stored high-water mark to ``root`` and store the new mark.
+
+    Load ``n`` writes ``root/changes/load=<n>`` and, once that has committed, its
+    mark ``root/marks/load=<n>``. A load that died between the two has no mark,
+    so the next run writes the same load again. Returns the number of rows.
+    """
+    spark = log.sparkSession
+    done = sorted(int(d.split("=")[1]) for d in child_dirs(spark, f"{root}/marks"))
+    mark = spark.read.parquet(f"{root}/marks/load={done[-1]}").first()["mark"] if done else None
+    fresh = incremental(log, mark, lsn)
+    upto, n = fresh.agg(F.max(lsn), F.count(F.lit(1))).first()
+    if not n:
+        return 0
+    load = done[-1] + 1 if done else 0
+    in_range(fresh, None, upto, lsn).write.mode("overwrite").parquet(f"{root}/changes/load={load}")
+    spark.createDataFrame([(upto,)], f"mark {log.schema[lsn].dataType.simpleString()}").coalesce(1) \
+        .write.mode("overwrite").parquet(f"{root}/marks/load={load}")
+    return n
+
+
+def loaded(spark, root: str) -> DataFrame:
+    """All committed loads of :func:`load_incremental`."""
+    done = [d for d in child_dirs(spark, f"{root}/marks") if path_exists(spark, f"{root}/changes/{d}")]
+    return spark.read.option("basePath", f"{root}/changes").parquet(*[f"{root}/changes/{d}" for d in done])
+
+
 def incremental_by_timestamp(df: DataFrame, col: str, last_run) -> DataFrame:
     """The timestamp-watermark extract (``updated_at > last_run``); see
     :func:`watermark_gap` for what it cannot see (deletes, intermediate states)."""
@@ -130,14 +217,15 @@ def incremental_by_timestamp(df: DataFrame, col: str, last_run) -> DataFrame:
 
 
 def watermark_gap(log: DataFrame, keys: Sequence[str], lo, hi, row_id: Sequence[str],
-                  lsn: str = "lsn", seq: str = "seq", op: str = "operation") -> DataFrame:
+                  lsn: str = "lsn", seq: str = "seq", op: str = "operation",
+                  include_hi: bool = True) -> DataFrame:
     """What an ``updated_at > last_run`` extract misses compared with CDC.
 
     Each change in range is ``missed_delete`` (the row is gone, a timestamp
     filter cannot see it), ``missed_intermediate`` (a later change of the key
     in range overwrote it) or ``captured``.
     """
-    rng = in_range(log, lo, hi, lsn)
+    rng = all_changes(log, lo, hi, lsn, op, include_hi)
     flagged = flag_first(rng, keys, [lsn, seq], row_id, flag="__is_last", last=True)
     kind = (F.when(F.col(op) == "DELETE", F.lit("missed_delete"))
             .when(~F.col("__is_last"), F.lit("missed_intermediate")).otherwise(F.lit("captured")))

@@ -87,7 +87,26 @@ def stream_cdc_apply(spark, sf):
             .select("user_id", "event_type", "value", F.col("lsn").alias("changed_at")))
 
 
+@query("stream_cdc_late")
+def stream_cdc_late(spark, sf):
+    """The later drop of the change log arrives first; snapshots are taken after every batch."""
+    from .cdc import IMAGE, KEYS, to_change_log as to_log
+    root = scratch_dir(spark, "stream_late")
+    events, first, second = _drops(spark, sf)
+    src, state, ckpt = f"{root}/src", f"{root}/state", f"{root}/_checkpoint"
+    for drop in (second, first):
+        drop.write.mode("append").parquet(src)
+        foreach_batch_apply(spark, src, events.schema, state, ckpt, KEYS, IMAGE, to_log, compact_every=1)
+    return (latest_state(spark, state, KEYS, IMAGE)
+            .select("user_id", "event_type", "value", F.col("lsn").alias("changed_at")))
+
+
+_LAST_SQL = """
+WITH r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+SELECT user_id, event_type, value, ts AS changed_at FROM r WHERE rn = 1 AND event_type <> 'error'"""
+
 attach({
+    "stream_cdc_late": _LAST_SQL,
     "stream_cdc_apply": """
 WITH r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
 SELECT user_id, event_type, value, ts AS changed_at FROM r WHERE rn = 1 AND event_type <> 'error'""",

@@ -9,14 +9,14 @@ committed micro-batch.
 from __future__ import annotations
 
 import os
-import re
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.raw import list_files
+from ..operators.cdc import fold, last_state, live, normalise
+from ..session import child_dirs
 
 
 def land_incremental(spark: SparkSession, src: str, schema: T.StructType, sink: str, checkpoint: str,
@@ -46,7 +46,7 @@ def foreach_batch_classify(spark: SparkSession, src: str, schema: T.StructType,
 
     def process(batch: DataFrame, batch_id: int) -> None:
         seen = None
-        if list_files(spark, keys_root):
+        if child_dirs(spark, keys_root):
             seen = spark.read.parquet(keys_root).filter(F.col("batch_id") < batch_id).select(*seen_cols)
         out = classify(batch, seen).withColumn("batch_id", F.lit(batch_id))
         out.write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
@@ -61,7 +61,7 @@ def foreach_batch_classify(spark: SparkSession, src: str, schema: T.StructType,
 
 
 def _batch_ids(spark: SparkSession, root: str, part: str) -> list[int]:
-    return sorted({int(m.group(1)) for f in list_files(spark, root) for m in [re.search(rf"/{part}=(\d+)/", f)] if m})
+    return sorted(int(d.split("=")[1]) for d in child_dirs(spark, root) if d.startswith(f"{part}="))
 
 
 def foreach_batch_apply(spark: SparkSession, src: str, schema: T.StructType, state_root: str, checkpoint: str,
@@ -75,18 +75,21 @@ def foreach_batch_apply(spark: SparkSession, src: str, schema: T.StructType, sta
     ``state_root/changes/batch_id=<n>`` (O(batch), overwrite: a replayed batch
     rewrites itself, and applying the same changes twice gives the same
     state). Every ``compact_every`` batches a snapshot
-    ``state_root/snapshot/upto=<n>`` folds the changes into the state. Readers
-    use :func:`latest_state`: newest snapshot + later changes, last operation
-    per key. State as of any batch stays readable while its changes are kept.
+    ``state_root/snapshot/upto=<n>`` folds the changes into the state, deleted
+    keys and their (lsn, seq) included, so a change that arrives late loses to
+    what it is older than, whichever batch brought that. Readers use
+    :func:`latest_state`: newest snapshot + later changes, last operation per
+    key; the result does not depend on ``compact_every``. State as of any batch
+    stays readable while its changes are kept.
     """
     cols = [*keys, *image, lsn, seq, op]
 
     def process(batch: DataFrame, batch_id: int) -> None:
         changes = to_log(batch) if to_log is not None else batch
-        changes.select(*cols).write.mode("overwrite").parquet(
+        normalise(changes, op).select(*cols).write.mode("overwrite").parquet(
             os.path.join(state_root, "changes", f"batch_id={batch_id}"))
         if (batch_id + 1) % compact_every == 0:
-            latest_state(spark, state_root, keys, image, lsn, seq, op, upto=batch_id) \
+            _state(spark, state_root, keys, image, lsn, seq, op, batch_id) \
                 .write.mode("overwrite").parquet(os.path.join(state_root, "snapshot", f"upto={batch_id}"))
 
     q = (spark.readStream.schema(schema).format(fmt).load(src).writeStream
@@ -95,25 +98,27 @@ def foreach_batch_apply(spark: SparkSession, src: str, schema: T.StructType, sta
     q.awaitTermination()
 
 
-def latest_state(spark: SparkSession, state_root: str, keys: Sequence[str], image: Sequence[str],
-                 lsn: str = "lsn", seq: str = "seq", op: str = "operation", upto: int | None = None) -> DataFrame:
-    """State after batch ``upto`` (default: all batches) written by :func:`foreach_batch_apply`:
-    one row per live key with its image and the lsn of its last change."""
-    from ..operators.cdc import apply_changes, replay
-
-    snaps = [v for v in _batch_ids(spark, os.path.join(state_root, "snapshot"), "upto") if upto is None or v <= upto]
+def _state(spark: SparkSession, state_root: str, keys: Sequence[str], image: Sequence[str],
+           lsn: str, seq: str, op: str, upto: int | None) -> DataFrame:
+    """Last change per key up to batch ``upto``, deletes included: newest snapshot and later changes."""
     changes_root = os.path.join(state_root, "changes")
-    deltas = None
-    if list_files(spark, changes_root):
-        deltas = spark.read.parquet(changes_root)
-        if snaps:
-            deltas = deltas.filter(F.col("batch_id") > snaps[-1])          # partition pruning
-        if upto is not None:
-            deltas = deltas.filter(F.col("batch_id") <= upto)
-        deltas = deltas.drop("batch_id")
+    snaps = [v for v in _batch_ids(spark, os.path.join(state_root, "snapshot"), "upto") if upto is None or v <= upto]
+    if not _batch_ids(spark, changes_root, "batch_id"):
+        raise FileNotFoundError(f"no state under {state_root}")
+    deltas = spark.read.parquet(changes_root)
+    if snaps:
+        deltas = deltas.filter(F.col("batch_id") > snaps[-1])          # partition pruning
+    if upto is not None:
+        deltas = deltas.filter(F.col("batch_id") <= upto)
+    deltas = deltas.drop("batch_id")
     if not snaps:
-        if deltas is None:
-            raise FileNotFoundError(f"no state under {state_root}")
-        return replay(deltas, keys, image, None, lsn, seq, op)
+        return last_state(deltas, keys, image, lsn, seq, op)
     base = spark.read.parquet(os.path.join(state_root, "snapshot", f"upto={snaps[-1]}"))
-    return base if deltas is None else apply_changes(base, deltas, keys, image, lsn, seq, op)
+    return fold(base, deltas, keys, image, lsn, seq, op)
+
+
+def latest_state(spark: SparkSession, state_root: str, keys: Sequence[str], image: Sequence[str],
+                 lsn: str = "lsn", seq: str = "seq", op: str = "operation", upto: int | None = None) -> DataFrame:
+    """State after batch ``upto`` (default: all batches) written by :func:`foreach_batch_apply`:
+    one row per live key with its image and the lsn and seq of its last change."""
+    return live(_state(spark, state_root, keys, image, lsn, seq, op, upto), op).select(*keys, *image, lsn, seq)
