@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.llm.common import held_out, written
-from refinery.llm.exactdedup import exact_dedup
+from refinery.llm.exactdedup import without_copies
 from refinery.llm.langid import UNKNOWN, identify, learn
 from refinery.llm.mixing import mix
 from refinery.llm.packing import pack
@@ -32,7 +32,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts."""
-    return exact_dedup(docs).filter("kept").select(*docs.columns)
+    return without_copies(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,8 +30,11 @@ def with_row(df: DataFrame) -> DataFrame:
     """Add ``__row``, a string that names the row: file path and row index.
 
     It does not depend on how a scan is split, so passes that run with other
-    executors agree. A DataFrame that no Parquet scan backs is written first.
+    executors agree. A DataFrame that no Parquet scan backs is written first;
+    one that has ``__row`` already is returned as it is.
     """
+    if ROW in df.columns:
+        return df
     def named(d: DataFrame) -> DataFrame:
         return d.select("*", F.concat_ws("#", F.col("_metadata.file_path"),
                                          F.col("_metadata.row_index")).alias(ROW))

@@ -1,6 +1,6 @@
 """Exact dedup by progressive refinement: length, then prefix hash, then full hash.
 
-Three passes over the texts, each for the rows that are still undecided:
+Three steps, each for the rows that are still undecided, in two scans of the texts:
 
 1. the length of the normalised text and the hash of its first ``PREFIX``
    characters, of every row; lengths that occur once are decided;
@@ -18,8 +18,8 @@ Equal means equal after deleting the characters ``[\\x20\\x09-\\x0D]``; null
 counts as empty. Of equal texts the row with the most code points in the
 original text stays, then the smallest doc_id (a null id last), then the row
 that comes first in the input files, so of repeated rows exactly one stays.
-An empty table gives no rows. Columns of the input keep their names; names
-that start with two underscores are the operator's own.
+An empty table gives no rows. Other columns than text and doc_id are read only
+where asked for; names that start with two underscores are the operator's own.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, with_row
+from .common import ROW, with_row, written
 
 PREFIX = 64
 BITMAP = 1 << 20
@@ -70,24 +70,33 @@ def surviving_pairs(docs: DataFrame) -> DataFrame:
     return pairs.join(lengths, "__length", "left_semi").filter("__n > 1").drop("__n")
 
 
-def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` with ``keep_id``, ``group_size`` and ``kept``.
+def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: doc_id, keep_id, group_size, kept, the ``carry`` columns and ``__row``, the row's name.
 
-    One job (the bitmap of surviving pairs) runs while this is called.
+    The bitmap of surviving pairs and one scan that writes what is decided about
+    each row, without its text, run while this is called.
     """
-    plain = docs.select(F.col(text).alias("text"))
-    bits = _bitmap(surviving_pairs(plain))
+    bits = _bitmap(surviving_pairs(docs.select(F.col(text).alias("text"))))
     norm = normalised(F.col(text))
     pair = _bit(F.length(norm), F.xxhash64(F.substring(norm, 1, PREFIX)))
-    hashed = with_row(docs).withColumn("__full", F.when(_is_set(bits, pair), F.sha2(norm.cast("binary"), 256)))
-    rank = F.struct((-F.length(F.coalesce(F.col(text), F.lit("")))).alias("chars"),
-                    F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"), F.col(ROW).alias("row"))
-    groups = (hashed.filter("__full is not null")
+    rows = written(with_row(docs).select(
+        ROW, F.col(doc_id).alias("doc_id"), F.length(F.coalesce(F.col(text), F.lit(""))).alias("__chars"),
+        F.when(_is_set(bits, pair), F.sha2(norm.cast("binary"), 256)).alias("__full"), *carry), "hashes")
+    rank = F.struct((-F.col("__chars")).alias("chars"), F.col("doc_id").isNull().alias("no_id"),
+                    F.col("doc_id").alias("id"), F.col(ROW).alias("row"))
+    groups = (rows.filter("__full is not null")
               .groupBy("__full").agg(F.min(rank).alias("__best"), F.count(F.lit(1)).alias("group_size")))
-    several = (hashed.filter("__full is not null").join(groups, "__full")
+    several = (rows.filter("__full is not null").join(groups, "__full")
                .withColumn("keep_id", F.col("__best.id")).withColumn("kept", F.col(ROW) == F.col("__best.row")))
-    alone = (hashed.filter("__full is null")
-             .withColumn("keep_id", F.col(doc_id)).withColumn("group_size", F.lit(1).cast("long"))
+    alone = (rows.filter("__full is null")
+             .withColumn("keep_id", F.col("doc_id")).withColumn("group_size", F.lit(1).cast("long"))
              .withColumn("kept", F.lit(True)))
-    out = [*docs.columns, "keep_id", "group_size", "kept"]
+    out = ["doc_id", "keep_id", "group_size", "kept", *carry, ROW]
     return several.select(*out).unionByName(alone.select(*out))
+
+
+def without_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` less the rows of equal texts that do not stay."""
+    rows = with_row(docs)
+    dropped = exact_dedup(rows, text, doc_id).filter(~F.col("kept")).select(ROW)
+    return rows.join(dropped, ROW, "left_anti").select(*docs.columns)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import load
 from . import langid, pii, toxicity
-from .common import held_out
+from .common import ROW, held_out
 from .exactdedup import exact_dedup, normalised
 from .iblt import fingerprints
 from .mixing import mixing_rates
@@ -80,7 +80,7 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select(
         "doc_id", "text", F.sha2(normalised(F.col("text")).cast("binary"), 256).alias("text_sha256"))
-    return exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    return exact_dedup(docs, carry=("text_sha256",)).drop(ROW)
 
 
 ORACLES["op9_exact_dedup"] = """
