@@ -1,9 +1,4 @@
-"""The enrollment curation job on its own data model (raw CSV zone → curated zone).
-
-Latest batch per source → standardize → seven ordered rules (first failing
-wins) → one observed write of accepted / rejected rows → reconcile →
-integrate plan, issuer and member attributes into the curated enrollments.
-"""
+"""The enrollment curation job: its data model as a spec for :mod:`refinery.curation`."""
 
 from __future__ import annotations
 
@@ -11,11 +6,10 @@ import os
 from typing import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import jobs
+from . import curation
+from .curation import Lookup, Spec
 from .functions.text import Field, standardize
-from .operators.rules import Rule, any_null, classify, flag_exists, flag_first, with_row_id
 from .sources import landing, raw
 
 # Enrollment columns, allowed statuses, required fields, rule names in order.
@@ -33,79 +27,49 @@ RAW_LAYOUT = {"enrollments": "operational/enrollments", "feed": "external/enroll
 REASONS = ["MISSING_REQUIRED_FIELD", "INVALID_MEMBER_ID", "INVALID_PLAN_ID", "NEGATIVE_PREMIUM",
            "INVALID_STATUS", "INVALID_DATE_RANGE", "DUPLICATE_ENROLLMENT"]
 
-ENR_SPEC = [Field("enrollment_id", "bigint"), Field("member_id", "bigint"), Field("plan_id"),
+FAILS = [" OR ".join(f"{c} IS NULL" for c in REQUIRED), "NOT known_member", "NOT known_plan", "monthly_premium < 0",
+         f"status NOT IN ({', '.join(repr(s) for s in VALID_STATUSES)})", "termination_date < effective_date"]
+PLAN_ISSUER = Lookup("issuers", "issuer_id", {"issuer_name": "issuer_name", "issuer_state": "state_code"})
+SPEC = Spec(
+    fields=[Field("enrollment_id", "bigint"), Field("member_id", "bigint"), Field("plan_id"),
             Field("coverage_year", "int"), Field("effective_date", "date"), Field("termination_date", "date"),
-            Field("status", upper=True), Field("monthly_premium", "decimal(10,2)")]
-MEMBER_SPEC = [Field("member_id", "bigint"), Field("state_code", source="state_code"),
-               Field("age_band"), Field("household_size", "int")]
-PLAN_SPEC = [Field("plan_id"), Field("issuer_id"), Field("plan_name"), Field("metal_level")]
-ISSUER_SPEC = [Field("issuer_id"), Field("issuer_name"), Field("state_code")]
-
+            Field("status", upper=True), Field("monthly_premium", "decimal(10,2)")],
+    key=["enrollment_id"],
+    references={"known_member": ("members", "member_id"), "known_plan": ("plans", "plan_id")},
+    rules=list(zip(REASONS, FAILS)),
+    duplicate_reason=REASONS[-1],
+    lookups=[Lookup("plans", "plan_id", {c: c for c in ("plan_name", "metal_level", "issuer_id", "issuer_name")}),
+             Lookup("members", "member_id", {"member_state": "member_state", "age_band": "age_band"})],
+    derived={"active_indicator": "status = 'ACTIVE'"})
 
-def read_sources(spark: SparkSession, raw_root: str, sources: Mapping[str, str]) -> DataFrame:
-    """Newest batch of each enrollment source, standardized and tagged with its system."""
-    out = None
-    for system, rel in sources.items():
-        scan = with_row_id(raw.read_latest(spark, os.path.join(raw_root, rel), ENR_COLS))
-        df = standardize(scan, ENR_SPEC, keep=["source_file", "_rid_file", "_rid_row"],
-                         literals={"source_system": system})
-        out = df if out is None else out.unionByName(df)
-    return out
+# table → (raw columns, fields)
+REFERENCE_TABLES = {
+    "members": (MEMBER_COLS, [Field("member_id", "bigint"), Field("member_state", source="state_code"),
+                              Field("age_band"), Field("household_size", "int")]),
+    "plans": (PLAN_COLS, [Field("plan_id"), Field("issuer_id"), Field("plan_name"), Field("metal_level")]),
+    "issuers": (ISSUER_COLS, [Field("issuer_id"), Field("issuer_name"), Field("state_code")]),
+}
 
 
-def classify_enrollments(incoming: DataFrame, members: DataFrame, plans: DataFrame,
-                         dedupe_scope: str = "all", priority=("source_system", "source_file")) -> DataFrame:
-    """The seven rules. Duplicates are ranked by source priority (alphabetical
-    system, then file, as the reference) with the row id as final tiebreak."""
-    df = flag_exists(incoming, members, ["member_id"], "_member_ok")
-    df = flag_exists(df, plans, ["plan_id"], "_plan_ok")
-    rules = [
-        Rule("MISSING_REQUIRED_FIELD", any_null(*REQUIRED)),
-        Rule("INVALID_MEMBER_ID", ~F.col("_member_ok")),
-        Rule("INVALID_PLAN_ID", ~F.col("_plan_ok")),
-        Rule("NEGATIVE_PREMIUM", F.col("monthly_premium") < 0),
-        Rule("INVALID_STATUS", ~F.col("status").isin(*VALID_STATUSES)),
-        Rule("INVALID_DATE_RANGE", F.col("termination_date") < F.col("effective_date")),
-    ]
-    from .operators.rules import reason
-    scope = None if dedupe_scope == "all" else reason(rules).isNull()
-    df = flag_first(df, ["enrollment_id"], list(priority), ["_rid_file", "_rid_row"], flag="_first", scope=scope)
-    return classify(df, rules + [Rule("DUPLICATE_ENROLLMENT", ~F.col("_first"))])
+def reference_tables(spark: SparkSession, raw_root: str, layout: Mapping[str, str]) -> dict[str, DataFrame]:
+    """Newest batches of members, plans (with their issuer's attributes) and issuers, standardized."""
+    tables = {name: standardize(raw.read_latest(spark, os.path.join(raw_root, layout[name]), cols), fields)
+              for name, (cols, fields) in REFERENCE_TABLES.items()}
+    return tables | {"plans": curation.enriched(tables["plans"], tables, [PLAN_ISSUER])}
 
 
 def curate_enrollments(spark: SparkSession, raw_root: str, out_root: str, ingestion_ts: str,
                        layout: Mapping[str, str] | None = None, expected_rows: int | None = None) -> dict:
-    """Run the curation job; returns the reconciled counts. Writes
-    ``classified/dq_status=…``, ``dq_summary``, ``dq_rejections_by_reason``,
-    ``rejected/enrollment`` (CSV with reason and provenance),
-    ``curated/enrollment``, ``curated/plans`` and ``curated/members``.
-    Enrollments come from the system of record (``source_system`` =
-    ``operational``) and the partner feed (``external_feed``)."""
+    """Run the curation job; returns the reconciled counts. Beside what
+    :func:`refinery.curation.run` writes for ``enrollment``, the reference
+    tables go to ``curated/plans`` and ``curated/members``. Enrollments come
+    from the system of record (``source_system`` = ``operational``) and the
+    partner feed (``external_feed``)."""
     lay = {**RAW_LAYOUT, **(layout or {})}
-    sources = {"operational": lay["enrollments"], "external_feed": lay["feed"]}
-    members = standardize(raw.read_latest(spark, os.path.join(raw_root, lay["members"]), MEMBER_COLS),
-                          MEMBER_SPEC)
-    plans = standardize(raw.read_latest(spark, os.path.join(raw_root, lay["plans"]), PLAN_COLS), PLAN_SPEC)
-    issuers = standardize(raw.read_latest(spark, os.path.join(raw_root, lay["issuers"]), ISSUER_COLS),
-                          ISSUER_SPEC)
-    cls = classify_enrollments(read_sources(spark, raw_root, sources), members.select("member_id"),
-                               plans.select("plan_id"))
-    cls = cls.withColumn("ingestion_timestamp", F.lit(ingestion_ts).cast("timestamp"))
-    counts = jobs.curate(cls, out_root, columns=[*ENR_COLS, "source_file", "source_system", "ingestion_timestamp"],
-                         expected_rows=expected_rows)
-    written = spark.read.parquet(os.path.join(out_root, "classified"))
-    accepted = written.filter("dq_status = 'accepted'")
-    landing.write_quarantine(written.filter("dq_status = 'rejected'").drop("dq_status"),
-                             os.path.join(out_root, "rejected", "enrollment"), fmt="csv")
-    plan_dim = plans.join(issuers.withColumnRenamed("state_code", "issuer_state"), "issuer_id", "left")
-    member_attrs = members.select("member_id", F.col("state_code").alias("member_state"), "age_band",
-                                  "household_size")
-    curated = (accepted.drop("dq_status", "rejection_reason")
-               .join(plan_dim.select("plan_id", "plan_name", "metal_level", "issuer_id", "issuer_name"),
-                     "plan_id", "left")
-               .join(member_attrs.drop("household_size"), "member_id", "left")
-               .withColumn("active_indicator", F.col("status") == "ACTIVE"))
-    curated.write.mode("overwrite").parquet(os.path.join(out_root, "curated", "enrollment"))
-    plan_dim.write.mode("overwrite").parquet(os.path.join(out_root, "curated", "plans"))
-    member_attrs.write.mode("overwrite").parquet(os.path.join(out_root, "curated", "members"))
+    tables = reference_tables(spark, raw_root, lay)
+    counts = curation.run(spark, raw_root, out_root, "enrollment",
+                          {"operational": lay["enrollments"], "external_feed": lay["feed"]}, tables, SPEC,
+                          ingestion_ts, expected_rows)
+    for name in ("plans", "members"):
+        landing.write_curated(tables[name], os.path.join(out_root, "curated", name))
     return counts

@@ -190,19 +190,36 @@ WITH dq_in AS (
 )
 """
 
-DQ_VALID_CTE = DQ_CTE.replace("""), classified AS (
-  SELECT *, COALESCE(pre_reason, CASE WHEN ROW_NUMBER() OVER (
-        PARTITION BY l_orderkey, l_linenumber""", """), ranked AS (
+# The duplicate rank among rows that pass the other rules only.
+DQ_VALID_CTE = """
+WITH dq_in AS (
+  SELECT l.*, o.o_orderdate,
+         NULLIF(l.l_quantity, 1) AS qty,
+         CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) - 50 * CAST(l.l_quantity AS DECIMAL(12,2)) AS DECIMAL(18,2)) AS premium,
+         EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = l.l_suppkey AND s.s_acctbal >= 0) AS supplier_ok,
+         EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey AND p.p_size >= 3) AS part_ok
+  FROM lineitem l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey
+), pre AS (
+  SELECT *, CASE
+      WHEN qty IS NULL OR o_orderdate IS NULL THEN 'MISSING_REQUIRED_FIELD'
+      WHEN NOT supplier_ok THEN 'INVALID_SUPPLIER_ID'
+      WHEN NOT part_ok THEN 'INVALID_PART_ID'
+      WHEN premium < 0 THEN 'NEGATIVE_PREMIUM'
+      WHEN l_returnflag NOT IN ('A', 'N') AND l_linestatus = 'F' AND l_tax > 0.06 THEN 'INVALID_STATUS'
+      WHEN l_shipdate < o_orderdate - INTERVAL 3 YEAR THEN 'INVALID_DATE_RANGE'
+    END AS pre_reason
+  FROM dq_in
+), ranked AS (
   SELECT *, ROW_NUMBER() OVER (
-        PARTITION BY l_orderkey, l_linenumber, pre_reason IS NULL""").replace(
-    """                 l_returnflag, l_linestatus) > 1 THEN 'DUPLICATE_LINEITEM' END) AS rejection_reason
-  FROM pre
-)""", """                 l_returnflag, l_linestatus) AS rn
+        PARTITION BY l_orderkey, l_linenumber, pre_reason IS NULL
+        ORDER BY l_shipdate, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax,
+                 l_returnflag, l_linestatus) AS rn
   FROM pre
 ), classified AS (
   SELECT *, COALESCE(pre_reason, CASE WHEN rn > 1 THEN 'DUPLICATE_LINEITEM' END) AS rejection_reason
   FROM ranked
-)""")
+)
+"""
 
 _LINE_SQL = ("l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, "
              "l_tax, l_returnflag, l_linestatus, l_shipdate, o_orderdate, premium")

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from .. import jobs
 from ..functions.text import Field, standardize
+from ..functions.expr import batch_id, hex_text, money_text
+from ..operators import quality
 from ..operators.layout import write_clustered
 from ..session import scratch_dir
 from ..sources import landing, raw
@@ -31,6 +33,26 @@ def manifest_reconcile(spark, sf):
     return rec.select(F.col("table").alias("table_name"), "manifest_rows", "landed_rows", "status")
 
 
+@query("manifest_totals")
+def manifest_totals(spark, sf):
+    """Files and rows of a landing run, from its manifest alone."""
+    root = scratch_dir(spark, "raw")
+    mpath = landing.land_all(spark, {(s, n): t(spark, sf, n) for s, n in LANDED}, root, RUN_1)
+    return raw.manifest_totals(raw.read_manifest(spark, mpath))
+
+
+@query("land_documents")
+def land_documents(spark, sf):
+    """Texts with line breaks, quotes and backslashes landed as CSV and read back whole."""
+    root = scratch_dir(spark, "raw")
+    docs = t(spark, sf, "documents")
+    # some texts made NULL or empty, which the file has to tell apart
+    docs = docs.withColumn("text", F.when(F.col("doc_id") % 50 == 0, F.lit(None)).when(F.col("doc_id") % 50 == 1, F.lit(""))
+                           .otherwise(F.concat("text", F.lit('\r\n\\n "q", \\'))))
+    landing.land(docs, root, "feed", "documents", RUN_1)
+    return raw.read_latest(spark, os.path.join(root, "feed", "documents"), docs.columns).drop("source_file", "batch")
+
+
 ORDER_TEXT_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
 ORDER_TYPES = [Field("o_orderkey", "bigint"), Field("o_custkey", "bigint"), Field("o_orderstatus"),
                Field("o_totalprice", "decimal(12,2)"), Field("o_orderdate", "date")]
@@ -71,15 +93,78 @@ def curate_job(spark, sf):
     """Classify → one observed write (accepted / rejected partitions) → reconcile →
     DQ tables from what was written; returns the written dq_summary."""
     root = scratch_dir(spark, "lake")
-    counts = jobs.curate(dq.classified(spark, sf), root, columns=dq.LINE_COLS)
+    counts = jobs.curate(dq.classified(spark, sf), root, columns=dq.LINE_COLS, expected_rows=t(spark, sf, "lineitem"))
     return (spark.read.parquet(os.path.join(root, "dq_summary"))
             .withColumn("observed_extracted", F.lit(counts["extracted"]).cast("bigint")))
 
 
-@query("star_load")
-def star_load(spark, sf):
-    """Dimensions and fact written to the warehouse folder; stage counts read back."""
-    root = scratch_dir(spark, "warehouse")
+@query("curate_job_rows")
+def curate_job_rows(spark, sf):
+    """The rows the curate job wrote, accepted and rejected, each with its reason."""
+    root = scratch_dir(spark, "lake")
+    jobs.curate(dq.classified(spark, sf), root, columns=dq.LINE_COLS, expected_rows=t(spark, sf, "lineitem"))
+    return spark.read.parquet(os.path.join(root, "classified"))
+
+
+@query("quarantine_csv")
+def quarantine_csv(spark, sf):
+    """Rejected rows as a text zone, read back: keys, offending values and reason."""
+    root = scratch_dir(spark, "quarantine")
+    _, rejected = quality.split(dq.classified(spark, sf))
+    landing.write_quarantine(rejected.select("l_orderkey", "l_linenumber", "l_returnflag", "rejection_reason"), root, fmt="csv")
+    return raw.read_raw(spark, root, ["l_orderkey", "l_linenumber", "l_returnflag", "rejection_reason"], provenance=False, landed=True)
+
+
+@query("typed_csv_load")
+def typed_csv_load(spark, sf):
+    """A bulk load with declared types from a CSV another writer left."""
+    path = scratch_dir(spark, "csv")
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice decimal(12,2), o_orderdate date"
+    typed = t(spark, sf, "orders").select(*[F.col(f.split()[0]).cast(f.split()[1]) for f in schema.split(", ")])
+    typed.write.option("header", True).csv(path)
+    return raw.read_typed_csv(spark, path, schema)
+
+
+@query("positional_load")
+def positional_load(spark, sf):
+    """Columns taken by position under the names of the target table."""
+    path = scratch_dir(spark, "positional")
+    t(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey").write.parquet(path)
+    return raw.read_positional(spark, path, ["supplier_key", "supplier_name", "nation_key"])
+
+
+@query("zone_views")
+def zone_views(spark, sf):
+    """Datasets of a zone found by listing it and read as SQL views."""
+    root = scratch_dir(spark, "zone")
+    t(spark, sf, "nation").write.parquet(f"{root}/zone_nation")
+    t(spark, sf, "region").write.parquet(f"{root}/zone_region")
+    raw.register_zone(spark, root)
+    return spark.sql("""SELECT r_name, COUNT(*) AS nations FROM zone_nation JOIN zone_region ON n_regionkey = r_regionkey
+                        GROUP BY r_name""")
+
+
+@query("default_values")
+def default_values(spark, sf):
+    """Blank text becomes NULL, and NULL the column's default."""
+    o = t(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        F.when(F.col("o_orderstatus") == "O", F.lit("  ")).otherwise(F.col("o_orderstatus")).alias("status"),
+        F.when(F.col("o_totalprice") < 50000, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("price"))
+    return standardize(o, [Field("order_id", "bigint"), Field("status", default="'open'"),
+                           Field("price", "decimal(12,2)", default="0")])
+
+
+@query("text_formats")
+def text_formats(spark, sf):
+    """Money text, hex text and batch ids of order values."""
+    return t(spark, sf, "orders").select(
+        "o_orderkey", money_text(F.col("o_totalprice")).alias("price_text"),
+        hex_text(F.col("o_orderkey").cast("string").cast("binary")).alias("key_hex"),
+        batch_id(F.col("o_orderdate").cast("timestamp")).alias("batch"))
+
+
+def _load_star(spark, sf, root):
     from .star import fact_base
     return jobs.load_star(fact_base(spark, sf), [
         jobs.Dimension("dim_part", t(spark, sf, "part"), ["p_partkey"], ["p_brand", "p_type", "p_size"],
@@ -93,6 +178,20 @@ def star_load(spark, sf):
                                       "l_quantity", "amount", "line_count", "is_open"])
 
 
+@query("star_load")
+def star_load(spark, sf):
+    """Dimensions and fact written to the warehouse folder; stage counts read back."""
+    return _load_star(spark, sf, scratch_dir(spark, "warehouse"))
+
+
+@query("star_load_rows")
+def star_load_rows(spark, sf):
+    """The fact rows the star load wrote."""
+    root = scratch_dir(spark, "warehouse")
+    _load_star(spark, sf, root)
+    return spark.read.parquet(os.path.join(root, "fact_sales"))
+
+
 def _star_dims():
     from .star import _DIMS
     return _DIMS
@@ -110,6 +209,36 @@ FROM orders WHERE o_orderstatus <> 'F'""",
     "idempotent_append": "SELECT * FROM customer",
     "clustered_lookup": """
 SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '1995-01-01' AND l_shipdate < TIMESTAMP '1995-04-01'""",
+    "manifest_totals": """
+SELECT '20240101T000000Z' AS run_ts, CAST(3 AS BIGINT) AS files,
+       CAST((SELECT COUNT(*) FROM customer) + (SELECT COUNT(*) FROM orders) + (SELECT COUNT(*) FROM lineitem) AS BIGINT)
+         AS total_rows""",
+    "land_documents": """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id,
+       CASE WHEN doc_id % 50 = 0 THEN NULL WHEN doc_id % 50 = 1 THEN ''
+            ELSE text || chr(13) || chr(10) || '\\n "q", \\' END AS text,
+       lang, source, CAST(n_chars AS VARCHAR) AS n_chars
+FROM documents""",
+    "curate_job_rows": dq.DQ_CTE + f"""SELECT {dq._LINE_SQL}, rejection_reason,
+       CASE WHEN rejection_reason IS NULL THEN 'accepted' ELSE 'rejected' END AS dq_status FROM classified""",
+    "quarantine_csv": dq.DQ_CTE + """SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey,
+       CAST(l_linenumber AS VARCHAR) AS l_linenumber, l_returnflag, rejection_reason
+FROM classified WHERE rejection_reason IS NOT NULL""",
+    "typed_csv_load": """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice,
+       CAST(o_orderdate AS DATE) AS o_orderdate FROM orders""",
+    "positional_load": "SELECT s_suppkey AS supplier_key, s_name AS supplier_name, s_nationkey AS nation_key FROM supplier",
+    "zone_views": """
+SELECT r_name, COUNT(*) AS nations FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""",
+    "default_values": """
+SELECT o_orderkey AS order_id, CASE WHEN o_orderstatus = 'O' THEN 'open' ELSE o_orderstatus END AS status,
+       CASE WHEN o_totalprice < 50000 THEN CAST(0 AS DECIMAL(12,2)) ELSE CAST(o_totalprice AS DECIMAL(12,2)) END AS price
+FROM orders""",
+    "text_formats": """
+SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price_text,
+       '0x' || hex(CAST(o_orderkey AS VARCHAR)) AS key_hex, strftime(o_orderdate, '%Y%m%dT%H%M%SZ') AS batch
+FROM orders""",
+    "star_load_rows": "WITH " + _star_dims() + "SELECT * FROM fact_sales",
     "curate_job": dq.DQ_CTE + """
 SELECT COUNT(*) AS extracted,
        COUNT(*) FILTER (WHERE rejection_reason IS NULL) AS accepted,

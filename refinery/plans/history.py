@@ -22,6 +22,13 @@ def scd2_history(spark, sf):
     return user_history(spark, sf)
 
 
+@query("scd2_with_deletes")
+def scd2_with_deletes(spark, sf):
+    """Versions of a change log: a DELETE closes the period, a later change opens a new one."""
+    from .cdc import change_log
+    return history.scd2(change_log(spark, sf), ["user_id"], ["lsn", "seq"], ["event_type"], op="operation")
+
+
 @query("as_of")
 def as_of(spark, sf):
     return history.as_of(user_history(spark, sf), AS_OF)
@@ -34,6 +41,14 @@ def as_of_join(spark, sf):
     return history.as_of_join(purchases, user_history(spark, sf), ["user_id"], "ts", ["event_type"])
 
 
+@query("as_of_join_just_before")
+def as_of_join_just_before(spark, sf):
+    """The version in force before the purchase's own instant."""
+    purchases = (t(spark, sf, "events").filter(F.col("event_type") == "purchase")
+                 .select("event_id", "user_id", "ts", "value"))
+    return history.as_of_join(purchases, user_history(spark, sf), ["user_id"], "ts", ["event_type"], just_before=True)
+
+
 HIST_SQL = """
 s AS (
   SELECT user_id, ts, event_id, event_type,
@@ -54,6 +69,22 @@ WHERE valid_from <= TIMESTAMP '2024-01-15 00:00:00' AND TIMESTAMP '2024-01-15 00
     "as_of_join": f"""WITH {HIST_SQL}
 SELECT e.event_id, e.user_id, e.ts, e.value, h.event_type AS version_event_type,
        h.valid_from AS version_valid_from, h.valid_to AS version_valid_to
+FROM events e JOIN hist h ON h.user_id = e.user_id AND h.valid_from <= e.ts AND e.ts < h.valid_to
+WHERE e.event_type = 'purchase'""",
+    "as_of_join_just_before": f"""WITH {HIST_SQL}
+SELECT e.event_id, e.user_id, e.ts, e.value, h.event_type AS version_event_type,
+       h.valid_from AS version_valid_from, h.valid_to AS version_valid_to
 FROM events e JOIN hist h ON h.user_id = e.user_id AND h.valid_from < e.ts AND e.ts <= h.valid_to
 WHERE e.event_type = 'purchase'""",
+    "scd2_with_deletes": """
+WITH log AS (
+  SELECT user_id, ts, event_id, event_type, event_type <> 'error' AS live FROM events),
+s AS (
+  SELECT *, LAG(event_type) OVER w AS prev_type, COALESCE(LAG(live) OVER w, FALSE) AS prev_live
+  FROM log WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+b AS (
+  SELECT *, LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_ts
+  FROM s WHERE CASE WHEN live THEN NOT prev_live OR prev_type IS DISTINCT FROM event_type ELSE prev_live END)
+SELECT user_id, event_type, ts AS valid_from, COALESCE(next_ts, TIMESTAMP '9999-12-31 00:00:00') AS valid_to
+FROM b WHERE live""",
 })

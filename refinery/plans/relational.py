@@ -13,9 +13,9 @@ from ..operators.rules import with_row_id
 from .common import t
 from .registry import attach, query
 
-# Premium-tier bounds and labels for the CASE tier query.
+# Bounds and labels of the order value classes.
 TIER_BOUNDS = [100000, 300000]
-TIER_LABELS = ["1. Under 100k", "2. 100k-299k", "3. 300k+"]
+TIER_LABELS = ["small", "medium", "large"]
 
 
 @query("q1_top_orders")
@@ -207,8 +207,8 @@ SELECT n.n_name, COUNT(*) AS f_orders,
 FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
 WHERE o.o_orderstatus = 'F' GROUP BY n.n_name HAVING COUNT(*) >= 200 ORDER BY avg_totalprice DESC, n.n_name""",
     "q4_tiers": """
-SELECT CASE WHEN o_totalprice < 100000 THEN '1. Under 100k' WHEN o_totalprice < 300000 THEN '2. 100k-299k'
-            ELSE '3. 300k+' END AS price_tier, COUNT(*) AS orders
+SELECT CASE WHEN o_totalprice < 100000 THEN 'small' WHEN o_totalprice < 300000 THEN 'medium'
+            ELSE 'large' END AS price_tier, COUNT(*) AS orders
 FROM orders WHERE o_orderstatus = 'F' GROUP BY 1 ORDER BY 1""",
     "q5_histogram": """
 WITH per_cust AS (SELECT o_custkey, COUNT(*) AS order_count FROM orders GROUP BY o_custkey)

@@ -41,7 +41,7 @@ def hot_key_dedupe(spark, sf):
 
 @query("hot_key_as_of_join")
 def hot_key_as_of_join(spark, sf):
-    """Each purchase with the version in force before it, one user holding a third of the events."""
+    """Each purchase with the version in force at its time, one user holding a third of the events."""
     ev = hot_events(spark, sf)
     purchases = ev.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "ts", "value")
     hist = history.scd2(ev, ["user_id"], ["ts", "event_id"], ["event_type"])
@@ -76,7 +76,7 @@ attach({
     "hot_key_as_of_join": "WITH " + _HOT_HIST + """
 SELECT p.event_id, p.user_id, p.ts, p.value, h.event_type AS version_event_type,
        h.valid_from AS version_valid_from, h.valid_to AS version_valid_to
-FROM e p JOIN hist h ON h.user_id = p.user_id AND h.valid_from < p.ts AND p.ts <= h.valid_to
+FROM e p JOIN hist h ON h.user_id = p.user_id AND h.valid_from <= p.ts AND p.ts < h.valid_to
 WHERE p.event_type = 'purchase'""",
     "hot_key_net_changes": "WITH " + _HOT_HIST.split("s AS (")[0].rstrip().rstrip(",") + """,
 log AS (

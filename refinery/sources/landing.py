@@ -8,17 +8,21 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .raw import MANIFEST_SCHEMA, read_raw
+from ..session import path_exists
+from .raw import CSV_OPTIONS, MANIFEST_SCHEMA, escaped, read_raw
 
 
 def land(df: DataFrame, root: str, source: str, table: str, batch: str) -> dict:
-    """Write ``df`` unmodified as CSV (header) under a batch directory; the row
-    count comes back from the write itself (Observation), not from a second job.
-    Re-running the same batch overwrites it, so a retried landing is idempotent."""
+    """Write ``df`` as CSV (header) under a batch directory, losing nothing that
+    text can hold: line breaks are escaped so that a record is a line, NULL and
+    empty text differ (see ``raw.CSV_OPTIONS``). The row count comes back from
+    the write itself (Observation), not from a second job. Re-running the same
+    batch overwrites it, so a retried landing is idempotent."""
     key = os.path.join(source, table, f"batch={batch}")
     obs = Observation(f"land_{source}_{table}_{batch}")
-    (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-     .write.mode("overwrite").option("header", True).csv(os.path.join(root, key)))
+    text = {f.name: escaped(F.col(f.name)) for f in df.schema if f.dataType.simpleString() == "string"}
+    (df.withColumns(text).observe(obs, F.count(F.lit(1)).alias("rows"))
+     .write.mode("overwrite").options(**{**CSV_OPTIONS, "emptyValue": '""'}).csv(os.path.join(root, key)))
     return {"source": source, "table": table, "key": key, "row_count": int(obs.get["rows"])}
 
 
@@ -41,7 +45,7 @@ def landed_counts(spark: SparkSession, root: str, tables: Sequence[tuple[str, st
     """Rows actually present per landed batch directory (one scan per dataset)."""
     out = None
     for src, tbl in tables:
-        df = read_raw(spark, os.path.join(root, src, tbl))
+        df = read_raw(spark, os.path.join(root, src, tbl), landed=True)
         part = (df.select(F.regexp_extract("source_file", r"(batch=\d{8}T\d{6}Z)", 1).alias("b"))
                 .groupBy("b").agg(F.count(F.lit(1)).alias("landed_rows"))
                 .select(F.concat_ws("/", F.lit(src), F.lit(tbl), F.col("b")).alias("key"), "landed_rows"))
@@ -62,13 +66,21 @@ def reconcile_manifest(manifest: DataFrame, landed: DataFrame) -> DataFrame:
 
 def append_new(df: DataFrame, target: str, keys: Sequence[str], fmt: str = "parquet") -> int:
     """Append only rows whose key is not already in ``target`` (IF NOT EXISTS … INSERT).
-    Appending the same data twice leaves one copy."""
+
+    Appending the same data twice leaves one copy; of several rows of one new
+    key the least by its other columns is appended. Only a target that does not
+    exist counts as a first load; any other read error is raised."""
     spark = df.sparkSession
-    try:
+    rest = [c for c in df.columns if c not in keys]
+    new = df
+    if path_exists(spark, target):
         existing = spark.read.format(fmt).load(target).select(*keys).distinct()
         new = df.join(existing, list(keys), "left_anti")
-    except Exception:  # noqa: BLE001 - first load: target does not exist yet
-        new = df
+    if rest:
+        new = (new.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__row"))
+               .select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns]))
+    else:
+        new = new.distinct()
     obs = Observation(f"append_{abs(hash(target))}")
     new.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").format(fmt).save(target)
     return int(obs.get["rows"])
@@ -80,14 +92,16 @@ def write_quarantine(rejected: DataFrame, path: str, reason_col: str = "rejectio
     by reason; ``fmt="csv"`` writes a text zone with a header (reason kept as
     a column)."""
     if fmt == "csv":
-        rejected.write.mode("overwrite").option("header", True).csv(path)
+        text = {f.name: escaped(F.col(f.name)) for f in rejected.schema if f.dataType.simpleString() == "string"}
+        rejected.withColumns(text).write.mode("overwrite").options(**{**CSV_OPTIONS, "emptyValue": '""'}).csv(path)
     else:
         rejected.write.mode("overwrite").partitionBy(reason_col).parquet(path)
 
 
 def write_curated(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Curated Parquet overwrite; AQE sizes the output instead of coalesce(1)."""
-    w = df.write.mode("overwrite")
+    """Curated Parquet overwrite. A rebalance lets AQE size the files by data volume:
+    small ones are merged, and a large value of the partition columns is split."""
+    w = df.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -6,10 +6,12 @@ import os
 import re
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import child_dirs
+
 BATCH_RE = re.compile(r"batch=(\d{8}T\d{6}Z)")
 
 
@@ -17,48 +19,65 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
+# How landed text is written: a line break would split a record, so it is escaped, and the
+# escape sign with it; NULL has a form of its own. Files stay one record a line and splittable.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "nullValue": "\\N", "emptyValue": "",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+ESCAPES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def escaped(c: Column) -> Column:
+    """Text without line breaks, for one record a line; :func:`unescaped` gives it back."""
+    for plain, coded in ESCAPES:
+        c = F.replace(c, F.lit(plain), F.lit(coded))
+    return c
+
+
+def unescaped(c: Column) -> Column:
+    for plain, coded in reversed(ESCAPES):
+        c = F.replace(c, F.lit(coded), F.lit(plain))
+    return c
+
+
 def read_raw(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
-             provenance: bool = True) -> DataFrame:
+             provenance: bool = True, landed: bool = False) -> DataFrame:
     """Every column as text. With ``columns`` the header must name exactly
     those columns (``enforceSchema=false``): a reordered or renamed header
-    fails instead of being silently mis-mapped by position."""
+    fails instead of being silently mis-mapped by position. ``landed`` reads
+    what :func:`refinery.sources.landing.land` wrote: line breaks come back,
+    and NULL and empty text are told apart."""
     reader = spark.read.option("header", True).option("mode", "FAILFAST")
+    if landed:
+        reader = reader.options(**CSV_OPTIONS)
     if columns is not None:
         reader = reader.schema(text_schema(columns)).option("enforceSchema", False)
     df = reader.csv(path)
+    if landed:
+        df = df.select("*", F.col("_metadata.file_path").alias("source_file")) if provenance else df
+        return df.withColumns({c: unescaped(F.col(c)) for c in df.columns if c != "source_file"})
     if provenance:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))
     return df
 
 
-def list_files(spark: SparkSession, path: str) -> list[str]:
-    """Data files under ``path`` on any Hadoop filesystem (local, HDFS, object
-    stores), from the file index only — no file content is read. Names
-    starting with ``_`` or ``.`` (commit markers, checksums) are skipped by Spark."""
-    try:
-        return list(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).inputFiles())
-    except Exception:  # noqa: BLE001 - path does not exist (yet)
-        return []
-
-
 def batches(spark: SparkSession, path: str) -> list[str]:
-    """Batch ids present under ``path`` (from the file listing, not the data)."""
-    return sorted({m.group(1) for f in list_files(spark, path) for m in [BATCH_RE.search(f)] if m})
+    """Batch ids present under ``path``: one listing of the dataset folder, no files."""
+    return sorted(m.group(1) for d in child_dirs(spark, path) for m in [BATCH_RE.fullmatch(d)] if m)
 
 
-def read_latest(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_latest(spark: SparkSession, path: str, columns: Sequence[str] | None = None, landed: bool = True) -> DataFrame:
     """Only the newest batch of a dataset, chosen by batch id from the listing.
 
     The reference picks the maximum file name among rows that exist, so a
     header-only newest batch silently falls back to an older one; here the
     newest batch is read even when it is empty. Only that batch directory is
-    scanned.
+    scanned. ``landed=False`` reads files of another writer as they are.
     """
     ids = batches(spark, path)
     if not ids:
         raise FileNotFoundError(f"no batch under {path}")
     latest = ids[-1]
-    df = read_raw(spark, os.path.join(path, f"batch={latest}"), columns)
+    df = read_raw(spark, os.path.join(path, f"batch={latest}"), columns, landed=landed)
     return df.withColumn("batch", F.lit(latest))
 
 
@@ -75,16 +94,11 @@ def read_source(spark: SparkSession, fmt: str, table: str | None = None, path: s
 
 def register_zone(spark: SparkSession, root: str, fmt: str = "parquet") -> list[str]:
     """Register each dataset directory under ``root`` as a temp view named after it
-    (the catalog crawler of the reference, with schema from the file footers)."""
-    base = root.rstrip("/")
-    names = set()
-    for f in list_files(spark, base):
-        rel = f.split(base.split(":", 1)[-1].rstrip("/") + "/", 1)[-1]
-        if "/" in rel and not rel.startswith(("_", ".")):
-            names.add(rel.split("/", 1)[0])
-    for name in sorted(names):
-        spark.read.format(fmt).option("mergeSchema", True).load(f"{base}/{name}").createOrReplaceTempView(name)
-    return sorted(names)
+    (a catalog crawl with the schema of the file footers; one listing of ``root``)."""
+    names = child_dirs(spark, root)
+    for name in names:
+        spark.read.format(fmt).option("mergeSchema", True).load(f"{root.rstrip('/')}/{name}").createOrReplaceTempView(name)
+    return names
 
 
 MANIFEST_SCHEMA = T.StructType([
@@ -104,6 +118,11 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return m.select("run_ts", F.explode("files").alias("f")).select("run_ts", "f.*")
 
 
+def manifest_totals(manifest: DataFrame) -> DataFrame:
+    """Per run: landed files and the rows they hold."""
+    return manifest.groupBy("run_ts").agg(F.count(F.lit(1)).alias("files"), F.sum("row_count").alias("total_rows"))
+
+
 def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Bulk typed CSV load with a header (COPY … CSV): a value that does not
     fit its declared type fails the load instead of becoming NULL."""

@@ -9,11 +9,15 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from refinery import enrollment, jobs, reports
-from refinery.operators import cdc, synth
+from refinery import enrollment, jobs
+from refinery.functions.expr import end_of_month
+from refinery.operators import cdc
+from refinery.operators.measures import measures, top_n, what_if
 from refinery.session import scratch_dir
 from refinery.sources import landing, raw
 
+from . import synth
+
 FEED_COLS = enrollment.ENR_COLS
 
 
@@ -91,7 +95,7 @@ def test_reference_pipeline_end_to_end(spark):
         ("operational", "applications"): src.applications, ("operational", "members"): src.members,
         ("operational", "eligibility"): src.eligibility,
         ("operational", "enrollments"): _as_text(enrollments, FEED_COLS),
-        ("operational", "enrollments_cdc"): changes.drop("seq"),
+        ("operational", "enrollments_cdc"): changes,
         ("planref", "issuers"): ref.issuers, ("planref", "plans"): ref.plans,
         ("planref", "plan_rates"): ref.rates, ("planref", "service_areas"): ref.service_areas,
         ("external", "enrollment_feed"): _feed(spark, plan_ids),
@@ -133,31 +137,20 @@ def test_reference_pipeline_end_to_end(spark):
     assert {r.table_name: r.row_count for r in stages.collect()} == \
         {"dim_issuer": 4, "dim_plan": 8, "dim_member": 2000, "fact_enrollment": 3101}
 
-    # the reports, run as Spark SQL over the operational tables, the warehouse and the DQ tables
-    tables = {name: spark.read.parquet(os.path.join(wh, name))
-              for name in ("dim_issuer", "dim_plan", "dim_member", "fact_enrollment")}
-    tables.update(dq_summary=spark.read.parquet(os.path.join(lake, "dq_summary")),
-                  dq_rejections_by_reason=spark.read.parquet(os.path.join(lake, "dq_rejections_by_reason")),
-                  enrollments=enrollments, members=src.members, eligibility=src.eligibility)
-    reports.register(spark, tables)
-    recon = {r.table_name: r.row_count for r in reports.report(spark, "warehouse_reconciliation").collect()}
-    assert recon["fact_enrollment"] == recon["accepted"] == 3101
-    metal = reports.report(spark, "metal_level_kpi").collect()
-    assert sum(r.enrollments for r in metal) == 3101 and {r.metal_level for r in metal} <= set(synth.BASE_RATE)
-    assert reports.report(spark, "dq_summary").collect()[0].pass_rate == 0.9764
-    assert [r.rejected_count for r in reports.report(spark, "dq_rejections_by_reason").collect()][0] == 15
-
-    top = reports.report(spark, "top_active_premiums").collect()
+    # reports over the written tables, from the library's own operators
+    fact = spark.read.parquet(os.path.join(wh, "fact_enrollment"))
+    by_level = measures(fact.join(spark.read.parquet(os.path.join(wh, "dim_plan")), "plan_key"), ["metal_level"],
+                        "enrollment_count", "active_indicator", "monthly_premium").collect()
+    assert sum(r.total for r in by_level) == 3101 and {r.metal_level for r in by_level} <= set(synth.BASE_RATE)
+    assert spark.read.parquet(os.path.join(lake, "dq_summary")).first().pass_rate == 0.9764
+    assert spark.read.parquet(os.path.join(wh, "fact_enrollment_unmatched")).count() == 0
+    active = enrollments.filter("status = 'ACTIVE'")
+    top = top_n(active, 10, [F.col("monthly_premium").desc(), F.col("enrollment_id")]).collect()
     assert len(top) == 10 and all(a.monthly_premium >= b.monthly_premium for a, b in zip(top, top[1:]))
-    n_enrolled = enrollments.select("member_id").distinct().count()
-    idle = reports.report(spark, "members_without_enrollment").collect()
-    assert sum(r.members_without_enrollment for r in idle) == 2000 - n_enrolled
-    per_member = {r.enrollment_count: r.members for r in reports.report(spark, "enrollments_per_member").collect()}
-    assert sum(k * v for k, v in per_member.items()) == 3001 and sum(per_member.values()) == n_enrolled
-    tiers = reports.report(spark, "premium_tiers").collect()
-    assert sum(r.enrollments for r in tiers) == enrollments.filter("status = 'ACTIVE'").count()
-    states = reports.report(spark, "premium_by_state", min_active=300).collect()
-    assert all(r.active_enrollments >= 300 for r in states) and states
-    what_if = {r.stage: r for r in reports.report(spark, "termination_what_if").collect()}
-    assert what_if["what_if"].status == "TERMINATED" and what_if["before"].status == "ACTIVE"
-    assert what_if["what_if"].termination_date.day >= 28             # a month end
+    edited = what_if(active, F.lit(True), {"status": F.lit("TERMINATED"), "termination_date": end_of_month(F.col("effective_date"))})
+    assert edited.count() == active.count() and edited.filter("status = 'ACTIVE' or day(termination_date) < 28").isEmpty()
+
+    # the quarantine keeps what could not be read as a value
+    texts = raw.read_raw(spark, os.path.join(lake, "rejected", "enrollment"), landed=True)
+    assert {r.raw_monthly_premium for r in texts.filter("rejection_reason = 'NEGATIVE_PREMIUM'").collect()} and \
+        all(f"raw_{c}" in texts.columns for c in enrollment.ENR_COLS)

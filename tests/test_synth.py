@@ -4,7 +4,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from refinery.operators import synth
+from . import synth
 
 
 def test_reference_tables(spark):
