@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .sequence import zero_of
 
 
 @dataclass(frozen=True)
@@ -114,29 +115,25 @@ def flag_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
     the last row instead (row_number() over descending order == 1).
     """
     tag = uuid.uuid4().hex[:8]
-    names = [f"__k{i}_{tag}" for i in range(len(keys))]
+    # NULL-safe key columns (value-or-zero, is-null): plain equi-join keys, so that the
+    # aggregates and joins below share one partitioning
+    names, safe = [], df
+    for i, k in enumerate(keys):
+        safe = (safe.withColumn(f"__k{i}_{tag}", F.coalesce(F.col(k), zero_of(df.schema[k].dataType)))
+                .withColumn(f"__n{i}_{tag}", F.col(k).isNull()))
+        names += [f"__k{i}_{tag}", f"__n{i}_{tag}"]
     competing = F.lit(True) if scope is None else F.coalesce(scope, F.lit(False))
     order_cols = [c.alias(f"__o{i}") for i, c in enumerate(_cols(order))]
-    candidates = df.filter(competing)
-    several = (candidates.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-               .agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").drop("__n"))
-
-    def same(left: DataFrame, right: DataFrame) -> Column:
-        cond = F.lit(True)
-        for k, n in zip(keys, names):
-            cond = cond & left[k].eqNullSafe(right[n])
-        return cond
-
+    candidates = safe.filter(competing)
+    several = candidates.groupBy(*names).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").drop("__n")
     rank = F.struct(*order_cols, F.struct(*[F.col(r).alias(r) for r in row_id]).alias("__id"))
-    ranked = candidates.select(*keys, rank.alias("__rank"))
-    winners = (ranked.join(several, same(ranked, several), "left_semi")
-               .groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-               .agg((F.max if last else F.min)("__rank").alias("__m"))
+    winners = (candidates.select(*names, rank.alias("__rank")).join(several, names, "left_semi")
+               .groupBy(*names).agg((F.max if last else F.min)("__rank").alias("__m"))
                .select(*names, F.col("__m.__id").alias(f"__id_{tag}")))
     won = F.col(f"__id_{tag}")
     mine = F.lit(True)
     for r in row_id:
         mine = mine & (F.col(r) == won[r])
-    return (df.join(winners, same(df, winners), "left")
+    return (safe.join(winners, names, "left")
             .withColumn(flag, competing & (won.isNull() | mine))
-            .drop(*names, f"__id_{tag}"))
+            .select(*df.columns, flag))

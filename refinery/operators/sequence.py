@@ -67,7 +67,7 @@ def carry(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequ
     # partitioning instead of shuffling the rows a second time.
     nk = []
     for k in keys:
-        ch = (ch.withColumn(f"__k_{k}", F.coalesce(F.col(k), _zero(df.schema[k].dataType)))
+        ch = (ch.withColumn(f"__k_{k}", F.coalesce(F.col(k), zero_of(df.schema[k].dataType)))
               .withColumn(f"__kn_{k}", F.col(k).isNull()))
         nk += [f"__k_{k}", f"__kn_{k}"]
     ch = (ch.withColumn("__present", F.coalesce(pres, F.lit(False)))
@@ -92,7 +92,7 @@ def carry(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequ
     return joined.select(*[F.col(c) for c in keep], *[res[v].alias(prefix + v) for v in values])
 
 
-def _zero(dt: T.DataType) -> Column:
+def zero_of(dt: T.DataType) -> Column:
     """A non-NULL stand-in of the key's type (paired with an is-null flag)."""
     if isinstance(dt, (T.NumericType,)):
         return F.lit(0).cast(dt)
