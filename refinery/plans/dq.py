@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality
 from ..operators.rules import Rule, any_null, classify, flag_exists, flag_first, reason
+from ..session import materialize
 from .common import t
 from .registry import query
 
@@ -83,7 +84,8 @@ def classify_lines(df: DataFrame, dedupe_scope: str = "all", row_id=ROW_ID) -> D
 def classified(spark: SparkSession, sf: str, dedupe_scope: str = "all") -> DataFrame:
     """All incoming rows with ``rejection_reason`` (NULL = accepted)."""
     if dedupe_scope != "all":
-        return classify_lines(dq_input(spark, sf), dedupe_scope)
+        # the rank needs the flags of the joined rows, so these are written once
+        return classify_lines(materialize(dq_input(spark, sf), "dq"), dedupe_scope)
     # The rank over all rows needs only lineitem columns, so it is computed on
     # the scan itself (its aggregate branch reads lineitem alone); the 1:1
     # lookup and the existence flags follow.
@@ -141,7 +143,7 @@ FAULT_SLOTS = {0: "MISSING_REQUIRED_FIELD", 1: "INVALID_SUPPLIER_ID", 2: "INVALI
 def fault_injection(spark, sf):
     """Labelled faults injected into the accepted rows, reclassified: confusion counts."""
     acc, _ = quality.split(classified(spark, sf))
-    base = acc.select(*[c for c in lines(spark, sf).columns])
+    base = materialize(acc.select(*[c for c in lines(spark, sf).columns]), "accepted")    # read by every branch below
     slot = F.pmod(F.col("l_orderkey") * 7 + F.col("l_linenumber"), F.lit(50))
     lab = {v: k for k, v in FAULT_SLOTS.items()}
     faults = [

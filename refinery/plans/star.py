@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality, star
 from ..operators.measures import measures
+from ..operators.rules import flag_exists
 from . import dq
 from .common import t
 from .registry import attach, query
@@ -73,10 +74,12 @@ def fact_unmatched(spark, sf):
     li = t(spark, sf, "lineitem")
     parts = t(spark, sf, "part").filter(F.col("p_size") >= 3)
     supp = t(spark, sf, "supplier").filter(F.col("s_acctbal") >= 0)
-    a = star.unmatched(li, parts, [("l_partkey", "p_partkey")]).agg(F.count(F.lit(1)).alias("unmatched_rows"))
-    b = star.unmatched(li, supp, [("l_suppkey", "s_suppkey")]).agg(F.count(F.lit(1)).alias("unmatched_rows"))
-    return (a.select(F.lit("dim_part").alias("dimension"), "unmatched_rows")
-            .unionByName(b.select(F.lit("dim_supplier").alias("dimension"), "unmatched_rows")))
+    # one pass over the lines with a flag a dimension
+    flagged = flag_exists(flag_exists(li.select("l_partkey", "l_suppkey"), parts, [("l_partkey", "p_partkey")], "_part"),
+                          supp, [("l_suppkey", "s_suppkey")], "_supplier")
+    counts = flagged.agg(F.count_if(F.col("l_partkey").isNotNull() & ~F.col("_part")).alias("p"),
+                         F.count_if(F.col("l_suppkey").isNotNull() & ~F.col("_supplier")).alias("s"))
+    return counts.select(F.stack(F.lit(2), F.lit("dim_part"), "p", F.lit("dim_supplier"), "s").alias("dimension", "unmatched_rows"))
 
 
 @query("kpi_by_brand")
