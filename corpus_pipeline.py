@@ -26,8 +26,8 @@ LEAST_SCORE = 0.1
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language; those without a letter or far from every profile go."""
     profiles = learn(docs.filter(~held_out(F.col("doc_id"))))
-    told = identify(docs, profiles)
-    return told.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    told = identify(docs, profiles, out=("__lang", "__score"))
+    return told.filter((F.col("__lang") != UNKNOWN) & (F.col("__score") >= LEAST_SCORE)).select(*docs.columns)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,16 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 ROW = "__row"
+STRETCH = 1 << 20
+
+
+def stretches(text: str, size: int) -> Iterator[str]:
+    """A long text in stretches of about ``size`` characters, cut before blanks."""
+    at = 0
+    while len(text) - at > size and (cut := text.find(" ", at + size)) >= 0:
+        yield text[at:cut]
+        at = cut
+    yield text[at:]
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -14,6 +14,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from .common import STRETCH, stretches
+
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 MEMO = 1_000_000
@@ -75,10 +77,14 @@ class Encoder:
             return self.end
         if "\0" in text or any(run in text for run in _RUN) or _ODD_SPACE.search(text):
             return self.whole(text) + self.end
+        return b"".join(map(self._parts, stretches(text, STRETCH))) + self.end
+
+    def _parts(self, text: str) -> bytes:
+        """Ids of a stretch; a later stretch of a text begins with its blank."""
         parts = text.replace("\n", " \n").split(" ")
         get, learn = self.memo.get, self._learn
         out = [get(p) or learn(p) for p in parts[1:]]
-        return (self.whole(parts[0]) if parts[0] else b"") + b"".join(out) + self.end
+        return (self.whole(parts[0]) if parts[0] else b"") + b"".join(out)
 
 
 @lru_cache(maxsize=2)

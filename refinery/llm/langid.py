@@ -18,7 +18,6 @@ they occur. Extra columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -27,9 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import common
+
 TOP = 400
 UNKNOWN = "und"
-STRETCH = 1 << 20
 HELD = 2_000_000
 
 
@@ -38,15 +38,6 @@ def _letters() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
-def stretches(text: str, size: int = STRETCH) -> Iterator[str]:
-    """Cut a long text at blanks, where no n-gram crosses."""
-    at = 0
-    while len(text) - at > size and (cut := text.find(" ", at + size)) >= 0:
-        yield text[at:cut]
-        at = cut
-    yield text[at:]
-
-
 def _codes(text: str) -> np.ndarray:
     cps = np.frombuffer(f" {text} ".lower().encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
     cps = np.where(_letters()[cps], cps, 32)
@@ -68,7 +59,7 @@ def merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 
 def gram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """(codes ascending, counts) of a whole text."""
-    found = [np.unique(_codes(s), return_counts=True) for s in stretches(text or "")]
+    found = [np.unique(_codes(s), return_counts=True) for s in common.stretches(text or "", common.STRETCH)]
     return found[0] if len(found) == 1 else merged([c for c, _ in found], [n for _, n in found])
 
 
@@ -135,8 +126,8 @@ def learn(docs: DataFrame, top: int = TOP, text: str = "text", lang: str = "lang
     return Profiles([str(x) for x in langs], grams, ranks, top)
 
 
-def identify(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; reads ``text`` alone."""
+def identify(docs: DataFrame, profiles: Profiles, text: str = "text", out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the language and the score under the names ``out``; reads ``text`` alone."""
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
     names, position = list(docs.columns), docs.columns.index(text)
 
@@ -146,7 +137,7 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFra
             said = [known.predict(t) for t in batch.column(position).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([x for x, _ in said], pa.string()), pa.array([s for _, s in said], pa.float64())],
-                names=[*names, "lang_pred", "score"])
+                names=[*names, *out])
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{types}, lang_pred string, score double")
+    return docs.mapInArrow(run, f"{types}, `{out[0]}` string, `{out[1]}` double")

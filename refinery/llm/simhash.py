@@ -39,23 +39,31 @@ QUARTERS = 4
 SLICE = 1 << 16
 
 
+_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
+
+
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """Bit-majority of the XXH64 of the word shingles, repeats included, as an unsigned integer."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()   # bytes: ASCII only, both
-    if not words:
+    """Bit-majority of the XXH64 of the word shingles, repeats included, as an unsigned integer.
+
+    The text becomes one buffer of lower-case words with single blanks, in which
+    a shingle is a slice; hashes are taken a slice of shingles at a time.
+    """
+    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)   # bytes: ASCII only
+    space = _SPACE[data]
+    data = np.where(space, 32, data).astype(np.uint8)[~space | np.append(False, ~space[:-1])]
+    joined = data.tobytes().rstrip(b" ")
+    if not joined:
         return 0
-    joined = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    k = min(shingle, len(words))
-    lo, hi = starts[:len(words) - k + 1].tolist(), ends[k - 1:].tolist()
-    digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(lo, hi)], "<u8")
-    ones = np.zeros(64, np.int64)
-    for i in range(0, len(hashes), SLICE):
-        part = hashes[i:i + SLICE]
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = (2 * ones > len(hashes)).astype(np.uint8)
+    blanks = np.flatnonzero(data[:len(joined)] == 32)
+    starts, ends = np.append(0, blanks + 1), np.append(blanks, len(joined))
+    k = min(shingle, len(starts))
+    n = len(starts) - k + 1
+    ones, digest = np.zeros(64, np.int64), xxhash.xxh64_intdigest
+    for i in range(0, n, SLICE):
+        slices = zip(starts[i:min(i + SLICE, n)].tolist(), ends[i + k - 1:i + k - 1 + SLICE].tolist())
+        hashes = np.array([digest(joined[a:b], SEED) for a, b in slices], "<u8")
+        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    bits = (2 * ones > n).astype(np.uint8)
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 

@@ -123,7 +123,8 @@ class TokenFile:
 
 def _put(folder: str, name: str, data: bytes) -> None:
     """Write under a hidden name, then rename: a reader sees whole files only."""
-    where, path = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("/") else folder.replace(":", "://", 1))
+    uri = folder if "://" in folder or folder.startswith("/") else folder.replace(":", "://", 1)
+    where, path = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
     where.create_dir(path, recursive=True)
     hidden = f"{path}/.{name}-{uuid.uuid4().hex}"
     with where.open_output_stream(hidden) as out:

@@ -29,6 +29,12 @@ def test_encoder_equals_the_library_on_whole_texts():
         assert ids_of(text) == plain(text), text
 
 
+def test_stretches_change_nothing(monkeypatch):
+    monkeypatch.setattr("refinery.llm.encode.STRETCH", 7)
+    for text in ("one two three four five, six.\nSeven eight nine", " lead", "trail ", "w" * 50, "a b c d e f g h i j"):
+        assert ids_of(text) == plain(text)
+
+
 def test_memo_limit_changes_nothing(monkeypatch):
     monkeypatch.setattr("refinery.llm.encode.MEMO", 3)
     assert ids_of("one two three four five six, seven.") == plain("one two three four five six, seven.")

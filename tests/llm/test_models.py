@@ -48,7 +48,7 @@ def brute_ranks(counts, top):
 
 @pytest.mark.parametrize("text", [None, "", "123 !!", "a", "Ab c-d e", "straße ÉÉ x1y 漢字 a", "ab " * 5000, "x" * 3000])
 def test_gram_counts(text, monkeypatch):
-    monkeypatch.setattr(langid, "STRETCH", 50)
+    monkeypatch.setattr(common, "STRETCH", 50)
     grams, counts = langid.gram_counts(text)
     assert dict(zip(grams.tolist(), counts.tolist())) == {code(g): n for g, n in brute_grams(text).items()}
 

@@ -99,6 +99,23 @@ def test_language_stage_rejects_what_has_no_language(staged):
     assert after[0].__fields__ == before[0].__fields__
 
 
+def test_stages_carry_columns_with_clashing_names(spark, docs):
+    rows = [(i, f"the words of number {i} are these and the rest is like that", "en") for i in range(1, 30)]
+    at = docs(rows, score=1, lang_pred="x", keep_id=2, kept=True, fp=3, rate=0.5, tokens="t", posterior="p", sequence_id=9, length="l")
+    names = at.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        at = corpus_pipeline.written(stage(spark, at, SF_SMALL), "clash")
+        assert at.columns == names
+    assert corpus_pipeline.STAGES[-1][1](spark, at, SF_SMALL).count() > 0
+
+
+def test_stages_of_an_empty_table(spark, docs):
+    at = docs([])
+    for _, stage in corpus_pipeline.STAGES:
+        at = corpus_pipeline.written(stage(spark, at, SF_SMALL), "empty")
+        assert at.count() == 0
+
+
 def test_exact_stage_against_brute_force(staged):
     before, after = staged[1], staged[2]
     groups = {}
