@@ -2,26 +2,18 @@
 3,001 system-of-record rows + a partner feed of 100 valid and 75 faulty rows
 → 3,101 accepted, 75 rejected, pass rate 0.9764, and the per-reason table."""
 
-import os
-
 from pyspark.sql import functions as F
 
-from refinery.functions.text import Field, standardize
+from refinery import curation, enrollment
 from refinery.operators import quality
-from refinery.operators.rules import Rule, any_null, classify, flag_exists, flag_first
 from refinery.session import scratch_dir
-from refinery.sources import landing, raw
+from refinery.sources import landing
 
-ENR_COLS = ["enrollment_id", "member_id", "plan_id", "coverage_year", "effective_date",
-            "termination_date", "status", "monthly_premium"]
-SPEC = [Field("enrollment_id", "bigint"), Field("member_id", "bigint"), Field("plan_id"),
-        Field("coverage_year", "int"), Field("effective_date", "date"), Field("termination_date", "date"),
-        Field("status", upper=True), Field("monthly_premium", "decimal(10,2)")]
-STATUSES = ["PENDING", "ACTIVE", "TERMINATED", "CANCELLED"]
+ENR_COLS = enrollment.ENR_COLS
 
 
 def _fixture(spark):
-    members = spark.range(100001, 102001).select(F.col("id").cast("string").alias("member_id"))
+    members = spark.range(100001, 102001).select(F.col("id").alias("member_id"))
     plans = spark.createDataFrame([(p,) for p in ["10001TX0010001", "10001TX0020001", "10002FL0010001"]],
                                   "plan_id string")
     sor = spark.range(3001).select(
@@ -57,29 +49,13 @@ def test_golden_scenario(spark):
     root = scratch_dir(spark, "golden")
     landing.land(sor, root, "operational", "enrollments", "20261101T000000Z")
     landing.land(feed, root, "external", "enrollment_feed", "20261101T000000Z")
-    incoming = (standardize(raw.read_latest(spark, os.path.join(root, "operational", "enrollments"), ENR_COLS),
-                            SPEC, keep=["source_file"], literals={"source_system": "operational"})
-                .unionByName(standardize(raw.read_latest(spark, os.path.join(root, "external", "enrollment_feed"),
-                                                         ENR_COLS),
-                                         SPEC, keep=["source_file"], literals={"source_system": "external_feed"})))
-    incoming = incoming.withColumn("_rid", F.monotonically_increasing_id())
-    df = flag_exists(incoming, members.select(F.col("member_id").cast("bigint").alias("m")), [("member_id", "m")],
-                     "_member_ok")
-    df = flag_exists(df, plans, ["plan_id"], "_plan_ok")
-    df = flag_first(df, ["enrollment_id"], ["source_system", "source_file"], ["_rid"], flag="_first")
-    cls = classify(df, [
-        Rule("MISSING_REQUIRED_FIELD", any_null("enrollment_id", "member_id", "plan_id", "effective_date",
-                                                "status", "monthly_premium")),
-        Rule("INVALID_MEMBER_ID", ~F.col("_member_ok")),
-        Rule("INVALID_PLAN_ID", ~F.col("_plan_ok")),
-        Rule("NEGATIVE_PREMIUM", F.col("monthly_premium") < 0),
-        Rule("INVALID_STATUS", ~F.col("status").isin(*STATUSES)),
-        Rule("INVALID_DATE_RANGE", F.col("termination_date") < F.col("effective_date")),
-        Rule("DUPLICATE_ENROLLMENT", ~F.col("_first")),
-    ])
+    incoming = curation.incoming(spark, root, {"operational": "operational/enrollments",
+                                               "external_feed": "external/enrollment_feed"}, enrollment.SPEC)
+    cls = curation.classified(incoming, {"members": members, "plans": plans}, enrollment.SPEC)
     s = quality.summary(cls).collect()[0]
     assert (s.extracted, s.accepted, s.rejected, s.pass_rate) == (3176, 3101, 75, 0.9764)
     by = {r.rejection_reason: r.rejected_count for r in quality.by_reason(cls).collect()}
+    # The published counts per rule.
     assert by == {"MISSING_REQUIRED_FIELD": 15, "INVALID_MEMBER_ID": 10, "INVALID_PLAN_ID": 10,
                   "NEGATIVE_PREMIUM": 10, "INVALID_STATUS": 10, "INVALID_DATE_RANGE": 10,
                   "DUPLICATE_ENROLLMENT": 10}
