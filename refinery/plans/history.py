@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import history
+from ..session import materialize
 from .common import t
 from .registry import attach, query
 
@@ -38,7 +39,8 @@ def as_of(spark, sf):
 def as_of_join(spark, sf):
     purchases = (t(spark, sf, "events").filter(F.col("event_type") == "purchase")
                  .select("event_id", "user_id", "ts", "value"))
-    return history.as_of_join(purchases, user_history(spark, sf), ["user_id"], "ts", ["event_type"])
+    # written once: the join samples its input and then reads it
+    return history.as_of_join(purchases, materialize(user_history(spark, sf), "history"), ["user_id"], "ts", ["event_type"])
 
 
 @query("as_of_join_just_before")
@@ -46,7 +48,8 @@ def as_of_join_just_before(spark, sf):
     """The version in force before the purchase's own instant."""
     purchases = (t(spark, sf, "events").filter(F.col("event_type") == "purchase")
                  .select("event_id", "user_id", "ts", "value"))
-    return history.as_of_join(purchases, user_history(spark, sf), ["user_id"], "ts", ["event_type"], just_before=True)
+    return history.as_of_join(purchases, materialize(user_history(spark, sf), "history"), ["user_id"], "ts", ["event_type"],
+                              just_before=True)
 
 
 HIST_SQL = """

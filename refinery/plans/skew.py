@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cdc, history
 from ..operators.rules import flag_first
+from ..session import materialize
 from . import dq
 from .common import t
 from .registry import attach, query
@@ -44,7 +45,7 @@ def hot_key_as_of_join(spark, sf):
     """Each purchase with the version in force at its time, one user holding a third of the events."""
     ev = hot_events(spark, sf)
     purchases = ev.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "ts", "value")
-    hist = history.scd2(ev, ["user_id"], ["ts", "event_id"], ["event_type"])
+    hist = materialize(history.scd2(ev, ["user_id"], ["ts", "event_id"], ["event_type"]), "history")
     return history.as_of_join(purchases, hist, ["user_id"], "ts", ["event_type"])
 
 
