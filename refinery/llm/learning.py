@@ -10,29 +10,32 @@ from pyspark.sql import functions as F
 from .features import feature_sets
 
 
-def sample(rows: DataFrame, picks: dict[int, tuple[Column, int]], key: str = "doc_id") -> tuple[list[np.ndarray], np.ndarray]:
-    """Feature sets of bounded samples of ``rows`` (key, text and what the conditions read), and their pick.
-
-    ``picks[p]`` is (condition, most rows). The rows with the least hash of the
-    key are taken, so a sample does not depend on partitioning; rows without a
-    key or of a repeated key beyond the first are left out, and so are near
-    copies within a pick. Only hashed features leave the tasks.
+def sample(docs: DataFrame, marked: DataFrame, picks: dict[int, tuple[Column, int]], key: str = "doc_id",
+           how: str = "left") -> tuple[list[np.ndarray], np.ndarray]:
+    """Feature sets of bounded samples of ``docs`` (key, text), and their pick.
+
+    ``picks[p]`` is (condition on the columns of ``marked``, most rows); ``marked``
+    has a row a key and meets the keys of ``docs`` alone, so no text is shuffled.
+    The rows with the least hash of the key are taken, so a sample does not
+    depend on partitioning; rows without a key or of a repeated key beyond the
+    first are left out, and so are near copies within a pick. Only hashed
+    features leave the tasks.
     """
-    keys = rows.drop("text").filter(F.col(key).isNotNull()).dropDuplicates([key])
+    keys = docs.select(key).filter(F.col(key).isNotNull()).distinct().join(marked, key, how)
     chosen = {p: keys.filter(c).select(key).orderBy(F.xxhash64(key), key).limit(n).toPandas()[key].tolist()
               for p, (c, n) in picks.items()}
     ids = sorted({i for part in chosen.values() for i in part})
     if not ids:
         return [], np.empty(0, np.int64)
-    kind = rows.schema[key].dataType.simpleString()
-    picked = rows.sparkSession.createDataFrame([(i,) for i in ids], f"`{key}` {kind}")
+    kind = docs.schema[key].dataType.simpleString()
+    picked = docs.sparkSession.createDataFrame([(i,) for i in ids], f"`{key}` {kind}")
 
     def run(batches):
         for batch in batches:
             sets = feature_sets(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "sets"])
 
-    got = (rows.join(F.broadcast(picked), key)             # at most the picks' sum of ids
+    got = (docs.select(key, "text").join(F.broadcast(picked), key)             # at most the picks' sum of ids
            .select(F.col(key).alias("id"), "text").mapInArrow(run, f"id {kind}, sets binary")
            .dropDuplicates(["id"]).toArrow())
     of = {i: np.frombuffer(b, np.uint32) for i, b in zip(got["id"].to_pylist(), got["sets"].to_pylist())}

@@ -88,13 +88,12 @@ def learn(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
     marked = (labels.filter("doc_id is not null").groupBy("doc_id")
               .agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
               .select("doc_id", code.alias("label")).filter("label is not null"))
-    rows = docs.select("doc_id", "text").join(marked, "doc_id")
-    counts = dict(rows.groupBy("label").count().collect())
+    counts = dict(docs.select("doc_id").join(marked, "doc_id").groupBy("label").count().collect())
     prior = np.array([counts.get(k, 0) for k in range(len(DOMAINS))], float)
     if not prior.sum():
         goal = np.array([targets[d] for d in DOMAINS])
         return fit([], np.empty(0, np.int64), goal / goal.sum())
-    sets, label = sample(rows, {k: (F.col("label") == k, size) for k in sorted(counts)})
+    sets, label = sample(docs, marked, {k: (F.col("label") == k, size) for k in sorted(counts)}, how="inner")
     return fit(sets, label, prior / prior.sum())
 
 

@@ -115,13 +115,11 @@ def fit(sets: list[np.ndarray], positive: np.ndarray, prior: float, epochs: int
 def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Classifier:
     """Fit on the learning rows of ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
     marked = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = (docs.select("doc_id", "text").join(marked, "doc_id", "left")
-            .select("doc_id", "text", "toxic"))
     ids = docs.select("doc_id").filter("doc_id is not null").distinct()
     known = marked.join(ids, "doc_id", "left_semi").agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
     if not known:
         return NONE
-    sets, pick = sample(rows, {1: (F.col("toxic") == 1, positives), 0: (F.lit(True), unlabelled)})
+    sets, pick = sample(docs, marked, {1: (F.col("toxic") == 1, positives), 0: (F.lit(True), unlabelled)})
     return fit(sets, pick == 1, min(known, 0.5))
 
 
