@@ -84,8 +84,9 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", car
         F.when(_is_set(bits, pair), F.sha2(norm.cast("binary"), 256)).alias("__full"), *carry), "hashes")
     rank = F.struct((-F.col("__chars")).alias("chars"), F.col("doc_id").isNull().alias("no_id"),
                     F.col("doc_id").alias("id"), F.col(ROW).alias("row"))
-    groups = (rows.filter("__full is not null")
-              .groupBy("__full").agg(F.min(rank).alias("__best"), F.count(F.lit(1)).alias("group_size")))
+    # written, so that the join below has an exchange on both sides and Spark can split a hot group
+    groups = written(rows.filter("__full is not null").groupBy("__full").agg(
+        F.min(rank).alias("__best"), F.count(F.lit(1)).alias("group_size")), "groups")
     several = (rows.filter("__full is not null").join(groups, "__full")
                .withColumn("keep_id", F.col("__best.id")).withColumn("kept", F.col(ROW) == F.col("__best.row")))
     alone = (rows.filter("__full is null")
