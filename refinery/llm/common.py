@@ -2,19 +2,41 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialize as written
+from ..session import scratch_dir as scratch
+
+__all__ = ["ROW", "STRETCH", "held_out", "hold", "scratch", "small", "stretches", "with_row", "written"]
 
 ROW = "__row"
 STRETCH = 1 << 20
 
 
+_held: dict[str, Callable[[], None]] = {}
+
+
+def hold(operator: str, release: Callable[[], None] = lambda: None) -> None:
+    """Tell a Python worker, which Spark reuses, that it works for ``operator`` now:
+    what it keeps for other operators is released."""
+    for other in [o for o in _held if o != operator]:
+        _held.pop(other)()
+    _held[operator] = release
+    pa.default_memory_pool().release_unused()
+
+
+def small(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Arrow batches a few rows at a time (views, no copies), so that few texts are Python strings at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def stretches(text: str, size: int) -> Iterator[str]:
     """A long text in stretches of about ``size`` characters, cut before blanks."""
     at = 0
@@ -24,19 +46,6 @@ def stretches(text: str, size: int) -> Iterator[str]:
     yield text[at:]
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder name under the shared folder of ``spark.checkpoint.dir``."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back: lineage
-    ends there, and what a task drew (partition number, local order) is fixed."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def with_row(df: DataFrame) -> DataFrame:
     """Add ``__row``, a string that names the row: file path and row index.
 

@@ -3,7 +3,9 @@
 The byte-level pre-tokenizer never lets a piece run from a non-space character
 into white space, and looks ahead only. So a text may be cut before a white-space
 run, and every cut part encodes as it does inside the text. Parts repeat, so each
-worker keeps the library's ids of the parts it has seen, up to ``MEMO`` of them.
+worker keeps the library's ids of the parts it has seen, ``MEMO`` of them at most:
+two generations, of which the older goes when the newer is full, and parts that
+are met again move to the newer one.
 """
 
 from __future__ import annotations
@@ -14,11 +16,11 @@ from functools import lru_cache
 
 import numpy as np
 
-from .common import STRETCH, stretches
+from .common import STRETCH, hold, stretches
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-MEMO = 1_000_000
+MEMO = 700_000
 
 # White space other than single blanks and line feeds: such texts are encoded whole.
 _ODD_SPACE = re.compile(r"[^\S \n]|᠎")
@@ -38,7 +40,7 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """``encode(text)`` gives the little-endian unsigned 32-bit ids of a text, end id appended."""
 
-    def __init__(self, path: str, end_id: int = END_ID):
+    def __init__(self, path: str, end_id: int = END_ID, memo: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
@@ -47,18 +49,22 @@ class Encoder:
         self.letters = {chr(b): c for b, c in _byte_letters().items()}
         self.table = str.maketrans(self.letters)
         self.end = np.array([end_id], "<u4").tobytes()
+        self.most = MEMO if memo is None else memo
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, part: str) -> bytes:
         """Ids of a part with its blank; a part that begins with a line feed has none."""
+        if part in self.older:
+            return self._keep(part, self.older[part])
         m = _WORD_MARKS.fullmatch(part)
         if m:
             stem = self.memo.get(m[1]) or self._learn(m[1])
             marks = "\0" + m[2]          # marks directly after a word: no blank before them
-            return stem + (self.memo.get(marks) or self._keep(marks, self.whole(m[2])))
+            return stem + (self.memo.get(marks) or self._keep(marks, self.older.get(marks) or self.whole(m[2])))
         if part.isalpha():             # one pre-token: the model alone is enough
             raw = (" " + part).encode().decode("latin-1").translate(self.table)
             ids = np.array([t.id for t in self.lib.model.tokenize(raw)], "<u4").tobytes()
@@ -67,8 +73,8 @@ class Encoder:
         return self._keep(part, ids)
 
     def _keep(self, key: str, ids: bytes) -> bytes:
-        if len(self.memo) >= MEMO:
-            self.memo.clear()
+        if len(self.memo) >= self.most // 2:
+            self.memo, self.older = {}, self.memo
         self.memo[key] = ids
         return ids
 
@@ -82,13 +88,18 @@ class Encoder:
     def _parts(self, text: str) -> bytes:
         """Ids of a stretch; a later stretch of a text begins with its blank."""
         parts = text.replace("\n", " \n").split(" ")
-        get, learn = self.memo.get, self._learn
-        out = [get(p) or learn(p) for p in parts[1:]]
+        learn = self._learn
+        out = [self.memo.get(p) or learn(p) for p in parts[1:]]
         return (self.whole(parts[0]) if parts[0] else b"") + b"".join(out)
 
 
-@lru_cache(maxsize=2)
-def encoder(name: str = TOKENIZER, end_id: int = END_ID) -> Encoder:
-    """One encoder a worker process."""
+@lru_cache(maxsize=1)
+def _loaded(name: str, end_id: int, memo: int | None) -> Encoder:
     import public_tokenizers
-    return Encoder(public_tokenizers.path(name), end_id)
+    return Encoder(public_tokenizers.path(name), end_id, memo)
+
+
+def encoder(name: str = TOKENIZER, end_id: int = END_ID, memo: int | None = None) -> Encoder:
+    """One encoder a worker process, as long as it encodes."""
+    hold("encode", _loaded.cache_clear)
+    return _loaded(name, end_id, memo)

@@ -12,8 +12,10 @@ from functools import lru_cache
 
 import numpy as np
 
+from .common import hold
+
 SIEVE = 1 << 20
-BUFFER = 1 << 20
+BUFFER = 1 << 18
 STEMS = (5, 6, 7, 8)
 _P = 0x9E3779B97F4A7C15                    # odd, so it has an inverse modulo 2^64
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -63,6 +65,7 @@ def _buffers(texts: Iterable[str | None]) -> Iterator[tuple[list[bytes], list[in
 
 def tokens(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(text number, hash) of every token, buffer by buffer; then its stems' hashes."""
+    hold("features", _POWERS.clear)
     kind, value = _tables()
     for parts, owners in _buffers(texts):
         data = np.frombuffer(b" ".join(parts), np.uint8)

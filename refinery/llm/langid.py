@@ -92,6 +92,7 @@ def learn(docs: DataFrame, top: int = TOP, text: str = "text", lang: str = "lang
     """Profiles of every language in ``docs``, from all its rows (``top`` rows a language reach the driver)."""
 
     def run(batches):
+        common.hold("langid", _letters.cache_clear)
         held: dict[str, tuple[list, list]] = {}
         size = 0
 
@@ -101,7 +102,7 @@ def learn(docs: DataFrame, top: int = TOP, text: str = "text", lang: str = "lang
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(c), pa.string()), pa.array(c), pa.array(n)],
                                                  names=["lang", "gram", "n"])
 
-        for batch in batches:
+        for batch in common.small(batches):
             for name, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 c, n = gram_counts(t)
                 codes, counts = held.setdefault(name, ([], []))
@@ -132,8 +133,9 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text", out: tuple
     names, position = list(docs.columns), docs.columns.index(text)
 
     def run(batches):
+        common.hold("langid", _letters.cache_clear)
         known = shared.value
-        for batch in batches:
+        for batch in common.small(batches):
             said = [known.predict(t) for t in batch.column(position).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([x for x, _ in said], pa.string()), pa.array([s for _, s in said], pa.float64())],

@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small
 from .features import feature_sets
 
 
@@ -31,7 +32,7 @@ def sample(docs: DataFrame, marked: DataFrame, picks: dict[int, tuple[Column, in
     picked = docs.sparkSession.createDataFrame([(i,) for i in ids], f"`{key}` {kind}")
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             sets = feature_sets(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "sets"])
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import small, written
 from .features import Linear, dense, telling
 from .learning import Adam, sample, softmax
 
@@ -103,7 +103,7 @@ def posteriors(docs: DataFrame, model: Posterior, keep: tuple[str, ...] = ()) ->
     rows = docs.select(F.col("text").alias("__text"), *keep)
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             p, n = shared.value.of(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(n), pa.array(list(p), pa.list_(pa.float64()))], names=[*keep, "tokens", "posterior"])

@@ -26,10 +26,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import small, written
 from .encode import END_ID, TOKENIZER, encoder
 
 CAPACITY = 2048
+MEMO = 500_000
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, "
           "chunk int, place long")
 
@@ -113,9 +114,9 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER
     """Encode whole texts and cut them; ``chunk`` and ``place`` number equal lengths within a task."""
 
     def run(batches):
-        enc, chunk = encoder(tokenizer, end_id), TaskContext.get().partitionId()
+        enc, chunk = encoder(tokenizer, end_id, MEMO), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = memoryview(enc.encode(text))

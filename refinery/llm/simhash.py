@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, with_row, written
+from .common import ROW, hold, small, with_row, written
 
 SHINGLE = 3
 RADIUS = 3
@@ -71,7 +71,8 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", ke
     """``keep`` columns and ``fp``, the fingerprint as a signed 64-bit integer."""
 
     def run(batches):
-        for batch in batches:
+        hold("simhash")
+        for batch in small(batches):
             prints = np.array([fingerprint(t, shingle) for t in batch.column(0).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(prints.view(np.int64))], names=[*keep, "fp"])
 
@@ -131,7 +132,8 @@ def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFram
     meet = pairs.join(left, "a").join(right, "b").select("l", "r")
 
     def run(batches):
-        for batch in batches:
+        hold("simhash")
+        for batch in small(batches, 1):
             found = []
             for l, r in zip(batch.column(0), batch.column(1)):
                 found += _spanning(l.values.to_numpy().view(np.uint64), r.values.to_numpy().view(np.uint64), radius)

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, scratch, with_row
+from .common import ROW, scratch, small, with_row
 from .encode import END_ID, TOKENIZER, encoder
 
 MAGIC = b"IDBLOCK1"
@@ -152,7 +152,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_id
             number, held, size = number + 1, [], 0
             return row
 
-        for batch in batches:
+        for batch in small(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 held.append((doc_id, enc.encode(text)))
                 size += len(held[-1][1]) // 4
@@ -176,7 +176,7 @@ def read_documents(spark: SparkSession, folder: str, manifest: DataFrame) -> Dat
                         ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches, 1):
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 rows = [(name, d, s, len(ids), zlib.crc32(ids.tobytes()))
                         for d, s, ids in TokenFile(data.as_buffer()).documents()]

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small
 from .features import Linear, dense, telling
 from .learning import Adam, sample, sigmoid
 
@@ -128,7 +129,7 @@ def score(docs: DataFrame, model: Classifier, text: str = "text", keep: tuple[st
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             scores = shared.value.score(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(scores), pa.array((scores >= CUT).astype(np.int32))],

@@ -35,9 +35,11 @@ def test_stretches_change_nothing(monkeypatch):
         assert ids_of(text) == plain(text)
 
 
-def test_memo_limit_changes_nothing(monkeypatch):
-    monkeypatch.setattr("refinery.llm.encode.MEMO", 3)
-    assert ids_of("one two three four five six, seven.") == plain("one two three four five six, seven.")
+def test_memo_limit_changes_nothing():
+    for memo in (1, 2, 6):
+        e = encoder(memo=memo)
+        for text in ("one two three four five six, seven.", "one one two, two. one!"):
+            assert np.frombuffer(e.encode(text), "<u4").tolist() == plain(text)
 
 
 @pytest.mark.parametrize("bits", [1, 7, 8, 13, 16, 17, 24, 31, 32])
