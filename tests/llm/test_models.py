@@ -302,3 +302,19 @@ def test_boosted_trees_learn_an_interaction():
     y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.3)).astype(float)
     trees = pii.Trees().fit(x[:1500], y[:1500])
     assert ((trees.predict(x[1500:]) > 0.5) == y[1500:]).mean() > 0.9
+
+
+def test_spans_run_to_their_delimiter(spark, docs):
+    model = pii.learn(docs(pii_rows()))
+    rnd = random.Random(2)
+    long = "".join(rnd.choice("0123456789abcdef") for _ in range(400))
+    (got,) = pii.find(docs([(1, f"words password={long} and more")]), model, redact=True).collect()
+    assert got.spans == "secret:15:415" and got.redacted == "words password=[SECRET] and more"
+    jwt = ".".join([long[:40], long[40:240], long[240:]])
+    found = pii.candidates(f"token='{jwt}'; {long}, {'x' * 100}@{'y' * 100} end")
+    assert {(7, 7 + len(jwt)), (412, 812), (814, 1015)} <= {(s, e) for s, e, _, _ in found}
+
+
+def test_candidates_of_very_long_texts():
+    for text in ("1" * 300_000, "a" * 300_000, "a@" * 100_000, "ab=" * 100_000, "1 " * 100_000, "x1" * 150_000, "1-" + " " * 300_000 + "2"):
+        pii.candidates(text + " a@b.c")
