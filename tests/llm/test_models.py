@@ -318,3 +318,11 @@ def test_spans_run_to_their_delimiter(spark, docs):
 def test_candidates_of_very_long_texts():
     for text in ("1" * 300_000, "a" * 300_000, "a@" * 100_000, "ab=" * 100_000, "1 " * 100_000, "x1" * 150_000, "1-" + " " * 300_000 + "2"):
         pii.candidates(text + " a@b.c")
+
+
+def test_neighbouring_numbers_are_candidates_each():
+    text = "555-123-4567 555-987-6543, +1 (555) 010-9999 4111 1111 1111 1111 5555 5555 5555 4444"
+    found = {text[s:e] for s, e, k, _ in pii.candidates(text) if k == "number"}
+    assert {"555-123-4567", "555-987-6543", "+1 (555) 010-9999", "(555) 010-9999", "4111 1111 1111 1111", "5555 5555 5555 4444"} <= found
+    assert all(7 <= sum(c.isdigit() for c in f) <= 19 for f in found) and list(pii.runs("1" * 20 + " 12 3456")) == []
+    assert list(pii.runs("(1234567")) == [(0, 8)] and list(pii.runs("+(1234567 x 12")) == [(0, 9)]
