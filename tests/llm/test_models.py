@@ -326,3 +326,24 @@ def test_neighbouring_numbers_are_candidates_each():
     assert {"555-123-4567", "555-987-6543", "+1 (555) 010-9999", "(555) 010-9999", "4111 1111 1111 1111", "5555 5555 5555 4444"} <= found
     assert all(7 <= sum(c.isdigit() for c in f) <= 19 for f in found) and list(pii.runs("1" * 20 + " 12 3456")) == []
     assert list(pii.runs("(1234567")) == [(0, 8)] and list(pii.runs("+(1234567 x 12")) == [(0, 9)]
+
+
+def test_added_spans_beyond_the_base_rules(spark, docs):
+    rnd = random.Random(12)
+
+    def number(shape):
+        return "-".join("".join(rnd.choice("0123456789") for _ in range(int(n))) for n in shape)
+
+    def key(n=32):
+        return "".join(rnd.choice("0123456789abcdef") for _ in range(n - 4)) + "12ab"
+    rows = []
+    for i in range(600):
+        rows.append((i, f"Some words {'here ' * (i % 4)}" + [
+            f"and +1-{number('334')} after", f"your ssn {number('324')} is", f"password={key()} next", f"order {rnd.randrange(10**7, 10**9)} of",
+            f"on 20{number('2')}-0{rnd.randrange(1, 10)}-1{rnd.randrange(10)} we", f"size={rnd.randrange(10**6, 10**8)} at page-one-{number('4')}-of-the-book"][i % 6]))
+    model = pii.learn(docs(rows))
+    tests = {"see 555-123-4567 there": "number:4:16", "see 555-123-4567 555-987-6543 there": "number:4:16,number:17:29",
+             "he is 123-45-6789 now": "number:6:17", f"we run {key()} there": "secret:7:39",
+             "order 48151623 there": "", "on 2024-05-17 there": "", "see page-two-1999-of-the-book there": "", f"sha size=7654321 there": ""}
+    got = {r.text: r.spans for r in pii.find(docs([(i, t) for i, t in enumerate(tests)]), model, ("text",)).collect()}
+    assert got == tests
