@@ -7,56 +7,89 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small
+from .common import small, written
 from .features import feature_sets
 
 
-def sample(docs: DataFrame, marked: DataFrame, picks: dict[int, tuple[Column, int]], key: str = "doc_id",
-           how: str = "left") -> tuple[list[np.ndarray], np.ndarray]:
-    """Feature sets of bounded samples of ``docs`` (key, text), and their pick.
+DRAWS = 4
 
-    ``picks[p]`` is (condition on the columns of ``marked``, most rows); ``marked``
-    has a row a key and meets the keys of ``docs`` alone, so no text is shuffled.
-    The rows with the least hash of the key are taken, so a sample does not
-    depend on partitioning; rows without a key or of a repeated key beyond the
-    first are left out, and so are near copies within a pick. Only hashed
-    features leave the tasks.
+
+def by_text(docs: DataFrame, marked: DataFrame, conditions: dict[int, Column], key: str = "doc_id", how: str = "left") -> DataFrame:
+    """A row a distinct text: its hash, and for each condition on the columns of ``marked`` the least key that meets it.
+
+    ``marked`` has a row a key and meets the keys of ``docs`` alone, so no text is shuffled; equal texts are gathered by
+    partial aggregates. Rows without a key are left out, and so are texts of a repeated key beyond one.
+    """
+    rows = (docs.select(key, F.xxhash64("text").alias("__hash")).filter(F.col(key).isNotNull())
+            .groupBy(key).agg(F.min("__hash").alias("__hash")).join(marked, key, how))
+    return written(rows.groupBy("__hash").agg(*[F.min(F.when(c, F.col(key))).alias(f"__pick{p}") for p, c in conditions.items()]), "texts")
+
+
+def sample(docs: DataFrame, texts: DataFrame, picks: dict[int, int], key: str = "doc_id") -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Feature sets of bounded samples of ``docs`` (key, text), their pick, and how many near copies each stands for.
+
+    ``texts`` is of ``by_text``, and ``picks[p]`` is the most rows of condition p. The texts with the least hash of
+    their key are drawn, so a sample does not depend on partitioning. Near copies within a pick leave the sample, and
+    others are drawn until there are enough, or no more. The counts of near copies make the sample speak for all
+    distinct texts. Only hashed features leave the tasks.
     """
-    keys = docs.select(key).filter(F.col(key).isNotNull()).distinct().join(marked, key, how)
-    chosen = {p: keys.filter(c).select(key).orderBy(F.xxhash64(key), key).limit(n).toPandas()[key].tolist()
-              for p, (c, n) in picks.items()}
-    ids = sorted({i for part in chosen.values() for i in part})
-    if not ids:
-        return [], np.empty(0, np.int64)
     kind = docs.schema[key].dataType.simpleString()
-    picked = docs.sparkSession.createDataFrame([(i,) for i in ids], f"`{key}` {kind}")
 
     def run(batches):
         for batch in small(batches):
             sets = feature_sets(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "sets"])
 
-    got = (docs.select(key, "text").join(F.broadcast(picked), key)             # at most the picks' sum of ids
-           .select(F.col(key).alias("id"), "text").mapInArrow(run, f"id {kind}, sets binary")
-           .dropDuplicates(["id"]).toArrow())
-    of = {i: np.frombuffer(b, np.uint32) for i, b in zip(got["id"].to_pylist(), got["sets"].to_pylist())}
-    sets, pick = [], []
-    for p, part in chosen.items():
-        mine = [of[i] for i in part]
-        mine = [s for s, k in zip(mine, distinct_rows(mine)) if k]
-        sets += mine
-        pick += [p] * len(mine)
-    return sets, np.array(pick, np.int64)
+    want, last, kept = dict(picks), {}, {p: ([], np.empty(0)) for p in picks}
+    while want:
+        chosen = {}
+        for p, n in want.items():
+            rows = texts.select(F.xxhash64(f"__pick{p}").alias("o"), F.col(f"__pick{p}").alias("id"), "__hash").filter("id is not null")
+            if p in last:
+                o, i = last[p]
+                rows = rows.filter((F.col("o") > o) | ((F.col("o") == o) & (F.col("id") > i)))
+            chosen[p] = [tuple(r) for r in rows.orderBy("o", "id").limit(n).collect()]
+        ids = sorted({(i, h) for part in chosen.values() for _, i, h in part})
+        if not ids:
+            break
+        picked = docs.sparkSession.createDataFrame(ids, f"`{key}` {kind}, __hash long")
+        got = (docs.select(key, "text", F.xxhash64("text").alias("__hash"))
+               .join(F.broadcast(picked), [key, "__hash"])                     # at most DRAWS times the picks' sum of ids
+               .select(F.col(key).alias("id"), "text").mapInArrow(run, f"id {kind}, sets binary")
+               .dropDuplicates(["id"]).toArrow())
+        of = {i: np.frombuffer(b, np.uint32) for i, b in zip(got["id"].to_pylist(), got["sets"].to_pylist())}
+        for p, part in chosen.items():
+            before = len(kept[p][0])
+            sets, n = kept[p][0] + [of[i] for _, i, _ in part], np.append(kept[p][1], np.ones(len(part)))
+            owner = owners(sets)
+            own = np.flatnonzero(owner == np.arange(len(sets)))
+            if len(own) >= picks[p]:                                           # later draws are not needed
+                end = int(own[picks[p] - 1]) + 1 if picks[p] else 0
+                sets, n, owner, own = sets[:end], n[:end], owner[:end], own[:picks[p]]
+            kept[p] = [sets[i] for i in own], np.bincount(owner, n, len(sets))[own]
+            missing = picks[p] - len(own)
+            if missing <= 0 or len(part) < want[p]:
+                del want[p]
+            else:
+                last[p] = part[-1][:2]
+                want[p] = min(DRAWS * picks[p], 1 + 2 * missing * len(part) // max(1, len(own) - before))
+    return ([s for sets, _ in kept.values() for s in sets], np.repeat(np.array(list(kept), np.int64), [len(s) for s, _ in kept.values()]),
+            np.concatenate([np.empty(0), *[n for _, n in kept.values()]]).astype(np.int64))
 
 
 def distinct_rows(sets: list[np.ndarray], alike: float = 0.5, bands: int = 4, width: int = 3) -> np.ndarray:
-    """False for rows whose features mostly equal an earlier row's: copies would pass their words off as telling.
+    """False for rows whose features mostly equal an earlier row's: copies would pass their words off as telling."""
+    return owners(sets, alike, bands, width) == np.arange(len(sets))
+
+
+def owners(sets: list[np.ndarray], alike: float = 0.5, bands: int = 4, width: int = 3) -> np.ndarray:
+    """The earlier row whose features a row's mostly equal, or the row itself.
 
     Candidates share ``width`` minimum hashes in one of the ``bands``; their Jaccard similarity decides.
     """
     odd = np.random.default_rng(11).integers(1, 1 << 62, bands * width, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     seen: dict[tuple, int] = {}
-    keep = np.ones(len(sets), bool)
+    owner = np.arange(len(sets))
     for i, s in enumerate(sets):
         if not len(s):
             continue
@@ -65,9 +98,9 @@ def distinct_rows(sets: list[np.ndarray], alike: float = 0.5, bands: int = 4, wi
             j = seen.setdefault((b, *signature.tolist()), i)
             both = len(np.intersect1d(s, sets[j], assume_unique=True)) if j != i else 0
             if both >= alike * (len(s) + len(sets[j]) - both) and j != i:
-                keep[i] = False
+                owner[i] = owner[j]
                 break
-    return keep
+    return owner
 
 
 class Adam:

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import small, written
 from .features import Linear, dense, telling
-from .learning import Adam, sample, softmax
+from .learning import Adam, by_text, sample, softmax
 
 DOMAINS = ("good", "poor", "toxic")
 TARGETS = {"good": 0.90, "poor": 0.07, "toxic": 0.03}
@@ -83,7 +83,7 @@ def fit(sets: list[np.ndarray], label: np.ndarray, prior: np.ndarray, epochs: in
 
 
 def learn(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, size: int = SAMPLE) -> Posterior:
-    """Learn the domains of labelled documents; at most ``size`` rows a domain are sampled."""
+    """Learn the domains of labelled documents; at most ``size`` distinct texts a domain are sampled."""
     code = F.when(F.col("toxic") == 1, 2).when(F.col("quality") == 1, 0).when(F.col("quality") == 0, 1)
     marked = (labels.filter("doc_id is not null").groupBy("doc_id")
               .agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
@@ -93,7 +93,8 @@ def learn(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
     if not prior.sum():
         goal = np.array([targets[d] for d in DOMAINS])
         return fit([], np.empty(0, np.int64), goal / goal.sum())
-    sets, label = sample(docs, marked, {k: (F.col("label") == k, size) for k in sorted(counts)}, how="inner")
+    texts = by_text(docs, marked, {k: F.col("label") == k for k in sorted(counts)}, how="inner")
+    sets, label, _ = sample(docs, texts, {k: size for k in sorted(counts)})
     return fit(sets, label, prior / prior.sum())
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import small
 from .features import Linear, dense, telling
-from .learning import Adam, sample, sigmoid
+from .learning import Adam, by_text, sample, sigmoid
 
 POSITIVES = 2000
 UNLABELLED = 4000
@@ -120,7 +120,8 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     known = marked.join(ids, "doc_id", "left_semi").agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
     if not known:
         return NONE
-    sets, pick = sample(docs, marked, {1: (F.col("toxic") == 1, positives), 0: (F.lit(True), unlabelled)})
+    texts = by_text(docs, marked, {1: F.col("toxic") == 1, 0: F.lit(True)})
+    sets, pick, _ = sample(docs, texts, {1: positives, 0: unlabelled})
     return fit(sets, pick == 1, min(known, 0.5))
 
 

@@ -347,3 +347,25 @@ def test_added_spans_beyond_the_base_rules(spark, docs):
              "order 48151623 there": "", "on 2024-05-17 there": "", "see page-two-1999-of-the-book there": "", f"sha size=7654321 there": ""}
     got = {r.text: r.spans for r in pii.find(docs([(i, t) for i, t in enumerate(tests)]), model, ("text",)).collect()}
     assert got == tests
+
+
+def hot_rows(n, hot, exact=False):
+    """``n`` texts, every tenth toxic, and ``hot`` (near) copies of one toxic text."""
+    rnd = random.Random(21)
+    plain, bad = [f"w{i}" for i in range(400)], [f"vile{i}" for i in range(12)]
+    rows = [(i, " ".join(rnd.choice(bad if i % 10 == 0 and k % 3 == 1 else plain) for k in range(40))) for i in range(n)]
+    core = " ".join(rnd.choice(plain + bad * 10) for _ in range(60))
+    rows += [(n + i, core + ("" if exact else f" z{i}")) for i in range(hot)]
+    return rows, {i: i >= n or i % 10 == 0 for i, _ in rows}
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_a_thinned_sample_is_filled_again(spark, docs, exact):
+    rows, truth = hot_rows(1000, 900, exact)
+    marked = spark.createDataFrame([(i, int(t)) for i, t in truth.items()], "doc_id long, toxic int")
+    texts = learning.by_text(docs(rows), marked, {1: F.col("toxic") == 1, 0: F.lit(True)})
+    sets, pick, copies = learning.sample(docs(rows), texts, {1: 60, 0: 500})
+    assert (pick == 1).sum() == 60 and (pick == 0).sum() == 500 and len(copies) == len(sets) == 560
+    assert (copies.max() > 10) == (not exact) and learning.distinct_rows(sets[:60]).all()
+    sets, pick, copies = learning.sample(docs(rows), texts, {1: 2000})
+    assert len(sets) == 101 and copies.sum() == (101 if exact else 1000)       # the class is exhausted
