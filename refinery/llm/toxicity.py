@@ -11,12 +11,15 @@ step goes the other way, as non-negative learning does. The cut is the point of
 least estimated error under the same prior, and scores are placed so that 0.7 is
 that cut.
 
-The sample is bounded (``POSITIVES``, ``UNLABELLED``); the class prior is counted
-over all labelled rows; scoring reads whole texts.
+The sample is bounded (``POSITIVES``, ``UNLABELLED``). Sample and class prior
+describe one population, the distinct texts: the prior is counted over all
+labelled ones, and a sampled text weighs as much as its near copies that were
+drawn with it. Features are chosen with near copies left out; scoring reads whole
+texts.
 
 Defined cases: null or empty text scores as a text without features; labels of
 unknown documents and null labels teach nothing; a document with several labels
-is toxic if one says so; without a positive every score is 0. Extra columns of
+is toxic if one says so, and so is a text that several documents share; without a positive every score is 0. Extra columns of
 the documents are kept apart from the labels, which join on doc_id alone.
 """
 
@@ -83,11 +86,13 @@ def best_cut(zp: np.ndarray, zu: np.ndarray, prior: float) -> float:
     return float(cuts[low[np.argmax(marks[low + 1] - marks[low])]])
 
 
-def fit(sets: list[np.ndarray], positive: np.ndarray, prior: float, epochs: int = 300, seed: int = 7) -> Classifier:
-    """Train on feature sets; ``positive`` marks the confirmed ones. Every fourth row chooses the cut,
+def fit(sets: list[np.ndarray], positive: np.ndarray, prior: float, epochs: int = 300, seed: int = 7,
+        copies: np.ndarray | None = None) -> Classifier:
+    """Train on feature sets, each standing for so many ``copies``; ``positive`` marks the confirmed ones. Every fourth row chooses the cut,
     or all rows where the positives are too few to keep some back."""
     if not positive.any() or positive.all():
         return NONE
+    copies = np.ones(len(sets), np.int64) if copies is None else copies
     nth = np.empty(len(positive), np.int64)
     for side in (True, False):
         nth[positive == side] = np.arange((positive == side).sum())
@@ -98,16 +103,17 @@ def fit(sets: list[np.ndarray], positive: np.ndarray, prior: float, epochs: int
     if not len(chosen):
         return NONE
     x = np.column_stack([dense(sets, chosen), np.ones(len(sets), np.float32)])
-    xp, xu = x[positive & ~kept_back], x[~positive & ~kept_back]
+    ip, iu = (np.flatnonzero(side & ~kept_back) for side in (positive, ~positive))
+    ip, iu = np.repeat(ip, copies[ip]), np.repeat(iu, copies[iu])
     w, adam, rng = np.zeros(x.shape[1]), Adam(x.shape[1], 0.05), np.random.default_rng(seed)
     w[-1] = np.log(prior / (1 - prior))
     for _ in range(epochs):
-        bp, bu = rng.integers(0, len(xp), min(512, len(xp))), rng.integers(0, len(xu), min(1024, len(xu)))
-        gradient, _ = nnpu_gradient(xp[bp], xu[bu], w, prior)
+        bp, bu = rng.integers(0, len(ip), min(512, len(ip))), rng.integers(0, len(iu), min(1024, len(iu)))
+        gradient, _ = nnpu_gradient(x[ip[bp]], x[iu[bu]], w, prior)
         w = w - adam.step(gradient + 1e-5 * w)
     z = x @ w
     judged = kept_back if kept_back.any() else np.ones(len(z), bool)
-    zp, zu = z[positive & judged], z[~positive & judged]
+    zp, zu = (np.repeat(z[side & judged], copies[side & judged]) for side in (positive, ~positive))
     cut = best_cut(zp, zu, prior)
     spread = max(1e-6, float(np.median(np.abs(zp - cut))))
     return Classifier(Linear(chosen, w[:-1, None]), float(w[-1]), cut, 3 / spread)
@@ -116,13 +122,13 @@ def fit(sets: list[np.ndarray], positive: np.ndarray, prior: float, epochs: int
 def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Classifier:
     """Fit on the learning rows of ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
     marked = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    ids = docs.select("doc_id").filter("doc_id is not null").distinct()
-    known = marked.join(ids, "doc_id", "left_semi").agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
-    if not known:
+    toxic = F.col("toxic") == 1
+    texts = by_text(docs, marked, {1: toxic, 0: F.lit(True), 2: F.col("toxic").isNotNull()})
+    confirmed, known = texts.agg(F.count("__pick1"), F.count("__pick2")).first()
+    if not confirmed:
         return NONE
-    texts = by_text(docs, marked, {1: F.col("toxic") == 1, 0: F.lit(True)})
-    sets, pick, _ = sample(docs, texts, {1: positives, 0: unlabelled})
-    return fit(sets, pick == 1, min(known, 0.5))
+    sets, pick, copies = sample(docs, texts, {1: positives, 0: unlabelled})
+    return fit(sets, pick == 1, min(confirmed / known, 1 - 0.5 / known), copies=copies)
 
 
 def score(docs: DataFrame, model: Classifier, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

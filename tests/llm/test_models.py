@@ -359,6 +359,28 @@ def hot_rows(n, hot, exact=False):
     return rows, {i: i >= n or i % 10 == 0 for i, _ in rows}
 
 
+@pytest.mark.parametrize("exact", [True, False])
+def test_a_hot_toxic_group_flags_no_clean_text(spark, docs, exact):
+    rows, truth = hot_rows(1200, 700, exact)
+    labels = spark.createDataFrame([(i, 1, int(t)) for i, t in truth.items()], "doc_id long, quality int, toxic int")
+    got = toxicity.score(docs(rows), toxicity.learn(docs(rows), labels)).collect()
+    told = [(truth[r.doc_id], r.predicted) for r in got if r.doc_id < 1200]
+    assert sum(p for t, p in told if t) / sum(t for t, _ in told) > 0.9
+    assert sum(p for t, p in told if not t) / sum(not t for t, _ in told) < 0.02
+
+
+def test_most_texts_toxic(spark, docs):
+    rows, _ = hot_rows(900, 0)
+    bad = {i: i % 10 != 0 for i, _ in rows}                # the plain ones, which are nine tenths, are the toxic ones here
+    labels = spark.createDataFrame([(i, 1, int(t)) for i, t in bad.items()], "doc_id long, quality int, toxic int")
+    seen = []
+    fit = toxicity.fit
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(toxicity, "fit", lambda sets, positive, prior, **kw: seen.append(prior) or fit(sets, positive, prior, **kw))
+        toxicity.learn(docs(rows), labels)
+    assert seen == [pytest.approx(0.9)]
+
+
 @pytest.mark.parametrize("exact", [True, False])
 def test_a_thinned_sample_is_filled_again(spark, docs, exact):
     rows, truth = hot_rows(1000, 900, exact)
