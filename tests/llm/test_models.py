@@ -391,3 +391,31 @@ def test_a_thinned_sample_is_filled_again(spark, docs, exact):
     assert (copies.max() > 10) == (not exact) and learning.distinct_rows(sets[:60]).all()
     sets, pick, copies = learning.sample(docs(rows), texts, {1: 2000})
     assert len(sets) == 101 and copies.sum() == (101 if exact else 1000)       # the class is exhausted
+
+
+def test_rates_of_a_rare_domain_meet_the_target(spark):
+    rng = np.random.default_rng(9)
+    toxic = np.arange(4000) % 1000 == 7
+    p = np.where(toxic[:, None], [0.01, 0.01, 0.98], np.stack([np.ones(4000), 0.2 * rng.random(4000), np.zeros(4000)], 1))
+    p[:, 0] = 1 - p[:, 1] - p[:, 2]
+    t = rng.integers(20, 60, 4000)
+    soft = spark.createDataFrame([(int(n), q.tolist()) for n, q in zip(t, p)], "tokens long, posterior array<double>")
+    _, reached = mixing.fit_rates(soft)
+    assert np.allclose(reached, list(mixing.TARGETS.values()), atol=0.001)
+
+
+def test_missed_targets_are_told(spark):
+    soft = spark.createDataFrame([(10, [0.9, 0.1, 0.0])] * 5, "tokens long, posterior array<double>")
+    with pytest.warns(UserWarning, match="toxic"):
+        mixing.fit_rates(soft)
+
+
+def test_fitted_rates_are_those_the_iteration_tends_to(spark):
+    rng = np.random.default_rng(13)
+    p, t = rng.dirichlet(np.ones(3), 200), rng.integers(1, 50, 200)
+    soft = spark.createDataFrame([(int(n), q.tolist()) for n, q in zip(t, p)], "tokens long, posterior array<double>")
+    residual, _ = mixing.fit_rates(soft, ridge=0.01)
+    goal, residuals = np.array([mixing.TARGETS[d] for d in mixing.DOMAINS]), np.empty((0, 3))
+    for _ in range(400):
+        residuals = np.vstack([residuals, (mixing.point(p, residuals, 0.01) * t) @ p / t.sum() - goal])
+    assert np.allclose(mixing.best(p, residual, 0.01), mixing.replay(p, residuals, 0.01), atol=0.01)
