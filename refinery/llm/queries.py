@@ -13,6 +13,7 @@ from .common import ROW, held_out
 from .exactdedup import exact_dedup, normalised
 from .iblt import fingerprints
 from .mixing import mixing_rates
+from .nsbounds import clustered
 from .packing import pack
 from .sharding import shard
 from .simhash import simhash_components
@@ -99,3 +100,46 @@ FROM d JOIN g USING (h)
 @query
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(load(spark, sf_dir, "documents"))
+
+
+@query
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustered(load(spark, sf_dir, "embeddings"))
+
+
+def _kmeans_sql(rounds: int = 3, width: int = 64, k: int = 16) -> str:
+    """The rounds as common table expressions: a0, c1, a1, ... over the kept vectors v."""
+    steps = "lambda i: (v.q[i] - c.m[i]) * (v.q[i] - c.m[i])"
+    parts = [f"""
+v AS (
+  SELECT row_number() OVER () AS row, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE len(embedding) = {width} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {width}),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c, q AS m
+  FROM v ORDER BY sha256('1:' || vec_id) LIMIT {k})"""]
+    for r in range(rounds + 1):
+        parts.append(f"""
+a{r} AS (
+  SELECT row, vec_id, any_value(q) AS q, arg_min(c, (d, c)) AS cluster, min(d) AS distance
+  FROM (SELECT v.*, c.c, list_sum(list_transform(range(1, {width + 1}), {steps})) AS d FROM v, c{r} c)
+  GROUP BY row, vec_id)""")
+        if r < rounds:
+            parts.append(f"""
+s{r} AS (
+  SELECT cluster AS c, i, CAST(sum(q[i]) AS BIGINT) AS s, count(*) AS n
+  FROM a{r}, range(1, {width + 1}) t(i) GROUP BY cluster, i),
+c{r + 1} AS (
+  SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS m FROM s{r} GROUP BY c
+  UNION ALL SELECT c, m FROM c{r} WHERE c NOT IN (SELECT c FROM s{r}))""")
+    return "WITH" + ",".join(parts) + f"""
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON c = cluster
+"""
+
+
+ORACLES["op13_centroid_clusters"] = _kmeans_sql()
