@@ -18,6 +18,7 @@ from .packing import pack
 from .sharding import shard
 from .simhash import simhash_components
 from .tokenfiles import encode_to_files
+from .trie import conversation_trie
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -102,6 +103,53 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(load(spark, sf_dir, "documents"))
 
 
+@query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(load(spark, sf_dir, "conversations"))
+
+
+# DuckDB has no crc32: its eight steps a byte, folded over the digits.
+_CRC32 = """xor(4294967295, list_reduce(list_transform(string_split({0}, ''), lambda ch: CAST(ascii(ch) AS BIGINT)),
+  lambda crc, b: list_reduce(range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, b)), 4294967295))"""
+
+ORACLES["op12_conversation_trie"] = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(text, '') AS text, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, {_CRC32.format("CAST(conv_id AS VARCHAR)")} % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+g AS (
+  SELECT c.conv_id, count(t.pos) AS g FROM c LEFT JOIN t ON t.conv_id = c.base AND t.pos <= c.h GROUP BY c.conv_id),
+r AS (
+  SELECT c.conv_id, t.pos, t.k, t.text FROM c JOIN t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL
+  SELECT t.conv_id, t.pos - c.h + g.g, t.k, t.text FROM t JOIN c USING (conv_id) JOIN g USING (conv_id) WHERE t.pos > c.h),
+p AS (
+  SELECT conv_id, pos, string_agg(k, '') OVER (PARTITION BY conv_id ORDER BY pos) AS node,
+         len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS w
+  FROM r),
+n AS (
+  SELECT node, pos AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(w) AS w FROM p GROUP BY node, pos
+  UNION ALL SELECT '', 0, min(conv_id), count(*), 0 FROM c HAVING count(*) > 0),
+k AS (SELECT left(node, (64 * (depth - 1))::BIGINT) AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+u AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k USING (node)),
+s AS (
+  SELECT left(u.node, (64 * d.i)::BIGINT) AS node, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * w) AS saved
+  FROM u, LATERAL (SELECT unnest(range(0, u.depth + 1)) AS i) d GROUP BY 1),
+e AS (
+  SELECT node, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends
+  FROM (SELECT c.conv_id, coalesce(arg_max(p.node, p.pos), '') AS node FROM c LEFT JOIN p USING (conv_id) GROUP BY c.conv_id)
+  GROUP BY node)
+SELECT u.conv_id, CAST(u.depth AS BIGINT) AS depth, a.conv_id AS parent_conv_id, u.n_convs, CAST(u.n_children AS BIGINT) AS n_children,
+       s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, coalesce(e.ends, sha256('')) AS ends_sha256
+FROM u JOIN s USING (node) LEFT JOIN e USING (node)
+LEFT JOIN n a ON u.depth > 0 AND a.node = left(u.node, (64 * (u.depth - 1))::BIGINT)
+"""
+
+
 @query
 def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustered(load(spark, sf_dir, "embeddings"))
