@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import langid, pii, toxicity
+from . import bpe, langid, pii, toxicity
 from .common import ROW, held_out
 from .exactdedup import exact_dedup, normalised
 from .iblt import fingerprints
@@ -103,6 +103,11 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(load(spark, sf_dir, "documents"))
 
 
+@query
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(load(spark, sf_dir, "documents"))
+
+
 @query
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(load(spark, sf_dir, "conversations"))
