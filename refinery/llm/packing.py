@@ -26,11 +26,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small, written
-from .encode import END_ID, TOKENIZER, encoder
+from .common import written
+from .encode import END_ID, MEMO, TOKENIZER, encoder
 
 CAPACITY = 2048
-MEMO = 500_000
+ROWS = 1024
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, "
           "chunk int, place long")
 
@@ -110,26 +110,31 @@ def best_fit_plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Run]
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER,
-           end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:
+           end_id: int = END_ID, keep_ids: bool = False, memo: int = MEMO) -> DataFrame:
     """Encode whole texts and cut them; ``chunk`` and ``place`` number equal lengths within a task."""
 
     def run(batches):
-        enc, chunk = encoder(tokenizer, end_id, MEMO), TaskContext.get().partitionId()
-        seen = np.zeros(capacity + 1, np.int64)
-        for batch in small(batches):
-            rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = memoryview(enc.encode(text))
-                n, at, piece = len(ids) // 4, 0, 0
-                while at < n:
-                    size = (n - at) % capacity or capacity
-                    part = ids[4 * at:4 * (at + size)]
-                    rows.append((doc_id, piece, at, size, zlib.crc32(part),
-                                 bytes(part) if keep_ids else None, chunk, int(seen[size])))
-                    seen[size] += 1
-                    at, piece = at + size, piece + 1
+        enc, chunk = encoder(tokenizer, end_id, memo), TaskContext.get().partitionId()
+        seen, rows = np.zeros(capacity + 1, np.int64), []
+
+        def flush():
             columns = list(zip(*rows)) or [()] * len(schema)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+            rows.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+        for doc_id, coded in enc.documents(batches):
+            ids = memoryview(coded)
+            n, at, piece = len(ids) // 4, 0, 0
+            while at < n:
+                size = (n - at) % capacity or capacity
+                part = ids[4 * at:4 * (at + size)]
+                rows.append((doc_id, piece, at, size, zlib.crc32(part),
+                             bytes(part) if keep_ids else None, chunk, int(seen[size])))
+                seen[size] += 1
+                at, piece = at + size, piece + 1
+            if len(rows) >= ROWS:
+                yield flush()
+        yield flush()
 
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
                         ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary()),

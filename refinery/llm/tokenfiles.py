@@ -152,12 +152,11 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_id
             number, held, size = number + 1, [], 0
             return row
 
-        for batch in small(batches):
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.append((doc_id, enc.encode(text)))
-                size += len(held[-1][1]) // 4
-                if size >= file_ids:
-                    yield flush()
+        for doc_id, ids in enc.documents(batches):
+            held.append((doc_id, ids))
+            size += len(ids) // 4
+            if size >= file_ids:
+                yield flush()
         if held:
             yield flush()
 

@@ -3,8 +3,12 @@
 import random
 import zlib
 
+from functools import lru_cache
+
 import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from refinery.llm import packing, tokenfiles
 from refinery.llm.encode import encoder
@@ -13,8 +17,14 @@ TEXTS = [None, "", " ", "a", "The quick, brown fox.\nJumps!! over\n\nthe lazy do
          "<|endoftext|> in a text", "don't 'tis we'll x's", "the&&& word$$$ it's'", "\0 nul \0", "long " * 3000, "x" * 9000]
 
 
+@lru_cache
+def fresh():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def plain(text):
-    return encoder().lib.encode(text or "", add_special_tokens=False).ids + [0]
+    """The contract's call, on the tokenizer as the library loads it."""
+    return fresh().encode(text or "", add_special_tokens=False).ids + [0]
 
 
 def ids_of(text):
@@ -29,6 +39,21 @@ def test_encoder_equals_the_library_on_whole_texts():
         assert ids_of(text) == plain(text), text
 
 
+@pytest.mark.parametrize("text", ["<|endoftext|>", "hi <|endoftext|> there", "in<|endoftext|>side", "<|endoftext|>first",
+                                  "last<|endoftext|>", "a <|endoftext|><|endoftext|> b", "not <|endoftext| > one", "line\n<|endoftext|>\n"])
+def test_added_tokens_in_a_text_as_the_library_takes_them(text):
+    assert ids_of(text) == plain(text)
+    ordinary = np.frombuffer(encoder(added=False).encode(text), "<u4")
+    assert 50256 not in ordinary and fresh().decode(ordinary[:-1], skip_special_tokens=False) == text
+
+
+def test_texts_of_a_unit_keep_their_order(monkeypatch):
+    texts = [t for t in TEXTS for _ in range(3)]
+    for unit in (1, 40, 1 << 20):
+        monkeypatch.setattr("refinery.llm.encode.UNIT", unit)
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder().encode_all(texts)] == [plain(t) for t in texts]
+
+
 def test_stretches_change_nothing(monkeypatch):
     monkeypatch.setattr("refinery.llm.encode.STRETCH", 7)
     for text in ("one two three four five, six.\nSeven eight nine", " lead", "trail ", "w" * 50, "a b c d e f g h i j"):
