@@ -2,18 +2,20 @@
 
 1. A softmax classifier, learned from the labelled table, gives each document's
    posterior over the domains ``good``, ``poor`` and ``toxic``.
-2. The rates r >= 0 minimise, over all documents at once,
-
-       1/2 sum_k (S_k / T - target_k)^2 + RIDGE/2 sum_d (t_d / T) (r_d - 1)^2
-
-   where t_d are a document's tokens, T all tokens, p_dk its posterior and
-   S_k = sum_d r_d t_d p_dk the expected tokens of domain k. The second term
-   picks, of the many exact answers, the one nearest to one copy each.
-3. At the optimum r_d = max(0, 1 - p_d . e / RIDGE), where e is S / T - target, so only
-   the K numbers e are unknown. They minimise a convex function, which damped Newton
-   steps on the cluster do: every task adds up 1 + K + K^2 sums over its rows, a few
-   steps reach ``TOLERANCE``. Shares that miss their target by more than ``MISSED``
-   (a domain too rare for the ridge, or without documents) are warned of.
+2. The rates r >= 0 solve the least squares problem S(r) = target, where
+   S_k = sum_d r_d t_d p_dk / T are the shares of expected tokens (t_d tokens of a
+   document, T of all, p_dk posteriors). Projected gradient from one copy each:
+
+       r <- max(0, r - p W e),    e = S(r) - target
+
+   the gradient of |e|^2 in the metric W. W is the inverse of the domains' Gram
+   matrix over the rows with a rate, so common and rare domains move alike and a
+   few passes reach ``TOLERANCE``; a step that does not bring |e|^2 down is halved.
+3. A step is K numbers, and a row's rate follows from the steps so far. So no pass
+   writes rates: every task takes the steps anew over its rows and adds up K + K^2
+   sums. It ends at ``TOLERANCE``, or where the gradient is nil (a domain without
+   documents), after ``PASSES`` passes at most; shares that miss their target by
+   more than ``MISSED`` are warned of. The shares are those of the rates returned.
 4. Rate r becomes floor(r) copies and one more with probability r - floor(r),
    drawn from a hash of the row, so a rerun draws the same.
 
@@ -43,8 +45,8 @@ DOMAINS = ("good", "poor", "toxic")
 TARGETS = {"good": 0.90, "poor": 0.07, "toxic": 0.03}
 SAMPLE = 2500
 FEATURES = 1024
-RIDGE = 1e-6
 TOLERANCE = 1e-6
+PASSES = 60
 MISSED = 0.002
 
 
@@ -116,78 +118,67 @@ def posteriors(docs: DataFrame, model: Posterior, keep: tuple[str, ...] = ()) ->
     return rows.mapInArrow(run, f"{types}tokens long, posterior array<double>")
 
 
-def replay(p: np.ndarray, residuals: np.ndarray, ridge: float) -> np.ndarray:
-    """Rates of rows with posteriors ``p`` after a step for each residual (projected, with momentum)."""
-    r = before = ahead = np.ones(len(p))
-    t, rate = 1.0, 1 / (1 + ridge)
-    for e in residuals:
-        r = np.maximum(0, ahead - rate * (p @ e + ridge * (ahead - 1)))
-        s = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        ahead, before, t = r + (t - 1) / s * (r - before), r, s
+def rates(p: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """Rates of rows with posteriors ``p`` after the projected gradient ``steps``."""
+    r = np.ones(len(p))
+    for step in steps:
+        r = np.maximum(0, r - p @ step)
     return r
 
 
-def point(p: np.ndarray, residuals: np.ndarray, ridge: float) -> np.ndarray:
-    """Where the next gradient is taken: the rates of the last two steps, extrapolated."""
-    if not len(residuals):
-        return np.ones(len(p))
-    now, last, t = replay(p, residuals, ridge), replay(p, residuals[:-1], ridge), 1.0
-    for _ in residuals[:-1]:
-        t = (1 + np.sqrt(1 + 4 * t * t)) / 2
-    return now + (t - 1) / ((1 + np.sqrt(1 + 4 * t * t)) / 2) * (now - last)
-
-
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
-def best(p: np.ndarray, residual: np.ndarray, ridge: float) -> np.ndarray:
-    """Rates of rows with posteriors ``p`` that are optimal where ``residual`` is the optimum's; ``replay`` tends to them."""
-    return np.maximum(0, 1 - p @ residual / ridge)
-
-
-def fit_rates(soft: DataFrame, targets: dict[str, float] = TARGETS, ridge: float = RIDGE,
-              tolerance: float = TOLERANCE) -> tuple[np.ndarray, np.ndarray]:
-    """(residual, shares reached): one job a step over the posteriors, 1 + K + K^2 numbers a task come back."""
+def fit_rates(soft: DataFrame, targets: dict[str, float] = TARGETS, tolerance: float = TOLERANCE,
+              passes: int = PASSES) -> tuple[np.ndarray, np.ndarray]:
+    """(steps, shares reached): one job a pass over the posteriors, K + K^2 numbers a task come back."""
     k = len(DOMAINS)
     goal = np.array([targets[d] for d in DOMAINS]) / sum(targets.values())
     total = soft.agg(F.sum("tokens")).first()[0] or 0
     if not total:
-        return np.zeros(k), goal
+        return np.zeros((0, k)), goal
 
-    def sums(e: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """The function that the residual minimises, the shares that its rates reach, and their slope."""
+    def sums(steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shares that the rates after ``steps`` reach, and the Gram matrix of the rows with a rate."""
         def run(batches):
-            out = np.zeros(1 + k + k * k)
+            out = np.zeros(k + k * k)
             for batch in batches:
                 p, n = _matrix(batch.column(1), k), batch.column(0).to_numpy(zero_copy_only=False)
-                r = best(p, e, ridge)
+                r = rates(p, steps)
                 some = p[r > 0]
-                out += np.concatenate([[n @ r ** 2], (r * n) @ p, ((some * n[r > 0][:, None]).T @ some).ravel()])
-            yield pa.RecordBatch.from_pylist([{"sums": out.tolist()}])
-
-        got = sum(np.array(r[0]) for r in soft.select("tokens", "posterior").mapInArrow(run, "sums array<double>").collect()) / total
-        return float(e @ e / 2 + e @ goal + ridge / 2 * got[0]), got[1:1 + k], got[1 + k:].reshape(k, k) / ridge
-
-    residual = np.zeros(k)
-    value, shares, slope = sums(residual)
-    while np.abs(off := residual + goal - shares).max() > tolerance:
-        step, length = -np.linalg.solve(np.eye(k) + slope, off), 1.0
-        while length > 1e-6:
-            now = sums(residual + length * step)
-            if now[0] <= value + 1e-4 * length * (off @ step) or np.abs(residual + length * step + goal - now[1]).max() <= tolerance:
+                out += np.concatenate([(r * n) @ p, ((some * n[r > 0][:, None]).T @ some).ravel()])
+            yield pa.RecordBatch.from_pylist([{"at": i, "part": x} for i, x in enumerate(out.tolist())])
+
+        got = (soft.select("tokens", "posterior").mapInArrow(run, "at long, part double")
+               .groupBy("at").agg(F.sum("part").alias("part")).collect())
+        out = np.zeros(k + k * k)
+        out[[r["at"] for r in got]] = [r["part"] for r in got]
+        return out[:k] / total, out[k:].reshape(k, k) / total
+
+    steps = np.zeros((0, k))
+    shares, gram = sums(steps)
+    left = passes - 1
+    while left > 0 and np.abs(e := shares - goal).max() > tolerance:
+        w = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
+        step, length, value = w @ e, 1.0, e @ w @ e
+        if value <= tolerance ** 2:                     # no gradient: what is missed lies in no document
+            break
+        while left > 0:
+            tried = np.vstack([steps, length * step])
+            now = sums(tried)
+            left -= 1
+            if (off := now[0] - goal) @ w @ off < value * (1 - 1e-3 * length):
+                steps, (shares, gram) = tried, now
                 break
             length /= 2
-        else:
-            break                                        # as near as sums of floats come
-        residual, (value, shares, slope) = residual + length * step, now
     missed = {d: (round(float(s), 4), round(float(g), 4)) for d, s, g in zip(DOMAINS, shares, goal) if abs(s - g) > MISSED}
     if missed:
         warnings.warn(f"mixing misses targets, (reached, target): {missed}", stacklevel=2)
-    return residual, shares
+    return steps, shares
 
 
-def add_rates(soft: DataFrame, residual: np.ndarray, ridge: float = RIDGE) -> DataFrame:
+def add_rates(soft: DataFrame, steps: np.ndarray) -> DataFrame:
     """``soft`` (with tokens and posterior) and the fitted ``rate``; a row without tokens has rate 1."""
     k, names = len(DOMAINS), soft.columns
     at = (names.index("tokens"), names.index("posterior"))
@@ -195,7 +186,7 @@ def add_rates(soft: DataFrame, residual: np.ndarray, ridge: float = RIDGE) -> Da
     def run(batches):
         for batch in batches:
             n = batch.column(at[0]).to_numpy(zero_copy_only=False)
-            r = np.where(n > 0, best(_matrix(batch.column(at[1]), k), residual, ridge), 1.0)
+            r = np.where(n > 0, rates(_matrix(batch.column(at[1]), k), steps), 1.0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(r)], names=[*names, "rate"])
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in soft.schema)
@@ -213,8 +204,8 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] =
     model = learn(docs, labels, targets)
     with_key = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("__draw"))
     soft = written(posteriors(with_key, model, ("doc_id", "__draw")), "posteriors")
-    residual, _ = fit_rates(soft, targets)
-    return add_rates(soft, residual).select(
+    steps, _ = fit_rates(soft, targets)
+    return add_rates(soft, steps).select(
         "doc_id", "tokens", *[F.col("posterior")[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)], "rate",
         copies(F.col("rate"), F.col("__draw")).alias("copies"))
 
@@ -223,9 +214,9 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS)
     """``docs`` with each row repeated by its copies. Posteriors are taken again in the last
     pass over the texts, which gives the same values without a join."""
     model = learn(docs, labels, targets)
-    residual, _ = fit_rates(written(posteriors(docs, model), "posteriors"), targets)
+    steps, _ = fit_rates(written(posteriors(docs, model), "posteriors"), targets)
     whole = docs.withColumn("__all", F.struct(*docs.columns))
-    rated = add_rates(posteriors(whole, model, ("__all",)), residual)
+    rated = add_rates(posteriors(whole, model, ("__all",)), steps)
     n = copies(F.col("rate"), F.xxhash64(F.col("__all.doc_id"), F.col("__all.text")))
     return (rated.withColumn("__copies", n).filter("__copies > 0")
             .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))

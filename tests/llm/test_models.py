@@ -179,18 +179,24 @@ def test_toxicity_query(spark):
     assert got.loc[got["toxic"] == 1, "predicted"].mean() > 0.6 and got.loc[got["toxic"] == 0, "predicted"].mean() < 0.02
 
 
-def test_replay_is_accelerated_projected_gradient():
+def soft_rows(spark, p, t):
+    return spark.createDataFrame([(int(n), q.tolist()) for n, q in zip(t, p)], "tokens long, posterior array<double>").repartition(3)
+
+
+def test_rates_are_a_projected_gradient_of_least_squares(spark):
+    """Every step goes down in |S(r) - target|, rates stay at zero or above, and the end is optimal."""
     rng = np.random.default_rng(3)
-    p, t = rng.dirichlet(np.ones(3), 200), rng.integers(1, 50, 200).astype(float)
-    goal, ridge = np.array([0.7, 0.25, 0.05]), 0.01
-    residuals = np.empty((0, 3))
-    for _ in range(400):
-        e = (mixing.point(p, residuals, ridge) * t) @ p / t.sum() - goal
-        residuals = np.vstack([residuals, e])
-    r = mixing.replay(p, residuals, ridge)
-    # optimality of the projected problem: zero slope where r > 0, no downhill below zero
-    slope = p @ ((r * t) @ p / t.sum() - goal) + ridge * (r - 1)
-    assert np.abs(slope[r > 0]).max() < 1e-4 and (slope[r == 0] >= -1e-4).all()
+    p, t = rng.dirichlet(np.full(3, 0.4), 300), rng.integers(1, 50, 300).astype(float)
+    goal = np.array([0.1, 0.2, 0.7])
+    steps, reached = mixing.fit_rates(soft_rows(spark, p, t), dict(zip(mixing.DOMAINS, goal)))
+    off = []
+    for n in range(len(steps) + 1):
+        r = mixing.rates(p, steps[:n])
+        assert (r >= 0).all()
+        off.append(np.abs((r * t) @ p / t.sum() - goal).max())
+    assert len(steps) <= 15 and off[-1] <= mixing.TOLERANCE and off[-1] < off[1] < off[0]
+    assert (mixing.rates(p, steps) == 0).any()                        # the projection had work to do
+    assert np.allclose((mixing.rates(p, steps) * t) @ p / t.sum(), reached)
 
 
 def test_fitted_rates_meet_the_targets(spark):
@@ -410,12 +416,9 @@ def test_missed_targets_are_told(spark):
         mixing.fit_rates(soft)
 
 
-def test_fitted_rates_are_those_the_iteration_tends_to(spark):
+@pytest.mark.parametrize("alpha, goal", [((4, 1, 0.02), (0.9, 0.07, 0.03)), ((0.3, 0.3, 0.3), (0.05, 0.05, 0.9)), ((9, 9, 9), (0.35, 0.35, 0.3))])
+def test_few_passes_reach_the_targets(spark, alpha, goal):
     rng = np.random.default_rng(13)
-    p, t = rng.dirichlet(np.ones(3), 200), rng.integers(1, 50, 200)
-    soft = spark.createDataFrame([(int(n), q.tolist()) for n, q in zip(t, p)], "tokens long, posterior array<double>")
-    residual, _ = mixing.fit_rates(soft, ridge=0.01)
-    goal, residuals = np.array([mixing.TARGETS[d] for d in mixing.DOMAINS]), np.empty((0, 3))
-    for _ in range(400):
-        residuals = np.vstack([residuals, (mixing.point(p, residuals, 0.01) * t) @ p / t.sum() - goal])
-    assert np.allclose(mixing.best(p, residual, 0.01), mixing.replay(p, residuals, 0.01), atol=0.01)
+    p, t = rng.dirichlet(alpha, 3000), rng.integers(1, 50, 3000)
+    steps, reached = mixing.fit_rates(soft_rows(spark, p, t), dict(zip(mixing.DOMAINS, goal)))
+    assert len(steps) <= 15 and np.allclose(reached, goal, atol=1e-5)
