@@ -14,10 +14,9 @@ The literal tables (rank map, pieces, frequent words) are one row, which reaches
 expression as a scalar subquery; their size depends on the vocabulary and on
 ``FREQUENT`` words of at most ``WORD_BYTES`` bytes, not on the corpus.
 
-Texts with a run of ``RUN`` characters that the pattern may keep together, or with a
-character that the JVM's Unicode tables do not know, are rare; they are split by the
-``regex`` library and merged with a heap (:class:`Merger`), in n log n steps where
-the fold takes n^2. Both ways give the same ids.
+The fold takes n^2 steps, so texts with a word of more than ``LONG`` bytes take another
+exact way, as do texts with characters that the JVM's Unicode tables do not
+know: they are split by the ``regex`` library and merged with a heap (:class:`Merger`).
 
 Defined cases: null or empty text has no ids; an id without a piece decodes to
 nothing; repeated rows, ties and null doc_ids are encoded like any other; an empty
@@ -32,16 +31,16 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
 
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hold, small, written
+from .common import hold, written
 
 RANKS = "byte_bpe_50k.tiktoken"
 FREQUENT = 1 << 18
 WORD_BYTES = 64
-RUN = 256
+LONG = 256
 WORD_BUCKETS = 1 << 17
 PAIR_BUCKETS = 131_071
 NONE = 2**31 - 1
@@ -70,13 +69,28 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def bucket(key: Column, n: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+
+
+def in_buckets(entries: DataFrame, n: int, name: str) -> DataFrame:
+    """``entries`` (key, value) as one row: an array of ``n`` buckets, each a map."""
+    each = (entries.select(bucket(F.col("key"), n).alias("bucket"), F.struct("key", "value").alias("entry"))
+            .groupBy("bucket").agg(F.collect_list("entry").alias("found")))
+    whole = entries.sparkSession.range(n).select(F.col("id").cast("int").alias("bucket")).join(each, "bucket", "left")
+    empty = F.array().cast(each.schema["found"].dataType)
+    return (whole.agg(F.array_sort(F.collect_list(F.struct("bucket", F.coalesce("found", empty).alias("found")))).alias("all"))
+            .select(F.transform("all", lambda x: F.map_from_entries(x["found"])).alias(name)))
+
+
 @dataclass(frozen=True)
 class Tables:
     """The one-row DataFrame of literal tables, and expressions over its row."""
     row: DataFrame
 
     @staticmethod
-    def of(spark: SparkSession, ranks: dict[bytes, int], words: DataFrame | None = None) -> Tables:
+    def of(spark: SparkSession, ranks: dict[bytes, int]) -> Tables:
+        """pairs: rank by pair of ids, in buckets; first: rank by two bytes; singles: id by byte; pieces: hex by id."""
         buckets: list[dict[int, int]] = [{} for _ in range(PAIR_BUCKETS)]
         for (a, b), rank in pair_ranks(ranks).items():
             key = (a << 32) + b
@@ -84,29 +98,36 @@ class Tables:
         pieces = [""] * (max(ranks.values(), default=-1) + 1)
         for piece, rank in ranks.items():
             pieces[rank] = piece.hex()
-        singles = [ranks.get(bytes([b])) for b in range(256)]
-        row = spark.createDataFrame([(buckets, pieces, singles)],
-                                    "pairs array<map<bigint,int>>, pieces array<string>, singles array<int>")
-        return Tables(row if words is None else row.crossJoin(F.broadcast(words)))     # one row and one row
+        first = [ranks.get(bytes([a, b]), NONE) for a in range(256) for b in range(256)]
+        row = spark.createDataFrame([(buckets, first, [ranks.get(bytes([b])) for b in range(256)], pieces)],
+                                    "pairs array<map<bigint,int>>, first array<int>, singles array<int>, pieces array<string>")
+        return Tables(written(row, "ranks"))
+
+    def with_words(self, words: DataFrame) -> Tables:
+        """The tables and, as ``words``, the ids of ``words`` (word)."""
+        ids = self.add(words.select("word"), "value", lambda t, row: merged(t, row["word"])).withColumnRenamed("word", "key")
+        return Tables(written(in_buckets(ids, WORD_BUCKETS, "words").crossJoin(F.broadcast(self.row)), "words"))  # one row and one row
 
-    def add(self, df: DataFrame, name: str, body: Callable[[Column], Column]) -> DataFrame:
-        """``df`` and column ``name``, ``body`` over the row. The row is used once, so the optimizer puts the
-        subquery's value, a literal, straight into the expression and no row of ``df`` ever carries it."""
-        held = df.withColumn("__tables", self.row.select(F.struct("*")).scalar())
-        return held.select(*df.columns, let(F.col("__tables"), body).alias(name))
+    def add(self, df: DataFrame, name: str, body: Callable[[Column, Column], Column], keep: tuple[str, ...] | None = None) -> DataFrame:
+        """``keep`` columns of ``df`` (all) and column ``name``, ``body`` over the tables' row and a row of ``df``.
+
+        Row and tables are each used once, so the optimizer joins the projections and puts the subquery's
+        value, a literal, straight into the expression: no row of ``df`` ever carries the tables."""
+        held = df.select(F.struct(*df.columns).alias("__row"), self.row.select(F.struct("*")).scalar().alias("__tables"))
+        names = df.columns if keep is None else keep
+        out = let(F.col("__tables"), lambda t: let(F.col("__row"), lambda row: F.struct(
+            *[row[c].alias(c) for c in names], body(t, row).alias(name))))
+        return held.select(out.alias("__out")).select("__out.*")
 
 
 def rank(tables: Column, a: Column, b: Column) -> Column:
-    """Rank of two neighbouring ids together, ``NONE`` where they have none or ``b`` is null."""
+    """Rank of two neighbouring ids together, ``NONE`` where they have none or one is null."""
     key = F.shiftleft(a.cast("long"), 32) + b
     return F.coalesce(let(key, lambda k: F.element_at(F.get(tables["pairs"], (k % PAIR_BUCKETS).cast("int")), k)), F.lit(NONE))
 
 
 def merged(tables: Column, word: Column) -> Column:
     """Ids of one word: a fold over (pieces, ranks), where ranks[i] belongs to pieces i and i + 1."""
-    text = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")                # one character a byte
-    start = F.transform(text, lambda c: F.get(tables["singles"], F.ascii(c)))
-
     def step(s: Column, _: Column) -> Column:
         def put(p: Column, r: Column, low: Column, i: Column) -> Column:
             left = F.when(i > 1, F.array(rank(tables, F.get(p, i - 2), low))).otherwise(F.array().cast("array<int>"))
@@ -118,12 +139,13 @@ def merged(tables: Column, word: Column) -> Column:
         return let(F.array_min(r), lambda low: F.when(low == NONE, s).otherwise(
             let(F.array_position(r, low).cast("int"), lambda i: put(p, r, low, i))))
 
-    def fold(p: Column) -> Column:
-        ranks = F.transform(p, lambda a, i: rank(tables, a, F.get(p, i + 1)))
-        steps = F.sequence(F.lit(1), F.size(p))
-        return F.aggregate(steps, F.struct(p.alias("p"), ranks.alias("r")), step, lambda s: s["p"])
+    def fold(b: Column) -> Column:
+        ranks = F.transform(b, lambda x, i: F.coalesce(F.get(tables["first"], x * 256 + F.get(b, i + 1)), F.lit(NONE)))
+        pieces = F.transform(b, lambda x: F.get(tables["singles"], x))
+        return F.aggregate(F.sequence(F.lit(1), F.size(b)), F.struct(pieces.alias("p"), ranks.alias("r")), step, lambda s: s["p"])
 
-    return let(start, fold)
+    text = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")                # one character a byte
+    return let(F.transform(text, F.ascii), fold)
 
 
 def split_words(text: Column) -> Column:
@@ -131,13 +153,10 @@ def split_words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit("(?U)" + pattern()), F.lit(0))
 
 
-def odd(text: Column) -> Column:
-    """Texts for :class:`Merger`: a long run of one kind, or characters without a category in the JVM."""
-    return F.coalesce(text.rlike(rf"(?U)\S{{{RUN}}}|\s{{{RUN}}}|\p{{Cn}}"), F.lit(False))
-
-
-def word_bucket(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(WORD_BUCKETS)).cast("int")
+def apart(text: Column, words: Column) -> Column:
+    """Texts for :class:`Merger`: a word of more than ``LONG`` bytes, or characters without a category in the JVM."""
+    unknown = (F.octet_length(text) != F.char_length(text)) & text.rlike(r"\p{Cn}")
+    return F.coalesce(unknown | F.exists(words, lambda w: F.octet_length(w) > LONG), F.lit(False))
 
 
 def frequent_words(texts: DataFrame, most: int = FREQUENT) -> DataFrame:
@@ -156,17 +175,6 @@ def frequent_words(texts: DataFrame, most: int = FREQUENT) -> DataFrame:
     return counts.filter(F.lit(False) if least is None else level >= least).select("word")
 
 
-def word_table(tables: Tables, words: DataFrame) -> DataFrame:
-    """One row: an array of buckets, each a map from word to ids."""
-    ids = tables.add(words, "ids", lambda t: merged(t, F.col("word")))
-    each = (ids.select(word_bucket(F.col("word")).alias("bucket"), F.struct("word", "ids").alias("entry"))
-            .groupBy("bucket").agg(F.map_from_entries(F.collect_list("entry")).alias("found")))
-    whole = words.sparkSession.range(WORD_BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(each, "bucket", "left")
-    empty = F.map_from_entries(F.array().cast("array<struct<word:string,ids:array<int>>>"))
-    return written(whole.agg(F.array_sort(F.collect_list(F.struct("bucket", F.map_entries(F.coalesce("found", empty)).alias("e")))).alias("b"))
-                   .select(F.transform("b", lambda x: F.map_from_entries(x["e"])).alias("words")), "word-table")
-
-
 class Merger:
     """Ids of whole texts by pattern, heap and linked pieces."""
 
@@ -174,15 +182,14 @@ class Merger:
         import regex
         self.ranks, self.split = ranks, regex.compile(split)
 
-    def word(self, data: bytes) -> list[int]:
-        if data in self.ranks:
-            return [self.ranks[data]]
+    def pieces(self, data: bytes) -> list[bytes]:
+        """What is left of ``data`` when no two neighbours have a rank together."""
         ends, before, after = [*range(1, len(data) + 1)], [*range(-1, len(data) - 1)], [*range(1, len(data) + 1)]
         heap = []
 
         def offer(i: int) -> None:
             j = after[i]
-            if i >= 0 and j < len(data) and (r := self.ranks.get(data[i:ends[j]])) is not None:
+            if j < len(data) and (r := self.ranks.get(data[i:ends[j]])) is not None:
                 heapq.heappush(heap, (r, i, ends[j]))
 
         for i in range(len(data)):
@@ -198,7 +205,10 @@ class Merger:
             offer(i)
             if before[i] >= 0:
                 offer(before[i])
-        return [self.ranks[data[i:end]] for i, end in enumerate(ends) if end]
+        return [data[i:end] for i, end in enumerate(ends) if end]
+
+    def word(self, data: bytes) -> list[int]:
+        return [self.ranks[data]] if data in self.ranks else [self.ranks[p] for p in self.pieces(data)]
 
     def text(self, text: str | None) -> list[int]:
         return [i for m in self.split.finditer(text or "") for i in self.word(m.group().encode("utf-8", "surrogatepass"))]
@@ -209,43 +219,36 @@ def _merger(name: str) -> Merger:
     return Merger(read_ranks(name), pattern())
 
 
-def merged_texts(docs: DataFrame, name: str = RANKS) -> DataFrame:
-    """``docs`` and their ids, through :class:`Merger`."""
-    names = docs.columns
-
-    def run(batches):
+def merged_texts(name: str = RANKS) -> Callable[[Column], Column]:
+    """Ids of texts through :class:`Merger`; a null text has none."""
+    @F.pandas_udf("array<int>")
+    def ids(texts: pd.Series) -> pd.Series:
         hold("bpe", _merger.cache_clear)
-        at = names.index("text")
-        for batch in small(batches, 16):
-            ids = [_merger(name).text(t) for t in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], names=[*names, "ids"])
-
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{types}, ids array<int>")
+        return texts.map(lambda t: None if t is None else _merger(name).text(t))
+    return ids
 
 
 def encode(docs: DataFrame, keep: tuple[str, ...], name: str = RANKS, frequent: int = FREQUENT) -> tuple[DataFrame, Tables]:
     """(``keep`` columns of ``docs`` and ``ids`` of column text, the literal tables).
 
     Counts the words when called; the encoding itself moves no rows."""
-    spark, ranks = docs.sparkSession, read_ranks(name)
-    texts = docs.select(*keep, "text") if "text" not in keep else docs.select(*keep)
-    plain = Tables.of(spark, ranks)
-    words = word_table(plain, frequent_words(texts.filter(~odd(F.col("text"))), frequent))
-    tables = Tables.of(spark, ranks, words)
+    plain = Tables.of(docs.sparkSession, read_ranks(name))
+    tables = plain.with_words(frequent_words(docs.select("text"), frequent))
 
-    def ids(t: Column) -> Column:
-        known = lambda w: F.element_at(F.get(t["words"], word_bucket(w)), w)
-        return F.flatten(F.transform(F.col("__words"), lambda w: F.coalesce(known(w), merged(t, w))))
+    def ids(t: Column, row: Column) -> Column:
+        known = lambda w: F.element_at(F.get(t["words"], bucket(w, WORD_BUCKETS)), w)
+        return F.coalesce(row["__rest"], F.flatten(F.transform(row["__words"], lambda w: F.coalesce(known(w), merged(t, w)))))
 
-    usual = texts.filter(~odd(F.col("text"))).withColumn("__words", split_words(F.coalesce("text", F.lit(""))))
-    rest = merged_texts(texts.filter(odd(F.col("text"))), name)
-    return tables.add(usual.select(*keep, "__words"), "ids", ids).drop("__words").unionByName(rest.select(*keep, "ids")), plain
+    rows = docs.select(*[F.col(c) for c in keep], F.coalesce("text", F.lit("")).alias("__text"))
+    cut = rows.withColumn("__words", split_words(F.col("__text")))
+    told = cut.select(*keep, "__words", F.when(apart(F.col("__text"), F.col("__words")), F.col("__text")).alias("__apart"))
+    rest = told.select(*keep, "__words", merged_texts(name)("__apart").alias("__rest"))
+    return tables.add(rest, "ids", ids, keep), plain
 
 
 def decode(coded: DataFrame, tables: Tables, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``coded`` and column ``out``, the bytes of its array of ids."""
-    return tables.add(coded, out, lambda t: F.unhex(F.array_join(F.transform(F.col(ids), lambda i: F.get(t["pieces"], i)), "")))
+    return tables.add(coded, out, lambda t, row: F.unhex(F.array_join(F.transform(row[ids], lambda i: F.get(t["pieces"], i)), "")))
 
 
 def round_trip(docs: DataFrame, **options) -> DataFrame:
