@@ -2,7 +2,7 @@
 
 Operations may be names (``INSERT``, ``UPDATE``, ``DELETE``, ``UPDATE (before)``,
 ``UPDATE (after)``) or the numeric codes of a change table; :func:`normalise`
-brings both to one form, and every operator calls it. The commit order is
+brings both to one form, and every public operator calls it once. The commit order is
 ``(lsn, seq)``. Ranges include both ends unless ``include_hi=False``.
 """
 
@@ -12,6 +12,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.expr import decode
 from ..session import child_dirs, path_exists
@@ -23,22 +24,35 @@ OP_CODES = {1: "DELETE", 2: "INSERT", 3: "UPDATE (before)", 4: "UPDATE (after)"}
 BEFORE = "UPDATE (before)"
 
 
+# What a log may write, in upper case, and the one form that the operators compare with.
+_FORMS = {**{str(code): name for code, name in OP_CODES.items()}, "UPDATE (BEFORE)": BEFORE,
+          "UPDATE (AFTER)": "UPDATE", "4": "UPDATE"}
+
+
 def decode_operation(code: Column | str) -> Column:
     return decode(code, OP_CODES)
 
 
 def normalise(log: DataFrame, op: str = "operation") -> DataFrame:
-    """Operations as INSERT, UPDATE, DELETE or ``UPDATE (before)``, whatever form the log has."""
-    text = F.trim(F.col(op).cast("string"))
-    named = F.coalesce(decode_operation(text.try_cast("int")), F.upper(text))
-    plain = (F.when(named == "UPDATE (AFTER)", F.lit("UPDATE")).when(named == "UPDATE (after)", F.lit("UPDATE"))
-             .when(named == "UPDATE (BEFORE)", F.lit(BEFORE)).otherwise(named))
-    return log.withColumn(op, plain)
+    """Operations as INSERT, UPDATE, DELETE or ``UPDATE (before)``, whatever form the log has.
+
+    One look-up in a literal map, since the optimizer writes the expression out wherever the
+    column is used. The public operators call it once, at their edge; what is stored stays normalised.
+    """
+    c = F.col(op).cast("int") if isinstance(log.schema[op].dataType, T.NumericType) else F.col(op)
+    text = F.upper(F.trim(c.cast("string")))
+    forms = F.create_map(*[F.lit(x) for pair in _FORMS.items() for x in pair])
+    return log.withColumn(op, F.coalesce(F.try_element_at(forms, text), text))
+
+
+def _changes_only(log: DataFrame, op: str) -> DataFrame:
+    """A normalised log without before-images."""
+    return log.filter(F.col(op) != BEFORE)
 
 
 def after_images(log: DataFrame, op: str = "operation") -> DataFrame:
     """The normalised log without before-images: one row a change."""
-    return normalise(log, op).filter(F.col(op) != BEFORE)
+    return _changes_only(normalise(log, op), op)
 
 
 def in_range(log: DataFrame, lo, hi, lsn: str = "lsn", include_hi: bool = True) -> DataFrame:
@@ -132,8 +146,14 @@ def last_state(changes: DataFrame, keys: Sequence[str], image: Sequence[str],
     """Per key: the last change by (lsn, seq) — keys, operation, image, lsn, seq. Deleted
     keys stay in it with their DELETE, so a state kept this way also refuses changes
     that arrive late."""
+    return stored_last_state(normalise(changes, op), keys, image, lsn, seq, op)
+
+
+def stored_last_state(changes: DataFrame, keys: Sequence[str], image: Sequence[str],
+                      lsn: str = "lsn", seq: str = "seq", op: str = "operation") -> DataFrame:
+    """:func:`last_state` of changes that are normalised already."""
     last = F.max(F.struct(F.col(lsn), F.col(seq), F.col(op).alias("op"), *[F.col(c).alias(c) for c in image]))
-    return after_images(changes, op).groupBy(*keys).agg(last.alias("__l")).select(
+    return _changes_only(changes, op).groupBy(*keys).agg(last.alias("__l")).select(
         *keys, F.col("__l.op").alias(op), *[F.col(f"__l.{c}").alias(c) for c in image],
         F.col(f"__l.{lsn}").alias(lsn), F.col(f"__l.{seq}").alias(seq))
 
@@ -150,11 +170,17 @@ def fold(base: DataFrame, changes: DataFrame, keys: Sequence[str], image: Sequen
     A base without ``operation`` holds live rows; one without ``seq`` gives way
     to a change of the same lsn, one without ``lsn`` to any change.
     """
+    return stored_fold(base, normalise(changes, op), keys, image, lsn, seq, op)
+
+
+def stored_fold(base: DataFrame, changes: DataFrame, keys: Sequence[str], image: Sequence[str],
+                lsn: str = "lsn", seq: str = "seq", op: str = "operation") -> DataFrame:
+    """:func:`fold` of a state and changes that are normalised already."""
     kind = {f.name: f.dataType for f in changes.schema}
     held = base.select(*keys, *image,
                        *[F.col(c) if c in base.columns else F.lit(None).cast(kind[c]).alias(c) for c in (lsn, seq)],
                        F.col(op) if op in base.columns else F.lit("UPDATE").alias(op))
-    return last_state(held.unionByName(normalise(changes, op).select(*held.columns)), keys, image, lsn, seq, op)
+    return stored_last_state(held.unionByName(changes.select(*held.columns)), keys, image, lsn, seq, op)
 
 
 def apply_changes(base: DataFrame, changes: DataFrame, keys: Sequence[str], image: Sequence[str],

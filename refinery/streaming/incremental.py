@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.cdc import fold, last_state, live, normalise
+from ..operators.cdc import live, normalise, stored_fold, stored_last_state
 from ..session import child_dirs
 
 
@@ -112,9 +112,9 @@ def _state(spark: SparkSession, state_root: str, keys: Sequence[str], image: Seq
         deltas = deltas.filter(F.col("batch_id") <= upto)
     deltas = deltas.drop("batch_id")
     if not snaps:
-        return last_state(deltas, keys, image, lsn, seq, op)
+        return stored_last_state(deltas, keys, image, lsn, seq, op)
     base = spark.read.parquet(os.path.join(state_root, "snapshot", f"upto={snaps[-1]}"))
-    return fold(base, deltas, keys, image, lsn, seq, op)
+    return stored_fold(base, deltas, keys, image, lsn, seq, op)
 
 
 def latest_state(spark: SparkSession, state_root: str, keys: Sequence[str], image: Sequence[str],

@@ -52,3 +52,21 @@ def test_sequences_never_gather_into_one_task(spark):
 def test_anti_join_side_is_pre_aggregated(spark):
     p = _final(spark, "q2_no_activity")
     assert "HashAggregate(keys=[user_id" in p
+
+
+def test_operations_are_normalised_once(spark):
+    """Nested CDC operators keep a small plan: the mapping is one look-up, never written out again and again."""
+    from pyspark.sql import functions as F
+
+    from refinery.operators import cdc
+    log = spark.range(10).select(F.col("id").alias("lsn"), F.col("id").alias("seq"), F.lit("update").alias("operation"),
+                                 (F.col("id") % 3).alias("k"), F.lit("x").alias("v"))
+    state = cdc.last_state(log, ["k"], ["v"])
+    for _ in range(3):
+        state = cdc.fold(state, log, ["k"], ["v"])
+    assert len(state._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+    codes = spark.createDataFrame([(1,), (2,), (3,), (4,)], "operation int")
+    assert [r[0] for r in cdc.normalise(codes).collect()] == ["DELETE", "INSERT", "UPDATE (before)", "UPDATE"]
+    names = spark.createDataFrame([(" insert",), ("4 ",), ("Update (After)",), ("UPDATE (before)",), ("merge",), (None,)], "operation string")
+    twice = cdc.normalise(cdc.normalise(names))
+    assert [r[0] for r in twice.collect()] == ["INSERT", "UPDATE", "UPDATE", "UPDATE (before)", "MERGE", None]
