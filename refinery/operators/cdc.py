@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.expr import decode
 from ..session import child_dirs, path_exists
+from ..sources import buckets
 from .rules import flag_first
 from .sequence import carry
 
@@ -195,6 +196,25 @@ def apply_changes(base: DataFrame, changes: DataFrame, keys: Sequence[str], imag
     return live(fold(base, changes, keys, image, lsn, seq, op), op).select(*base.columns)
 
 
+def apply_to_buckets(changes: DataFrame, root: str, keys: Sequence[str], image: Sequence[str], batch_id: str,
+                     lsn: str = "lsn", seq: str = "seq", op: str = "operation", **options) -> list[int]:
+    """Row DML whose cost follows the change: the buckets of the changed keys are rewritten, the others
+    stay as they are. Deleted keys stay with their (lsn, seq), so a late change loses to what it is older
+    than. Returns the rewritten buckets; a batch that was taken before changes nothing."""
+    cols = [*keys, op, *image, lsn, seq]
+    fresh = normalise(changes, op).select(*cols)
+
+    def merge(old: DataFrame, batch: DataFrame) -> dict[str, DataFrame]:
+        return {"rows": stored_fold(old, batch, keys, image, lsn, seq, op).select(*cols)}
+
+    return buckets.rewrite(fresh, root, keys, batch_id, fresh.schema, merge, **options)
+
+
+def bucketed_state(spark, root: str, schema, op: str = "operation", load: int | None = None) -> DataFrame:
+    """The live rows of a state that :func:`apply_to_buckets` keeps, as of a load."""
+    return live(buckets.read(spark, root, schema, load=load), op)
+
+
 def replay(log: DataFrame, keys: Sequence[str], image: Sequence[str], hi,
            lsn: str = "lsn", seq: str = "seq", op: str = "operation", include_hi: bool = True) -> DataFrame:
     """State at ``hi`` from an empty start (last change per key, deletes removed)."""

@@ -7,7 +7,9 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cdc import after_images
+from ..session import materialize
+from ..sources import buckets
+from .cdc import after_images, normalise
 from .sequence import carry, chunk_by_range
 
 OPEN_END = "9999-12-31 00:00:00"
@@ -46,6 +48,32 @@ def scd2(log: DataFrame, keys: Sequence[str], order: Sequence[str], tracked: Seq
                     F.coalesce(F.col(f"__n_{time_col}"), F.lit(open_end).cast(ttype)).alias(valid_to)))
 
 
+def merge_history(batch: DataFrame, root: str, keys: Sequence[str], order: Sequence[str], tracked: Sequence[str],
+                  batch_id: str, op: str | None = None, open_end: str = OPEN_END, **options) -> list[int]:
+    """Take a batch of log rows into a stored history; only the buckets of its keys are rewritten.
+
+    The store keeps the log rows of a bucket beside its versions, because a row that
+    arrives late can split a closed period: what a later row of the same value said is
+    needed again then. The touched buckets' versions are those of :func:`scd2` over
+    their rows, so in whatever order batches come the history is that of the whole log.
+    A row that is delivered again (all columns equal) counts once. Returns the
+    rewritten buckets; a batch that was taken before changes nothing.
+    """
+    cols = [*keys, *order, *tracked, *([op] if op else [])]
+    fresh = (normalise(batch, op) if op else batch).select(*cols)
+
+    def merge(old: DataFrame, rows: DataFrame) -> dict[str, DataFrame]:
+        log = materialize(old.unionByName(rows).distinct(), "history-log")
+        return {"rows": log, "versions": scd2(log, keys, order, tracked, op=op, open_end=open_end)}
+
+    return buckets.rewrite(fresh, root, keys, batch_id, fresh.schema, merge, **options)
+
+
+def stored_history(spark, root: str, schema, load: int | None = None) -> DataFrame:
+    """The versions that :func:`merge_history` keeps, as of a load; ``schema`` is that of :func:`scd2`'s result."""
+    return buckets.read(spark, root, schema, "versions", load)
+
+
 def as_of(history: DataFrame, t, valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
     """Versions valid at ``t``: ``valid_from <= t < valid_to`` (FOR SYSTEM_TIME AS OF)."""
     ts = F.lit(t).cast(history.schema[valid_from].dataType)

@@ -126,6 +126,19 @@ def incremental_hwm(spark, sf):
         F.count(F.lit(1)).alias("changes"), F.max("lsn").alias("mark"))
 
 
+@query("cdc_bucketed_apply")
+def cdc_bucketed_apply(spark, sf):
+    """Three batches of the log, the second one late, applied to a table in buckets; one is delivered twice."""
+    root = scratch_dir(spark, "buckets")
+    log = change_log(spark, sf)
+    batches = {"a": cdc.in_range(log, None, LO, include_hi=False), "c": cdc.in_range(log, HI, None),
+               "b": cdc.in_range(log, LO, HI, include_hi=False)}
+    for name in ("a", "c", "b", "b"):
+        cdc.apply_to_buckets(batches[name], root, KEYS, IMAGE, name, buckets=16)
+    schema = log.select(*KEYS, "operation", *IMAGE, "lsn", "seq").schema
+    return cdc.bucketed_state(spark, root, schema).select("user_id", "event_type", "value", F.col("lsn").alias("changed_at"))
+
+
 LOG_SQL = """
 log AS (
   SELECT ts AS lsn, event_id AS seq,
@@ -164,6 +177,9 @@ WHERE NOT (first_op = 'INSERT' AND last_op = 'DELETE')""",
     "cdc_apply": f"""WITH {LOG_SQL},
 r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY lsn DESC, seq DESC) AS rn
       FROM log WHERE lsn < TIMESTAMP '2024-01-12 00:00:00')
+SELECT user_id, event_type, value, lsn AS changed_at FROM r WHERE rn = 1 AND operation <> 'DELETE'""",
+    "cdc_bucketed_apply": f"""WITH {LOG_SQL},
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY lsn DESC, seq DESC) AS rn FROM log)
 SELECT user_id, event_type, value, lsn AS changed_at FROM r WHERE rn = 1 AND operation <> 'DELETE'""",
     "cdc_op_counts": f"""WITH {LOG_SQL}
 SELECT CAST(lsn AS DATE) AS change_date, operation, COUNT(*) AS changes FROM log GROUP BY 1, 2""",

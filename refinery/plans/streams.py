@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.rules import Rule, any_null, classify, flag_exists, flag_first
 from ..session import scratch_dir
-from ..streaming.incremental import foreach_batch_apply, foreach_batch_classify, land_incremental, latest_state
+from ..streaming.incremental import foreach_batch_apply, foreach_batch_classify, land_incremental, land_once, latest_state
 from .common import t
 from .registry import attach, query
 
@@ -101,6 +101,23 @@ def stream_cdc_late(spark, sf):
             .select("user_id", "event_type", "value", F.col("lsn").alias("changed_at")))
 
 
+@query("stream_dedupe")
+def stream_dedupe(spark, sf):
+    """Three drops with repeats inside each and of the drop before; every event lands once."""
+    root = scratch_dir(spark, "stream_once")
+    events = t(spark, sf, "events")
+    at = lambda day: F.lit(f"2024-01-{day:02d} 00:00:00").cast("timestamp_ntz")
+    src, sink, ckpt = f"{root}/src", f"{root}/sink", f"{root}/_checkpoint"
+    twice = F.when(F.col("event_id") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    # each drop begins a day before the last one ended, so that day is delivered again
+    for lo, hi in ((None, 10), (9, 20), (19, None)):
+        drop = events if lo is None else events.filter(F.col("ts") >= at(lo))
+        drop = drop if hi is None else drop.filter(F.col("ts") < at(hi))
+        drop.withColumn("__copy", F.explode(twice)).drop("__copy").write.mode("append").parquet(src)
+        land_once(spark, src, events.schema, sink, ckpt, ["event_id"], "ts", "2 days")
+    return spark.read.parquet(sink).select("event_id", "ts", "user_id", "event_type", "value")
+
+
 _LAST_SQL = """
 WITH r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
 SELECT user_id, event_type, value, ts AS changed_at FROM r WHERE rn = 1 AND event_type <> 'error'"""
@@ -110,6 +127,7 @@ attach({
     "stream_cdc_apply": """
 WITH r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
 SELECT user_id, event_type, value, ts AS changed_at FROM r WHERE rn = 1 AND event_type <> 'error'""",
+    "stream_dedupe": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "incremental_land": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "stream_dq": """
 WITH c AS (

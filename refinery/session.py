@@ -114,6 +114,12 @@ def child_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete ``path`` with what is under it; False where there is none."""
+    fs, p = _path(spark, path)
+    return fs.delete(p, True)
+
+
 def remove_scratch(spark: SparkSession) -> bool:
     """Delete this application's scratch folders, once no DataFrame over them is needed."""
     fs, p = _path(spark, _scratch_root(spark))
