@@ -12,7 +12,7 @@ from ..functions.text import Field, standardize
 from ..functions.expr import batch_id, hex_text, money_text
 from ..operators import quality
 from ..operators.layout import write_clustered
-from ..session import scratch_dir
+from ..session import materialize, scratch_dir
 from ..sources import landing, raw
 from . import dq
 from .common import t
@@ -137,11 +137,75 @@ def positional_load(spark, sf):
 def zone_views(spark, sf):
     """Datasets of a zone found by listing it and read as SQL views."""
     root = scratch_dir(spark, "zone")
-    t(spark, sf, "nation").write.parquet(f"{root}/zone_nation")
-    t(spark, sf, "region").write.parquet(f"{root}/zone_region")
+    t(spark, sf, "customer").write.parquet(f"{root}/zone_customer")
+    t(spark, sf, "orders").write.parquet(f"{root}/zone_orders")
     raw.register_zone(spark, root)
-    return spark.sql("""SELECT r_name, COUNT(*) AS nations FROM zone_nation JOIN zone_region ON n_regionkey = r_regionkey
-                        GROUP BY r_name""")
+    return spark.sql("""SELECT c_nationkey, COUNT(*) AS n_orders FROM zone_orders JOIN zone_customer ON o_custkey = c_custkey
+                        GROUP BY c_nationkey""")
+
+
+class _Killed(RuntimeError):
+    pass
+
+
+@query("landing_commit")
+def landing_commit(spark, sf):
+    """A second landing dies before its manifest: readers keep the first one whole; its rerun shows the second one whole."""
+    root = scratch_dir(spark, "raw")
+    first = {("erp", "orders"): t(spark, sf, "orders").filter(F.col("o_orderstatus") == "F"),
+             ("erp", "lineitem"): t(spark, sf, "lineitem").filter(F.col("l_linestatus") == "F")}
+    second = {("erp", n): t(spark, sf, n) for n in ("orders", "lineitem")}
+
+    def dies():
+        raise _Killed
+
+    def seen(step):
+        stages = {n: raw.read_latest(spark, os.path.join(root, "erp", n)) for n in ("orders", "lineitem")}
+        return materialize(quality.stage_counts(stages).withColumn("step", F.lit(step)), "seen")
+
+    landing.land_all(spark, first, root, RUN_1)
+    try:
+        landing.land_all(spark, second, root, RUN_2, before_commit=dies)
+    except _Killed:
+        pass
+    before = seen("killed")
+    landing.land_all(spark, second, root, RUN_2)
+    return before.unionByName(seen("again"))
+
+
+@query("landing_changes")
+def landing_changes(spark, sf):
+    """Two landings of a change log beside a full table: the second one extracts what lies beyond the mark."""
+    from .cdc import HI, change_log
+    root = scratch_dir(spark, "raw")
+    log, key = change_log(spark, sf), ("erp", "events_ct")
+    full = {("erp", "customer"): t(spark, sf, "customer")}
+    landing.land_all(spark, full, root, RUN_1, {key: log.filter(F.col("lsn") < F.lit(HI).cast("timestamp_ntz"))})
+    landing.land_all(spark, full, root, RUN_2, {key: log})
+    rows = raw.read_raw(spark, os.path.join(root, *key), landed=True, provenance=False)
+    return rows.groupBy("batch").agg(F.count(F.lit(1)).alias("changes"), F.max(F.col("lsn").cast("timestamp_ntz")).alias("mark"))
+
+
+@query("landing_checksums")
+def landing_checksums(spark, sf):
+    """Every landed file against the checksum that its landing left."""
+    root = scratch_dir(spark, "raw")
+    tables = {("tpch", n): t(spark, sf, n) for n in ("orders", "lineitem", "documents")}
+    landing.land_all(spark, tables, root, RUN_1)
+    files = landing.reconcile_files(spark, root, RUN_1, list(tables))
+    return files.groupBy("key", "status").agg(F.sum("rows_now").alias("n_rows"))
+
+
+@query("partition_refresh")
+def partition_refresh(spark, sf):
+    """One month of the orders loaded again with other prices; the other months' files stay."""
+    path = f"{scratch_dir(spark, 'zone')}/orders"
+    o = t(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(12,2)").alias("price"),
+                                      F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    landing.overwrite_partitions(o, path, ["month"])
+    again = o.filter(F.col("month") == "1995-03").withColumn("price", (F.col("price") * 2).cast("decimal(12,2)"))
+    landing.overwrite_partitions(again, path, ["month"])
+    return spark.read.schema("o_orderkey long, price decimal(12,2), month string").parquet(path)
 
 
 @query("default_values")
@@ -229,7 +293,24 @@ SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(12,2))
        CAST(o_orderdate AS DATE) AS o_orderdate FROM orders""",
     "positional_load": "SELECT s_suppkey AS supplier_key, s_name AS supplier_name, s_nationkey AS nation_key FROM supplier",
     "zone_views": """
-SELECT r_name, COUNT(*) AS nations FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""",
+SELECT c_nationkey, COUNT(*) AS n_orders FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey""",
+    "landing_commit": """
+SELECT 'killed' AS step, 'orders' AS table_name, COUNT(*) AS row_count FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT 'killed', 'lineitem', COUNT(*) FROM lineitem WHERE l_linestatus = 'F'
+UNION ALL SELECT 'again', 'orders', COUNT(*) FROM orders
+UNION ALL SELECT 'again', 'lineitem', COUNT(*) FROM lineitem""",
+    "landing_changes": """
+SELECT CASE WHEN ts < TIMESTAMP '2024-01-12 00:00:00' THEN '20240101T000000Z' ELSE '20240102T000000Z' END AS batch,
+       COUNT(*) AS changes, MAX(ts) AS mark
+FROM events GROUP BY 1""",
+    "landing_checksums": """
+SELECT 'tpch/orders/batch=20240101T000000Z' AS key, 'match' AS status, COUNT(*) AS n_rows FROM orders
+UNION ALL SELECT 'tpch/lineitem/batch=20240101T000000Z', 'match', COUNT(*) FROM lineitem
+UNION ALL SELECT 'tpch/documents/batch=20240101T000000Z', 'match', COUNT(*) FROM documents""",
+    "partition_refresh": """
+SELECT o_orderkey, CAST(CASE WHEN strftime(o_orderdate, '%Y-%m') = '1995-03' THEN 2 ELSE 1 END * CAST(o_totalprice AS DECIMAL(12,2))
+       AS DECIMAL(12,2)) AS price, strftime(o_orderdate, '%Y-%m') AS month
+FROM orders""",
     "default_values": """
 SELECT o_orderkey AS order_id, CASE WHEN o_orderstatus = 'O' THEN 'open' ELSE o_orderstatus END AS status,
        CASE WHEN o_totalprice < 50000 THEN CAST(0 AS DECIMAL(12,2)) ELSE CAST(o_totalprice AS DECIMAL(12,2)) END AS price

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import os
-from typing import Mapping, Sequence
+from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import path_exists
-from .raw import CSV_OPTIONS, MANIFEST_SCHEMA, escaped, read_raw
+from .raw import CSV_OPTIONS, MANIFEST_SCHEMA, committed_runs, escaped, read_raw
 
 
 def land(df: DataFrame, root: str, source: str, table: str, batch: str) -> dict:
@@ -21,26 +21,88 @@ def land(df: DataFrame, root: str, source: str, table: str, batch: str) -> dict:
     key = os.path.join(source, table, f"batch={batch}")
     obs = Observation(f"land_{source}_{table}_{batch}")
     text = {f.name: escaped(F.col(f.name)) for f in df.schema if f.dataType.simpleString() == "string"}
+    # a CSV writer's own form of a timestamp ends at milliseconds
+    text |= {f.name: F.col(f.name).cast("string") for f in df.schema if f.dataType.simpleString().startswith("timestamp")}
     (df.withColumns(text).observe(obs, F.count(F.lit(1)).alias("rows"))
      .write.mode("overwrite").options(**{**CSV_OPTIONS, "emptyValue": '""'}).csv(os.path.join(root, key)))
     return {"source": source, "table": table, "key": key, "row_count": int(obs.get["rows"])}
 
 
-def land_all(spark: SparkSession, tables: Mapping[tuple[str, str], DataFrame], root: str,
-             batch: str) -> str:
-    """Land several tables and write the run manifest; returns the manifest path."""
-    entries = [land(df, root, src, tbl, batch) for (src, tbl), df in tables.items()]
-    return write_manifest(spark, root, batch, entries)
-
-
-def write_manifest(spark: SparkSession, root: str, run_ts: str, entries: Sequence[dict]) -> str:
+def land_all(spark: SparkSession, tables: Mapping[tuple[str, str], DataFrame], root: str, batch: str,
+             changes: Mapping[tuple[str, str], DataFrame] | None = None, lsn: str = "lsn",
+             before_commit: Callable[[], None] = lambda: None) -> str:
+    """Land several tables, and of the change logs ``changes`` what lies beyond their last marks, as one commit.
+
+    Order: data, per-file checksums, and the run's manifest last. The manifest names the
+    batches and holds the new marks, so readers see all of a landing or nothing of it,
+    and a run that died extracts the same again. Returns the manifest path.
+    """
+    entries, marks = [], []
+    for (src, tbl), df in tables.items():
+        entries.append(land(df, root, src, tbl, batch))
+    held = last_marks(spark, root, but=batch)
+    for (src, tbl), log in (changes or {}).items():
+        kind = log.schema[lsn].dataType
+        fresh = log if held.get((src, tbl)) is None else log.filter(F.col(lsn) > F.lit(held[src, tbl]).cast(kind))
+        upto = fresh.agg(F.max(lsn).cast("string").alias("m")).first()["m"]
+        # up to the mark: rows that arrive while the log is read belong to the next run
+        part = fresh.limit(0) if upto is None else fresh.filter(F.col(lsn) <= F.lit(upto).cast(kind))
+        entries.append(land(part, root, src, tbl, batch))
+        marks.append((src, tbl, upto if upto is not None else held.get((src, tbl))))
+    for e in entries:
+        file_checksums(spark, root, e["key"]).write.mode("overwrite").parquet(
+            os.path.join(root, "_checksums", f"run={batch}", f"{e['source']}.{e['table']}"))
+    before_commit()
+    return write_manifest(spark, root, batch, entries, marks)
+
+
+def write_manifest(spark: SparkSession, root: str, run_ts: str, entries: Sequence[dict],
+                   marks: Sequence[tuple[str, str, str | None]] = ()) -> str:
     path = os.path.join(root, "_manifests", f"run={run_ts}")
-    doc = spark.createDataFrame([(run_ts, [tuple(e[k] for k in ("source", "table", "key", "row_count"))
-                                          for e in entries])], MANIFEST_SCHEMA)
+    files = [tuple(e[k] for k in ("source", "table", "key", "row_count")) for e in entries]
+    doc = spark.createDataFrame([(run_ts, files, list(marks))], MANIFEST_SCHEMA)
     doc.coalesce(1).write.mode("overwrite").json(path)      # one row: the manifest is a single document
     return path
 
 
+def last_marks(spark: SparkSession, root: str, but: str | None = None) -> dict[tuple[str, str], str]:
+    """The newest mark of each change log in the complete manifests (of other runs than ``but``)."""
+    runs = [r for r in committed_runs(spark, root) if r != but]
+    if not runs:
+        return {}
+    marks = (spark.read.schema(MANIFEST_SCHEMA).json([os.path.join(root, "_manifests", f"run={r}") for r in runs])
+             .select("run_ts", F.explode("marks").alias("m")).filter("m.mark is not null")
+             .groupBy("m.source", "m.table").agg(F.max_by("m.mark", "run_ts").alias("mark")))
+    return {(r["source"], r["table"]): r["mark"] for r in marks.collect()}       # a row a change log
+
+
+def file_checksums(spark: SparkSession, root: str, key: str) -> DataFrame:
+    """Per landed file: key, file, rows, and the sum and exclusive-or of its rows' hashes, whatever their order."""
+    rows = read_raw(spark, os.path.join(root, key), landed=True)
+    digest = F.xxhash64(*[F.col(c) for c in rows.columns if c != "source_file"], *[F.col(c).isNull() for c in rows.columns if c != "source_file"])
+    return (rows.select(F.element_at(F.split("source_file", "/"), -1).alias("file"), digest.alias("h")).groupBy("file")
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.shiftrightunsigned("h", 32)).alias("total"), F.bit_xor("h").alias("mixed"))
+            .select(F.lit(key).alias("key"), "*"))
+
+
+def reconcile_files(spark: SparkSession, root: str, run: str, tables: Sequence[tuple[str, str]]) -> DataFrame:
+    """What a run landed against what lies there now, file by file: match / mismatch / missing / unlisted."""
+    told = spark.read.parquet(*[os.path.join(root, "_checksums", f"run={run}", f"{s}.{t}") for s, t in tables])
+    now = None
+    for s, t in tables:
+        part = file_checksums(spark, root, f"{s}/{t}/batch={run}")
+        now = part if now is None else now.unionByName(part)
+    a, b = told.alias("a"), now.alias("b")
+    same = F.lit(True)
+    for c in ("rows", "total", "mixed"):
+        same = same & (F.col(f"a.{c}") == F.col(f"b.{c}"))
+    status = (F.when(F.col("a.file").isNull(), F.lit("unlisted")).when(F.col("b.file").isNull(), F.lit("missing"))
+              .when(same, F.lit("match")).otherwise(F.lit("mismatch")))
+    return a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.file") == F.col("b.file")), "full_outer").select(
+        F.coalesce("a.key", "b.key").alias("key"), F.coalesce("a.file", "b.file").alias("file"),
+        F.col("a.rows").alias("landed_rows"), F.col("b.rows").alias("rows_now"), status.alias("status"))
+
+
 def landed_counts(spark: SparkSession, root: str, tables: Sequence[tuple[str, str]]) -> DataFrame:
     """Rows actually present per landed batch directory (one scan per dataset)."""
     out = None
@@ -105,3 +167,10 @@ def write_curated(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Refresh only the partitions that ``df`` has rows of; the files of all others stay as they are.
+    A rebalance on the partition columns splits a hot partition over files and merges small ones."""
+    (df.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))

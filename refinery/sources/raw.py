@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import child_dirs
+from ..session import child_dirs, path_exists
 
 BATCH_RE = re.compile(r"batch=(\d{8}T\d{6}Z)")
 
@@ -66,7 +66,10 @@ def batches(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_latest(spark: SparkSession, path: str, columns: Sequence[str] | None = None, landed: bool = True) -> DataFrame:
-    """Only the newest batch of a dataset, chosen by batch id from the listing.
+    """Only the newest batch of a dataset that is landed as a whole, chosen by batch id from the listing.
+
+    A batch counts once its run's manifest, which is written last, is complete; so a
+    landing that is under way, or died between two tables, is not seen.
 
     The reference picks the maximum file name among rows that exist, so a
     header-only newest batch silently falls back to an older one; here the
@@ -74,6 +77,8 @@ def read_latest(spark: SparkSession, path: str, columns: Sequence[str] | None =
     scanned. ``landed=False`` reads files of another writer as they are.
     """
     ids = batches(spark, path)
+    if landed:
+        ids = _committed(spark, path, ids)
     if not ids:
         raise FileNotFoundError(f"no batch under {path}")
     latest = ids[-1]
@@ -109,10 +114,35 @@ MANIFEST_SCHEMA = T.StructType([
         T.StructField("key", T.StringType()),
         T.StructField("row_count", T.LongType()),
     ]))),
+    T.StructField("marks", T.ArrayType(T.StructType([
+        T.StructField("source", T.StringType()),
+        T.StructField("table", T.StringType()),
+        T.StructField("mark", T.StringType()),
+    ]))),
 ])
 
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+def committed_runs(spark: SparkSession, root: str) -> list[str]:
+    """Run ids of the landings under ``root`` whose manifest is complete, oldest first."""
+    runs = (d.split("=", 1)[1] for d in child_dirs(spark, f"{root}/_manifests") if d.startswith("run="))
+    return sorted(r for r in runs if path_exists(spark, f"{root}/_manifests/run={r}/_SUCCESS"))
+
+
+def _committed(spark: SparkSession, path: str, ids: Sequence[str]) -> list[str]:
+    """Of the batches of a dataset ``<root>/<source>/<table>``, those that are landed as a whole: named by a complete
+    manifest where the zone has manifests, else without the folder that a Spark write under way leaves in them."""
+    root, source, table = path.rstrip("/").rsplit("/", 2)
+    if not path_exists(spark, f"{root}/_manifests"):
+        return [b for b in ids if not path_exists(spark, f"{path}/batch={b}/_temporary")]
+    done = committed_runs(spark, root)
+    if not done:
+        return []
+    keys = {r["key"] for r in read_manifest(spark, [f"{root}/_manifests/run={r}" for r in done])
+            .filter((F.col("source") == source) & (F.col("table") == table)).select("key").distinct().collect()}  # a row a batch
+    return [b for b in ids if f"{source}/{table}/batch={b}" in keys]
+
+
+def read_manifest(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Manifest JSON → one row per landed file (run_ts, source, table, key, row_count)."""
     m = spark.read.schema(MANIFEST_SCHEMA).json(path)
     return m.select("run_ts", F.explode("files").alias("f")).select("run_ts", "f.*")

@@ -87,3 +87,74 @@ def test_standardize_with_formats(spark):
     assert out.a == dt.date(2026, 11, 1)
     assert out.b == out.c == dt.datetime(2026, 11, 1, 10, 0)
     assert out.d is None
+
+
+def _files(root):
+    return {os.path.join(d, f): os.path.getmtime(os.path.join(d, f)) for d, _, names in os.walk(root) for f in names if not f.startswith((".", "_"))}
+
+
+def test_a_landing_under_way_is_invisible(spark, tmp_path):
+    root, run1, run2 = str(tmp_path / "raw"), "20260101T000000Z", "20260102T000000Z"
+    df = lambda *ids: spark.createDataFrame([(i,) for i in ids], "a long")
+    path = os.path.join(root, "s", "t")
+    landing.land_all(spark, {("s", "t"): df(1), ("s", "u"): df(1)}, root, run1)
+    landing.land(df(1, 2, 3), root, "s", "t", run2)                       # the first of two tables, then nothing more
+    os.makedirs(os.path.join(root, "s", "t", "batch=20260103T000000Z", "_temporary"))
+    assert raw.read_latest(spark, path).count() == 1
+    landing.land_all(spark, {("s", "t"): df(1, 2, 3), ("s", "u"): df(5)}, root, run2)
+    assert raw.read_latest(spark, path).count() == 3
+
+
+def test_a_killed_run_extracts_the_same_changes_again(spark, tmp_path):
+    root, key = str(tmp_path / "raw"), ("s", "ct")
+    log = spark.createDataFrame([(i, f"v{i}") for i in range(10)], "lsn long, v string")
+
+    def dies():
+        raise RuntimeError("killed")
+
+    landing.land_all(spark, {}, root, "20260101T000000Z", {key: log.filter("lsn < 4")})
+    for crash in (dies, lambda: None):
+        try:
+            landing.land_all(spark, {}, root, "20260102T000000Z", {key: log}, before_commit=crash)
+        except RuntimeError:
+            assert landing.last_marks(spark, root) == {key: "3"}
+    landing.land_all(spark, {}, root, "20260103T000000Z", {key: log})      # nothing new
+    assert landing.last_marks(spark, root) == {key: "9"}
+    rows = raw.read_raw(spark, os.path.join(root, *key), landed=True, provenance=False)
+    assert sorted(int(r.lsn) for r in rows.collect()) == list(range(10))
+    assert raw.read_latest(spark, os.path.join(root, *key)).count() == 0
+
+
+def test_a_swapped_value_is_found_in_its_file(spark, tmp_path):
+    root, run = str(tmp_path / "raw"), "20260101T000000Z"
+    df = spark.createDataFrame([(i, f"name {i}", None if i % 3 else "") for i in range(40)], "a long, b string, c string").repartition(4)
+    landing.land_all(spark, {("s", "t"): df}, root, run)
+    check = lambda: {r.file: r.status for r in landing.reconcile_files(spark, root, run, [("s", "t")]).collect()}
+    assert set(check().values()) == {"match"} and len(check()) > 1
+    names = sorted(check())
+    changed, gone = (os.path.join(root, "s", "t", f"batch={run}", n) for n in names[:2])
+    with open(changed) as f:
+        text = f.read()
+    lines = text.splitlines()
+    one, two = lines[1].split(","), lines[2].split(",")
+    one[1], two[1] = two[1], one[1]                                        # same rows, same values, two of them swapped
+    with open(changed, "w") as f:
+        f.write("\n".join([lines[0], ",".join(one), ",".join(two), *lines[3:]]) + "\n")
+    os.rename(gone, gone.replace("part-", "part-9"))
+    crc = os.path.join(os.path.dirname(changed), f".{names[0]}.crc")
+    if os.path.exists(crc):
+        os.remove(crc)
+    status = check()
+    assert status[names[0]] == "mismatch" and status[names[1]] == "missing" and "unlisted" in status.values()
+    assert all(v == "match" for n, v in status.items() if n in names[2:])
+
+
+def test_dynamic_overwrite_leaves_other_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(i, f"m{i % 3}") for i in range(30)], "a long, m string")
+    landing.overwrite_partitions(df, path, ["m"])
+    before = _files(path)
+    landing.overwrite_partitions(df.filter("m = 'm1'").withColumn("a", F.col("a") + 100), path, ["m"])
+    after = _files(path)
+    assert {f: t for f, t in before.items() if "m=m1" not in f} == {f: t for f, t in after.items() if "m=m1" not in f}
+    assert sorted(r.a for r in spark.read.parquet(path).collect()) == sorted(i + 100 * (i % 3 == 1) for i in range(30))
