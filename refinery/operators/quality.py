@@ -191,8 +191,8 @@ def fk_orphans(df: DataFrame, cols: Sequence[str], parent: DataFrame, parent_col
 def validate(df: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
     """One violation report ``(constraint, kind, violations)``.
 
-    Row rules share one aggregate pass; each key rule adds one aggregation
-    (pk/unique) or one anti join (fk).
+    Row rules share one aggregate pass, all pk/unique rules share one scan and one
+    shuffle, and each fk rule adds an anti join.
     """
     spark = df.sparkSession
     parts: list[DataFrame] = []
@@ -201,20 +201,29 @@ def validate(df: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
         agg = df.agg(*[F.count_if(_row_violation(c)).alias(f"v{i}") for i, c in enumerate(row_rules)])
         cells = [x for i, c in enumerate(row_rules) for x in (F.lit(c.name), F.lit(c.kind), F.col(f"v{i}"))]
         parts.append(agg.select(F.stack(F.lit(len(row_rules)), *cells).alias("constraint", "kind", "violations")))
+    key_rules = [c for c in constraints if c.kind in ("pk", "unique")]
+    if key_rules:
+        # grouping sets: every row once a key, so all keys are counted by one scan and one shuffle of key and count
+        cols = list(dict.fromkeys(k for c in key_rules for k in c.cols))
+        sets = list(dict.fromkeys(tuple(k for k in cols if k in c.cols) for c in key_rules))
+        counts = (df.groupingSets([[F.col(k) for k in s] for s in sets], *cols)
+                  .agg(F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__set")))
+
+        def violating(c: Constraint) -> Column:
+            mine = sum(1 << (len(cols) - 1 - i) for i, k in enumerate(cols) if k not in c.cols)     # the columns left out
+            null = F.lit(False)
+            for k in c.cols:
+                null = null | F.col(k).isNull()
+            several = F.col("__n") > 1
+            # a primary key has no NULL; SQL UNIQUE: NULLs never collide
+            return F.when((F.col("__set") == mine) & ((null | several) if c.kind == "pk" else (~null & several)), F.col("__n"))
+
+        bad = [violating(c) for c in key_rules]
+        sums = counts.agg(*[F.coalesce(F.sum(x), F.lit(0)).cast("bigint").alias(f"v{i}") for i, x in enumerate(bad)])
+        cells = [x for i, c in enumerate(key_rules) for x in (F.lit(c.name), F.lit(c.kind), F.col(f"v{i}"))]
+        parts.append(sums.select(F.stack(F.lit(len(key_rules)), *cells).alias("constraint", "kind", "violations")))
     for c in constraints:
-        if c.kind in ("pk", "unique"):
-            keys = list(c.cols)
-            anynull = F.lit(False)
-            for k in keys:
-                anynull = anynull | F.col(k).isNull()
-            g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-            if c.kind == "pk":
-                bad = F.when(anynull | (F.col("n") > 1), F.col("n"))
-            else:  # SQL UNIQUE: NULLs never collide
-                bad = F.when(~anynull & (F.col("n") > 1), F.col("n"))
-            parts.append(g.agg(F.coalesce(F.sum(bad), F.lit(0)).cast("bigint").alias("violations"))
-                         .select(F.lit(c.name).alias("constraint"), F.lit(c.kind).alias("kind"), "violations"))
-        elif c.kind == "fk":
+        if c.kind == "fk":
             orphans = fk_orphans(df.select(*c.cols), list(c.cols), c.parent, list(c.parent_cols))
             parts.append(orphans.agg(F.count(F.lit(1)).alias("violations"))
                          .select(F.lit(c.name).alias("constraint"), F.lit(c.kind).alias("kind"), "violations"))

@@ -70,3 +70,17 @@ def test_operations_are_normalised_once(spark):
     names = spark.createDataFrame([(" insert",), ("4 ",), ("Update (After)",), ("UPDATE (before)",), ("merge",), (None,)], "operation string")
     twice = cdc.normalise(cdc.normalise(names))
     assert [r[0] for r in twice.collect()] == ["INSERT", "UPDATE", "UPDATE", "UPDATE (before)", "MERGE", None]
+
+
+def test_key_rules_share_one_scan(spark, tmp_path):
+    from refinery.operators import quality
+    path = str(tmp_path / "t")
+    rows = [(1, "a", 1.5), (1, "b", None), (2, "b", None), (3, None, 2.5), (None, None, 2.5), (3, None, 0.0)]
+    spark.createDataFrame(rows, "a long, b string, c double").write.parquet(path)
+    rules = [quality.primary_key("pk", "a"), quality.unique("ub", "b"), quality.unique("uab", "a", "b"), quality.primary_key("pab", "a", "b"),
+             quality.unique("uc", "c")]
+    report = quality.validate(spark.read.parquet(path), rules)
+    got = {r["constraint"]: r["violations"] for r in report.collect()}
+    assert got == {"pk": 5, "ub": 2, "uab": 0, "pab": 3, "uc": 2}
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("FileScan") == 1
