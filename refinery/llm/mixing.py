@@ -9,8 +9,8 @@
        r <- max(0, r - p W e),    e = S(r) - target
 
    the gradient of |e|^2 in the metric W. W is the inverse of the domains' Gram
-   matrix over the rows with a rate, so common and rare domains move alike and a
-   few passes reach ``TOLERANCE``; a step that does not bring |e|^2 down is halved.
+   matrix, over the rows with a rate or (where that step does not go down) over all
+   rows, so common and rare domains move alike and a few passes reach ``TOLERANCE``.
 3. A step is K numbers, and a row's rate follows from the steps so far. So no pass
    writes rates: every task takes the steps anew over its rows and adds up K + K^2
    sums. It ends at ``TOLERANCE``, or where the gradient is nil (a domain without
@@ -30,6 +30,7 @@ rate and copies; an empty table gives no rows.
 from __future__ import annotations
 
 import warnings
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -130,6 +131,33 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
+def descend(sums: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], goal: np.ndarray, tolerance: float = TOLERANCE,
+            passes: int = PASSES) -> tuple[np.ndarray, np.ndarray]:
+    """(steps, shares): projected gradient steps from one copy each; ``sums(steps)`` is one pass over the rows.
+
+    What goes down is |e|^2 in the metric of all rows. Steps in the metric of the rows with a rate come
+    first, shorter ones after longer ones; where none goes down, one in the metric of all rows, which never
+    goes up. It ends where that one does not go down either."""
+    def inverse(gram: np.ndarray) -> np.ndarray:
+        return np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
+
+    steps = np.zeros((0, len(goal)))
+    shares, gram = sums(steps)
+    left, whole = passes - 1, inverse(gram)
+    while left > 0 and np.abs(e := shares - goal).max() > tolerance and (value := e @ whole @ e) > tolerance ** 2:
+        own = inverse(gram)
+        for w, length in ((own, 1), (own, 1 / 2), (own, 1 / 4), (own, 1 / 10), (whole, 1)):
+            tried = np.vstack([steps, length * (w @ e)])
+            now, left = sums(tried), left - 1
+            off = now[0] - goal
+            if (down := off @ whole @ off < value * (1 - 0.01 * length)) or left <= 0:
+                break
+        if not down:
+            break
+        steps, (shares, gram) = tried, now
+    return steps, shares
+
+
 def fit_rates(soft: DataFrame, targets: dict[str, float] = TARGETS, tolerance: float = TOLERANCE,
               passes: int = PASSES) -> tuple[np.ndarray, np.ndarray]:
     """(steps, shares reached): one job a pass over the posteriors, K + K^2 numbers a task come back."""
@@ -156,22 +184,7 @@ def fit_rates(soft: DataFrame, targets: dict[str, float] = TARGETS, tolerance: f
         out[[r["at"] for r in got]] = [r["part"] for r in got]
         return out[:k] / total, out[k:].reshape(k, k) / total
 
-    steps = np.zeros((0, k))
-    shares, gram = sums(steps)
-    left = passes - 1
-    while left > 0 and np.abs(e := shares - goal).max() > tolerance:
-        w = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
-        step, length, value = w @ e, 1.0, e @ w @ e
-        if value <= tolerance ** 2:                     # no gradient: what is missed lies in no document
-            break
-        while left > 0:
-            tried = np.vstack([steps, length * step])
-            now = sums(tried)
-            left -= 1
-            if (off := now[0] - goal) @ w @ off < value * (1 - 1e-3 * length):
-                steps, (shares, gram) = tried, now
-                break
-            length /= 2
+    steps, shares = descend(sums, goal, tolerance, passes)
     missed = {d: (round(float(s), 4), round(float(g), 4)) for d, s, g in zip(DOMAINS, shares, goal) if abs(s - g) > MISSED}
     if missed:
         warnings.warn(f"mixing misses targets, (reached, target): {missed}", stacklevel=2)

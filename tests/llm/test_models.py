@@ -416,6 +416,26 @@ def test_missed_targets_are_told(spark):
         mixing.fit_rates(soft)
 
 
+def test_descent_meets_what_can_be_met_and_never_goes_up():
+    """Random documents and targets, many of them out of reach: those within reach are met, the others end no further off."""
+    rng, met = np.random.default_rng(1), 0
+    for _ in range(60):
+        share = rng.dirichlet(np.ones(3) * rng.choice([0.2, 0.5, 1, 3]))
+        p = rng.dirichlet(share * rng.choice([0.5, 2, 6]) + 0.02, 400)
+        w, goal = rng.dirichlet(np.ones(400)), rng.dirichlet([2, 1, 0.5])
+        metric = np.linalg.pinv((p * w[:, None]).T @ p, rcond=1e-9, hermitian=True)
+
+        def sums(steps):
+            r = mixing.rates(p, steps)
+            return (r * w) @ p, (p[r > 0] * w[r > 0][:, None]).T @ p[r > 0]
+
+        steps, reached = mixing.descend(sums, goal)
+        off = [(e := sums(steps[:n])[0] - goal) @ metric @ e for n in range(len(steps) + 1)]
+        assert all(b < a for a, b in zip(off, off[1:])) and np.allclose(sums(steps)[0], reached)
+        met += np.abs(reached - goal).max() < 1e-5
+    assert met >= 30
+
+
 @pytest.mark.parametrize("alpha, goal", [((4, 1, 0.02), (0.9, 0.07, 0.03)), ((0.3, 0.3, 0.3), (0.05, 0.05, 0.9)), ((9, 9, 9), (0.35, 0.35, 0.3))])
 def test_few_passes_reach_the_targets(spark, alpha, goal):
     rng = np.random.default_rng(13)
