@@ -7,7 +7,7 @@ are cut by Arrow, their distinct parts are numbered, and only distinct parts go
 through Python: ids come from the memo, or from the library where they are new.
 numpy then lays the ids out in the order of the parts.
 
-The memo holds ``MEMO`` parts at most: two generations, of which the older goes
+``memo`` and ``unit`` bound a worker's memory. The memo holds ``MEMO`` parts at most: two generations, of which the older goes
 when the newer is full, and parts that are met again move to the newer one.
 
 Strings of added tokens in a text become their ids, as in the library as it is
@@ -50,7 +50,8 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """``encode(text)`` gives the little-endian unsigned 32-bit ids of a text, end id appended."""
 
-    def __init__(self, path: str, end_id: int = END_ID, memo: int | None = None, added: bool = True):
+    def __init__(self, path: str, end_id: int = END_ID, memo: int | None = None, added: bool = True,
+                 unit: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
@@ -61,6 +62,7 @@ class Encoder:
         self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
         self.end = np.array([end_id], "<u4").tobytes()
         self.most = MEMO if memo is None else memo
+        self.unit = unit                 # None: UNIT
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.marks: dict[bytes, bytes] = {}
@@ -88,7 +90,7 @@ class Encoder:
         unit, size = [], 0
         for text in texts:
             text = text or ""
-            if unit and size + len(text) > UNIT:
+            if unit and size + len(text) > (self.unit or UNIT):
                 yield from self._unit(unit)
                 unit, size = [], 0
             unit.append(text)
@@ -108,7 +110,7 @@ class Encoder:
         for piece in pieces:
             group.append(piece)
             size += len(piece)
-            if size >= UNIT:
+            if size >= (self.unit or UNIT):
                 yield from self._ids(group)
                 group, size = [], 0
         if group:
@@ -173,12 +175,13 @@ class Encoder:
 
 
 @lru_cache(maxsize=1)
-def _loaded(name: str, end_id: int, memo: int | None, added: bool) -> Encoder:
+def _loaded(name: str, end_id: int, memo: int | None, added: bool, unit: int | None) -> Encoder:
     import public_tokenizers
-    return Encoder(public_tokenizers.path(name), end_id, memo, added)
+    return Encoder(public_tokenizers.path(name), end_id, memo, added, unit)
 
 
-def encoder(name: str = TOKENIZER, end_id: int = END_ID, memo: int | None = None, added: bool = True) -> Encoder:
+def encoder(name: str = TOKENIZER, end_id: int = END_ID, memo: int | None = None, added: bool = True,
+            unit: int | None = None) -> Encoder:
     """One encoder a worker process, as long as it encodes."""
     hold("encode", _loaded.cache_clear)
-    return _loaded(name, end_id, memo, added)
+    return _loaded(name, end_id, memo, added, unit)

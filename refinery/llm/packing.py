@@ -110,11 +110,11 @@ def best_fit_plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Run]
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER,
-           end_id: int = END_ID, keep_ids: bool = False, memo: int = MEMO) -> DataFrame:
+           end_id: int = END_ID, keep_ids: bool = False, memo: int = MEMO, unit: int | None = None) -> DataFrame:
     """Encode whole texts and cut them; ``chunk`` and ``place`` number equal lengths within a task."""
 
     def run(batches):
-        enc, chunk = encoder(tokenizer, end_id, memo), TaskContext.get().partitionId()
+        enc, chunk = encoder(tokenizer, end_id, memo, unit=unit), TaskContext.get().partitionId()
         seen, rows = np.zeros(capacity + 1, np.int64), []
 
         def flush():
@@ -180,13 +180,13 @@ def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, end_id: int = END_ID,
-         keep_ids: bool = False) -> DataFrame:
+         keep_ids: bool = False, **memory: int) -> DataFrame:
     """One row a piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids).
 
     Runs two jobs while it is called: the encoding, written to the shared folder,
-    and the histogram of lengths.
+    and the histogram of lengths. ``memo`` and ``unit`` bound the encoder's memory.
     """
-    cut = written(pieces(docs, capacity, tokenizer, end_id, keep_ids), "pieces")
+    cut = written(pieces(docs, capacity, tokenizer, end_id, keep_ids, **memory), "pieces")
     if not keep_ids:
         cut = cut.drop("ids")
     return place(cut, capacity)
