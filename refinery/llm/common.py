@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from ..session import materialize as written
 from ..session import scratch_dir as scratch
 
-__all__ = ["ROW", "STRETCH", "held_out", "hold", "scratch", "small", "stretches", "with_row", "written"]
+__all__ = ["ROW", "STRETCH", "give_back", "held_out", "hold", "scratch", "small", "stretches", "with_row", "written"]
 
 ROW = "__row"
 STRETCH = 1 << 20
@@ -27,7 +28,14 @@ def hold(operator: str, release: Callable[[], None] = lambda: None) -> None:
     for other in [o for o in _held if o != operator]:
         _held.pop(other)()
     _held[operator] = release
+    give_back()
+
+
+def give_back() -> None:
+    """Return the memory that Arrow and the C library keep for later to the system."""
     pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):        # of glibc alone
+        trim(0)
 
 
 def small(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
@@ -35,6 +43,7 @@ def small(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Rec
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        give_back()
 
 
 def stretches(text: str, size: int) -> Iterator[str]:
