@@ -48,7 +48,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents, placed in sequences of 2048 tokens."""
     # the workers of the stages before are still there, so this one's encoder takes less memory than alone
-    return pack(docs, memo=300_000, unit=1 << 21)
+    return pack(docs, memo=100_000, unit=1 << 20)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
