@@ -18,7 +18,7 @@ from ..functions.expr import decode
 from ..session import child_dirs, path_exists
 from ..sources import buckets
 from .rules import flag_first
-from .sequence import carry
+from .sequence import carry, zero_of
 
 # Numeric change-table operation codes and their names.
 OP_CODES = {1: "DELETE", 2: "INSERT", 3: "UPDATE (before)", 4: "UPDATE (after)"}
@@ -282,3 +282,26 @@ def map_commit_time(changes: DataFrame, txn_map: DataFrame, on: str, time_col: s
     """Attach the commit time of each change's transaction (equi join on the
     transaction id; the map has one row per transaction)."""
     return changes.join(txn_map.select(on, time_col), on, "left")
+
+
+def map_range_time(changes: DataFrame, marks: DataFrame, lsn: str = "lsn", start: str = "start_lsn",
+                   time_col: str = "commit_time") -> DataFrame:
+    """Attach the time of the log range each change lies in, where the map names the ranges' starts only:
+    that of the last mark at or before the change.
+
+    There is no key to join on, so changes and marks are put in one order of the log, cut into range chunks, and the last mark
+    is carried from chunk to chunk (:func:`carry`); between chunks there is one row a chunk. A position with many changes
+    spans chunks, since a hash of the row orders them further. Of marks with one start the latest time
+    counts. Changes before the first mark, or without a position, have no time; marks without start or time are ignored.
+    """
+    time_type, names = marks.schema[time_col].dataType, changes.columns
+    at = lambda df, c: df[c].cast(changes.schema[lsn].dataType).alias("__at")
+    kept = marks.filter(F.col(start).isNotNull() & F.col(time_col).isNotNull())
+    points = kept.select(at(kept, start), F.lit(False).alias("__change"), F.col(time_col).alias("__time"), F.lit(0).cast("long").alias("__tie"),
+                         F.lit(None).cast(changes.schema).alias("__row"))
+    rows = changes.filter(F.col(lsn).isNotNull())
+    rows = rows.select(at(rows, lsn), F.lit(True).alias("__change"), zero_of(time_type).alias("__time"), F.xxhash64(*names).alias("__tie"),
+                       F.struct(*names).alias("__row"))
+    found = carry(points.unionByName(rows), [], ["__at", "__change", "__time", "__tie"], ["__time"], present=~F.col("__change"), prefix="found")
+    out = found.filter("__change").select("__row.*", F.col("found__time").alias(time_col))
+    return out.unionByName(changes.filter(F.col(lsn).isNull()).withColumn(time_col, F.lit(None).cast(time_type)))

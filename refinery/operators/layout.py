@@ -22,3 +22,17 @@ def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str], num_fil
          .bucketBy(buckets, *bucket_by).sortBy(*cluster_by).saveAsTable(table))
     else:
         laid.write.mode("overwrite").parquet(path)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """``df`` as the external catalogue table ``table`` under ``path``, in hash buckets of ``keys``, one sorted file each.
+
+    Tables whose bucket counts are equal, or multiples of each other with
+    ``spark.sql.bucketing.coalesceBucketsInJoin.enabled`` (set here for the session), join on their keys without an exchange.
+    A bucket is read by one task, so this is for keys of bounded frequency, such as a fact's order or line keys;
+    a hot foreign key is better joined by shuffle, where AQE splits it."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.bucketing.coalesceBucketsInJoin.enabled", "true")
+    (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))
+    return spark.table(table)

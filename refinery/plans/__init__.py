@@ -5,4 +5,4 @@ from .registry import QUERIES, ORACLES, query  # noqa: F401
 
 
 def load_all() -> None:
-    from . import dq, relational, star, cdc, history, files, streams, skew  # noqa: F401
+    from . import dq, relational, star, cdc, history, files, streams, skew, layouts  # noqa: F401
