@@ -75,7 +75,7 @@ def test_stages_in_order():
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert [n for n in entry.queries() if n.startswith("op")] == sorted(
         (n for n in entry.queries() if n.startswith("op")), key=lambda n: int(n[2:].split("_")[0])) and len(
-        [n for n in entry.queries() if n.startswith("op")]) == 10
+        [n for n in entry.queries() if n.startswith("op")]) == 13
 
 
 @pytest.fixture(scope="module")
