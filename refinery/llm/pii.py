@@ -4,7 +4,7 @@ Base spans (e-mail, ip, card, phone) follow fixed rules and always stay. Beside
 them, generators of high recall propose overlapping candidates: address-like
 runs around an at sign, digit groups, assigned values and long mixed tokens.
 Boosted trees judge a candidate by its format and context; they learn from the
-candidates of a bounded sample of documents. The teachers are base spans, names
+candidates of all documents, by histograms that tasks sum up. The teachers are base spans, names
 of assigned values and cue words before a candidate, and what a teacher goes by
 is hidden from the trees: phones are shown without their plus sign and country
 code too, addresses without the last part of their domain, values without their
@@ -22,7 +22,7 @@ and assignment signs, not from every character.
 
 Defined cases: null text is empty; empty texts have no spans; repeated rows each
 get a result; an empty table, or one without candidates of both sorts, adds
-nothing to the base spans; null doc_ids are kept. Extra columns are not read.
+nothing to the base spans; null doc_ids are kept and taught. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ import hashlib
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -39,18 +39,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hold, small
+from .common import hold, small, written
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("address", "number", "secret")
 KINDS = (*BASE, *ADDED)
-SAMPLE_DOCS = 20_000
-SAMPLE_CANDIDATES = 20_000
 PRECISION = 0.95
 TREES = 60
 DEPTH = 3
 RATE = 0.2
 BINS = 32
+UNIT = 1 << 20                                          # gradients are summed as integers in these parts of one
+STEPS = 1 << 12                                         # thresholds tried between 0 and 1
+LESSONS = 2_000                                         # rows of features a batch
 
 Span = tuple[int, int, str]
 
@@ -245,8 +246,8 @@ def shape(s: str) -> str:
     return "-".join(groups) if len(groups) > 1 else ""
 
 
-def lessons(text: str) -> Iterator[tuple[int, int, str, int | None, bool, str, list[float], list[float]]]:
-    """(start, end, kind, label or None, cued, shape, features, features without words) of a text's candidates and base spans."""
+def lessons(text: str) -> Iterator[tuple[int, int, str, bool | None, bool, str, list[float]]]:
+    """(start, end, kind, label or None, cued, shape, features) of a text's candidates and base spans."""
     base, values = base_spans(text), 0
     for c in sorted(candidates(text), key=lambda c: (c[0], -c[1], not c[3])):
         start, end, kind, name = c
@@ -254,66 +255,88 @@ def lessons(text: str) -> Iterator[tuple[int, int, str, int | None, bool, str, l
         values = max(values, end) if name else values
         if y is not None or kind == "number" and not any(s < end and e > start for s, e, _ in base):
             yield (start, end, kind, y, cued(text, c), shape(text[start:end]) if kind == "number" else "",
-                   features(text, start, end, kind), features(text, start, end, kind, False))
+                   features(text, start, end, kind))
     for less, start, end, kind in shown_less(text, base):
         yield (start, end, kind, True, cued(less, (start, end, kind, "")), shape(less[start:end]) if kind == "number" else "",
-               features(less, start, end, kind), features(less, start, end, kind, False))
+               features(less, start, end, kind))
+
+
+def wordless(x: np.ndarray) -> np.ndarray:
+    """Features as they are without the words before the candidates."""
+    return np.column_stack([x[:, :-len(_WORDS)], np.zeros((len(x), len(_WORDS)))])
 
 
 @dataclass
 class Trees:
-    """Gradient-boosted trees of equal depth over binned features, for logistic loss."""
+    """Gradient-boosted trees of equal depth over binned features, for logistic loss.
+
+    They grow from sums over all rows alone: gradients and hessians by node, column and bin.
+    The sums are integers, so the trees do not depend on how rows are spread over tasks."""
     edges: list[np.ndarray] = field(default_factory=list)
     start: float = 0.0
     trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
 
-    def _bins(self, x: np.ndarray) -> np.ndarray:
-        return np.column_stack([np.searchsorted(e, x[:, j], "right") for j, e in enumerate(self.edges)])
+    def bins(self, x: np.ndarray) -> np.ndarray:
+        return np.column_stack([np.searchsorted(e, x[:, j], "right") for j, e in enumerate(self.edges)]).astype(np.uint8)
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> "Trees":
+        """Grow on rows at hand."""
         self.edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS)[1:-1])) for j in range(x.shape[1])]
-        bins, share = self._bins(x), np.clip(y.mean(), 1e-3, 1 - 1e-3)
+        bins, n = self.bins(x), np.ones(len(y))
+        return self.grow(len(y), y.sum(), lambda column, cut, level: self.sums(bins, n, y, column, cut, level))
+
+    def grow(self, n: int, good: int, sums: Callable[[np.ndarray, np.ndarray, int], np.ndarray]) -> "Trees":
+        """Trees for ``n`` rows, ``good`` of them of label 1; ``sums`` gives :meth:`sums` over all of them."""
+        share = np.clip(good / n, 1e-3, 1 - 1e-3)
         self.start = float(np.log(share / (1 - share)))
-        z = np.full(len(y), self.start)
         for _ in range(TREES):
-            p = 1 / (1 + np.exp(-z))
-            g, h = y - p, p * (1 - p)
-            node = np.zeros(len(y), np.int64)
             column, cut = np.zeros(2 ** DEPTH - 1, np.int64), np.full(2 ** DEPTH - 1, BINS)
-            for at in range(2 ** DEPTH - 1):
-                rows = np.flatnonzero(node == at)
-                if len(rows):
-                    column[at], cut[at] = self._split(bins[rows], g[rows], h[rows])
-                node[rows] = 2 * at + 1 + (bins[rows, column[at]] > cut[at])
-            leaf = node - (2 ** DEPTH - 1)
-            value = RATE * np.bincount(leaf, g, 2 ** DEPTH) / (np.bincount(leaf, h, 2 ** DEPTH) + 1)
-            z += value[leaf]
+            value = np.zeros(2 ** DEPTH)
+            for level in range(DEPTH):
+                found = sums(column, cut, level) / UNIT
+                for i in range(2 ** level):
+                    at, (g, h) = 2 ** level - 1 + i, found[:, :, i].cumsum(axis=2)
+                    column[at], cut[at] = self._split(g, h)
+                    if level == DEPTH - 1:
+                        lg, lh = g[column[at], cut[at]], h[column[at], cut[at]]
+                        value[2 * i:2 * i + 2] = RATE * lg / (lh + 1), RATE * (g[0, -1] - lg) / (h[0, -1] - lh + 1)
             self.trees.append((column, cut, value))
         return self
 
     @staticmethod
-    def _split(bins: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple[int, int]:
-        """The column and bin whose cut gains most; none gains: everything goes left."""
-        best, where = 1e-6, (0, BINS)
-        for j in range(bins.shape[1]):
-            lg, lh = (np.cumsum(np.bincount(bins[:, j], w, BINS + 1))[:-1] for w in (g, h))
-            rg, rh = g.sum() - lg, h.sum() - lh
-            gain = lg ** 2 / (lh + 1) + rg ** 2 / (rh + 1) - g.sum() ** 2 / (h.sum() + 1)
-            k = int(gain.argmax())
-            if gain[k] > best:
-                best, where = gain[k], (j, k)
-        return where
+    def _split(g: np.ndarray, h: np.ndarray) -> tuple[int, int]:
+        """The column and bin whose cut gains most, by running sums a column; none gains: everything goes left."""
+        lg, lh, whole, weight = g[:, :-1], h[:, :-1], g[0, -1], h[0, -1]
+        gain = lg ** 2 / (lh + 1) + (whole - lg) ** 2 / (weight - lh + 1) - whole ** 2 / (weight + 1)
+        j, k = np.unravel_index(int(gain.argmax()), gain.shape)
+        return (int(j), int(k)) if gain[j, k] > 1e-6 else (0, BINS)
 
-    def predict(self, x: np.ndarray) -> np.ndarray:
-        bins, z = self._bins(x), np.full(len(x), self.start)
-        rows = np.arange(len(x))
+    @staticmethod
+    def _node(bins: np.ndarray, column: np.ndarray, cut: np.ndarray, depth: int) -> np.ndarray:
+        """Each row's node among those of a level, from the left."""
+        node, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
+        for _ in range(depth):
+            node = 2 * node + 1 + (bins[rows, column[node]] > cut[node])
+        return node - (2 ** depth - 1)
+
+    def chances(self, bins: np.ndarray) -> np.ndarray:
+        z = np.full(len(bins), self.start)
         for column, cut, value in self.trees:
-            node = np.zeros(len(x), np.int64)
-            for _ in range(DEPTH):
-                node = 2 * node + 1 + (bins[rows, column[node]] > cut[node])
-            z += value[node - (2 ** DEPTH - 1)]
+            z += value[self._node(bins, column, cut, DEPTH)]
         return 1 / (1 + np.exp(-z))
 
+    def sums(self, bins: np.ndarray, n: np.ndarray, good: np.ndarray, column: np.ndarray, cut: np.ndarray, level: int) -> np.ndarray:
+        """(gradient or hessian, column, node, bin) -> sum in parts of ``UNIT``, over distinct rows that each
+        stand for ``n`` rows, ``good`` of them of label 1; nodes of a ``level`` of the next tree."""
+        p, cells = self.chances(bins), 2 ** level * (BINS + 1)
+        at = self._node(bins, column, cut, level) * (BINS + 1)
+        parts = [np.rint(w * UNIT) for w in (good - n * p, n * p * (1 - p))]                 # exact in a double
+        found = [[np.bincount(at + bins[:, j], w, cells) for j in range(bins.shape[1])] for w in parts]
+        return np.array(found).astype(np.int64).reshape(2, bins.shape[1], 2 ** level, BINS + 1)
+
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        return self.chances(self.bins(x))
+
 
 @dataclass(frozen=True)
 class Model:
@@ -343,64 +366,153 @@ class Model:
 NONE = Model(None, {})
 
 
-def fit(x: np.ndarray, hidden: np.ndarray, y: np.ndarray, kinds: list[str], shown: np.ndarray) -> Model:
-    """Train on three quarters of the candidates, with and without the words before them; the rest calibrates
-    the thresholds of candidates with a cue (``shown``) and, cues hidden, of those without."""
-    back = np.arange(len(y)) % 4 == 3
-    if len(np.unique(y[~back])) < 2:
-        return NONE
-    trees = Trees().fit(np.concatenate([x[~back], hidden[~back]]), np.tile(y[~back].astype(float), 2))
-    threshold = {}
-    for cue, p, part in ((True, trees.predict(x), back & shown), (False, trees.predict(hidden), back)):
-        for kind in ADDED:
-            mine = part & np.array([k == kind for k in kinds])
-            threshold[kind, cue] = math.inf
-            for cut in np.unique(p[mine])[::-1]:
-                said = mine & (p >= cut)
-                if y[said].sum() >= 5 and y[said].mean() >= PRECISION and cut >= 0.5:
-                    threshold[kind, cue] = float(cut)
-    return Model(trees, threshold)
-
-
-def judged(y: list[bool | None], shapes: list[str]) -> np.ndarray:
-    """False for numbers that no teacher judges, in a format that taught numbers often have: they may be such numbers."""
-    rows, good = Counter(shapes), Counter(s for s, v in zip(shapes, y) if v)
-    return np.array([v is not None or not (s and good[s] >= 3 and good[s] >= TELLING * rows[s]) for s, v in zip(shapes, y)], bool)
-
-
-def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, most: int = SAMPLE_CANDIDATES) -> Model:
-    """Fit on the candidates of the ``sample_docs`` documents with the least hashed ids."""
-    chosen = (docs.select("doc_id").filter("doc_id is not null").dropDuplicates()
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs))
+def all_lessons(docs: DataFrame) -> DataFrame:
+    """(kind, y, shape, shown, back, x) of the lessons of all documents; those ``back``, a quarter by hash, calibrate."""
+    schema = pa.schema([("id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("y", pa.bool_()),
+                        ("shown", pa.bool_()), ("shape", pa.string()), ("x", pa.list_(pa.float64()))])
+
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     def run(batches):
+        hold("pii")
+        rows = []
         for batch in small(batches):
-            rows = [(doc_id, *lesson) for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                    for lesson in lessons(text or "")]
-            columns = list(zip(*rows)) or [()] * 9
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
-
-    schema = pa.schema([("doc_id", docs_id(docs)), ("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()),
-                        ("y", pa.bool_()), ("shown", pa.bool_()), ("shape", pa.string()),
-                        ("x", pa.list_(pa.float64())), ("hidden", pa.list_(pa.float64()))])
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    got = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")     # sample_docs ids
-           .mapInArrow(run, f"doc_id {kind}, start long, end long, kind string, y boolean, shown boolean, shape string, "
-                            "x array<double>, hidden array<double>")
-           .orderBy(F.xxhash64("doc_id", "start", "end", "kind"), "doc_id", "start", "end", "kind", "shape").limit(most).toArrow())
-    if not got.num_rows:
-        return NONE
-    keep = judged(got["y"].to_pylist(), got["shape"].to_pylist())
-    got = got.filter(pa.array(keep))
-    if not got.num_rows:
-        return NONE
-    x, hidden = (np.array(got[c].to_pylist(), float) for c in ("x", "hidden"))
-    return fit(x, hidden, np.array([bool(v) for v in got["y"].to_pylist()]).astype(int), got["kind"].to_pylist(),
-               got["shown"].to_numpy().astype(bool))
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for lesson in lessons(text or ""):
+                    rows.append((i, *lesson))
+                    if len(rows) == LESSONS:
+                        yield packed(rows)
+                        rows = []
+        if rows:
+            yield packed(rows)
+
+    found = docs.select(F.xxhash64("doc_id").alias("id"), "text").mapInArrow(
+        run, "id long, start long, end long, kind string, y boolean, shown boolean, shape string, x array<double>")
+    return found.select("kind", "y", "shape", "shown", (F.pmod(F.xxhash64("id", "start", "end", "kind"), F.lit(4)) == 3).alias("back"), "x")
+
+
+def judged(rows: DataFrame) -> DataFrame:
+    """``rows`` (y, shape, ...) without numbers that no teacher judges, in a format that taught numbers often have:
+    they may be such numbers. Other numbers without a teacher's word are taught 0."""
+    telling = (rows.filter("shape <> ''").groupBy(F.col("shape").alias("telling"))
+               .agg(F.count(F.lit(1)).alias("n"), F.count_if("y").alias("good"))
+               .filter((F.col("good") >= 3) & (F.col("good") >= F.lit(TELLING) * F.col("n"))).select("telling"))
+    # at most 2^18 formats of 7 to 19 digits
+    kept = rows.join(F.broadcast(telling), F.col("y").isNull() & (F.col("shape") == F.col("telling")), "left_anti")
+    return kept.withColumn("y", F.coalesce("y", F.lit(False)))
+
 
+def matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
 
-def docs_id(docs: DataFrame) -> pa.DataType:
-    return pa.int64() if docs.schema["doc_id"].dataType.simpleString() == "bigint" else pa.int32()
+
+def both(x: np.ndarray) -> np.ndarray:
+    """Each candidate with the words before it and without them."""
+    return np.concatenate([x, wordless(x)])
+
+
+def coarse(x: np.ndarray) -> np.ndarray:
+    """Values on a grid, three decimals or three digits, so that a column has a bounded number of them."""
+    large = np.maximum(np.floor(np.log10(np.maximum(np.abs(x), 1))) - 2, -3)
+    return np.where(large > 0, np.rint(x / 10 ** np.maximum(large, 0)) * 10 ** np.maximum(large, 0), np.round(x, 3))
+
+
+def quantiles(values: np.ndarray, n: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Quantiles of ascending ``values`` that each occur ``n`` times, between neighbours by proportion."""
+    ends = np.cumsum(n)
+    at = q * (ends[-1] - 1)
+    low = np.floor(at).astype(np.int64)
+    a, b = (values[np.searchsorted(ends, np.minimum(i, ends[-1] - 1), "right")] for i in (low, low + 1))
+    return a + (b - a) * (at - low)
+
+
+def bin_edges(rows: DataFrame) -> list[np.ndarray]:
+    """Edges of every feature's bins, from counts of the values of all ``rows`` (x)."""
+    def run(batches):
+        counts = [Counter() for _ in FEATURES]
+        for batch in batches:
+            x = coarse(both(matrix(batch.column(0))))
+            for j, mine in enumerate(counts):
+                mine.update(dict(zip(*(v.tolist() for v in np.unique(x[:, j], return_counts=True)))))
+        for j, mine in enumerate(counts):
+            yield pa.RecordBatch.from_arrays([pa.array([j] * len(mine), pa.int32()), pa.array(list(mine), pa.float64()),
+                                              pa.array(list(mine.values()), pa.int64())], names=["column", "value", "n"])
+
+    got = (rows.select("x").mapInArrow(run, "column int, value double, n long")
+           .groupBy("column", "value").agg(F.sum("n").alias("n")).toPandas().sort_values(["column", "value"]))
+    parts = {j: part for j, part in got.groupby("column")}
+    q = np.linspace(0, 1, BINS)[1:-1]
+    return [np.unique(quantiles(parts[j]["value"].to_numpy(), parts[j]["n"].to_numpy(), q)) for j in range(len(FEATURES))]
+
+
+def binned(rows: DataFrame, trees: Trees) -> DataFrame:
+    """(bins, n, good): distinct rows of bins among ``rows`` (x, y), how many there are and how many of label 1."""
+    def run(batches):
+        for batch in batches:
+            bins = trees.bins(both(matrix(batch.column(0))))
+            y = np.tile(batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64), 2)
+            yield pa.RecordBatch.from_arrays([pa.array([b.tobytes() for b in bins], pa.binary()), pa.array(y)], names=["bins", "y"])
+
+    return (rows.select("x", "y").mapInArrow(run, "bins binary, y long")
+            .groupBy("bins").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("good")))
+
+
+def grown(rows: DataFrame, trees: Trees, n: int, good: int) -> Trees:
+    """``trees`` grown on ``rows`` (bins, n, good): a job a level, each partition of which sends its sums."""
+    def sums(column: np.ndarray, cut: np.ndarray, level: int) -> np.ndarray:
+        def run(batches):
+            found = 0
+            for batch in batches:
+                bins = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(-1, len(FEATURES))
+                found = found + trees.sums(bins, *(batch.column(i).to_numpy() for i in (1, 2)), column, cut, level)
+            if not isinstance(found, int):
+                yield pa.RecordBatch.from_arrays([pa.array([found.tobytes()], pa.binary())], names=["sums"])
+
+        parts = rows.select("bins", "n", "good").mapInArrow(run, "sums binary").toArrow()["sums"]
+        return sum(np.frombuffer(p.as_py(), np.int64) for p in parts).reshape(2, len(FEATURES), 2 ** level, BINS + 1)
+
+    return trees.grow(n, good, sums)
+
+
+def thresholds(rows: DataFrame, trees: Trees) -> dict[tuple[str, bool], float]:
+    """The least cut a kind, for candidates with a cue (those ``shown``) and, cues hidden, for those without,
+    above which ``PRECISION`` of ``rows`` (kind, shown, y, x) are of label 1. Cuts are tried on a grid."""
+    def run(batches):
+        for batch in batches:
+            kind, y = np.array(batch.column(0).to_pylist()), batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+            shown, x = batch.column(1).to_numpy(zero_copy_only=False).astype(bool), matrix(batch.column(3))
+            for cue, part, seen in ((True, shown, x), (False, np.ones(len(y), bool), wordless(x))):
+                p = trees.predict(seen)
+                part = part & (p >= 0.5)
+                yield pa.RecordBatch.from_arrays([pa.array(kind[part].tolist(), pa.string()), pa.array([cue] * int(part.sum()), pa.bool_()),
+                                                  pa.array(np.floor(p[part] * STEPS).astype(np.int32)), pa.array(p[part]), pa.array(y[part])],
+                                                 names=["kind", "cue", "step", "p", "y"])
+
+    got = (rows.select("kind", "shown", "y", "x").mapInArrow(run, "kind string, cue boolean, step int, p double, y long")
+           .groupBy("kind", "cue", "step").agg(F.min("p").alias("cut"), F.count(F.lit(1)).alias("n"), F.sum("y").alias("good")).collect())
+    found = {}
+    for kind in ADDED:
+        for cue in (True, False):
+            found[kind, cue], n, good = math.inf, 0, 0
+            for r in sorted((r for r in got if (r["kind"], r["cue"]) == (kind, cue)), key=lambda r: -r["step"]):
+                n, good = n + r["n"], good + r["good"]
+                if good >= 5 and good / n >= PRECISION:
+                    found[kind, cue] = r["cut"]
+    return found
+
+
+def learn(docs: DataFrame) -> Model:
+    """Fit on the candidates of all documents: three quarters, with and without the words before them, grow the
+    trees, and the rest calibrates the thresholds."""
+    rows = written(judged(written(all_lessons(docs), "lessons")), "taught")
+    train = rows.filter("not back")
+    n, good = train.agg(F.count(F.lit(1)), F.count_if("y")).first()
+    if good in (0, n):
+        return NONE
+    trees = Trees(bin_edges(train))
+    trees = grown(written(binned(train, trees), "binned"), trees, 2 * n, 2 * good)
+    return Model(trees, thresholds(rows.filter("back"), trees))
 
 
 def joined(spans: list[Span]) -> str:

@@ -298,6 +298,26 @@ def test_personal_data_without_candidates(spark, docs):
     assert pii.find(docs([]), model).collect() == []
 
 
+def test_personal_data_is_learned_from_every_document(spark, docs, monkeypatch):
+    """What only documents with the greatest hashed ids teach, however many are before them, and however rows are spread."""
+    ids = [r.id for r in spark.range(20_400).orderBy(F.xxhash64("id"), "id").collect()]
+    rows = [(i, "only prose") for i in ids[:20_000]] + [(i, t) for i, (_, t) in zip(ids[20_000:], pii_rows())]
+    model = pii.learn(docs(rows))
+    got = pii.find(docs(rows), model, ("text",)).filter("text like '%password=%'").collect()
+    assert sum("secret:" in r.spans for r in got) > 0.95 * len(got) == 190
+    monkeypatch.setattr(pii, "TREES", 4)
+    taught = spark.createDataFrame([(bytes([i % 7] * len(pii.FEATURES)), 2, i % 3) for i in range(50)], "bins binary, n long, good long")
+    one, many = (pii.grown(taught.repartition(n), pii.Trees(), 100, 49) for n in (1, 4))
+    assert all((a == b).all() for s, t in zip(one.trees, many.trees) for a, b in zip(s, t))
+
+
+def test_quantiles_of_counts_equal_those_of_the_values():
+    rng = np.random.default_rng(4)
+    x, q = np.round(rng.exponential(3, 500), 1), np.linspace(0, 1, 33)
+    assert np.allclose(pii.quantiles(*np.unique(x, return_counts=True), q), np.quantile(x, q))
+    assert pii.coarse(np.array([0.12345, 7, 999, 1234567, 0])).tolist() == [0.123, 7, 999, 1230000, 0]
+
+
 def test_overlapping_spans_redact_once():
     assert pii.redacted("ab cd ef", [(0, 2, "email"), (1, 5, "card"), (6, 8, "secret")]) == "[EMAIL] [SECRET]"
 
