@@ -4,17 +4,17 @@ Rules are plain Catalyst predicates (``True`` means the row fails). A NULL
 predicate falls through to the next rule, exactly as a CASE WHEN chain does.
 Referential checks are left joins to distinct parent keys (no fan-out
 whatever the parent holds); the duplicate rule is computed skew-safely
-(see ``flag_first``).
+(see ``flag_first``, and ``flag_first_once`` which shuffles rows once).
 """
 
 from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
-from typing import Iterable, Sequence
+from typing import Callable, Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -137,3 +137,35 @@ def flag_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
     return (safe.join(winners, names, "left")
             .withColumn(flag, competing & (won.isNull() | mine))
             .select(*df.columns, flag))
+
+
+HOT = 100_000                     # rows of one key that one task may sort
+
+
+def flag_first_once(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], row_id: Sequence[str],
+                    flag: str = "is_first", by: Sequence[str] | None = None,
+                    then: Callable[[DataFrame], DataFrame] = lambda rows: rows, hot: int = HOT) -> DataFrame:
+    """``flag_first`` of ``then(df)`` with one shuffle of the rows.
+
+    ``then`` may add columns, as a lookup does, but keeps rows one to one. ``by``
+    (default: ``keys``) are those of the keys that its join goes by, so the rows lie
+    by them already and a window ranks them where they lie. A window sorts all rows
+    of a ``by`` in one task; those of a ``by`` with more than ``hot`` rows, counted
+    by a hash aggregate, take :func:`flag_first` instead.
+    """
+    by = list(by or keys)
+    named = [F.col(k).alias(f"__by{i}") for i, k in enumerate(by)]
+    many = materialize(df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot).select(*named), "hot")
+    window = Window.partitionBy(*keys).orderBy(*_cols(order), *row_id)
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        return then(rows).withColumn(flag, F.row_number().over(window) == 1)
+
+    if many.isEmpty():
+        return ranked(df)
+    same = F.lit(True)
+    for i, k in enumerate(by):
+        same = same & F.col(k).eqNullSafe(F.col(f"__by{i}"))
+    few = F.broadcast(many)                                       # at most rows / ``hot`` keys
+    return ranked(df.join(few, same, "left_anti")).unionByName(
+        then(flag_first(df.join(few, same, "left_semi"), keys, order, row_id, flag)))

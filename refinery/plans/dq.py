@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality
-from ..operators.rules import Rule, any_null, classify, flag_exists, flag_first, reason
+from ..operators.rules import Rule, any_null, classify, flag_exists, flag_first, flag_first_once, reason
 from ..session import materialize
 from .common import t
 from .registry import query
@@ -81,17 +81,23 @@ def classify_lines(df: DataFrame, dedupe_scope: str = "all", row_id=ROW_ID) -> D
     return classify(df, rules)
 
 
-def classified(spark: SparkSession, sf: str, dedupe_scope: str = "all") -> DataFrame:
-    """All incoming rows with ``rejection_reason`` (NULL = accepted)."""
+def classified(spark: SparkSession, sf: str, dedupe_scope: str = "all", once: bool = False) -> DataFrame:
+    """All incoming rows with ``rejection_reason`` (NULL = accepted). Jobs that shuffle or write all
+    rows afterwards rank them with one shuffle (``once``)."""
     if dedupe_scope != "all":
         # the rank needs the flags of the joined rows, so these are written once
         return classify_lines(materialize(dq_input(spark, sf), "dq"), dedupe_scope)
-    # The rank over all rows needs only lineitem columns, so it is computed on
-    # the scan itself (its aggregate branch reads lineitem alone); the 1:1
-    # lookup and the existence flags follow.
-    li = flag_first(t(spark, sf, "lineitem", row_id=True), KEY, DUP_ORDER, ROW_ID, flag="_first")
+    if once:
+        # the lookup of the order date shuffles the lines by order, and they are ranked where they lie then
+        li = flag_first_once(t(spark, sf, "lineitem", row_id=True), KEY, DUP_ORDER, ROW_ID, flag="_first", by=KEY[:1],
+                             then=lambda rows: with_order_date(rows, spark, sf))
+    else:
+        # The rank over all rows needs only lineitem columns, so it is computed on
+        # the scan itself (its aggregate branch reads lineitem alone); the 1:1
+        # lookup and the existence flags follow.
+        li = with_order_date(flag_first(t(spark, sf, "lineitem", row_id=True), KEY, DUP_ORDER, ROW_ID, flag="_first"), spark, sf)
     rules = row_rules() + [Rule("DUPLICATE_LINEITEM", ~F.col("_first"))]
-    return classify(prepare(with_order_date(li, spark, sf), spark, sf), rules)
+    return classify(prepare(li, spark, sf), rules)
 
 
 @query("dq_rejections_by_reason", oracle=None)

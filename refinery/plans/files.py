@@ -93,7 +93,7 @@ def curate_job(spark, sf):
     """Classify → one observed write (accepted / rejected partitions) → reconcile →
     DQ tables from what was written; returns the written dq_summary."""
     root = scratch_dir(spark, "lake")
-    counts = jobs.curate(dq.classified(spark, sf), root, columns=dq.LINE_COLS, expected_rows=t(spark, sf, "lineitem"))
+    counts = jobs.curate(dq.classified(spark, sf, once=True), root, columns=dq.LINE_COLS, expected_rows=t(spark, sf, "lineitem"))
     return (spark.read.parquet(os.path.join(root, "dq_summary"))
             .withColumn("observed_extracted", F.lit(counts["extracted"]).cast("bigint")))
 
@@ -102,7 +102,7 @@ def curate_job(spark, sf):
 def curate_job_rows(spark, sf):
     """The rows the curate job wrote, accepted and rejected, each with its reason."""
     root = scratch_dir(spark, "lake")
-    jobs.curate(dq.classified(spark, sf), root, columns=dq.LINE_COLS, expected_rows=t(spark, sf, "lineitem"))
+    jobs.curate(dq.classified(spark, sf, once=True), root, columns=dq.LINE_COLS, expected_rows=t(spark, sf, "lineitem"))
     return spark.read.parquet(os.path.join(root, "classified"))
 
 

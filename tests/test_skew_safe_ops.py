@@ -2,10 +2,12 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from refinery.operators.rules import flag_first
+from refinery.operators.rules import flag_first, flag_first_once
+from refinery.plans import dq
 from refinery.operators.sequence import carry
 from refinery.operators.star import assign_keys
 
@@ -65,3 +67,27 @@ def test_dimension_keys_are_dense_in_natural_order(spark):
     rows = sorted(build_dimension(part, ["p_partkey"], ["p_brand"], "part_key").collect(), key=lambda r: r.part_key)
     assert [r.part_key for r in rows] == list(range(1, part.count() + 1))
     assert [r.p_partkey for r in rows] == sorted(r.p_partkey for r in rows)
+
+
+@pytest.mark.parametrize("hot", [0, 100, 10**6])
+def test_flag_first_once_equals_row_number(spark, hot):
+    """Keys with more rows than a task may sort, null keys among them, and those with fewer."""
+    df = _skewed(spark).withColumn("line", F.col("t") % 3).withColumn("rid", F.monotonically_increasing_id())
+    names = spark.createDataFrame([(i, f"n{i}") for i in range(30)], "id long, name string")
+    w = Window.partitionBy("k", "line").orderBy("v", "t", "rid")
+    ref = df.join(names, F.col("k") == F.col("id"), "left").select("rid", "name", (F.row_number().over(w) == 1).alias("f"))
+    got = flag_first_once(df, ["k", "line"], ["v", "t"], ["rid"], flag="f", by=["k"], hot=hot,
+                          then=lambda rows: rows.join(names, F.col("k") == F.col("id"), "left").drop("id"))
+    assert sorted(map(tuple, got.select("rid", "name", "f").collect())) == sorted(map(tuple, ref.collect()))
+    assert got.columns[:-2] == df.columns and set(got.columns[-2:]) == {"name", "f"}
+
+
+def test_order_lines_are_shuffled_once_to_be_classified(spark):
+    """The lookup of the order date and the rank share one exchange; before, the lines went through three."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = dq.classified(spark, "/root/testdata/sf0.001", once=True)
+        plans = [d.filter("rejection_reason is null")._jdf.queryExecution().executedPlan().toString() for d in (lines,)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plans[0].count("Exchange hashpartitioning(l_orderkey") == 1 and not any("__k0" in p for p in plans)
