@@ -75,8 +75,10 @@ def classify_lines(df: DataFrame, dedupe_scope: str = "all", row_id=ROW_ID) -> D
     """Apply the seven ordered rules to prepared rows; dedupe over all rows
     (as the reference job) or only over rows passing the other rules."""
     rules = row_rules()
-    scope = None if dedupe_scope == "all" else reason(rules).isNull()
-    df = flag_first(df, KEY, DUP_ORDER, list(row_id), flag="_first", scope=scope)
+    if dedupe_scope == "all":
+        df = flag_first_once(df, KEY, DUP_ORDER, list(row_id), flag="_first")
+    else:
+        df = flag_first(df, KEY, DUP_ORDER, list(row_id), flag="_first", scope=reason(rules).isNull())
     rules.append(Rule("DUPLICATE_LINEITEM", ~F.col("_first")))
     return classify(df, rules)
 
@@ -148,7 +150,7 @@ FAULT_SLOTS = {0: "MISSING_REQUIRED_FIELD", 1: "INVALID_SUPPLIER_ID", 2: "INVALI
 @query("fault_injection")
 def fault_injection(spark, sf):
     """Labelled faults injected into the accepted rows, reclassified: confusion counts."""
-    acc, _ = quality.split(classified(spark, sf))
+    acc, _ = quality.split(classified(spark, sf, once=True))
     base = materialize(acc.select(*[c for c in lines(spark, sf).columns]), "accepted")    # read by every branch below
     slot = F.pmod(F.col("l_orderkey") * 7 + F.col("l_linenumber"), F.lit(50))
     lab = {v: k for k, v in FAULT_SLOTS.items()}

@@ -87,7 +87,8 @@ def test_order_lines_are_shuffled_once_to_be_classified(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         lines = dq.classified(spark, "/root/testdata/sf0.001", once=True)
-        plans = [d.filter("rejection_reason is null")._jdf.queryExecution().executedPlan().toString() for d in (lines,)]
+        again = dq.classify_lines(lines.drop("rejection_reason", "_first"))
+        plans = [d.filter("rejection_reason is null")._jdf.queryExecution().executedPlan().toString() for d in (lines, again)]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plans[0].count("Exchange hashpartitioning(l_orderkey") == 1 and not any("__k0" in p for p in plans)
