@@ -147,9 +147,9 @@ def flag_first_once(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
                     then: Callable[[DataFrame], DataFrame] = lambda rows: rows, hot: int = HOT) -> DataFrame:
     """``flag_first`` of ``then(df)`` with one shuffle of the rows.
 
-    ``then`` may add columns, as a lookup does, but keeps rows one to one. ``by``
-    (default: ``keys``) are those of the keys that its join goes by, so the rows lie
-    by them already and a window ranks them where they lie. A window sorts all rows
+    ``then`` may add columns or repeat rows, as a lookup does; every copy of the first
+    row is first. ``by`` (default: ``keys``) are those of the keys that its join goes by, so
+    the rows lie by them already and a window ranks them where they lie. A window sorts all rows
     of a ``by`` in one task; those of a ``by`` with more than ``hot`` rows, counted
     by a hash aggregate, take :func:`flag_first` instead.
     """
@@ -159,7 +159,8 @@ def flag_first_once(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     window = Window.partitionBy(*keys).orderBy(*_cols(order), *row_id)
 
     def ranked(rows: DataFrame) -> DataFrame:
-        return then(rows).withColumn(flag, F.row_number().over(window) == 1)
+        mine = F.struct(*row_id)
+        return then(rows).withColumn(flag, F.first(mine).over(window) == mine)
 
     if many.isEmpty():
         return ranked(df)
