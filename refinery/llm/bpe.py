@@ -5,18 +5,20 @@
 2. A word's bytes become an array of ids. A fold merges, step by step, the leftmost
    pair of the lowest rank until no pair has one; ranks come from a literal map
    (pair of ids -> id of both), in buckets because a Spark map is searched linearly.
-3. A text's words are looked up among the frequent ones; a word that is not there is
-   folded where it stands. Nothing but distinct words and counts is shuffled, and
-   which words are frequent changes the time alone, never the ids.
+3. The frequent words and their ids are broadcast. A text's words are looked up among
+   them by :class:`Lookup`, an Arrow batch at a time; a word that is not there is merged
+   where it stands (:class:`Merger`). Nothing but distinct words and counts is shuffled,
+   and which words are frequent changes the time alone, never the ids.
 4. Decoding puts the binary pieces of the ids together.
 
-The literal tables (rank map, pieces, frequent words) are one row, which reaches the
-expression as a scalar subquery; their size depends on the vocabulary and on
-``FREQUENT`` words of at most ``WORD_BYTES`` bytes, not on the corpus.
+The literal tables (rank map, pieces) are one row, which reaches the expression as a
+scalar subquery; their size depends on the vocabulary, that of the broadcast on
+``FREQUENT`` words of at most ``WORD_BYTES`` bytes, not on the corpus. ``MEMO`` and
+``UNIT`` bound what a worker holds besides.
 
-The fold takes n^2 steps, so texts with a word of more than ``LONG`` bytes take another
-exact way, as do texts with characters that the JVM's Unicode tables do not
-know: they are split by the ``regex`` library and merged with a heap (:class:`Merger`).
+Words that the JVM's Unicode tables split otherwise than the ``regex`` library are not
+looked up. The scan for the lowest rank takes n^2 steps, so a word of more than ``LONG``
+bytes is merged with a heap.
 
 Defined cases: null or empty text has no ids; an id without a piece decodes to
 nothing; repeated rows, ties and null doc_ids are encoded like any other; an empty
@@ -27,21 +29,26 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hold, written
+from .common import hold, small, written
+from .encode import _ODD, Encoder
 
 RANKS = "byte_bpe_50k.tiktoken"
 FREQUENT = 1 << 18
 WORD_BYTES = 64
 LONG = 256
-WORD_BUCKETS = 1 << 17
+MEMO = 200_000
+UNIT = 1 << 22
 PAIR_BUCKETS = 131_071
 NONE = 2**31 - 1
 
@@ -69,20 +76,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def bucket(key: Column, n: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-
-
-def in_buckets(entries: DataFrame, n: int, name: str) -> DataFrame:
-    """``entries`` (key, value) as one row: an array of ``n`` buckets, each a map."""
-    each = (entries.select(bucket(F.col("key"), n).alias("bucket"), F.struct("key", "value").alias("entry"))
-            .groupBy("bucket").agg(F.collect_list("entry").alias("found")))
-    whole = entries.sparkSession.range(n).select(F.col("id").cast("int").alias("bucket")).join(each, "bucket", "left")
-    empty = F.array().cast(each.schema["found"].dataType)
-    return (whole.agg(F.array_sort(F.collect_list(F.struct("bucket", F.coalesce("found", empty).alias("found")))).alias("all"))
-            .select(F.transform("all", lambda x: F.map_from_entries(x["found"])).alias(name)))
-
-
 @dataclass(frozen=True)
 class Tables:
     """The one-row DataFrame of literal tables, and expressions over its row."""
@@ -103,10 +96,9 @@ class Tables:
                                     "pairs array<map<bigint,int>>, first array<int>, singles array<int>, pieces array<string>")
         return Tables(written(row, "ranks"))
 
-    def with_words(self, words: DataFrame) -> Tables:
-        """The tables and, as ``words``, the ids of ``words`` (word)."""
-        ids = self.add(words.select("word"), "value", lambda t, row: merged(t, row["word"])).withColumnRenamed("word", "key")
-        return Tables(written(in_buckets(ids, WORD_BUCKETS, "words").crossJoin(F.broadcast(self.row)), "words"))  # one row and one row
+    def with_ids(self, words: DataFrame) -> DataFrame:
+        """``words`` (word) and their ``ids``, written."""
+        return written(self.add(words.select("word"), "ids", lambda t, row: merged(t, row["word"])), "words")
 
     def add(self, df: DataFrame, name: str, body: Callable[[Column, Column], Column], keep: tuple[str, ...] | None = None) -> DataFrame:
         """``keep`` columns of ``df`` (all) and column ``name``, ``body`` over the tables' row and a row of ``df``.
@@ -153,12 +145,6 @@ def split_words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit("(?U)" + pattern()), F.lit(0))
 
 
-def apart(text: Column, words: Column) -> Column:
-    """Texts for :class:`Merger`: a word of more than ``LONG`` bytes, or characters without a category in the JVM."""
-    unknown = (F.octet_length(text) != F.char_length(text)) & text.rlike(r"\p{Cn}")
-    return F.coalesce(unknown | F.exists(words, lambda w: F.octet_length(w) > LONG), F.lit(False))
-
-
 def frequent_words(texts: DataFrame, most: int = FREQUENT) -> DataFrame:
     """(word): the most frequent distinct words of ``texts`` (column text), ``most`` at most; all rows are counted.
 
@@ -176,7 +162,7 @@ def frequent_words(texts: DataFrame, most: int = FREQUENT) -> DataFrame:
 
 
 class Merger:
-    """Ids of whole texts by pattern, heap and linked pieces."""
+    """Ids of whole texts by pattern; words by scans, long ones by heap and linked pieces."""
 
     def __init__(self, ranks: dict[bytes, int], split: str):
         import regex
@@ -184,6 +170,22 @@ class Merger:
 
     def pieces(self, data: bytes) -> list[bytes]:
         """What is left of ``data`` when no two neighbours have a rank together."""
+        return self.scanned(data) if len(data) <= LONG else self.heaped(data)
+
+    def scanned(self, data: bytes) -> list[bytes]:
+        rank = self.ranks.get
+        parts = [data[i:i + 1] for i in range(len(data))]
+        ranks = [rank(data[i:i + 2], NONE) for i in range(len(data) - 1)] + [NONE]  # ranks[i]: parts i and i + 1
+        while (low := min(ranks)) != NONE:
+            i = ranks.index(low)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            ranks[i] = rank(parts[i] + parts[i + 1], NONE) if i + 1 < len(parts) else NONE
+            if i:
+                ranks[i - 1] = rank(parts[i - 1] + parts[i], NONE)
+        return parts
+
+    def heaped(self, data: bytes) -> list[bytes]:
         ends, before, after = [*range(1, len(data) + 1)], [*range(-1, len(data) - 1)], [*range(1, len(data) + 1)]
         heap = []
 
@@ -214,17 +216,79 @@ class Merger:
         return [i for m in self.split.finditer(text or "") for i in self.word(m.group().encode("utf-8", "surrogatepass"))]
 
 
+class Lookup(Encoder):
+    """``Encoder`` whose parts are looked up in ``words`` (word -> ids) and merged where they are not there."""
+
+    def __init__(self, merger: Merger, words: dict[str, bytes], memo: int | None = None, unit: int | None = None):
+        self.merger, self.words = merger, words
+        self.odd, self.end = _ODD, b""
+        self.most, self.unit = MEMO if memo is None else memo, UNIT if unit is None else unit
+        self.memo, self.older, self.marks = {}, {}, {}
+
+    def word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        return np.array(self.merger.word(word.encode()), "<u4").tobytes() if ids is None else ids
+
+    def whole(self, text: str) -> bytes:
+        ids = self.words.get(text)
+        return b"".join([self.word(m.group()) for m in self.merger.split.finditer(text)]) if ids is None else ids
+
+    def _known(self, parts: list[str]) -> list[bytes]:
+        table = [*map(self.memo.get, parts)]
+        new = [i for i, ids in enumerate(table) if ids is None]
+        for i in new:
+            p = parts[i]
+            if (ids := self.older.get(p)) is None:
+                ids = self.whole(p[1:] if p[:1] == "\0" else p if p == "\n" else " " + p)
+            table[i] = ids
+        self._keep({parts[i]: table[i] for i in new})
+        return table
+
+
+def as_words(found: pa.Table, split) -> dict[str, bytes]:
+    """Ids by word of ``found`` (word, ids), as far as ``split``, a compiled pattern, takes a word for one."""
+    out: dict[str, bytes] = {}
+    for batch in found.to_batches(max_chunksize=1 << 14):
+        words, lists = batch.column("word").to_pylist(), batch.column("ids")
+        ids, at = lists.flatten().to_numpy().astype("<u4"), np.append(0, np.cumsum(lists.value_lengths().to_numpy()))
+        out |= {w: ids[a:b].tobytes() for w, a, b in zip(words, at[:-1], at[1:]) if w.isascii() or split.fullmatch(w)}
+    return out
+
+
 @lru_cache(maxsize=1)
 def _merger(name: str) -> Merger:
     return Merger(read_ranks(name), pattern())
 
 
-def merged_texts(name: str = RANKS) -> Callable[[Column], Column]:
-    """Ids of texts through :class:`Merger`; a null text has none."""
-    @F.pandas_udf("array<int>")
-    def ids(texts: pd.Series) -> pd.Series:
-        hold("bpe", _merger.cache_clear)
-        return texts.map(lambda t: None if t is None else _merger(name).text(t))
+_lookups: dict[str, Lookup] = {}      # by key of the words, one at most
+
+
+def _lookup(name: str, key: str, words: Broadcast) -> Lookup:
+    """One a worker process, as long as it encodes with these words."""
+    hold("bpe", lambda: (_lookups.clear(), _merger.cache_clear()))
+    if key not in _lookups:
+        _lookups.clear()
+        with pa.ipc.open_stream(words.value) as stream:
+            _lookups[key] = Lookup(_merger(name), as_words(stream.read_all(), _merger(name).split))
+    return _lookups[key]
+
+
+def looked_up(words: DataFrame, name: str = RANKS) -> Callable[[Column], Column]:
+    """Ids of texts, of which ``words`` (word, ids) are broadcast; a null text has none."""
+    sink = pa.BufferOutputStream()
+    found = words.select("word", "ids").toArrow()
+    with pa.ipc.new_stream(sink, found.schema) as stream:
+        stream.write_table(found)
+    sent, key = words.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes()), uuid.uuid4().hex
+
+    @F.arrow_udf("array<int>")
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            lookup = _lookup(name, key, sent)
+            one = pa.RecordBatch.from_arrays([texts], ["text"])
+            found = [*lookup.encode_all(t for part in small([one]) for t in part.column(0).to_pylist())]
+            starts = np.append(0, np.cumsum([len(x) >> 2 for x in found])).astype(np.int32)
+            yield pa.ListArray.from_arrays(pa.array(starts), pa.array(np.frombuffer(b"".join(found), "<i4")))
     return ids
 
 
@@ -232,23 +296,16 @@ def encode(docs: DataFrame, keep: tuple[str, ...], name: str = RANKS, frequent:
     """(``keep`` columns of ``docs`` and ``ids`` of column text, the literal tables).
 
     Counts the words when called; the encoding itself moves no rows."""
-    plain = Tables.of(docs.sparkSession, read_ranks(name))
-    tables = plain.with_words(frequent_words(docs.select("text"), frequent))
-
-    def ids(t: Column, row: Column) -> Column:
-        known = lambda w: F.element_at(F.get(t["words"], bucket(w, WORD_BUCKETS)), w)
-        return F.coalesce(row["__rest"], F.flatten(F.transform(row["__words"], lambda w: F.coalesce(known(w), merged(t, w)))))
-
-    rows = docs.select(*[F.col(c) for c in keep], F.coalesce("text", F.lit("")).alias("__text"))
-    cut = rows.withColumn("__words", split_words(F.col("__text")))
-    told = cut.select(*keep, "__words", F.when(apart(F.col("__text"), F.col("__words")), F.col("__text")).alias("__apart"))
-    rest = told.select(*keep, "__words", merged_texts(name)("__apart").alias("__rest"))
-    return tables.add(rest, "ids", ids, keep), plain
+    tables = Tables.of(docs.sparkSession, read_ranks(name))
+    words = tables.with_ids(frequent_words(docs.select("text"), frequent))
+    return docs.select(*[F.col(c) for c in keep], looked_up(words, name)(F.col("text")).alias("ids")), tables
 
 
 def decode(coded: DataFrame, tables: Tables, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``coded`` and column ``out``, the bytes of its array of ids."""
-    return tables.add(coded, out, lambda t, row: F.unhex(F.array_join(F.transform(row[ids], lambda i: F.get(t["pieces"], i)), "")))
+    held = coded.select("*", tables.row.select("pieces").scalar().alias("__tables"))
+    return held.select(*coded.columns, let(F.col("__tables"), lambda pieces: F.unhex(F.array_join(
+        F.transform(F.col(ids), lambda i: F.get(pieces, i)), ""))).alias(out))
 
 
 def round_trip(docs: DataFrame, **options) -> DataFrame:

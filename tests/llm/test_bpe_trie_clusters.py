@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -63,6 +64,37 @@ def test_literal_tables_are_no_column(spark):
     assert "__tables" not in plan and "Join" not in plan
 
 
+def test_frequent_words_are_no_literal_of_the_plan(spark):
+    """They are looked up by Arrow batches: no expression, task or row of the JVM carries them."""
+    docs = spark.createDataFrame([(1, "one two one"), (2, None)], "doc_id long, text string")
+    coded, tables = bpe.encode(docs, ("doc_id",))
+    plan = coded._jdf.queryExecution().optimizedPlan().toString()
+    assert tables.row.columns == ["pairs", "first", "singles", "pieces"]
+    assert "ArrowEvalPython" in plan and "transform(" not in plan and "map<" not in plan
+    assert sorted((r["doc_id"], len(r["ids"])) for r in coded.collect()) == [(1, 3), (2, 0)]
+
+
+def test_scans_and_heap_leave_the_same_pieces():
+    rnd, merge = random.Random(7), bpe.Merger(bpe.read_ranks(), public_tokenizers.PATTERN)
+    for _ in range(300):
+        data = "".join(rnd.choice("etaoin shrdluéß=7") for _ in range(rnd.randint(0, 60))).encode()
+        assert merge.scanned(data) == merge.heaped(data) if data else merge.pieces(data) == []
+
+
+def test_look_up_keeps_no_more_than_its_memo_and_equals_tiktoken(reference):
+    rnd, merge = random.Random(8), bpe.Merger(bpe.read_ranks(), public_tokenizers.PATTERN)
+    texts = TEXTS[1:] + [" ".join("".join(rnd.choice("abcé'-.\n") for _ in range(rnd.randint(1, 9))) for _ in range(300)) for _ in range(40)]
+    ids = lambda w: np.array(reference.encode_ordinary(w), "<u4").tobytes()
+    lookup = bpe.Lookup(merge, {w: ids(w) for w in (" a", "a", " b", "  ")}, memo=100, unit=500)
+    assert [[*np.frombuffer(x, "<u4")] for x in lookup.encode_all(texts)] == [reference.encode_ordinary(t) for t in texts]
+    assert len(lookup.memo) + len(lookup.older) <= 100 and len(lookup.marks) <= 100
+
+
+def test_words_that_the_pattern_splits_are_not_looked_up():
+    merge, found = bpe.Merger(bpe.read_ranks(), public_tokenizers.PATTERN), pa.table({"word": ["!\u00e9", "\u00e9a", "ab"], "ids": [[1], [2, 3], [4]]})
+    assert {w: [*np.frombuffer(x, "<u4")] for w, x in bpe.as_words(found, merge.split).items()} == {"\u00e9a": [2, 3], "ab": [4]}
+
+
 def test_bpe_of_an_empty_table(spark):
     assert bpe.round_trip(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
