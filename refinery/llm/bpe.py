@@ -14,7 +14,7 @@
 The literal tables (rank map, pieces) are one row, which reaches the expression as a
 scalar subquery; their size depends on the vocabulary, that of the broadcast on
 ``FREQUENT`` words of at most ``WORD_BYTES`` bytes, not on the corpus. ``MEMO`` and
-``UNIT`` bound what a worker holds besides.
+the encoder's ``UNIT`` bound what a worker holds besides.
 
 Words that the JVM's Unicode tables split otherwise than the ``regex`` library are not
 looked up. The scan for the lowest rank takes n^2 steps, so a word of more than ``LONG``
@@ -47,8 +47,7 @@ RANKS = "byte_bpe_50k.tiktoken"
 FREQUENT = 1 << 18
 WORD_BYTES = 64
 LONG = 256
-MEMO = 200_000
-UNIT = 1 << 22
+MEMO = 300_000
 PAIR_BUCKETS = 131_071
 NONE = 2**31 - 1
 
@@ -221,8 +220,11 @@ class Lookup(Encoder):
 
     def __init__(self, merger: Merger, words: dict[str, bytes], memo: int | None = None, unit: int | None = None):
         self.merger, self.words = merger, words
+        # by part, as Encoder cuts them: without the blank before it, or after "\0"; runs of white space are no parts
+        self.fixed = {w[1:] if w[0] == " " else w if w == "\n" else "\0" + w: ids for w, ids in words.items()
+                      if "\0" not in w and (len(w) == 1 or not w.isspace())}
         self.odd, self.end = _ODD, b""
-        self.most, self.unit = MEMO if memo is None else memo, UNIT if unit is None else unit
+        self.most, self.unit = MEMO if memo is None else memo, unit
         self.memo, self.older, self.marks = {}, {}, {}
 
     def word(self, word: str) -> bytes:
@@ -234,13 +236,15 @@ class Lookup(Encoder):
         return b"".join([self.word(m.group()) for m in self.merger.split.finditer(text)]) if ids is None else ids
 
     def _known(self, parts: list[str]) -> list[bytes]:
-        table = [*map(self.memo.get, parts)]
-        new = [i for i, ids in enumerate(table) if ids is None]
-        for i in new:
-            p = parts[i]
-            if (ids := self.older.get(p)) is None:
-                ids = self.whole(p[1:] if p[:1] == "\0" else p if p == "\n" else " " + p)
-            table[i] = ids
+        table, get, new = [*map(self.fixed.get, parts)], self.memo.get, []
+        for i, ids in enumerate(table):
+            if ids is None:
+                p = parts[i]
+                if (ids := get(p)) is None:
+                    if (ids := self.older.get(p)) is None:
+                        ids = self.whole(p[1:] if p[:1] == "\0" else p if p == "\n" else " " + p)
+                    new.append(i)
+                table[i] = ids
         self._keep({parts[i]: table[i] for i in new})
         return table
 
